@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from suite import match_queries
+from suite import algorithm_queries, match_queries
 
-MODULES = (match_queries,)
+MODULES = (match_queries, algorithm_queries)
 
 
 def all_queries() -> dict:
