@@ -65,11 +65,15 @@ def spread_join(
     keys: Sequence[str],
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
+    many_rows: int | None = None,
 ) -> DataFrame:
     """Join ``many`` (hub keys possible) with ``other`` on equally named keys.
 
-    ``how`` is inner, left or left_semi, seen from ``many``.
+    ``how`` is inner, left or left_semi, seen from ``many``. If the number of rows of ``many`` is known and fits one task,
+    no key can be heavy and the count is saved.
     """
+    if many_rows is not None and many_rows <= rows_per_task:
+        return many.join(other, list(keys), how)
     heavy = heavy_keys(many, keys, rows_per_task)
     left = cut_heavy(many, keys, heavy)
     right = repeat_heavy(other, keys, heavy)

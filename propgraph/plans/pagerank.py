@@ -15,6 +15,8 @@ dangling mass is observed in that write, so no round makes a second pass.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -79,7 +81,7 @@ def _run(
     damping: float,
     rounds: int,
     limit: int | str | None,
-    edges_per_piece: int | None = None,
+    edges_per_piece: int = EDGES_PER_PIECE,
 ) -> DataFrame:
     if rounds < 0:
         raise ValueError("rounds must not be negative")
@@ -87,23 +89,23 @@ def _run(
         raise ValueError("damping_factor must be between 0 and 1")
     partitions = shuffle_partitions(spark)
     scratch = scratch_path(spark, "pagerank")
-    heavy = heavy_keys(graph.edges, ["src"], edges_per_piece or EDGES_PER_PIECE)
+    pieces, cut = _pieces(graph.edges, edges_per_piece)
 
     edges = (
-        cut_heavy(graph.edges, ["src"], heavy)
-        .repartition(partitions, "src", PIECE)
+        cut.repartition(partitions, "src", PIECE)
         .sortWithinPartitions("src", PIECE)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     # Per vertex, fixed over the rounds: out-weight (null if dangling), pieces of its edges, teleport flag.
-    out = graph.edges.groupBy("src").agg(F.sum("w").alias("out"), F.count(F.lit(1)).alias("degree"))
+    out = graph.edges.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("out"))
     fixed = (
         graph.vertices.select("id")
         .repartition(partitions, "id")
-        .join(out.withColumnRenamed("src", "id"), "id", "left")
+        .join(out, "id", "left")
         .join(sources.withColumn("source", F.lit(True)), "id", "left")
-        .join(F.broadcast(heavy.withColumnRenamed("src", "id")), "id", "left")
-        .select("id", "out", F.coalesce("source", F.lit(False)).alias("source"), F.coalesce(PIECES, F.lit(1)).alias(PIECES))
+        .transform(pieces)
+        .select("id", "out", F.coalesce("source", F.lit(False)).alias("source"), PIECES)
+        .sortWithinPartitions("id")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
@@ -138,6 +140,24 @@ def _run(
     return top_k(named, rank_order(), limit)
 
 
+def _pieces(edges: DataFrame, edges_per_piece: int) -> tuple[Callable[[DataFrame], DataFrame], DataFrame]:
+    """How many pieces a vertex' out-edges are cut into (a function that adds this to a vertex table), and the edges with
+    their piece. The list of hubs to cut has a fixed bound; without enough edges for a hub there is nothing to look for."""
+    if edges.count() <= edges_per_piece:
+        return lambda vertices: vertices.withColumn(PIECES, F.lit(1)), edges.withColumn(PIECE, F.lit(0))
+    heavy = heavy_keys(edges, ["src"], edges_per_piece)
+
+    def add_pieces(vertices: DataFrame) -> DataFrame:
+        hubs = heavy.withColumnsRenamed({"src": "id", PIECES: "__hub_pieces"})
+        return (
+            vertices.join(F.broadcast(hubs), "id", "left")
+            .withColumn(PIECES, F.coalesce("__hub_pieces", F.lit(1)))
+            .drop("__hub_pieces")
+        )
+
+    return add_pieces, cut_heavy(edges, ["src"], heavy)
+
+
 def _round(ranks: DataFrame, edges: DataFrame, fixed: DataFrame, damping: float, teleport: float) -> DataFrame:
     """Ranks after one more round. A vertex' share goes once to every piece of its edges."""
     shares = ranks.where(F.col("out").isNotNull()).select(

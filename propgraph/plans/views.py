@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from propgraph.graph import PropertyGraph
@@ -134,10 +134,12 @@ def _number_edges(spark: SparkSession, edges: DataFrame, vertices: DataFrame) ->
     """Add up parallel edges first, then look up both endpoints; hubs are spread in the lookups."""
     pairs = edges.groupBy("src_label", "src_uid", "dst_label", "dst_uid").agg(F.count(F.lit(1)).alias("w"))
     pair_path = scratch_path(spark, "pairs")
-    pairs.write.parquet(pair_path)
+    written = Observation()
+    pairs.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(pair_path)
+    n_pairs = written.get["n"]
     numbered = spark.read.schema(pairs.schema).parquet(pair_path)
     for side in ("src", "dst"):
         label, uid = f"{side}_label", f"{side}_uid"
         ids = vertices.select(F.col("label").alias(label), F.col("uid").alias(uid), F.col("id").alias(side))
-        numbered = spread_join(numbered, ids, [label, uid]).drop(label, uid)
+        numbered = spread_join(numbered, ids, [label, uid], many_rows=n_pairs).drop(label, uid)
     return numbered.select("src", "dst", "w")

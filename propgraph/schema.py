@@ -295,15 +295,12 @@ def schema_documents(df: DataFrame) -> Column:
 
 def explode_labels(df: DataFrame) -> DataFrame:
     """Parsed schemas to a label table: ``name, kind, label_index, label_value``."""
-    tagged = F.concat(
-        *(
-            F.transform(
-                F.coalesce(F.col(column), F.array().cast("array<struct<label_index:int,label_value:string>>")),
-                lambda e, k=kind: F.struct(F.lit(k).alias("kind"), e["label_index"].alias("i"), e["label_value"].alias("v")),
-            )
-            for kind, column in (("vertex", "vertex_labels"), ("edge", "edge_labels"))
-        )
-    )
-    return df.select("name", F.explode(tagged).alias("l")).select(
-        "name", "l.kind", F.col("l.i").alias("label_index"), F.col("l.v").alias("label_value")
+
+    def tagged(kind: str, labels: Column) -> Column:
+        entries = F.coalesce(labels, F.array().cast("array<struct<label_index:int,label_value:string>>"))
+        return F.transform(entries, lambda e: F.struct(F.lit(kind).alias("kind"), e["label_index"], e["label_value"]))
+
+    entries = F.concat(tagged("vertex", F.col("vertex_labels")), tagged("edge", F.col("edge_labels")))
+    return df.select("name", F.explode(entries).alias("l")).select("name", "l.*").toDF(
+        "name", "kind", "label_index", "label_value"
     )
