@@ -10,6 +10,8 @@ All functions are expressions over an ``ARRAY<INT>`` column; a key that is too s
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,7 +29,8 @@ def _unsigned(value: Column) -> Column:
 
 
 def _signed(value: Column) -> Column:
-    return F.when(value > 127, value - 256).otherwise(value).cast("int")
+    """0..255 to -128..127."""
+    return ((value + 128).bitwiseAND(F.lit(255)) - 128).cast("int")
 
 
 def _byte(key: Column, index: int) -> Column:
@@ -44,10 +47,9 @@ def key_text(key: Column) -> Column:
 
 def pack_key(key: Column, offset: int = 0) -> Column:
     """The eight bytes from ``offset`` on as one BIGINT."""
-    packed = F.shiftleft(_byte(key, offset), 56)
-    for i in range(1, VERTEX_KEY_BYTES):
-        packed = packed.bitwiseOR(F.shiftleft(_byte(key, offset + i), 56 - 8 * i))
-    return packed
+    return reduce(
+        Column.bitwiseOR, (F.shiftleft(_byte(key, offset + i), 56 - 8 * i) for i in range(VERTEX_KEY_BYTES))
+    )
 
 
 def unpack_key(packed: Column) -> Column:
@@ -57,20 +59,21 @@ def unpack_key(packed: Column) -> Column:
     )
 
 
-def _bits(packed: Column, low: int, width: int) -> Column:
-    return F.shiftrightunsigned(packed, low).bitwiseAND(F.lit((1 << width) - 1))
-
-
 def shard_id(key: Column, offset: int = 0) -> Column:
-    return _bits(pack_key(key, offset), LABEL_BITS + INNER_ID_BITS, SHARD_BITS)
+    """The first 12 bits: a byte and the high half of the next."""
+    return F.shiftleft(_byte(key, offset), 4).bitwiseOR(F.shiftright(_byte(key, offset + 1), 4))
 
 
 def label_index(key: Column, offset: int = 0) -> Column:
-    return _bits(pack_key(key, offset), INNER_ID_BITS, LABEL_BITS)
+    """The next 12 bits: the low half of the second byte and the third byte."""
+    return F.shiftleft(_byte(key, offset + 1).bitwiseAND(F.lit(15)), 8).bitwiseOR(_byte(key, offset + 2))
 
 
 def inner_id(key: Column, offset: int = 0) -> Column:
-    return _bits(pack_key(key, offset), 0, INNER_ID_BITS)
+    """The last 40 bits."""
+    first = VERTEX_KEY_BYTES - INNER_ID_BITS // 8
+    shifted = [F.shiftleft(_byte(key, offset + i), 8 * (VERTEX_KEY_BYTES - 1 - i)) for i in range(first, VERTEX_KEY_BYTES)]
+    return reduce(Column.bitwiseOR, shifted)
 
 
 def vertex_key(shard: Column, label: Column, inner: Column) -> Column:

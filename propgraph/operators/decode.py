@@ -1,20 +1,20 @@
 """Graph documents and tagged results to typed tables.
 
 A document is parsed once into a VARIANT and taken apart with column expressions, so a decode job is a single pass without
-shuffle. Bad documents never fail a job: every decoder has a ``reason`` beside the value, and ``split`` gives the good rows
-and the rejects.
+shuffle. Bad documents never fail a job: every decoder gives a ``reason`` beside the value, and ``split`` gives the good
+rows and the rejects.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propgraph.functions import keys as K
 from propgraph.functions.properties import PROPERTIES_TYPE, without
+from propgraph.functions.rows import compute_once
 from propgraph.schema import label_column
 
 # Names of the element documents and of the reserved properties.
@@ -32,27 +32,16 @@ MAP_TAG = "CruxType:Map"
 STUB_TYPE = "struct<label:string,uid:string,rk:string>"
 VERTEX_TYPE = (
     "struct<label:string,uid:string,tags:array<string>,properties:map<string,variant>,"
-    "entity_key:array<int>,rk:string>"
+    "entity_key:array<int>,rk:string,reason:string>"
 )
 EDGE_TYPE = (
     f"struct<label:string,euid:string,src:{STUB_TYPE},dst:{STUB_TYPE},tags:array<string>,"
-    "properties:map<string,variant>,entity_key:array<int>,rk:string>"
+    "properties:map<string,variant>,entity_key:array<int>,rk:string,reason:string>"
 )
 
 Labels = Mapping[int, str]
 
 
-@dataclass(frozen=True)
-class Decoded:
-    """A decoded value and why it could not be decoded (null if it could, or if there was nothing to decode)."""
-
-    value: Column
-    reason: Column
-
-    def or_null(self) -> Column:
-        return F.when(self.reason.isNull(), self.value)
-
-
 def split(df: DataFrame, reason: str = "reason") -> tuple[DataFrame, DataFrame]:
     """Good rows and rejects of a decode job."""
     return df.where(F.col(reason).isNull()).drop(reason), df.where(F.col(reason).isNotNull())
@@ -83,122 +72,230 @@ def _none() -> Column:
 
 
 # --- elements -------------------------------------------------------------------------------------------------------
+#
+# A decoder is a list of steps; each computes columns from those of the steps before. Over a table a step is one
+# projection, over an array one ``transform``, so that every part of a document is taken out of it once.
+
+Parts = dict[str, Column]
+Step = Callable[[Parts], Parts]
+
+
+def _vertex_steps() -> list[Step]:
+    """A document ``doc`` to ``label, uid, tags, properties, entity_key, rk, reason``."""
+
+    def take_apart(p: Parts) -> Parts:
+        doc = p["doc"]
+        return {
+            "label": _label(doc),
+            "uid": _reserved(doc, UID),
+            "tags": _tags(doc),
+            "properties": _properties(doc),
+            "entity_key": _part(doc, ENTITY_KEY, "array<int>"),
+            "missing": doc.isNull(),
+        }
+
+    def finish(p: Parts) -> Parts:
+        reason = (
+            F.when(p["missing"], _none())
+            .when(p["label"].isNull(), "no_label")
+            .when(p["properties"].isNull(), "no_properties")
+            .when(p["uid"].isNull(), "no_uid")
+            .when(p["entity_key"].isNull(), "no_key")
+        )
+        return {
+            "label": p["label"],
+            "uid": p["uid"],
+            "tags": F.when(~p["missing"], p["tags"]),
+            "properties": without(p["properties"], UID, TAGS),
+            "entity_key": p["entity_key"],
+            "rk": K.key_text(p["entity_key"]),
+            "reason": reason,
+        }
 
-
-def vertex(doc: Column) -> Decoded:
-    """A vertex document (VARIANT) to ``label, uid, tags, properties, entity_key, rk``."""
-    key = _part(doc, ENTITY_KEY, "array<int>")
-    reason = (
-        F.when(doc.isNull(), _none())
-        .when(_label(doc).isNull(), "no_label")
-        .when(_properties(doc).isNull(), "no_properties")
-        .when(_reserved(doc, UID).isNull(), "no_uid")
-        .when(key.isNull(), "no_key")
-    )
-    value = F.struct(
-        _label(doc).alias("label"),
-        _reserved(doc, UID).alias("uid"),
-        _tags(doc).alias("tags"),
-        without(_properties(doc), UID, TAGS).alias("properties"),
-        key.alias("entity_key"),
-        K.key_text(key).alias("rk"),
-    )
-    return Decoded(F.when(doc.isNotNull(), value), reason)
+    return [take_apart, finish]
 
 
-def edge(doc: Column, version: int, vertex_labels: Labels) -> Decoded:
-    """An edge document (VARIANT) to ``label, euid, src, dst, tags, properties, entity_key, rk``.
+def _edge_steps(version: int, vertex_labels: Labels) -> list[Step]:
+    """A document ``doc`` to ``label, euid, src, dst, tags, properties, entity_key, rk, reason``.
 
     With packed keys the endpoint ids are properties and the key bits give the label index; a legacy endpoint key holds
     both.
     """
     packed = version >= K.PACKED_KEYS_SINCE
-    key = _part(doc, ENTITY_KEY, "array<int>")
-    start, end = _part(doc, START_KEY, "array<int>"), _part(doc, END_KEY, "array<int>")
-    if packed:
-        src_uid, dst_uid = _reserved(doc, SOURCE_UID), _reserved(doc, TARGET_UID)
-        src_index, dst_index = K.label_index(start), K.label_index(end)
-    else:
-        src_uid, dst_uid = K.legacy_uid(start), K.legacy_uid(end)
-        src_index, dst_index = K.legacy_label_index(start), K.legacy_label_index(end)
-    src_label, dst_label = label_column(src_index, vertex_labels), label_column(dst_index, vertex_labels)
-    reason = (
-        F.when(doc.isNull(), _none())
-        .when(_label(doc).isNull(), "no_label")
-        .when(key.isNull(), "no_key")
-        .when(_properties(doc).isNull(), "no_properties")
-        .when(start.isNull() | src_index.isNull(), "no_start_key")
-        .when(src_uid.isNull(), "no_src_uid")
-        .when(src_label.isNull(), "unknown_start_label")
-        .when(end.isNull() | dst_index.isNull(), "no_end_key")
-        .when(dst_uid.isNull(), "no_dst_uid")
-        .when(dst_label.isNull(), "unknown_end_label")
-    )
+    reserved = [UID, TAGS, SOURCE_UID, TARGET_UID] if packed else [UID, TAGS]
 
-    def stub(label: Column, uid: Column, endpoint_key: Column) -> Column:
-        return F.struct(label.alias("label"), uid.alias("uid"), K.key_text(endpoint_key).alias("rk"))
+    def take_apart(p: Parts) -> Parts:
+        doc = p["doc"]
+        return {
+            "label": _label(doc),
+            "euid": _reserved(doc, UID),
+            "tags": _tags(doc),
+            "properties": _properties(doc),
+            "entity_key": _part(doc, ENTITY_KEY, "array<int>"),
+            "start": _part(doc, START_KEY, "array<int>"),
+            "end": _part(doc, END_KEY, "array<int>"),
+            "src_uid": _reserved(doc, SOURCE_UID),
+            "dst_uid": _reserved(doc, TARGET_UID),
+            "missing": doc.isNull(),
+        }
+
+    def read_keys(p: Parts) -> Parts:
+        index = K.label_index if packed else K.legacy_label_index
+        found = {**p, "src_index": index(p["start"]), "dst_index": index(p["end"])}
+        if not packed:
+            found |= {"src_uid": K.legacy_uid(p["start"]), "dst_uid": K.legacy_uid(p["end"])}
+        return found
+
+    def look_up(p: Parts) -> Parts:
+        return {
+            **p,
+            "src_label": label_column(p["src_index"], vertex_labels),
+            "dst_label": label_column(p["dst_index"], vertex_labels),
+        }
+
+    def finish(p: Parts) -> Parts:
+        reason = (
+            F.when(p["missing"], _none())
+            .when(p["label"].isNull(), "no_label")
+            .when(p["entity_key"].isNull(), "no_key")
+            .when(p["properties"].isNull(), "no_properties")
+            .when(p["src_index"].isNull(), "no_start_key")
+            .when(p["src_uid"].isNull(), "no_src_uid")
+            .when(p["src_label"].isNull(), "unknown_start_label")
+            .when(p["dst_index"].isNull(), "no_end_key")
+            .when(p["dst_uid"].isNull(), "no_dst_uid")
+            .when(p["dst_label"].isNull(), "unknown_end_label")
+        )
 
-    reserved = [UID, TAGS, SOURCE_UID, TARGET_UID] if packed else [UID, TAGS]
-    value = F.struct(
-        _label(doc).alias("label"),
-        F.coalesce(_reserved(doc, UID), F.lit("")).alias("euid"),
-        stub(src_label, src_uid, K.start_key(key)).alias("src"),
-        stub(dst_label, dst_uid, K.end_key(key)).alias("dst"),
-        _tags(doc).alias("tags"),
-        without(_properties(doc), *reserved).alias("properties"),
-        key.alias("entity_key"),
-        K.key_text(key).alias("rk"),
-    )
-    return Decoded(F.when(doc.isNotNull(), value), reason)
+        def stub(side: str, endpoint_key: Column) -> Column:
+            return F.struct(
+                p[f"{side}_label"].alias("label"), p[f"{side}_uid"].alias("uid"), K.key_text(endpoint_key).alias("rk")
+            )
 
+        return {
+            "label": p["label"],
+            "euid": F.when(~p["missing"], F.coalesce(p["euid"], F.lit(""))),
+            "src": stub("src", K.start_key(p["entity_key"])),
+            "dst": stub("dst", K.end_key(p["entity_key"])),
+            "tags": F.when(~p["missing"], p["tags"]),
+            "properties": without(p["properties"], *reserved),
+            "entity_key": p["entity_key"],
+            "rk": K.key_text(p["entity_key"]),
+            "reason": reason,
+        }
 
-def path(doc: Column, version: int, vertex_labels: Labels) -> Decoded:
-    """A path document (VARIANT, an array) to an array of ``pos, kind, vertex, edge``: even position vertex, odd edge."""
+    return [take_apart, read_keys, look_up, finish]
 
-    def element(part: Column, pos: Column) -> Column:
-        v, e = vertex(part), edge(part, version, vertex_labels)
-        is_vertex = pos % 2 == 0
-        return F.struct(
-            pos.alias("pos"),
-            F.when(is_vertex, "vertex").otherwise("edge").alias("kind"),
-            F.when(is_vertex, v.value).alias("vertex"),
-            F.when(~is_vertex, e.value).alias("edge"),
-        )
 
-    def problem(part: Column, pos: Column) -> Column:
-        v, e = vertex(part), edge(part, version, vertex_labels)
-        return F.when(part.isNull(), "no_element").otherwise(F.when(pos % 2 == 0, v.reason).otherwise(e.reason))
+def _over_table(df: DataFrame, column: str, steps: list[Step]) -> DataFrame:
+    """Run a decoder over a text column, which its result replaces."""
+    others = [c for c in df.columns if c != column]
+    df = _parsed(df, column)
+    parts = steps[0]({"doc": F.col("__doc")})
+    df = compute_once(df, [*others, "__bad"], {f"__{name}": c for name, c in parts.items()})
+    for step in steps[1:]:
+        parts = step({name: F.col(f"__{name}") for name in parts})
+        df = df.select(*others, "__bad", *(c.alias(f"__{name}") for name, c in parts.items()))
+    results = [F.col(f"__{name}").alias(name) for name in parts if name != "reason"]
+    reason = F.when(F.col("__bad"), "bad_json").otherwise(F.col("__reason"))
+    return df.select(*others, *results, reason.alias("reason"))
 
-    parts = F.try_variant_get(doc, "$", "array<variant>")
-    problems = F.filter(F.transform(parts, problem), lambda r: r.isNotNull())
-    reason = F.when(doc.isNull(), _none()).when(parts.isNull(), "not_a_path").otherwise(F.get(problems, F.lit(0)))
-    return Decoded(F.transform(parts, element), reason)
 
+def _parsed(df: DataFrame, column: str) -> DataFrame:
+    """Replace a text column by ``__doc``, its VARIANT, and ``__bad``, whether it is text but not JSON."""
+    others = [c for c in df.columns if c != column]
+    parsed = df.select(*others, F.col(column).isNotNull().alias("__given"), F.try_parse_json(column).alias("__doc"))
+    return parsed.select(*others, "__doc", (F.col("__given") & F.col("__doc").isNull()).alias("__bad"))
 
-def _decode_column(df: DataFrame, column: str, decoded: Decoded) -> DataFrame:
-    """Parse ``column`` into ``__doc`` and add ``__value`` and ``reason``."""
-    bad = F.col(column).isNotNull() & F.col("__doc").isNull()
-    reason = F.when(bad, "bad_json").otherwise(decoded.reason)
-    with_doc = df.withColumn("__doc", F.try_parse_json(column))
-    return with_doc.withColumns({"__value": decoded.value, "reason": reason}).drop("__doc")
+
+def _over_array(docs: Column, steps: list[Step]) -> Column:
+    """Run a decoder over an array of documents; gives an array of structs."""
+
+    def apply(step: Step, names: list[str] | None) -> Callable[[Column], Column]:
+        def one(element: Column) -> Column:
+            parts = step({"doc": element} if names is None else {name: element[name] for name in names})
+            return F.struct(*(c.alias(name) for name, c in parts.items()))
+
+        return one
+
+    names: list[str] | None = None
+    for step in steps:
+        docs = F.transform(docs, apply(step, names))
+        names = list(step({"doc": F.lit(None)} if names is None else {name: F.lit(None) for name in names}))
+    return docs
 
 
 def decode_vertices(df: DataFrame, column: str) -> DataFrame:
     """A column of vertex documents to vertex columns and ``reason``; other columns stay."""
-    decoded = _decode_column(df, column, vertex(F.col("__doc")))
-    return decoded.select("*", "__value.*").drop("__value", column)
+    return _over_table(df, column, _vertex_steps())
 
 
 def decode_edges(df: DataFrame, column: str, version: int, vertex_labels: Labels) -> DataFrame:
     """A column of edge documents to edge columns and ``reason``; other columns stay."""
-    decoded = _decode_column(df, column, edge(F.col("__doc"), version, vertex_labels))
-    return decoded.select("*", "__value.*").drop("__value", column)
+    return _over_table(df, column, _edge_steps(version, vertex_labels))
+
+
+def vertex_array(docs: Column) -> Column:
+    """An array of vertex documents (VARIANT) to an array of vertices with ``reason``."""
+    return _over_array(docs, _vertex_steps())
+
+
+def edge_array(docs: Column, version: int, vertex_labels: Labels) -> Column:
+    """An array of edge documents (VARIANT) to an array of edges with ``reason``."""
+    return _over_array(docs, _edge_steps(version, vertex_labels))
+
+
+def _take(parts: Column, odd: bool) -> Column:
+    return F.filter(parts, lambda _, i: i % 2 == (1 if odd else 0))
+
+
+def path_elements(doc: Column, version: int, vertex_labels: Labels) -> Column:
+    """A path document (VARIANT, an array) to an array of ``pos, kind, vertex, edge``: even position vertex, odd edge."""
+    parts = F.try_variant_get(doc, "$", "array<variant>")
+    vertices = F.transform(
+        vertex_array(_take(parts, odd=False)),
+        lambda v, i: F.struct(
+            (i * 2).alias("pos"), F.lit("vertex").alias("kind"), v.alias("vertex"), F.lit(None).cast(EDGE_TYPE).alias("edge")
+        ),
+    )
+    edges = F.transform(
+        edge_array(_take(parts, odd=True), version, vertex_labels),
+        lambda e, i: F.struct(
+            (i * 2 + 1).alias("pos"), F.lit("edge").alias("kind"), F.lit(None).cast(VERTEX_TYPE).alias("vertex"), e.alias("edge")
+        ),
+    )
+    return F.array_sort(
+        F.concat(vertices, edges), lambda a, b: F.when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0)
+    )
+
+
+def path_problem(path: Column) -> Column:
+    """Why a decoded path is bad: its first element with a reason."""
+    problems = F.transform(
+        path,
+        lambda e: F.when(e["kind"] == "vertex", _problem(e["vertex"])).otherwise(_problem(e["edge"])),
+    )
+    return F.get(F.filter(problems, lambda r: r.isNotNull()), F.lit(0))
+
+
+def _problem(element: Column) -> Column:
+    return F.when(element["label"].isNull() & element["reason"].isNull(), "no_element").otherwise(element["reason"])
 
 
 def decode_paths(df: DataFrame, column: str, version: int, vertex_labels: Labels) -> DataFrame:
     """A column of path documents to a ``path`` array and ``reason``; other columns stay."""
-    decoded = _decode_column(df, column, path(F.col("__doc"), version, vertex_labels))
-    return decoded.withColumnRenamed("__value", "path").drop(column)
+    others = [c for c in df.columns if c != column]
+    path = path_elements(F.col("__doc"), version, vertex_labels)
+    df = compute_once(
+        _parsed(df, column), [*others, "__bad"], {"path": path, "__missing": F.col("__doc").isNull()}
+    )
+    reason = (
+        F.when(F.col("__bad"), "bad_json")
+        .when(F.col("__missing"), _none())
+        .when(F.col("path").isNull(), "not_a_path")
+        .otherwise(path_problem(F.col("path")))
+    )
+    return df.select(*others, "path", reason.alias("reason"))
 
 
 def explode_path(df: DataFrame, column: str = "path") -> DataFrame:
@@ -224,19 +321,29 @@ def _inner(tag: str, outer: str) -> list[str]:
     return [a.strip() for a in arguments]
 
 
+def _good(element: Column) -> Column:
+    """The element, or null if it is bad."""
+    return F.when(element["reason"].isNull() & element["label"].isNotNull(), element)
+
+
 def tagged_value(value: Column, tag: str, version: int, vertex_labels: Labels) -> Column:
     """A JSON value (VARIANT) as the type its tag names; null if it does not fit."""
     if tag in SCALAR_TAGS:
         return F.try_variant_get(value, "$", SCALAR_TAGS[tag])
     if tag in VERTEX_TAGS:
-        return vertex(value).or_null()
+        return _good(F.get(vertex_array(F.array(value)), F.lit(0)))
     if tag in EDGE_TAGS:
-        return edge(value, version, vertex_labels).or_null()
+        return _good(F.get(edge_array(F.array(value), version, vertex_labels), F.lit(0)))
     if tag == PATH_TAG:
-        return path(value, version, vertex_labels).or_null()
+        path = path_elements(value, version, vertex_labels)
+        return F.when(path_problem(path).isNull(), path)
     if tag.startswith(LIST_TAG):
         (entry,) = _inner(tag, LIST_TAG)
         entries = F.try_variant_get(value, "$", "array<variant>")
+        if entry in VERTEX_TAGS:
+            return F.transform(vertex_array(entries), _good)
+        if entry in EDGE_TAGS:
+            return F.transform(edge_array(entries, version, vertex_labels), _good)
         return F.transform(entries, lambda x: tagged_value(x, entry, version, vertex_labels))
     if tag.startswith(MAP_TAG):
         key_tag, value_tag = _inner(tag, MAP_TAG)

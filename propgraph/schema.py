@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from propgraph.functions.rows import compute_once
+
 # Names of the schema document.
 VERSION = "__VERSION"
 GRAPH_NAME = "graph.name"
@@ -228,11 +230,26 @@ def parse_schema_documents(df: DataFrame, column: str) -> DataFrame:
     Adds ``version, name, index_type, replication, shards, vertex_labels, edge_labels, encryption_type, index_separated``
     and ``reason``, which names the first thing that is wrong with the document (null if it is good).
     """
-    keys = F.map_keys(F.try_variant_get(F.col("__doc"), "$", "map<string,variant>"))
-
-    def lacks(name: str) -> Column:
-        return ~F.array_contains(keys, name)
-
+    parsed = df.withColumn("__doc", F.try_parse_json(column))
+    doc = F.col("__doc")
+    parsed = compute_once(
+        parsed,
+        df.columns,
+        {
+            "__keys": F.map_keys(F.try_variant_get(doc, "$", "map<string,variant>")),
+            "version": _doc_value(doc, VERSION, "int"),
+            "name": _doc_value(doc, GRAPH_NAME, "string"),
+            "index_type": _doc_value(doc, INDEX_TYPE, "string"),
+            # Numbers may be given as text.
+            "replication": _doc_value(doc, REPLICATION, "string").try_cast("int"),
+            "shards": _doc_value(doc, SHARDS, "string").try_cast("int"),
+            "vertex_labels": _doc_labels(doc, VERTEX_TABLES),
+            "edge_labels": _doc_labels(doc, EDGE_TABLES),
+            "encryption_type": _doc_value(doc, ENCRYPTION, "string"),
+            "index_separated": _doc_value(doc, INDEX_SEPARATED, "boolean"),
+        },
+    )
+    keys = F.col("__keys")
     reason = F.when(F.col(column).isNull(), F.lit(None).cast("string")).when(keys.isNull(), "bad_json")
     for name, why in [
         (VERSION, "no_version"),
@@ -243,30 +260,10 @@ def parse_schema_documents(df: DataFrame, column: str) -> DataFrame:
         (VERTEX_TABLES, "no_vertex_tables"),
         (EDGE_TABLES, "no_edge_tables"),
     ]:
-        reason = reason.when(lacks(name), why)
-    # Numbers may be given as text.
-    replication = _doc_value(F.col("__doc"), REPLICATION, "string").try_cast("int")
-    shards = _doc_value(F.col("__doc"), SHARDS, "string").try_cast("int")
-    reason = reason.when(replication.isNull(), "bad_replication_number").when(shards.isNull(), "bad_shard_number")
-    doc = F.col("__doc")
-    return (
-        df.withColumn("__doc", F.try_parse_json(column))
-        .withColumns(
-            {
-                "version": _doc_value(doc, VERSION, "int"),
-                "name": _doc_value(doc, GRAPH_NAME, "string"),
-                "index_type": _doc_value(doc, INDEX_TYPE, "string"),
-                "replication": replication,
-                "shards": shards,
-                "vertex_labels": _doc_labels(doc, VERTEX_TABLES),
-                "edge_labels": _doc_labels(doc, EDGE_TABLES),
-                "encryption_type": _doc_value(doc, ENCRYPTION, "string"),
-                "index_separated": _doc_value(doc, INDEX_SEPARATED, "boolean"),
-                "reason": reason,
-            }
-        )
-        .drop("__doc")
-    )
+        reason = reason.when(~F.array_contains(keys, name), why)
+    reason = reason.when(F.col("replication").isNull(), "bad_replication_number")
+    reason = reason.when(F.col("shards").isNull(), "bad_shard_number")
+    return parsed.withColumn("reason", reason).drop("__keys")
 
 
 def schema_documents(df: DataFrame) -> Column:

@@ -69,9 +69,10 @@ def key_decode_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _edge_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of PLACED edges: both endpoints and some bytes more."""
     tail = F.array(F.lit(EDGE_INDEX), F.lit(-1))
-    return read(spark, sf_dir, "orders").withColumn(
-        "key", F.concat(customer_key(F.col("o_custkey")), order_key(F.col("o_orderkey")), tail)
+    orders = read(spark, sf_dir, "orders").withColumns(
+        {"start": customer_key(F.col("o_custkey")), "end": order_key(F.col("o_orderkey"))}
     )
+    return orders.withColumn("key", F.concat("start", "end", tail))
 
 
 def edge_key_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +166,7 @@ def _placed_document() -> Column:
         "o_totalprice",
         "o_orderpriority",
     ]
-    return _edge_document(properties, customer_key(F.col("o_custkey")), order_key(F.col("o_orderkey")), F.col("key"))
+    return _edge_document(properties, F.col("start"), F.col("end"), F.col("key"))
 
 
 def _decoded_edges(decoded: DataFrame) -> DataFrame:
@@ -221,9 +222,9 @@ def _vertex_document(label: str, uid: Column, key: Column) -> Column:
 def path_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as paths customer, PLACED, order."""
     parts = [
-        F.to_json(_vertex_document("Customer", F.concat(F.lit("c"), "o_custkey"), customer_key(F.col("o_custkey")))),
+        F.to_json(_vertex_document("Customer", F.concat(F.lit("c"), "o_custkey"), F.col("start"))),
         F.to_json(_placed_document()),
-        F.to_json(_vertex_document("Order", F.concat(F.lit("o"), "o_orderkey"), order_key(F.col("o_orderkey")))),
+        F.to_json(_vertex_document("Order", F.concat(F.lit("o"), "o_orderkey"), F.col("end"))),
     ]
     doc = F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
     return _edge_keys(spark, sf_dir).select("o_orderkey", doc.alias("doc"))
@@ -295,7 +296,7 @@ def decode_result_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(_placed_document()).alias("f"),
         F.concat(
             F.lit("["),
-            F.to_json(_vertex_document("Order", F.concat(F.lit("o"), "o_orderkey"), order_key(F.col("o_orderkey")))),
+            F.to_json(_vertex_document("Order", F.concat(F.lit("o"), "o_orderkey"), F.col("end"))),
             F.lit("]"),
         ).alias("l"),
     )
