@@ -375,14 +375,25 @@ def decode_result(
     if not tags:
         return df
     labels = vertex_labels or {}
-    decoded = {c: tagged_column(F.col(c), tag, version, labels) for c, tag in tags.items()}
-    columns = [
-        decoded[c].alias(c, metadata={"graph_type": tags[c]}) if c in decoded else F.col(c) for c in df.columns
-    ]
-    bad = F.array_compact(
-        F.array(*(F.when(F.col(c).isNotNull() & value.isNull(), F.lit(c)) for c, value in decoded.items()))
-    )
-    return df.select(*columns, bad.alias("bad_cells"))
+    columns = df.columns
+    df = df.select("*", *(F.col(c).isNotNull().alias(f"__given_{c}") for c in tags))
+    for c, tag in tags.items():
+        if tag in (*VERTEX_TAGS, *EDGE_TAGS):
+            df = _element_column(df, c, _vertex_steps() if tag in VERTEX_TAGS else _edge_steps(version, labels))
+    rest = {c: tagged_column(F.col(c), tag, version, labels) for c, tag in tags.items() if tag not in (*VERTEX_TAGS, *EDGE_TAGS)}
+    if rest:
+        df = compute_once(df, [c for c in df.columns if c not in rest], rest)
+    bad = F.array_compact(F.array(*(F.when(F.col(f"__given_{c}") & F.col(c).isNull(), F.lit(c)) for c in tags)))
+    tagged = [F.col(c).alias(c, metadata={"graph_type": tags[c]}) if c in tags else F.col(c) for c in columns]
+    return df.select(*tagged, bad.alias("bad_cells"))
+
+
+def _element_column(df: DataFrame, column: str, steps: list[Step]) -> DataFrame:
+    """Decode one column of element documents in place; a bad one is null."""
+    others = [c for c in df.columns if c != column]
+    decoded = _over_table(df.select(F.struct(*others).alias("__row"), column), column, steps)
+    element = F.struct(*(c for c in decoded.columns if c != "__row"))
+    return decoded.withColumn(column, _good(element)).select("__row.*", column)
 
 
 def rejects_by_reason(df: DataFrame, reason: str = "reason") -> DataFrame:

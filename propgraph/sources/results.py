@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from propgraph.session import scratch_path
 
 
-def with_parallelism(df: DataFrame, parallelism: int = 1) -> DataFrame:
-    """The result in ``parallelism`` partitions, at least one. Rows move between executors, never through the driver."""
-    return df.repartition(max(1, parallelism))
+def with_parallelism(df: DataFrame, parallelism: int | None = None) -> DataFrame:
+    """The result in ``parallelism`` partitions, at least one; without a number it keeps the partitions it has. Rows move
+    between executors, never through the driver."""
+    return df if parallelism is None else df.repartition(max(1, parallelism))
 
 
-def to_rdd(df: DataFrame, parallelism: int = 1) -> RDD:
+def to_rdd(df: DataFrame, parallelism: int | None = None) -> RDD:
     """The result as an RDD of rows, for programs that need one."""
     return with_parallelism(df, parallelism).rdd
 
