@@ -273,15 +273,11 @@ def path_problem(path: Column) -> Column:
     """Why a decoded path is bad: its first element with a reason."""
     problems = F.transform(
         path,
-        lambda e: F.when(e["kind"] == "vertex", _problem(e["vertex"])).otherwise(_problem(e["edge"])),
+        lambda e: F.when(e["kind"] == "vertex", e["vertex"]["reason"]).otherwise(e["edge"]["reason"]),
     )
     return F.get(F.filter(problems, lambda r: r.isNotNull()), F.lit(0))
 
 
-def _problem(element: Column) -> Column:
-    return F.when(element["label"].isNull() & element["reason"].isNull(), "no_element").otherwise(element["reason"])
-
-
 def decode_paths(df: DataFrame, column: str, version: int, vertex_labels: Labels) -> DataFrame:
     """A column of path documents to a ``path`` array and ``reason``; other columns stay."""
     others = [c for c in df.columns if c != column]
