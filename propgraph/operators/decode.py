@@ -1,7 +1,7 @@
 """Graph documents and tagged results to typed tables.
 
-A document is parsed once into a VARIANT and taken apart with column expressions, so a decode job is a single pass without
-shuffle. Bad documents never fail a job: every decoder gives a ``reason`` beside the value, and ``split`` gives the good
+A document is parsed once, with its schema declared and its free properties as a VARIANT, and taken apart with column
+expressions, so a decode job is a single pass without shuffle. Bad documents never fail a job: every decoder gives a ``reason`` beside the value, and ``split`` gives the good
 rows and the rejects.
 """
 
@@ -29,6 +29,11 @@ PATH_TAG = "CruxType:Path"
 LIST_TAG = "CruxType:List"
 MAP_TAG = "CruxType:Map"
 
+CORRUPT = "_corrupt"
+DOCUMENT_TYPE = (
+    f"struct<{LABELS}:array<string>,{ENTITY_KEY}:array<int>,{START_KEY}:array<int>,{END_KEY}:array<int>,"
+    f"{PROPERTIES}:variant,{CORRUPT}:string>"
+)
 STUB_TYPE = "struct<label:string,uid:string,rk:string>"
 VERTEX_TYPE = (
     "struct<label:string,uid:string,tags:array<string>,properties:map<string,variant>,"
@@ -40,6 +45,8 @@ EDGE_TYPE = (
 )
 
 Labels = Mapping[int, str]
+Parts = dict[str, Column]
+Step = Callable[[Parts], Parts]
 
 
 def split(df: DataFrame, reason: str = "reason") -> tuple[DataFrame, DataFrame]:
@@ -47,24 +54,28 @@ def split(df: DataFrame, reason: str = "reason") -> tuple[DataFrame, DataFrame]:
     return df.where(F.col(reason).isNull()).drop(reason), df.where(F.col(reason).isNotNull())
 
 
-def _part(doc: Column, name: str, data_type: str) -> Column:
-    return F.try_variant_get(doc, f"$.{name}", data_type)
-
-
-def _properties(doc: Column) -> Column:
-    return _part(doc, PROPERTIES, PROPERTIES_TYPE)
-
+def _document(text: Column, data_type: str = DOCUMENT_TYPE) -> Column:
+    return F.from_json(text, data_type, {"columnNameOfCorruptRecord": CORRUPT})
 
-def _reserved(doc: Column, name: str, data_type: str = "string") -> Column:
-    return _part(doc, f"{PROPERTIES}.{name}", data_type)
 
+def _reserved(properties: Column, name: str, data_type: str = "string") -> Column:
+    return F.try_variant_get(properties, f"$.{name}", data_type)
 
-def _label(doc: Column) -> Column:
-    return _part(doc, f"{LABELS}[0]", "string")
 
-
-def _tags(doc: Column) -> Column:
-    return F.coalesce(_reserved(doc, TAGS, "array<string>"), F.array().cast("array<string>"))
+def _take_apart(doc: Column) -> Parts:
+    """The parts that all elements have. ``bad`` tells text that is not a document at all from one that lacks something."""
+    properties = doc[PROPERTIES]
+    return {
+        "label": F.get(doc[LABELS], F.lit(0)),
+        "euid": _reserved(properties, UID),
+        "tags": F.coalesce(_reserved(properties, TAGS, "array<string>"), F.array().cast("array<string>")),
+        "properties": F.try_variant_get(properties, "$", PROPERTIES_TYPE),
+        "entity_key": doc[ENTITY_KEY],
+        "missing": doc.isNull(),
+        "bad": F.coalesce(
+            doc[CORRUPT].isNotNull() & doc[LABELS].isNull() & doc[ENTITY_KEY].isNull() & properties.isNull(), F.lit(False)
+        ),
+    }
 
 
 def _none() -> Column:
@@ -76,35 +87,25 @@ def _none() -> Column:
 # A decoder is a list of steps; each computes columns from those of the steps before. Over a table a step is one
 # projection, over an array one ``transform``, so that every part of a document is taken out of it once.
 
-Parts = dict[str, Column]
-Step = Callable[[Parts], Parts]
-
 
 def _vertex_steps() -> list[Step]:
     """A document ``doc`` to ``label, uid, tags, properties, entity_key, rk, reason``."""
 
     def take_apart(p: Parts) -> Parts:
-        doc = p["doc"]
-        return {
-            "label": _label(doc),
-            "uid": _reserved(doc, UID),
-            "tags": _tags(doc),
-            "properties": _properties(doc),
-            "entity_key": _part(doc, ENTITY_KEY, "array<int>"),
-            "missing": doc.isNull(),
-        }
+        return _take_apart(p["doc"])
 
     def finish(p: Parts) -> Parts:
         reason = (
             F.when(p["missing"], _none())
+            .when(p["bad"], "bad_json")
             .when(p["label"].isNull(), "no_label")
             .when(p["properties"].isNull(), "no_properties")
-            .when(p["uid"].isNull(), "no_uid")
+            .when(p["euid"].isNull(), "no_uid")
             .when(p["entity_key"].isNull(), "no_key")
         )
         return {
             "label": p["label"],
-            "uid": p["uid"],
+            "uid": p["euid"],
             "tags": F.when(~p["missing"], p["tags"]),
             "properties": without(p["properties"], UID, TAGS),
             "entity_key": p["entity_key"],
@@ -126,18 +127,13 @@ def _edge_steps(version: int, vertex_labels: Labels) -> list[Step]:
 
     def take_apart(p: Parts) -> Parts:
         doc = p["doc"]
-        return {
-            "label": _label(doc),
-            "euid": _reserved(doc, UID),
-            "tags": _tags(doc),
-            "properties": _properties(doc),
-            "entity_key": _part(doc, ENTITY_KEY, "array<int>"),
-            "start": _part(doc, START_KEY, "array<int>"),
-            "end": _part(doc, END_KEY, "array<int>"),
-            "src_uid": _reserved(doc, SOURCE_UID),
-            "dst_uid": _reserved(doc, TARGET_UID),
-            "missing": doc.isNull(),
-        }
+        parts = {**_take_apart(doc), "start": doc[START_KEY], "end": doc[END_KEY]}
+        if packed:
+            parts |= {
+                "src_uid": _reserved(doc[PROPERTIES], SOURCE_UID),
+                "dst_uid": _reserved(doc[PROPERTIES], TARGET_UID),
+            }
+        return parts
 
     def read_keys(p: Parts) -> Parts:
         index = K.label_index if packed else K.legacy_label_index
@@ -156,6 +152,7 @@ def _edge_steps(version: int, vertex_labels: Labels) -> list[Step]:
     def finish(p: Parts) -> Parts:
         reason = (
             F.when(p["missing"], _none())
+            .when(p["bad"], "bad_json")
             .when(p["label"].isNull(), "no_label")
             .when(p["entity_key"].isNull(), "no_key")
             .when(p["properties"].isNull(), "no_properties")
@@ -190,22 +187,13 @@ def _edge_steps(version: int, vertex_labels: Labels) -> list[Step]:
 def _over_table(df: DataFrame, column: str, steps: list[Step]) -> DataFrame:
     """Run a decoder over a text column, which its result replaces."""
     others = [c for c in df.columns if c != column]
-    df = _parsed(df, column)
+    df = df.select(*others, _document(F.col(column)).alias("__doc"))
     parts = steps[0]({"doc": F.col("__doc")})
-    df = compute_once(df, [*others, "__bad"], {f"__{name}": c for name, c in parts.items()})
+    df = compute_once(df, others, {f"__{name}": c for name, c in parts.items()})
     for step in steps[1:]:
         parts = step({name: F.col(f"__{name}") for name in parts})
-        df = df.select(*others, "__bad", *(c.alias(f"__{name}") for name, c in parts.items()))
-    results = [F.col(f"__{name}").alias(name) for name in parts if name != "reason"]
-    reason = F.when(F.col("__bad"), "bad_json").otherwise(F.col("__reason"))
-    return df.select(*others, *results, reason.alias("reason"))
-
-
-def _parsed(df: DataFrame, column: str) -> DataFrame:
-    """Replace a text column by ``__doc``, its VARIANT, and ``__bad``, whether it is text but not JSON."""
-    others = [c for c in df.columns if c != column]
-    parsed = df.select(*others, F.col(column).isNotNull().alias("__given"), F.try_parse_json(column).alias("__doc"))
-    return parsed.select(*others, "__doc", (F.col("__given") & F.col("__doc").isNull()).alias("__bad"))
+        df = df.select(*others, *(c.alias(f"__{name}") for name, c in parts.items()))
+    return df.select(*others, *(F.col(f"__{name}").alias(name) for name in parts))
 
 
 def _over_array(docs: Column, steps: list[Step]) -> Column:
@@ -214,14 +202,16 @@ def _over_array(docs: Column, steps: list[Step]) -> Column:
     def apply(step: Step, names: list[str] | None) -> Callable[[Column], Column]:
         def one(element: Column) -> Column:
             parts = step({"doc": element} if names is None else {name: element[name] for name in names})
+            found[:] = parts
             return F.struct(*(c.alias(name) for name, c in parts.items()))
 
         return one
 
-    names: list[str] | None = None
+    found: list[str] = []
+    names = None
     for step in steps:
         docs = F.transform(docs, apply(step, names))
-        names = list(step({"doc": F.lit(None)} if names is None else {name: F.lit(None) for name in names}))
+        names = list(found)
     return docs
 
 
@@ -236,12 +226,12 @@ def decode_edges(df: DataFrame, column: str, version: int, vertex_labels: Labels
 
 
 def vertex_array(docs: Column) -> Column:
-    """An array of vertex documents (VARIANT) to an array of vertices with ``reason``."""
+    """An array of parsed vertex documents to an array of vertices with ``reason``."""
     return _over_array(docs, _vertex_steps())
 
 
 def edge_array(docs: Column, version: int, vertex_labels: Labels) -> Column:
-    """An array of edge documents (VARIANT) to an array of edges with ``reason``."""
+    """An array of parsed edge documents to an array of edges with ``reason``."""
     return _over_array(docs, _edge_steps(version, vertex_labels))
 
 
@@ -249,9 +239,8 @@ def _take(parts: Column, odd: bool) -> Column:
     return F.filter(parts, lambda _, i: i % 2 == (1 if odd else 0))
 
 
-def path_elements(doc: Column, version: int, vertex_labels: Labels) -> Column:
-    """A path document (VARIANT, an array) to an array of ``pos, kind, vertex, edge``: even position vertex, odd edge."""
-    parts = F.try_variant_get(doc, "$", "array<variant>")
+def path_elements(parts: Column, version: int, vertex_labels: Labels) -> Column:
+    """A parsed path document, an array, to an array of ``pos, kind, vertex, edge``: even position vertex, odd edge."""
     vertices = F.transform(
         vertex_array(_take(parts, odd=False)),
         lambda v, i: F.struct(
@@ -273,25 +262,35 @@ def path_problem(path: Column) -> Column:
     """Why a decoded path is bad: its first element with a reason."""
     problems = F.transform(
         path,
-        lambda e: F.when(e["kind"] == "vertex", e["vertex"]["reason"]).otherwise(e["edge"]["reason"]),
+        lambda e: F.when(e["kind"] == "vertex", _problem(e["vertex"])).otherwise(_problem(e["edge"])),
     )
     return F.get(F.filter(problems, lambda r: r.isNotNull()), F.lit(0))
 
 
+def _problem(element: Column) -> Column:
+    return F.when(element["label"].isNull() & element["reason"].isNull(), "no_element").otherwise(element["reason"])
+
+
 def decode_paths(df: DataFrame, column: str, version: int, vertex_labels: Labels) -> DataFrame:
     """A column of path documents to a ``path`` array and ``reason``; other columns stay."""
     others = [c for c in df.columns if c != column]
-    path = path_elements(F.col("__doc"), version, vertex_labels)
-    df = compute_once(
-        _parsed(df, column), [*others, "__bad"], {"path": path, "__missing": F.col("__doc").isNull()}
+    text = F.col(column)
+    parsed = df.select(
+        *others,
+        _document(text, f"array<{DOCUMENT_TYPE}>").alias("__parts"),
+        text.isNull().alias("__missing"),
+        text.rlike(r"^\s*\[").alias("__is_array"),
     )
+    path = F.when(F.col("__is_array"), path_elements(F.col("__parts"), version, vertex_labels))
+    flags = {c: F.col(c) for c in ("__missing", "__is_array")}
+    decoded = compute_once(parsed, others, {"path": path, "__parsed": F.col("__parts").isNotNull(), **flags})
     reason = (
-        F.when(F.col("__bad"), "bad_json")
-        .when(F.col("__missing"), _none())
-        .when(F.col("path").isNull(), "not_a_path")
+        F.when(F.col("__missing"), _none())
+        .when(~F.col("__parsed"), "bad_json")
+        .when(~F.col("__is_array"), "not_a_path")
         .otherwise(path_problem(F.col("path")))
     )
-    return df.select(*others, "path", reason.alias("reason"))
+    return decoded.select(*others, "path", reason.alias("reason"))
 
 
 def explode_path(df: DataFrame, column: str = "path") -> DataFrame:
@@ -322,24 +321,31 @@ def _good(element: Column) -> Column:
     return F.when(element["reason"].isNull() & element["label"].isNotNull(), element)
 
 
+def _good_path(text: Column, version: int, vertex_labels: Labels) -> Column:
+    """The path of a document, or null if it is bad."""
+    parts = F.when(text.rlike(r"^\s*\["), _document(text, f"array<{DOCUMENT_TYPE}>"))
+    paths = F.transform(F.array(parts), lambda p: path_elements(p, version, vertex_labels))
+    return F.get(F.filter(paths, lambda p: p.isNotNull() & path_problem(p).isNull()), F.lit(0))
+
+
 def tagged_value(value: Column, tag: str, version: int, vertex_labels: Labels) -> Column:
     """A JSON value (VARIANT) as the type its tag names; null if it does not fit."""
     if tag in SCALAR_TAGS:
         return F.try_variant_get(value, "$", SCALAR_TAGS[tag])
     if tag in VERTEX_TAGS:
-        return _good(F.get(vertex_array(F.array(value)), F.lit(0)))
+        return _good(F.get(vertex_array(F.array(_document(F.to_json(value)))), F.lit(0)))
     if tag in EDGE_TAGS:
-        return _good(F.get(edge_array(F.array(value), version, vertex_labels), F.lit(0)))
+        return _good(F.get(edge_array(F.array(_document(F.to_json(value))), version, vertex_labels), F.lit(0)))
     if tag == PATH_TAG:
-        path = path_elements(value, version, vertex_labels)
-        return F.when(path_problem(path).isNull(), path)
+        return _good_path(F.to_json(value), version, vertex_labels)
     if tag.startswith(LIST_TAG):
         (entry,) = _inner(tag, LIST_TAG)
         entries = F.try_variant_get(value, "$", "array<variant>")
+        documents = F.transform(entries, lambda x: _document(F.to_json(x)))
         if entry in VERTEX_TAGS:
-            return F.transform(vertex_array(entries), _good)
+            return F.transform(vertex_array(documents), _good)
         if entry in EDGE_TAGS:
-            return F.transform(edge_array(entries, version, vertex_labels), _good)
+            return F.transform(edge_array(documents, version, vertex_labels), _good)
         return F.transform(entries, lambda x: tagged_value(x, entry, version, vertex_labels))
     if tag.startswith(MAP_TAG):
         key_tag, value_tag = _inner(tag, MAP_TAG)
@@ -358,6 +364,8 @@ def tagged_column(column: Column, tag: str, version: int, vertex_labels: Labels)
     """A result column of text cells as the type its tag names. Unknown tags pass through."""
     if tag in SCALAR_TAGS:
         return column.try_cast(SCALAR_TAGS[tag])
+    if tag == PATH_TAG:
+        return _good_path(column.cast("string"), version, vertex_labels)
     if tag in (*VERTEX_TAGS, *EDGE_TAGS, PATH_TAG) or tag.startswith((LIST_TAG, MAP_TAG)):
         return tagged_value(F.try_parse_json(column.cast("string")), tag, version, vertex_labels)
     return column

@@ -109,7 +109,7 @@ def test_paths(spark):
     values = [path, [], None, "oops", VERTEX, [VERTEX, without(EDGE, "startKey"), VERTEX], [None], [VERTEX, VERTEX]]
     decoded = decode_paths(docs(spark, *values), "doc", 18, LABELS)
     assert [r.reason for r in decoded.orderBy("i").collect()] == [
-        None, None, None, "bad_json", "not_a_path", "no_start_key", "no_label", "no_start_key",
+        None, None, None, "bad_json", "not_a_path", "no_start_key", "no_element", "no_start_key",
     ]
     good, _ = split(decoded)
     long = explode_path(good).orderBy("i", "pos").collect()
