@@ -293,6 +293,49 @@ def decode_paths(df: DataFrame, column: str, version: int, vertex_labels: Labels
     return decoded.select(*others, "path", reason.alias("reason"))
 
 
+def decode_path_elements(df: DataFrame, column: str, version: int, vertex_labels: Labels) -> DataFrame:
+    """A column of path documents to its elements, one row each: ``pos, kind, vertex, edge`` and the element's ``reason``.
+
+    For results that are used element by element; ``decode_paths`` keeps a path in one row. Text that is no path gives one
+    row with its reason.
+    """
+    others = [c for c in df.columns if c != column]
+    text = F.col(column)
+    problem = F.when(~F.col("__parsed"), "bad_json").when(~F.col("__is_array"), "not_a_path")
+    parsed = df.select(
+        *others, _document(text, f"array<{DOCUMENT_TYPE}>").alias("__parts"), text.rlike(r"^\s*\[").alias("__is_array")
+    ).withColumn("__parsed", F.col("__parts").isNotNull() | F.col("__is_array").isNull())
+    rows = parsed.select(
+        *others,
+        problem.alias("__problem"),
+        F.posexplode_outer(F.when(F.col("__is_array"), F.col("__parts"))).alias("pos", "__doc"),
+    ).where(F.col("pos").isNotNull() | F.col("__problem").isNotNull())
+    keep = [*others, "__problem", "pos"]
+    take_apart, *look_up, finish_edge = _edge_steps(version, vertex_labels)
+    *_, finish_vertex = _vertex_steps()
+    parts = take_apart({"doc": F.col("__doc")})
+    rows = compute_once(rows, keep, {f"__{name}": c for name, c in parts.items()})
+    for step in look_up:
+        parts = step({name: F.col(f"__{name}") for name in parts})
+        rows = rows.select(*keep, *(c.alias(f"__{name}") for name, c in parts.items()))
+    parts = {name: F.col(f"__{name}") for name in parts}
+    vertex, edge = finish_vertex(parts), finish_edge(parts)
+    is_vertex = F.col("pos") % 2 == 0
+    missing = F.col("pos").isNotNull() & F.col("__missing")
+    return rows.select(
+        *others,
+        "pos",
+        F.when(is_vertex, "vertex").when(~is_vertex, "edge").alias("kind"),
+        F.when(is_vertex, F.struct(*(c.alias(name) for name, c in vertex.items() if name != "reason"))).alias("vertex"),
+        F.when(~is_vertex, F.struct(*(c.alias(name) for name, c in edge.items() if name != "reason"))).alias("edge"),
+        F.when(F.col("__problem").isNotNull(), F.col("__problem"))
+        .when(missing, "no_element")
+        .when(is_vertex, vertex["reason"])
+        .otherwise(edge["reason"])
+        .alias("reason"),
+    )
+
+
 def explode_path(df: DataFrame, column: str = "path") -> DataFrame:
     """Paths in long form: one row per element with ``pos, kind, vertex, edge``."""
     return df.withColumn("__element", F.explode(column)).select("*", "__element.*").drop("__element", column)

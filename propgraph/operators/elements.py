@@ -66,8 +66,10 @@ def distinct_elements(elements: DataFrame, kind: str = "kind") -> DataFrame:
 
 
 def path_key(path: Column) -> Column:
-    """Row keys of a path's elements in order; equal for equal paths only."""
-    return F.transform(path, lambda e: F.struct(e["kind"].alias("kind"), e["rk"].alias("rk")))
+    """Row keys of a decoded path's elements in order; equal for equal paths only."""
+    return F.transform(
+        path, lambda e: F.struct(e["kind"].alias("kind"), F.coalesce(e["vertex"]["rk"], e["edge"]["rk"]).alias("rk"))
+    )
 
 
 def distinct_paths(paths: DataFrame, path: str = "path") -> DataFrame:

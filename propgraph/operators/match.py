@@ -171,8 +171,9 @@ def _same_edge(left: str, right: str) -> Column:
 # --- values built from a match --------------------------------------------------------------------------------------
 
 
-def _identity_text(kind: str, key: Sequence[str]) -> Column:
-    return F.to_json(F.array(F.lit(kind), *(F.col(c) for c in key)))
+def _identity_text(key: Sequence[str]) -> Column:
+    """The key columns as one text; every part is preceded by its length, so different keys have different texts."""
+    return F.concat_ws(":", *(x for c in key for x in (F.length(c), F.col(c))))
 
 
 def vertex_value(var: str) -> Column:
@@ -182,7 +183,7 @@ def vertex_value(var: str) -> Column:
         F.col(f"{var}_label").alias("label"),
         F.col(f"{var}_uid").alias("uid"),
         F.lit("").alias("euid"),
-        _identity_text("vertex", [f"{var}_label", f"{var}_uid"]).alias("rk"),
+        _identity_text([f"{var}_label", f"{var}_uid"]).alias("rk"),
     )
 
 
@@ -194,7 +195,7 @@ def edge_value(var: str) -> Column:
         F.col(f"{var}_label").alias("label"),
         F.lit("").alias("uid"),
         F.col(f"{var}_euid").alias("euid"),
-        _identity_text("edge", key).alias("rk"),
+        _identity_text(key).alias("rk"),
     )
 
 
@@ -204,6 +205,14 @@ def bind_path(rows: DataFrame, pattern: Sequence[Node | Rel], name: str = "path"
     return rows.withColumn(name, F.array(*elements))
 
 
+def distinct_matches(rows: DataFrame, pattern: Sequence[Node | Rel]) -> DataFrame:
+    """The distinct chains of a match: their identity columns, once each. An edge's endpoints are its neighbors in the
+    chain, so label and edge id complete its identity."""
+    return rows.select(
+        *(c for p in pattern for c in (f"{p.var}_label", f"{p.var}_uid" if isinstance(p, Node) else f"{p.var}_euid"))
+    ).distinct()
+
+
 def top_k(df: DataFrame, order: Sequence[Column], k: int | str | None = None) -> DataFrame:
     """Sort, and keep the first ``k`` rows if given (an int or its text)."""
     if k is None:

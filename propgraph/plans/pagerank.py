@@ -118,6 +118,7 @@ def _run(
         share = 1.0 / totals["sources"]
         dangling = totals["dangling"] * share
         ranks = fixed.withColumn("rank", F.when(F.col("source"), F.lit(share)).otherwise(0.0))
+        schema = ranks.schema
         for i in range(rounds):
             teleport = ((1.0 - damping) + damping * dangling) * share
             mass = Observation()
@@ -125,12 +126,12 @@ def _run(
                 mass, F.sum(F.when(F.col("out").isNull(), F.col("rank"))).alias("dangling")
             ).write.parquet(f"{scratch}/{i}")
             dangling = mass.get["dangling"] or 0.0
-            ranks = spark.read.schema(ranks.schema).parquet(f"{scratch}/{i}")
+            ranks = spark.read.schema(schema).parquet(f"{scratch}/{i}")
             if i > 0:
                 delete_path(spark, f"{scratch}/{i - 1}")
         if rounds == 0:
             ranks.write.parquet(f"{scratch}/start")
-            ranks = spark.read.schema(ranks.schema).parquet(f"{scratch}/start")
+            ranks = spark.read.schema(schema).parquet(f"{scratch}/start")
     finally:
         edges.unpersist()
         fixed.unpersist()

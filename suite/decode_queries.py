@@ -9,6 +9,7 @@ from propgraph.functions import keys as K
 from propgraph.functions.properties import get_property
 from propgraph.operators.decode import (
     decode_edges,
+    decode_path_elements,
     decode_paths,
     decode_result,
     decode_vertices,
@@ -16,7 +17,7 @@ from propgraph.operators.decode import (
     rejects_by_reason,
     split,
 )
-from propgraph.operators.elements import key_report, keys_to_uids, path_lengths
+from propgraph.operators.elements import distinct_paths, key_report, keys_to_uids, path_length, path_lengths
 from suite.tables import read
 
 VERTEX_LABELS = {1: "Customer", 258: "Order"}
@@ -231,8 +232,8 @@ def path_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_path_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = split(decode_paths(path_documents(spark, sf_dir), "doc", 18, VERTEX_LABELS))
-    return explode_path(good).select(
+    good, _ = split(decode_path_elements(path_documents(spark, sf_dir), "doc", 18, VERTEX_LABELS))
+    return good.select(
         "o_orderkey",
         "pos",
         "kind",
@@ -242,6 +243,15 @@ def decode_path_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def decoded_path_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths as documents, every second one twice: the same path again is no new path."""
+    documents = path_documents(spark, sf_dir)
+    doubled = documents.unionByName(documents.where("o_orderkey % 2 = 0"))
+    good, _ = split(decode_paths(doubled, "doc", 18, VERTEX_LABELS))
+    distinct = distinct_paths(good)
+    return distinct.select("o_orderkey", path_length(F.col("path")).alias("length"))
+
+
 def decoded_path_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, _ = split(decode_paths(path_documents(spark, sf_dir), "doc", 18, VERTEX_LABELS))
     return path_lengths(explode_path(good), ["o_orderkey"])
@@ -372,6 +382,7 @@ QUERIES = {
              CASE WHEN o_orderkey % 2 = 0 THEN 'e' || o_orderkey ELSE '' END, 'c' || o_custkey FROM orders
            UNION ALL SELECT o_orderkey, 2, 'vertex', 'Order', 'o' || o_orderkey, '' FROM orders""",
     ),
+    "decoded_path_distinct": (decoded_path_distinct, "SELECT o_orderkey, 3 AS length FROM orders"),
     "path_lengths": (decoded_path_lengths, "SELECT o_orderkey, CAST(3 AS BIGINT) AS length FROM orders"),
     "decode_scalars": (
         decode_scalars,

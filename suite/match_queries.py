@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propgraph import Node, Rel, match
-from propgraph.operators.elements import distinct_paths, path_length
-from propgraph.operators.match import bind_path, collect_ids, match_vertices, top_k
+from propgraph.operators.elements import path_length
+from propgraph.operators.match import bind_path, collect_ids, distinct_matches, match_vertices, top_k
 from suite.tables import GRAPH_SQL, graph
 
 UIDS = ["0", "1", "2", "17", "42", "99", "no such id"]
@@ -92,8 +92,7 @@ def match_two_hop_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 def path_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items may repeat an edge; as paths they are the same."""
     pattern = (Node("o", "Order"), Rel("h", "CONTAINS"), Node("p", "Part"))
-    rows = bind_path(match(graph(spark, sf_dir), *pattern), pattern)
-    return distinct_paths(rows).select("o_uid", "h_euid", "p_uid")
+    return distinct_matches(match(graph(spark, sf_dir), *pattern), pattern).select("o_uid", "h_euid", "p_uid")
 
 
 def two_hop_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from propgraph.functions.properties import get_property, has_property, pack_properties, set_property
 from propgraph.operators.decode import (
     decode_edges,
+    decode_path_elements,
     decode_paths,
     decode_result,
     decode_vertices,
     explode_path,
     split,
 )
-from propgraph.operators.elements import distinct_elements, path_key
+from propgraph.operators.elements import distinct_elements, distinct_paths
 from propgraph.sources import export
 
 LABELS = {1: "A", 258: "B"}
@@ -237,6 +238,23 @@ def test_distinct_elements(spark):
     ]
 
 
-def test_path_key_tells_kinds_apart(spark):
-    paths = spark.sql("SELECT array(struct('vertex' kind, '1' rk)) path UNION ALL SELECT array(struct('edge', '1'))")
-    assert paths.select(path_key(F.col("path")).alias("k")).distinct().count() == 2
+def test_distinct_paths(spark):
+    path, other = [VERTEX, EDGE, VERTEX], [VERTEX, EDGE, {**VERTEX, "entityKey": KEY_B}]
+    decoded = decode_paths(docs(spark, path, path, other, path[:1]), "doc", 18, LABELS)
+    assert sorted(r.n for r in distinct_paths(decoded).select(F.size("path").alias("n")).collect()) == [1, 3, 3]
+
+
+def test_path_elements(spark):
+    values = [[VERTEX, EDGE, VERTEX], [], None, "oops", VERTEX, [VERTEX, without(EDGE, "startKey"), None]]
+    rows = decode_path_elements(docs(spark, *values), "doc", 18, LABELS).orderBy("i", "pos").collect()
+    assert [(r.i, r.pos, r.kind, r.reason) for r in rows] == [
+        (0, 0, "vertex", None),
+        (0, 1, "edge", None),
+        (0, 2, "vertex", None),
+        (3, None, None, "bad_json"),
+        (4, None, None, "not_a_path"),
+        (5, 0, "vertex", None),
+        (5, 1, "edge", "no_start_key"),
+        (5, 2, "vertex", "no_element"),
+    ]
+    assert rows[0].vertex.uid == "a1" and rows[0].edge is None and rows[1].edge.dst.label == "B"

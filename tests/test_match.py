@@ -6,8 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from propgraph import Node, PropertyGraph, Rel, match
-from propgraph.operators.elements import distinct_paths
-from propgraph.operators.match import bind_path, collect_ids, match_vertices, top_k
+from propgraph.operators.match import bind_path, collect_ids, distinct_matches, match_vertices, top_k
 from propgraph.operators.skew import PIECE, cut_heavy, heavy_keys, spread_join
 
 EDGES = [
@@ -91,8 +90,9 @@ def test_paths(graph):
     paths = bind_path(match(graph, *pattern), pattern)
     assert {r.n for r in paths.select(F.size("path").alias("n")).collect()} == {3}
     assert paths.count() == 6
-    doubled = paths.unionByName(paths)
-    assert distinct_paths(doubled).count() == 6
+    rows = match(graph, *pattern)
+    assert distinct_matches(rows.unionByName(rows), pattern).count() == 6
+    assert paths.select(F.transform("path", lambda e: e["rk"])).distinct().count() == 6
 
 
 def test_top_k(spark):
