@@ -57,11 +57,14 @@ def match_vertices(graph: PropertyGraph, node: Node) -> DataFrame:
 
 
 def filter_uids(df: DataFrame, uids: Sequence[str] | DataFrame) -> DataFrame:
-    """Keep rows whose uid is in a list or in a table of ids. A table is semi-joined; whether its side is broadcast is left
-    to Spark's size check."""
+    """Keep rows whose uid is in a list or in a table of ids (with or without label).
+
+    A table is semi-joined; whether its side is broadcast is left to Spark's size check. Its ids are made distinct first,
+    which combines on the map side: an id that repeats very often would else be one task of the join.
+    """
     if isinstance(uids, DataFrame):
         keys = [c for c in ("label", "uid") if c in uids.columns]
-        return df.join(uids.select(*keys), keys, "left_semi")
+        return df.join(uids.select(*keys).distinct(), keys, "left_semi")
     if len(uids) <= MAX_INLINE_IDS:
         return df.where(F.col("uid").isin([str(u) for u in uids]))
     ids = df.sparkSession.createDataFrame([(str(u),) for u in uids], "uid string")

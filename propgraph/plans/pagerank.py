@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from propgraph.graph import vertex_id
-from propgraph.operators.match import top_k
+from propgraph.operators.match import filter_uids, top_k
 from propgraph.operators.skew import PIECE, PIECES, cut_heavy, heavy_keys
 from propgraph.plans.views import GraphView, MaterializedView, materialize
 from propgraph.session import delete_path, scratch_path, shuffle_partitions
@@ -64,8 +64,7 @@ def personalized_pagerank(
     not have are ignored, and no source at all gives an empty result."""
     check_limit(limit)
     graph = materialize(spark, view, view_path, reuse)
-    keys = [c for c in ("label", "uid") if c in sources.columns]
-    ids = graph.vertices.join(sources.select(*keys), keys, "left_semi").select("id")
+    ids = filter_uids(graph.vertices, sources).select("id")
     return _run(spark, graph, ids, damping_factor, rounds, limit)
 
 

@@ -11,13 +11,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from propgraph.graph import PropertyGraph
 from propgraph.operators.match import Node, Rel, filter_uids
 from propgraph.operators.skew import spread_join
-from propgraph.session import path_exists, scratch_path
+from propgraph.session import delete_path, path_exists, scratch_path
 
 
 @dataclass(frozen=True)
@@ -47,10 +47,22 @@ def graph_view(
     """
     vertex_patterns = vertex_patterns or [Node("a", label) for label in graph.vertex_tables]
     edge_patterns = edge_patterns or [Rel("b", label) for label in graph.edge_tables]
-    vertices = [_pattern_vertices(graph, label, n) for n in vertex_patterns for label in _labels(n, graph.vertex_tables)]
-    edges = [_pattern_edges(graph, label, r) for r in edge_patterns for label in _labels(r, graph.edge_tables)]
+    vertices = [
+        _pattern_vertices(table, label, [n for n in vertex_patterns if n.label in (None, label)])
+        for label, table in graph.vertex_tables.items()
+        if any(n.label in (None, label) for n in vertex_patterns)
+    ]
+    edges = [
+        _pattern_edges(table, label, [r for r in edge_patterns if r.label in (None, label)])
+        for label, table in graph.edge_tables.items()
+        if any(r.label in (None, label) for r in edge_patterns)
+    ]
     if not edges:
         raise ValueError("a view needs at least one edge label")
+    unknown = {n.label for n in vertex_patterns} - {None, *graph.vertex_tables}
+    unknown |= {r.label for r in edge_patterns} - {None, *graph.edge_tables}
+    if unknown:
+        raise ValueError(f"no label {', '.join(sorted(unknown))}")
     if version is None and hasattr(graph, "fingerprint"):
         version = graph.fingerprint()
     lists = all(n.uids is None or not isinstance(n.uids, DataFrame) for n in vertex_patterns)
@@ -60,40 +72,46 @@ def graph_view(
         patterns += [(r.label, str(r.where)) for r in edge_patterns]
         fingerprint = hashlib.sha256(repr((version, patterns)).encode()).hexdigest()
     return GraphView(
-        _once(vertices, ["label", "uid"]),
-        _once(edges, None),
+        reduce(DataFrame.unionByName, vertices),
+        reduce(DataFrame.unionByName, edges),
         fingerprint,
     )
 
 
-def _labels(pattern: Node | Rel, tables: dict) -> list[str]:
-    return list(tables) if pattern.label is None else [pattern.label]
+def _any_of(patterns: Sequence[Node | Rel]) -> Column | None:
+    """One condition for all patterns of a label, so that a row that fits several of them is there once; None if one of
+    the patterns takes all rows."""
+    conditions = []
+    for p in patterns:
+        parts = [] if p.where is None else [F.expr(p.where) if isinstance(p.where, str) else p.where]
+        if isinstance(p, Node) and p.uids is not None:
+            parts.append(F.col("uid").isin([str(u) for u in p.uids]))
+        if not parts:
+            return None
+        conditions.append(F.coalesce(reduce(Column.__and__, parts), F.lit(False)))
+    return reduce(Column.__or__, conditions)
 
 
-def _pattern_vertices(graph: PropertyGraph, label: str, node: Node) -> tuple[str, DataFrame]:
-    table = graph.vertex_tables[label]
-    if node.where is not None:
-        table = table.where(node.where)
-    df = table.select(F.lit(label).alias("label"), "uid")
-    return label, df if node.uids is None else filter_uids(df, node.uids)
+def _pattern_vertices(table: DataFrame, label: str, patterns: Sequence[Node]) -> DataFrame:
+    """Vertices of one label. Patterns with a table of ids are semi-joined, the others are one filter."""
+    by_table = [n for n in patterns if isinstance(n.uids, DataFrame)]
+    others = [n for n in patterns if not isinstance(n.uids, DataFrame)]
+    parts = [filter_uids(_labelled(table if n.where is None else table.where(n.where), label), n.uids) for n in by_table]
+    if others:
+        condition = _any_of(others)
+        parts.append(_labelled(table if condition is None else table.where(condition), label))
+    union = reduce(DataFrame.unionByName, parts)
+    return union if len(parts) == 1 else union.distinct()
 
 
-def _pattern_edges(graph: PropertyGraph, label: str, rel: Rel) -> tuple[str, DataFrame]:
-    table = graph.edge_tables[label]
-    if rel.where is not None:
-        table = table.where(rel.where)
-    return label, table.select(
-        F.lit(label).alias("label"), "src_label", "src_uid", "dst_label", "dst_uid", "euid"
-    )
+def _labelled(table: DataFrame, label: str) -> DataFrame:
+    return table.select(F.lit(label).alias("label"), "uid")
 
 
-def _once(parts: list[tuple[str, DataFrame]], key: list[str] | None) -> DataFrame:
-    """Union of the patterns. Patterns of different labels are disjoint; only overlapping ones need a distinct."""
-    labels = [label for label, _ in parts]
-    union = reduce(DataFrame.unionByName, (df for _, df in parts))
-    if len(set(labels)) == len(labels):
-        return union
-    return union.dropDuplicates(key) if key else union.dropDuplicates()
+def _pattern_edges(table: DataFrame, label: str, patterns: Sequence[Rel]) -> DataFrame:
+    condition = _any_of(patterns)
+    kept = table if condition is None else table.where(condition)
+    return kept.select(F.lit(label).alias("label"), "src_label", "src_uid", "dst_label", "dst_uid", "euid")
 
 
 @dataclass(frozen=True)
@@ -122,7 +140,10 @@ def materialize(spark: SparkSession, view: GraphView, path: str | None = None, r
         # Ids are assigned once, in the write; what follows reads the written table.
         numbered = view.vertices.select(F.monotonically_increasing_id().alias("id"), "label", "uid")
         numbered.write.mode("overwrite").parquet(vertex_path)
-        _number_edges(spark, view.edges, spark.read.parquet(vertex_path)).write.mode("overwrite").parquet(edge_path)
+        pair_path = scratch_path(spark, "pairs")
+        numbered = _number_edges(spark, view.edges, spark.read.parquet(vertex_path), pair_path)
+        numbered.write.mode("overwrite").parquet(edge_path)
+        delete_path(spark, pair_path)
     return MaterializedView(
         spark.read.schema("id bigint, label string, uid string").parquet(vertex_path),
         spark.read.schema("src bigint, dst bigint, w bigint").parquet(edge_path),
@@ -130,10 +151,9 @@ def materialize(spark: SparkSession, view: GraphView, path: str | None = None, r
     )
 
 
-def _number_edges(spark: SparkSession, edges: DataFrame, vertices: DataFrame) -> DataFrame:
+def _number_edges(spark: SparkSession, edges: DataFrame, vertices: DataFrame, pair_path: str) -> DataFrame:
     """Add up parallel edges first, then look up both endpoints; hubs are spread in the lookups."""
     pairs = edges.groupBy("src_label", "src_uid", "dst_label", "dst_uid").agg(F.count(F.lit(1)).alias("w"))
-    pair_path = scratch_path(spark, "pairs")
     written = Observation()
     pairs.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(pair_path)
     n_pairs = written.get["n"]

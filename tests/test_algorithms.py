@@ -140,3 +140,22 @@ def test_view_patterns(spark):
     assert view.fingerprint == ""
     named = [graph_view(graph, [Node("a", "A", where=w)], version="1").fingerprint for w in ("x > 1", "x > 2", "x > 1")]
     assert named[0] == named[2] != named[1]
+
+
+def test_overlapping_patterns_keep_every_edge_once(spark):
+    v = spark.createDataFrame([("1", 5), ("2", 50), ("3", None)], "uid string, x int")
+    e = spark.createDataFrame(
+        [("A", "1", "A", "2", "", 1.0), ("A", "1", "A", "2", "", 1.0), ("A", "2", "A", "3", "", 9.0)],
+        "src_label string, src_uid string, dst_label string, dst_uid string, euid string, w double",
+    )
+    graph = PropertyGraph({"A": v}, {"E": e})
+    ids = spark.createDataFrame([("3",), ("3",), ("2",)], "uid string")
+    view = graph_view(
+        graph,
+        [Node("a", where="x > 1"), Node("b", "A", where="x > 10"), Node("c", "A", uids=ids)],
+        [Rel("f", "E", where="w < 5"), Rel("g", where="w < 7")],
+    )
+    assert sorted(r.uid for r in view.vertices.collect()) == ["1", "2", "3"]
+    assert [(r.src_uid, r.dst_uid) for r in view.edges.collect()] == [("1", "2"), ("1", "2")]
+    with pytest.raises(ValueError):
+        graph_view(graph, [Node("a", "Nope")])
