@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType, VariantType
 
-from propgraph.session import shuffle_partitions
 from propgraph.storage import StoredGraph
 
 # Reserved fields of a load mapping.
@@ -132,15 +131,14 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], values: Sequence[str],
     return best.select(*keys, *(F.col(f"__best.{v}").alias(v) for v in values), "__rows")
 
 
-def merge(stored: DataFrame, batch: DataFrame, keys: Sequence[str], mapped: Sequence[str], partitions: int) -> DataFrame:
+def merge(stored: DataFrame, batch: DataFrame, keys: Sequence[str], mapped: Sequence[str]) -> DataFrame:
     """Full outer join of the stored label and a batch with unique keys. Adds ``__inserted`` and ``__updated`` flags.
 
-    Both sides are partitioned by the key once; the join and the written files keep that partitioning.
+    The batch is partitioned by the key since it was made unique, so the join shuffles the stored side only, and adaptive
+    execution sizes the written files.
     """
-    old = stored.repartition(partitions, *keys).select(
-        *(F.col(k).alias(k) for k in keys), F.struct(*stored.columns).alias("__old")
-    )
-    new = batch.repartition(partitions, *keys).select(*keys, F.struct(*mapped, "__rows").alias("__new"))
+    old = stored.select(*keys, F.struct(*stored.columns).alias("__old"))
+    new = batch.select(*keys, F.struct(*mapped, "__rows").alias("__new"))
     joined = old.join(new, list(keys), "full_outer")
     columns = [
         F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(f"__old.{c}")).alias(c)
@@ -158,11 +156,9 @@ def merge(stored: DataFrame, batch: DataFrame, keys: Sequence[str], mapped: Sequ
     )
 
 
-def _first_load(batch: DataFrame, schema: StructType, keys: Sequence[str], mapped: Sequence[str], partitions: int):
+def _first_load(batch: DataFrame, schema: StructType, keys: Sequence[str], mapped: Sequence[str]) -> DataFrame:
     absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name not in keys and f.name not in mapped]
-    return batch.repartition(partitions, *keys).select(
-        *batch.columns, *absent, F.lit(True).alias("__inserted"), F.lit(False).alias("__updated")
-    )
+    return batch.select(*batch.columns, *absent, F.lit(True).alias("__inserted"), F.lit(False).alias("__updated"))
 
 
 def _upsert(
@@ -181,12 +177,11 @@ def _upsert(
     rows = mapped_rows(source, schema, keys, properties, reason, order_by)
     order = [f"__order{i}" for i in range(len(order_by))]
     batch = latest_per_key(rows.where(F.col("reason").isNull()), key_names, mapped, order)
-    partitions = max(graph.schema.shards, shuffle_partitions(spark))
     if graph.has_data(kind, label):
         stored = graph.vertex_tables[label] if kind == "vertex" else graph.edge_tables[label]
-        merged = merge(stored, batch, key_names, mapped, partitions)
+        merged = merge(stored, batch, key_names, mapped)
     else:
-        merged = _first_load(batch, schema, key_names, mapped, partitions)
+        merged = _first_load(batch, schema, key_names, mapped)
 
     # The counts ride along in the last stage of the write, which counts every partition exactly once.
     counts = Observation()

@@ -25,7 +25,7 @@ from propgraph.graph import vertex_id
 from propgraph.operators.match import filter_uids, top_k
 from propgraph.operators.skew import PIECE, PIECES, cut_heavy, heavy_keys
 from propgraph.plans.views import GraphView, MaterializedView, materialize
-from propgraph.session import delete_path, scratch_path, shuffle_partitions
+from propgraph.session import delete_path, scratch_path, shuffle_partitions, sized_session
 
 EDGES_PER_PIECE = 1_000_000
 
@@ -47,7 +47,7 @@ def pagerank(
     """``vid, label, uid, rank`` by rank descending."""
     check_limit(limit)
     graph = materialize(spark, view, view_path, reuse)
-    return _run(spark, graph, graph.vertices.select("id"), damping_factor, rounds, limit)
+    return _run(spark, graph, None, damping_factor, rounds, limit)
 
 
 def personalized_pagerank(
@@ -76,7 +76,7 @@ def check_limit(limit: int | str | None) -> None:
 def _run(
     spark: SparkSession,
     graph: MaterializedView,
-    sources: DataFrame,
+    sources: DataFrame | None,
     damping: float,
     rounds: int,
     limit: int | str | None,
@@ -86,23 +86,30 @@ def _run(
         raise ValueError("rounds must not be negative")
     if not 0 <= damping <= 1:
         raise ValueError("damping_factor must be between 0 and 1")
-    partitions = shuffle_partitions(spark)
     scratch = scratch_path(spark, "pagerank")
-    pieces, cut = _pieces(graph.edges, edges_per_piece)
+    n_edges = graph.edges.count()
+    session = sized_session(spark, n_edges)
+    partitions = shuffle_partitions(session)
+    view_edges = session.read.schema(graph.edges.schema).parquet(f"{graph.path}/edges")
+    vertices = session.read.schema(graph.vertices.schema).parquet(f"{graph.path}/vertices").select("id")
+    add_pieces, edges = _pieces(view_edges, n_edges, edges_per_piece)
 
     edges = (
-        cut.repartition(partitions, "src", PIECE)
+        edges.repartition(partitions, "src", PIECE)
         .sortWithinPartitions("src", PIECE)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     # Per vertex, fixed over the rounds: out-weight (null if dangling), pieces of its edges, teleport flag.
-    out = graph.edges.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("out"))
+    out = view_edges.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("out"))
+    fixed = vertices.repartition(partitions, "id").join(out, "id", "left")
+    if sources is None:
+        fixed = fixed.withColumn("source", F.lit(True))
+    else:
+        sources.write.parquet(f"{scratch}/sources")
+        flagged = session.read.schema(sources.schema).parquet(f"{scratch}/sources").withColumn("source", F.lit(True))
+        fixed = fixed.join(flagged, "id", "left")
     fixed = (
-        graph.vertices.select("id")
-        .repartition(partitions, "id")
-        .join(out, "id", "left")
-        .join(sources.withColumn("source", F.lit(True)), "id", "left")
-        .transform(pieces)
+        add_pieces(fixed)
         .select("id", "out", F.coalesce("source", F.lit(False)).alias("source"), PIECES)
         .sortWithinPartitions("id")
         .persist(StorageLevel.MEMORY_AND_DISK)
@@ -125,25 +132,27 @@ def _run(
                 mass, F.sum(F.when(F.col("out").isNull(), F.col("rank"))).alias("dangling")
             ).write.parquet(f"{scratch}/{i}")
             dangling = mass.get["dangling"] or 0.0
-            ranks = spark.read.schema(schema).parquet(f"{scratch}/{i}")
+            ranks = session.read.schema(schema).parquet(f"{scratch}/{i}")
             if i > 0:
                 delete_path(spark, f"{scratch}/{i - 1}")
         if rounds == 0:
-            ranks.write.parquet(f"{scratch}/start")
-            ranks = spark.read.schema(schema).parquet(f"{scratch}/start")
+            ranks.write.parquet(f"{scratch}/-1")
     finally:
         edges.unpersist()
         fixed.unpersist()
-    named = graph.vertices.join(ranks.select("id", "rank"), "id").select(
+    ranks = spark.read.schema(schema).parquet(f"{scratch}/{rounds - 1}").select("id", "rank")
+    named = graph.vertices.join(ranks, "id").select(
         vertex_id(F.col("label"), F.col("uid")).alias("vid"), "label", "uid", "rank"
     )
     return top_k(named, rank_order(), limit)
 
 
-def _pieces(edges: DataFrame, edges_per_piece: int) -> tuple[Callable[[DataFrame], DataFrame], DataFrame]:
+def _pieces(
+    edges: DataFrame, n_edges: int, edges_per_piece: int
+) -> tuple[Callable[[DataFrame], DataFrame], DataFrame]:
     """How many pieces a vertex' out-edges are cut into (a function that adds this to a vertex table), and the edges with
     their piece. The list of hubs to cut has a fixed bound; without enough edges for a hub there is nothing to look for."""
-    if edges.count() <= edges_per_piece:
+    if n_edges <= edges_per_piece:
         return lambda vertices: vertices.withColumn(PIECES, F.lit(1)), edges.withColumn(PIECE, F.lit(0))
     heavy = heavy_keys(edges, ["src"], edges_per_piece)
 

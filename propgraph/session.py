@@ -51,3 +51,20 @@ def delete_path(spark: SparkSession, path: str) -> bool:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def sized_session(spark: SparkSession, rows: int, rows_per_partition: int = 50_000) -> SparkSession:
+    """A session for a job over ``rows`` rows, with fewer shuffle partitions than ``spark`` if the rows do not fill them.
+
+    An iterative job that keeps a partitioning cannot leave this to adaptive execution. The setting of ``spark`` is the
+    upper bound and is not changed; its other settings are taken over.
+    """
+    enough = max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
+    if enough >= shuffle_partitions(spark):
+        return spark
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            session.conf.set(name, value)
+    session.conf.set("spark.sql.shuffle.partitions", str(enough))
+    return session
