@@ -35,13 +35,17 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER
 
 
 def cut_heavy(df: DataFrame, keys: Sequence[str], heavy: DataFrame) -> DataFrame:
-    """Add the piece number to the side that is cut. It is a hash of the row, so that a retried task repeats it."""
+    """Add the piece number to the side that is cut.
+
+    It is a hash of the row and of the input partition: a retried task repeats it, and even rows that are copies of each
+    other are spread if they come from several partitions.
+    """
     others = [
         f.name
         for f in df.schema.fields
         if f.name not in keys and isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)
     ]
-    piece = F.pmod(F.xxhash64(*(F.col(c) for c in others)), F.col(PIECES)) if others else F.lit(0)
+    piece = F.pmod(F.xxhash64(*(F.col(c) for c in others), F.spark_partition_id()), F.col(PIECES))
     return (
         df.join(F.broadcast(heavy), list(keys), "left")
         .withColumn(PIECE, F.coalesce(piece, F.lit(0)).cast("int"))

@@ -137,6 +137,14 @@ def test_heavy_keys_are_cut_evenly(spark):
     assert len(sizes) == 10 and sum(sizes) == 10_000 and max(sizes) < 1300
 
 
+def test_copies_of_a_row_are_spread(spark):
+    copies = spark.range(0, 8000, 1, 8).select(F.lit("k").alias("k"), F.lit("same").alias("v"))
+    other = spark.createDataFrame([("k", 1)], "k string, w int")
+    pieces = cut_heavy(copies, ["k"], heavy_keys(copies, ["k"], 1000)).groupBy(PIECE).count().collect()
+    assert len(pieces) >= 4 and sum(r["count"] for r in pieces) == 8000
+    assert spread_join(copies, other, ["k"], rows_per_task=1000).count() == 8000
+
+
 def test_only_used_columns_are_read(spark, sf_dir):
     from suite.tables import graph as tables
 
