@@ -91,6 +91,31 @@ def match(graph: PropertyGraph, *pattern: Node | Rel, spread_hubs: bool = False)
     return rows.select(*(c for part in pattern for c in rows.columns if c.startswith(f"{part.var}_")))
 
 
+def count_matches(graph: PropertyGraph, *pattern: Node | Rel, spread_hubs: bool = False) -> DataFrame:
+    """How many matches start at each vertex of the first node: ``label, uid, n``.
+
+    The chain is counted from its end, one number per vertex and hop, so the matches themselves, which multiply at every
+    vertex with many edges in and out, are never listed. The edges need different labels: the count cannot tell whether a
+    match uses one edge twice.
+    """
+    nodes, rels = _check(pattern)
+    labels = [r.label for r in rels]
+    if None in labels or len(set(labels)) < len(labels):
+        raise ValueError("count_matches needs a different label on every edge")
+    keys = ["label", "uid"]
+    counts = match_vertices(graph, nodes[-1]).select(*keys, F.lit(1).cast("bigint").alias("n"))
+    for src, rel, dst in reversed(list(zip(nodes, rels, nodes[1:]))):
+        edges = _edge_rows(graph, rel, src, dst).select(
+            *(F.col(f"{rel.var}_{side}_{k}").alias(f"{side}_{k}") for side in ("src", "dst") for k in keys)
+        )
+        ends = counts.withColumnsRenamed({k: f"dst_{k}" for k in keys})
+        dst_keys = [f"dst_{k}" for k in keys]
+        joined = spread_join(edges, ends, dst_keys) if spread_hubs else edges.join(ends, dst_keys)
+        onward = joined.groupBy(*(F.col(f"src_{k}").alias(k) for k in keys)).agg(F.sum("n").alias("n"))
+        counts = match_vertices(graph, src).select(*keys).join(onward, keys)
+    return counts
+
+
 def _check(pattern: Sequence[Node | Rel]) -> tuple[list[Node], list[Rel]]:
     nodes, rels = list(pattern[::2]), list(pattern[1::2])
     if len(pattern) % 2 == 0 or not all(isinstance(n, Node) for n in nodes) or not all(isinstance(r, Rel) for r in rels):

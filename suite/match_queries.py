@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from propgraph import Node, Rel, match
 from propgraph.operators.elements import path_length
-from propgraph.operators.match import bind_path, collect_ids, distinct_matches, match_vertices, top_k
+from propgraph.operators.match import (
+    bind_path,
+    collect_ids,
+    count_matches,
+    distinct_matches,
+    match_vertices,
+    top_k,
+)
 from suite.tables import GRAPH_SQL, graph
 
 UIDS = ["0", "1", "2", "17", "42", "99", "no such id"]
@@ -95,9 +102,9 @@ def path_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_matches(match(graph(spark, sf_dir), *pattern), pattern).select("o_uid", "h_euid", "p_uid")
 
 
-def two_hop_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers that reach each other over a common part."""
-    rows = match(
+def two_hop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ways from each supplier over a part it supplies to any supplier; parts have many edges on both sides."""
+    counts = count_matches(
         graph(spark, sf_dir),
         Node("a", "Supplier"),
         Rel("f", "SUPPLIES"),
@@ -105,7 +112,7 @@ def two_hop_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         Rel("h", "SUPPLIED_BY"),
         Node("b", "Supplier"),
     )
-    return rows.groupBy("a_uid", "b_uid").agg(F.count(F.lit(1)).alias("paths"))
+    return counts.select("uid", "n")
 
 
 _IN_LIST = ", ".join(f"'{u}'" for u in UIDS)
@@ -176,12 +183,12 @@ QUERIES = {
                   CAST(p_partkey AS VARCHAR) AS p_uid
            FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey""",
     ),
-    "two_hop_pairs": (
-        two_hop_pairs,
-        """WITH f AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem)
-           SELECT CAST(f.l_suppkey AS VARCHAR) AS a_uid, CAST(h.l_suppkey AS VARCHAR) AS b_uid, count(*) AS paths
-           FROM f JOIN supplier a ON a.s_suppkey = f.l_suppkey JOIN part ON p_partkey = f.l_partkey
-           JOIN lineitem h ON h.l_partkey = f.l_partkey JOIN supplier b ON b.s_suppkey = h.l_suppkey
-           GROUP BY f.l_suppkey, h.l_suppkey""",
+    "two_hop_counts": (
+        two_hop_counts,
+        """WITH f AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem),
+           h AS (SELECT l_partkey, count(*) AS n FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
+                 JOIN part ON p_partkey = l_partkey GROUP BY l_partkey)
+           SELECT CAST(s_suppkey AS VARCHAR) AS uid, CAST(sum(n) AS BIGINT) AS n
+           FROM supplier JOIN f ON f.l_suppkey = s_suppkey JOIN h ON h.l_partkey = f.l_partkey GROUP BY s_suppkey""",
     ),
 }

@@ -6,7 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from propgraph import Node, PropertyGraph, Rel, match
-from propgraph.operators.match import bind_path, collect_ids, distinct_matches, match_vertices, top_k
+from propgraph.operators.match import (
+    bind_path,
+    collect_ids,
+    count_matches,
+    distinct_matches,
+    match_vertices,
+    top_k,
+)
 from propgraph.operators.skew import PIECE, cut_heavy, heavy_keys, spread_join
 
 EDGES = [
@@ -59,6 +66,18 @@ def test_two_hops_use_an_edge_once(graph, anchor, spread):
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize("spread", [False, True])
+def test_counts_equal_the_matches(spark, graph, spread):
+    edges = graph.edge_tables["E"]
+    g = PropertyGraph(graph.vertex_tables, {"E": edges, "F": edges.where("n <> 2")})
+    pattern = (Node("a"), Rel("f", "E"), Node("b", "A"), Rel("h", "F", where="n > 0"), Node("c", uids=["1", "3"]))
+    counted = count_matches(g, *pattern, spread_hubs=spread)
+    listed = match(g, *pattern).groupBy("a_label", "a_uid").count()
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, listed.collect())) != []
+    with pytest.raises(ValueError):
+        count_matches(g, Node("a"), Rel("f", "E"), Node("b"), Rel("h", "E"), Node("c"))
+
+
 def test_uid_predicate_holds_under_every_label(graph, spark):
     assert sorted(tuple(r) for r in match_vertices(graph, Node("a", uids=["1"])).select("label", "uid").collect()) == [
         ("A", "1"),
