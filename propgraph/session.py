@@ -49,6 +49,12 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(hadoop_path, True)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if it does not exist."""
+    fs, hadoop_path = _hadoop_path(spark, path)
+    return [entry.getPath().getName() for entry in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from propgraph.graph import PropertyGraph
 from propgraph.schema import GraphSchema, Properties
-from propgraph.session import delete_path, path_exists
+from propgraph.session import child_names, delete_path, path_exists
 
 KINDS = ("vertex", "edge")
 
@@ -102,6 +102,19 @@ class StoredGraph(PropertyGraph):
         _write_meta(self.spark, self.root, self.meta_version + 1, meta)
         return StoredGraph(self.spark, self.root, self.meta_version + 1, meta)
 
+    def delete_old_versions(self) -> int:
+        """Delete the tables that this version of the graph does not use; the number deleted.
+
+        For the newest version, while no load runs and nobody reads an older one.
+        """
+        deleted = 0
+        for kind, labels in (("vertex", self.schema.vertex_labels), ("edge", self.schema.edge_labels)):
+            for label in labels:
+                for version in child_names(self.spark, f"{self.root}/{kind}/{label}"):
+                    if version != self.versions[kind].get(label):
+                        deleted += delete_path(self.spark, self.table_path(kind, label, version))
+        return deleted
+
     def fingerprint(self) -> str:
         """Text that changes whenever the graph's data may have changed."""
         return f"{self.root}@{self.meta_version}"

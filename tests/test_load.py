@@ -183,6 +183,14 @@ def test_stored_filter_reaches_the_scan(spark, graph):
     assert df.count() == 1
 
 
+def test_delete_old_versions(spark, graph):
+    g = graph
+    for i in range(3):
+        g = load_vertices(g, modules(spark, (str(i), "a", i)), "Module", MODULE).graph
+    assert g.delete_old_versions() == 2 and g.delete_old_versions() == 0
+    assert StoredGraph.open(spark, g.root).vertex_tables["Module"].count() == 3
+
+
 def test_drop(spark, graph):
     load_vertices(graph, modules(spark, ("1", "a", 1)), "Module", MODULE)
     graph.drop()
