@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from suite import all_queries
 from tests.compare import compare, connect
 
 
@@ -13,7 +14,7 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(spark, con, sf_dir, name):
     sql = contract.oracle_sql()[name]
     result = compare(spark, con, sf_dir, contract.queries()[name], sql)
