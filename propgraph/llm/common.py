@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,3 +88,37 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, columns: lis
     for row in sorted(rows, key=lambda r: (r["doc_id"], str(r))):
         once.setdefault(row["doc_id"], row)
     return list(once.values())
+
+
+#: Words whose hashes a task remembers.
+CACHE_WORDS = 400_000
+WORD = re.compile(r"\w+")
+
+
+class WordHashes(dict):
+    """Word -> its 64-bit hash; forgets all when it has grown too large."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return found
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+def words_of(text: str | None) -> list[str]:
+    """Lower-case words of letters, digits and underscores; none for a null text."""
+    return WORD.findall((text or "").lower())
+
+
+def chained(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of runs of ``n`` words from the hashes of words; one fewer per further word of the run."""
+    if len(hashes) < n:
+        return np.empty(0, np.uint64)
+    out = hashes[: len(hashes) - n + 1].copy()
+    for i in range(1, n):
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + hashes[i : len(hashes) - n + 1 + i]
+    out = (out ^ (out >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
+    return out ^ (out >> np.uint64(31))

@@ -12,14 +12,17 @@ Each task packs what it reads: no shuffle, no state shared between tasks, memory
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +33,8 @@ CAPACITY = 1024
 MAX_SEGMENTS = 64
 POOL = 1024
 END_ID = 0
-#: Words whose ids a task remembers.
-CACHE_WORDS = 400_000
+#: Words whose ids a worker remembers; of their cuts twice as many.
+CACHE_WORDS = 500_000
 
 SCHEMA = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
@@ -41,15 +44,18 @@ COLUMNS = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
 )
 
+# Fixed value: the pattern by which byte-level tokenizers of this kind cut texts.
+_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _ODD_SPACE = re.compile(r"\s (?:\s|\Z)")
 
 
 class Encoder:
     """Token ids of texts as little-endian bytes, by the tokenizer file; equal to encoding each text as a whole.
 
-    The tokenizer cuts a text before every space that a visible character follows and works on each cut alone, so the ids of
-    a text are those of its space-separated words, and of a word they need to be computed once. Texts with runs of white
-    space in which a space stands between others, or with one of the tokenizer's special strings, are encoded as a whole.
+    A byte-level tokenizer first cuts a text by a pattern, and always before a space that a visible character follows; it then
+    works on each cut alone. So the ids of a text are those of its space-separated words, and a word's are those of its cuts,
+    each of which needs to be computed once. Texts with runs of white space in which a space stands between others, texts with
+    one of the tokenizer's special strings, and all texts of a tokenizer of another kind are encoded as a whole.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS) -> None:
@@ -58,29 +64,55 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        parts = json.loads(self.tokenizer.to_str())
+        first = parts.get("pre_tokenizer") or {}
+        self.by_word = (
+            first.get("type") == "ByteLevel"
+            and not first.get("add_prefix_space")
+            and first.get("use_regex", True)
+            and not parts.get("normalizer")
+        )
         self.cache_words = cache_words
         self.words: dict[str, bytes] = {}
+        self.cuts: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _learn(self, words: set[str]) -> None:
+        if len(self.words) > self.cache_words:
+            self.words.clear()
+        if len(self.cuts) > 2 * self.cache_words:
+            self.cuts.clear()
+        cut = {word: _CUT.findall(word) for word in words}
+        new = list({c for cuts in cut.values() for c in cuts}.difference(self.cuts))
+        for first in range(0, len(new), 4096):
+            part = new[first : first + 4096]
+            self.cuts.update(zip(part, self._whole(part), strict=True))
+        ids = self.cuts.__getitem__
+        self.words.update((word, b"".join(map(ids, cuts))) for word, cuts in cut.items())
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         split: list[list[str] | None] = []
         for text in texts:
-            odd = _ODD_SPACE.search(text) or any(s in text for s in self.special)
+            odd = not self.by_word or _ODD_SPACE.search(text) or any(s in text for s in self.special)
             # A word keeps its space in front; only the first word of a text has none.
             split.append(None if odd else _words(text))
-        if len(self.words) > self.cache_words:
-            self.words.clear()
-        new = list({w for words in split if words for w in words}.difference(self.words))
-        for first in range(0, len(new), 4096):
-            part = new[first : first + 4096]
-            self.words.update(zip(part, self._whole(part), strict=True))
+        # One word list at a time could be a very long text; its words are few beside it.
+        new = {w for words in split if words for w in words}.difference(self.words)
+        if new:
+            self._learn({w for words in split if words for w in words} if len(self.words) > self.cache_words else new)
         ids = self.words.__getitem__
         return [self._whole([t])[0] if w is None else b"".join(map(ids, w)) for t, w in zip(texts, split, strict=True)]
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder per worker process and tokenizer: the tasks of a worker share what it has learnt."""
+    return Encoder(path)
+
+
 def _words(text: str) -> list[str]:
     first, *rest = text.split(" ")
     return [first, *(" " + word for word in rest)]
@@ -210,7 +242,7 @@ def pack(
     texts.append(F.col(response) if isinstance(response, str) else response)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer, number = Encoder(tokenizer_path), Packer(limits, pool), TaskContext.get().partitionId() << 33
+        encode, packer, number = encoder(tokenizer_path), Packer(limits, pool), TaskContext.get().partitionId() << 33
         end = np.array([END_ID], dtype="<u4").tobytes()
         held: dict[int, list] = {}  # examples with pieces that wait: id, ids, pieces not yet placed
         out: list[tuple] = []

@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from propgraph.llm import exact_dedup, packing, simhash_dedup
-from propgraph.llm.common import read
+from propgraph.llm import decontaminate, exact_dedup, html_extract, langid, licenses, packing, quality, simhash_dedup, toxicity, warc
+from propgraph.llm.common import held_out, read
 
 #: The tokenizer file of the packing query; its place is a parameter of the operator.
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,11 +25,41 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License texts and notices in all documents."""
+    return licenses.scan_licenses(read(spark, sf_dir, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents."""
     return simhash_dedup.near_groups(read(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    docs = read(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted, "threshold", "toxic")
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of all documents that are like a benchmark item."""
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+QUALITY_CUT = 0.3
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents."""
+    docs = read(spark, sf_dir, "documents")
+    model = quality.train(docs, read(spark, sf_dir, "labels"))
+    scored = quality.with_score(docs.select("doc_id", "text"), model)
+    predicted = (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)
+
+
 def op7_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal documents."""
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
@@ -42,8 +73,45 @@ SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id IS NOT DISTINCT FROM g.keep_i
 FROM t JOIN g ON t.norm = g.norm
 """
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = read(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.train(pages))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back."""
+    records = warc.round_trip(read(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP9_SQL = """
+WITH t AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (SELECT payload_digest, min(page_id) AS first_id FROM t WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT t.page_id, t.payload_bytes, t.payload_digest,
+       CASE WHEN g.first_id <> t.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.first_id <> t.page_id THEN g.first_id END AS refers_to
+FROM t LEFT JOIN g ON t.payload_digest = g.payload_digest AND t.payload_bytes >= 100
+"""
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents."""
+    docs = read(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_pack": (op1_pack, None),
+    "op2_licenses": (op2_licenses, None),
     "op3_near_duplicates": (op3_near_duplicates, None),
+    "op4_toxicity": (op4_toxicity, None),
+    "op5_decontaminate": (op5_decontaminate, None),
+    "op6_quality": (op6_quality, None),
     "op7_exact_duplicates": (op7_exact_duplicates, OP7_SQL),
+    "op8_main_text": (op8_main_text, None),
+    "op9_warc": (op9_warc, OP9_SQL),
+    "op10_language": (op10_language, None),
 }
