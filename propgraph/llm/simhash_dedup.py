@@ -7,6 +7,10 @@ BK-tree, children keyed by their Hamming distance to the parent; a search follow
 radius of the distance just measured. The trees of a task are built and searched together, level by level, as arrays.
 *Groups* are the connected components of the links.
 
+Fingerprints far apart say more about short texts' common words than about copies, so with a wide radius links can be
+verified: each fingerprint then carries a small MinHash sketch of the text's five-word shingles, and two texts are linked only
+if the sketches also say that the texts are similar enough. That happens inside the search, so no list of pairs is made.
+
 A tree is not sent to all executors, since the trees together grow with the corpus; it meets its queries in the task of
 its shard. A shard with more than ``tree_rows`` fingerprints is cut into parts, and each pair of parts is searched in a
 task of its own, so no tree outgrows a task.
@@ -23,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import rows_mapper, stored
+from propgraph.llm.common import WordHashes, chained, rows_mapper, stored
 from propgraph.llm.components import components
 from propgraph.llm.exact_dedup import without_rows
 
@@ -33,6 +37,9 @@ RADIUS = 3
 AGREE = 2
 SHINGLE_WORDS = 3
 TREE_ROWS = 20_000
+#: Bins of a sketch, and words of its shingles.
+BINS = 64
+SKETCH_WORDS = 5
 #: Fingerprints that a task looks at together, and pairs (query, node) that one search step may hold.
 FOREST_ROWS = 200_000
 FRONTIER = 2_000_000
@@ -66,15 +73,45 @@ def simhash(text: str | None, words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > last, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp (long) of every row; null and wordless texts have fingerprint 0."""
+def sketch(text: str | None, hasher: WordHashes) -> bytes:
+    """A MinHash sketch of a text's five-word shingles: of the smallest hash in each of ``BINS`` bins four bits.
+
+    A bin without a shingle takes those of the next bin that has one. A text of fewer words is one shingle; without words it
+    is all zeros.
+    """
+    hashes = hasher.of((text or "").lower().split())
+    if not len(hashes):
+        return bytes(BINS // 2)
+    runs = chained(hashes, min(SKETCH_WORDS, len(hashes)))
+    least = np.full(BINS, ~np.uint64(0))
+    np.minimum.at(least, (runs % np.uint64(BINS)).astype(np.int64), runs)
+    full = np.flatnonzero(least != ~np.uint64(0))
+    least = least[full[np.searchsorted(full, np.arange(BINS)) % len(full)]]
+    nibbles = ((least // np.uint64(BINS)) & np.uint64(15)).astype(np.uint8)
+    return (nibbles[::2] | (nibbles[1::2] << 4)).tobytes()
+
+
+def sketch_similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Jaccard similarities that rows of sketch bytes suggest, corrected for bins that agree by chance."""
+    x = a ^ b
+    equal = (((x & 15) == 0).sum(axis=-1) + ((x & 240) == 0).sum(axis=-1)) / BINS
+    return (equal - 1 / 16) / (15 / 16)
+
+
+def fingerprints(
+    docs: DataFrame, words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text", sketched: bool = False
+) -> DataFrame:
+    """doc_id and fp (long) of every row, and the sketch if asked for; null and wordless texts have fingerprint 0."""
 
     def each(rows: Iterator[tuple]) -> Iterator[tuple]:
+        hasher = WordHashes()
         for doc_id, text in rows:
-            yield doc_id, simhash(text, words)
+            found = (doc_id, simhash(text, words))
+            yield (*found, sketch(text, hasher)) if sketched else found
 
+    fields = [("doc_id", pa.int64()), ("fp", pa.int64())] + ([("sketch", pa.binary())] if sketched else [])
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        rows_mapper(each, pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())]), rows=8192), "doc_id long, fp long"
+        rows_mapper(each, pa.schema(fields), rows=8192), "doc_id long, fp long" + (", sketch binary" if sketched else "")
     )
 
 
@@ -154,7 +191,9 @@ def _join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = jumped
 
 
-def forest_links(shards: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def forest_links(
+    shards: np.ndarray, fps: np.ndarray, radius: int, sketches: np.ndarray | None = None, least: float = 0.0
+) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is connected inside each shard: row and smallest row of its class.
 
     ``shards`` are numbers in ascending order, one per row. At most one link per row comes out, however many pairs of a
@@ -175,55 +214,73 @@ def forest_links(shards: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.n
     # Queries by the size of their tree, so that no search step holds more than about FRONTIER pairs.
     work = np.cumsum(np.repeat(sizes, sizes)) // FRONTIER
     for chunk in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(work)) + 1):
-        _join_labels(label, *bk_search(edges, own, chunk, starts[chunk], radius))
+        a, b = bk_search(edges, own, chunk, starts[chunk], radius)
+        if sketches is not None:
+            like = sketch_similarity(sketches[rows[a]], sketches[rows[b]]) >= least
+            a, b = a[like], b[like]
+        _join_labels(label, a, b)
     moved = np.flatnonzero(label != np.arange(len(rows)))
     return rows[moved], rows[label[moved]]
 
 
-def _shard_links(radius: int):
-    """Rows (shard, part, fp) in order of shard and part; whole shards are looked at together, many at a time."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _shard_links(radius: int, least: float | None):
+    """Rows (shard, part, fp) or (shard, part, fp, sketch) in order of shard and part; whole shards are looked at together,
+    many at a time. Links name both ends by fingerprint, and sketch."""
+    sides = ["fp"] if least is None else ["fp", "sketch"]
+    types = {"fp": pa.int64(), "sketch": pa.binary()}
+    schema = pa.schema([(f"{end}_{side}", types[side]) for end in "ab" for side in sides])
 
-    def links(shard: list, part: list, fp: list) -> pa.RecordBatch:
-        s, p, f = np.concatenate(shard), np.concatenate(part), np.concatenate(fp)
+    def links(parts: list[list]) -> pa.RecordBatch:
+        s, p, f, *sketches = (np.concatenate(x) for x in zip(*parts, strict=True))
         new = np.r_[False, (s[1:] != s[:-1]) | (p[1:] != p[:-1])]
-        a, b = forest_links(np.cumsum(new), f.view(np.uint64), radius)
-        return pa.RecordBatch.from_arrays([pa.array(f[a]), pa.array(f[b])], schema=schema)
+        a, b = forest_links(np.cumsum(new), f.view(np.uint64), radius, *(sketches + [least] if sketches else []))
+        columns = []
+        for end in (a, b):
+            columns.append(pa.array(f[end]))
+            columns += [pa.array([row.tobytes() for row in x[end]], type=pa.binary()) for x in sketches]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, list, list] = ([], [], [])
+        held: list[list] = []
         n = 0
         for batch in batches:
-            s, p, f = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
-            if not len(f):
+            if not batch.num_rows:
                 continue
+            now = [column.to_numpy(zero_copy_only=False) for column in batch.columns[:3]]
+            if least is not None:
+                now.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(batch.num_rows, -1))
             if n >= FOREST_ROWS:
                 # Everything before the last change of shard is whole.
-                changes = np.flatnonzero((s != np.r_[held[0][-1][-1], s[:-1]]) | (p != np.r_[held[1][-1][-1], p[:-1]]))
+                before = held[-1]
+                changes = np.flatnonzero(
+                    (now[0] != np.r_[before[0][-1], now[0][:-1]]) | (now[1] != np.r_[before[1][-1], now[1][:-1]])
+                )
                 if len(changes):
                     cut = changes[0]
-                    for kept, new in zip(held, (s, p, f), strict=True):
-                        kept.append(new[:cut])
-                    yield links(*held)
-                    held, n = ([], [], []), 0
-                    s, p, f = s[cut:], p[cut:], f[cut:]
-            for kept, new in zip(held, (s, p, f), strict=True):
-                kept.append(new)
-            n += len(f)
+                    yield links([*held, [x[:cut] for x in now]])
+                    held, n, now = [], 0, [x[cut:] for x in now]
+            held.append(now)
+            n += len(now[0])
         if n:
-            yield links(*held)
+            yield links(held)
+
+    return mapped, schema
 
-    return mapped
 
+def near_links(
+    prints: DataFrame, radius: int = RADIUS, agree: int = AGREE, tree_rows: int = TREE_ROWS, least: float | None = None
+) -> DataFrame:
+    """Links (a, b) among the distinct fingerprints whose components are those of all pairs within ``radius`` bits.
 
-def near_links(fps: DataFrame, radius: int = RADIUS, agree: int = AGREE, tree_rows: int = TREE_ROWS) -> DataFrame:
-    """Links (a, b) among the distinct fingerprints ``fps`` (one column, fp) whose components are those of all pairs
-    within ``radius`` bits. No pair is lost: see the module's text on shards."""
-    spark = fps.sparkSession
+    ``prints`` has the column fp, and sketch if ``least`` is given; then a pair is a link only if its sketches suggest a
+    similarity of at least ``least``. The ends of a link are named as ``node_of`` does. No pair is lost: see the module's text
+    on shards.
+    """
     masks = block_masks(radius, agree)
+    own = [c for c in ("fp", "sketch") if c in prints.columns]
     choice = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(masks))))
-    shards = fps.select("fp", choice.alias("c")).select(F.xxhash64("c.i", "c.bits").alias("shard"), "fp")
     # Shards of unlike choices that share a hash would only be searched together, which finds no wrong link.
+    shards = prints.select(*own, choice.alias("c")).select(F.xxhash64("c.i", "c.bits").alias("shard"), *own)
     large = stored(
         shards.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > tree_rows).select(F.col("shard").alias("hot"), "n"),
         "simhash-large",
@@ -231,18 +288,24 @@ def near_links(fps: DataFrame, radius: int = RADIUS, agree: int = AGREE, tree_ro
     n_large = large.count()
     if n_large:
         hint = F.broadcast(large) if n_large <= BROADCAST_SHARDS else large
-        parts = F.ceil(F.col("n") / tree_rows).cast("int")
-        cut = shards.join(hint, F.col("shard") == F.col("hot"), "left").select("shard", "fp", F.coalesce(parts, F.lit(1)).alias("parts"))
-        own = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("parts")).cast("int")
-        pairs = cut.select("shard", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-        low, high = F.least("own", "other").cast("long"), F.greatest("own", "other").cast("long")
-        shards = pairs.select("shard", (low * (1 << 31) + high).alias("part"), "fp")
+        parts = F.coalesce(F.ceil(F.col("n") / tree_rows).cast("int"), F.lit(1))
+        cut = shards.join(hint, F.col("shard") == F.col("hot"), "left").select("shard", *own, parts.alias("parts"))
+        mine = F.pmod(F.xxhash64(*own, F.lit(1)), F.col("parts")).cast("int")
+        pairs = cut.select("shard", *own, mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+        low, high = F.least("mine", "other").cast("long"), F.greatest("mine", "other").cast("long")
+        shards = pairs.select("shard", (low * (1 << 31) + high).alias("part"), *own)
     else:
-        shards = shards.select("shard", F.lit(0).cast("long").alias("part"), "fp")
-    found = (
-        shards.repartition("shard", "part").sortWithinPartitions("shard", "part").mapInArrow(_shard_links(radius), "a long, b long")
-    )
-    return stored(found.distinct(), "simhash-links")
+        shards = shards.select("shard", F.lit(0).cast("long").alias("part"), *own)
+    search, schema = _shard_links(radius, least)
+    columns = ", ".join(f"{f.name} {'binary' if f.type == pa.binary() else 'long'}" for f in schema)
+    found = shards.repartition("shard", "part").sortWithinPartitions("shard", "part").mapInArrow(search, columns)
+    ends = [node_of([f"{end}_{c}" for c in own]).alias(end) for end in "ab"]
+    return stored(found.select(*ends).distinct(), "simhash-links")
+
+
+def node_of(columns: list[str]) -> Column:
+    """The 64-bit name of a fingerprint: itself, or with a sketch the hash of both."""
+    return F.col(columns[0]) if len(columns) == 1 else F.xxhash64(*columns)
 
 
 def near_groups(
@@ -253,29 +316,28 @@ def near_groups(
     tree_rows: int = TREE_ROWS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    least: float | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
     Two documents are linked when their fingerprints differ in at most ``radius`` bits; component_id is the smallest id
-    that can be reached over links. A null, empty or wordless text has the fingerprint zero, linked like any other. A row
+    that can be reached over links. With ``least``, a link also needs sketches that suggest a five-word similarity of at least
+    ``least``. A null, empty or wordless text has the fingerprint zero, linked like any other. A row
     with a null id is a member but names no component; one where every id is null has a null component_id. Repeated rows
     stay repeated. Other columns are not read. An empty table gives no rows.
     """
-    prints = stored(fingerprints(docs, words, id_col, text_col), "simhash-prints")
-    return grouped(prints, radius, agree, tree_rows)
-
-
-def grouped(prints: DataFrame, radius: int = RADIUS, agree: int = AGREE, tree_rows: int = TREE_ROWS) -> DataFrame:
-    """``near_groups`` from the table of fingerprints (doc_id, fp), which is read several times."""
-    least = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-least")
-    roots = components(near_links(least.select("fp"), radius, agree, tree_rows))
-    linked = least.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("class")
+    # The table of fingerprints is read several times.
+    prints = stored(fingerprints(docs, words, id_col, text_col, least is not None), "simhash-prints")
+    own = ["fp"] if least is None else ["fp", "sketch"]
+    distinct = stored(prints.groupBy(*own).agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    roots = components(near_links(distinct.select(*own), radius, agree, tree_rows, least))
+    linked = distinct.select(node_of(own).alias("name"), "first").join(roots, F.col("name") == F.col("node"), "left").select(
+        "name", "first", F.coalesce("root", "name").alias("class")
     )
     # Classes are few rows beside the documents: one per distinct fingerprint.
-    ids = linked.groupBy("class").agg(F.min("least").alias("component_id"))
-    classes = linked.join(ids, "class").select(F.col("fp").alias("c_fp"), "component_id")
-    return prints.join(classes, F.col("fp") == F.col("c_fp")).select(
+    ids = linked.groupBy("class").agg(F.min("first").alias("component_id"))
+    classes = linked.join(ids, "class").select("name", "component_id")
+    return prints.join(classes, node_of(own) == F.col("name")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -285,11 +347,11 @@ def keep_one(groups: DataFrame) -> Column:
     return F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))
 
 
-def drop_near_copies(docs: DataFrame, words: int, radius: int, agree: int = AGREE) -> DataFrame:
+def drop_near_copies(docs: DataFrame, words: int, radius: int, agree: int = AGREE, least: float | None = None) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component.
 
     Rows without an id stay, since none of them can stand for a group. Of rows alike in id and text one stays.
     """
-    groups = stored(near_groups(docs, words, radius, agree), "simhash-groups")
+    groups = stored(near_groups(docs, words, radius, agree, least=least), "simhash-groups")
     repeated = groups.where(keep_one(groups) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n"))
     return without_rows(docs, groups.where(~keep_one(groups)), repeated.where("n > 1").select("doc_id"))
