@@ -135,8 +135,9 @@ def hits(words: np.ndarray, index: TemplateIndex) -> tuple[np.ndarray, np.ndarra
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def align(template: list[str], document: list[str], diagonal: int, band: int = BAND) -> tuple[int, int, int]:
-    """Local alignment of the template with the words near ``diagonal`` (document place minus template place).
+def align(template: list[str], document: list[str], diagonal: int, band: int = BAND, after: int = 0) -> tuple[int, int, int]:
+    """Local alignment of the template with the words near ``diagonal`` (document place minus template place), from the
+    document's place ``after`` on.
 
     Equal words count 1, a skipped or unlike word -0.5. Returns the template words matched and the first and last document
     place of the best alignment; of equally good ones the first to end.
@@ -149,7 +150,7 @@ def align(template: list[str], document: list[str], diagonal: int, band: int = B
         new_score, new_state = [0.0] * (width + 2), [(0, -1)] * (width + 2)
         for k in range(1, width + 1):
             j = i + diagonal + k - 1 - band
-            if not 0 <= j < len(document):
+            if not after <= j < len(document):
                 continue
             # The cell before on the diagonal has the same k one row up; a skipped template word k + 1, a document word k - 1.
             value, (matched, start) = score[k], state[k]
@@ -170,7 +171,7 @@ def align(template: list[str], document: list[str], diagonal: int, band: int = B
 
 
 def scan(text: str | None, hasher: WordHashes, index: TemplateIndex, least: float = COVERAGE) -> list[tuple]:
-    """(name, coverage, matched words, first character, end) of each template found; of overlapping finds the best, and
+    """(name, coverage, matched words, first character, end) of each template found; of overlapping finds the longest, and
     another one only if it matches a larger share of its template. Characters count in the text as it is, lower-casing does not move them."""
     words = words_of(text)
     template, place, at = hits(hasher.of(words), index)
@@ -186,13 +187,13 @@ def scan(text: str | None, hasher: WordHashes, index: TemplateIndex, least: floa
             if last is None or d - last > BAND // 2:
                 starts.append(d)
                 last = d
-        own = index.words[number]
-        found = [align(own, words, d + BAND // 4) for d in starts]
-        taken: list[tuple[int, int]] = []
-        for matched, first, end in sorted(found, key=lambda x: (-x[0], x[1])):
-            if matched < least * len(own) or any(first <= b and end >= a for a, b in taken):
+        own, after = index.words[number], 0
+        for d in starts:
+            # What an earlier find has taken is not found again from the next one's band.
+            matched, first, end = align(own, words, d + BAND // 4, after=after)
+            if matched < least * len(own):
                 continue
-            taken.append((first, end))
+            after = end + 1
             if spans is None:
                 spans = [m.span() for m in WORD.finditer(text)]
             # Lower-casing can change the number of words only for exotic letters; then the span is the whole text.
