@@ -46,7 +46,7 @@ def edge_table(
         _text(src_uid).alias("src_uid"),
         F.lit(dst_label).alias("dst_label"),
         _text(dst_uid).alias("dst_uid"),
-        (F.lit("") if euid is None else _text(euid)).alias("euid"),
+        (F.lit("") if euid is None else F.coalesce(_text(euid), F.lit(""))).alias("euid"),
         *properties,
     )
 
@@ -56,6 +56,11 @@ def vertex_id(label: Column, uid: Column) -> Column:
     return F.concat(label, F.lit(":"), uid)
 
 
+def identity_text(*key: str) -> Column:
+    """The key columns as one text; every part is preceded by its length, so different keys have different texts."""
+    return F.concat_ws(":", *(x for c in key for x in (F.length(c), F.col(c))))
+
+
 class PropertyGraph:
     """Vertex and edge tables by label. Everything is lazy; no method runs a job."""
 
@@ -72,14 +77,18 @@ class PropertyGraph:
             raise ValueError(f"no label `{label}`; known: {sorted(tables)}")
         return {label: tables[label]}
 
+    def tag_columns(self, kind: str, label: str) -> list[str]:
+        """The tags column of a label's table, if it has one."""
+        return [TAGS] if _has_tags((self.vertex_tables if kind == "vertex" else self.edge_tables)[label]) else []
+
     def vertex_properties(self, label: str) -> list[str]:
-        return [c for c in self.vertex_tables[label].columns if c not in ("uid", TAGS)]
+        return [c for c in self.vertex_tables[label].columns if c != "uid" and not (c == TAGS and _has_tags(self.vertex_tables[label]))]
 
     def edge_properties(self, label: str) -> list[str]:
-        return [c for c in self.edge_tables[label].columns if c not in (*EDGE_KEY_COLUMNS, TAGS)]
+        return [c for c in self.edge_tables[label].columns if c not in EDGE_KEY_COLUMNS and not (c == TAGS and _has_tags(self.edge_tables[label]))]
 
     def vertices(self, label: str | None = None) -> DataFrame:
-        """Vertices of one label (or all) as elements: ``label, uid, tags, properties, rk``."""
+        """Vertices of one label (or all) as elements: ``label, uid, tags, properties, rk``. The row key is the identity."""
         parts = []
         for name, table in self._labels(self.vertex_tables, label).items():
             packed = pack_properties({c: F.col(f"`{c}`") for c in self.vertex_properties(name)})
@@ -89,8 +98,7 @@ class PropertyGraph:
                     "uid",
                     _tags(table).alias("tags"),
                     packed.alias("properties"),
-                    F.lit(None).cast("string").alias("rk"),
-                )
+                ).withColumn("rk", identity_text("label", "uid"))
             )
         return reduce(DataFrame.unionByName, parts)
 
@@ -107,8 +115,10 @@ class PropertyGraph:
                     _stub("dst").alias("dst"),
                     _tags(table).alias("tags"),
                     packed.alias("properties"),
-                    F.lit(None).cast("string").alias("rk"),
+                    *(F.col(c).alias(f"__{c}") for c in ENDPOINT_COLUMNS),
                 )
+                .withColumn("rk", identity_text("label", *(f"__{c}" for c in ENDPOINT_COLUMNS), "euid"))
+                .drop(*(f"__{c}" for c in ENDPOINT_COLUMNS))
             )
         return reduce(DataFrame.unionByName, parts)
 
@@ -129,9 +139,14 @@ class PropertyGraph:
         return reduce(DataFrame.unionByName, parts)
 
 
+def _has_tags(table: DataFrame) -> bool:
+    """Whether the column ``tags`` holds tags; of another type it is a property like any other."""
+    return dict(table.dtypes).get(TAGS) == "array<string>"
+
+
 def _tags(table: DataFrame) -> Column:
     empty = F.array().cast("array<string>")
-    return F.coalesce(F.col(TAGS), empty) if TAGS in table.columns else empty
+    return F.coalesce(F.col(TAGS), empty) if _has_tags(table) else empty
 
 
 def _stub(side: str) -> Column:
@@ -139,5 +154,5 @@ def _stub(side: str) -> Column:
     return F.struct(
         F.col(f"{side}_label").alias("label"),
         F.col(f"{side}_uid").alias("uid"),
-        F.lit(None).cast("string").alias("rk"),
+        identity_text(f"{side}_label", f"{side}_uid").alias("rk"),
     )

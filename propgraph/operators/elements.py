@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propgraph.functions.properties import canonical_text, get_property, has_property, set_property
-from propgraph.operators.skew import spread_join
+from propgraph.operators.skew import ROWS_PER_TASK, spread_join
 
 
 def project_vertices(vertices: DataFrame) -> DataFrame:
@@ -66,10 +66,15 @@ def distinct_elements(elements: DataFrame, kind: str = "kind") -> DataFrame:
 
 
 def path_key(path: Column) -> Column:
-    """Row keys of a decoded path's elements in order; equal for equal paths only."""
-    return F.transform(
-        path, lambda e: F.struct(e["kind"].alias("kind"), F.coalesce(e["vertex"]["rk"], e["edge"]["rk"]).alias("rk"))
-    )
+    """Row keys of a path's elements in order, and of an element without row key its properties, by which such elements are
+    equal or not; equal for equal paths only."""
+
+    def key(e: Column) -> Column:
+        rk = F.coalesce(F.nullif(e["vertex"]["rk"], F.lit("")), F.nullif(e["edge"]["rk"], F.lit("")))
+        properties = canonical_text(F.coalesce(e["vertex"]["properties"], e["edge"]["properties"]))
+        return F.struct(e["kind"].alias("kind"), rk.alias("rk"), F.when(rk.isNull(), properties).alias("properties"))
+
+    return F.transform(path, key)
 
 
 def distinct_paths(paths: DataFrame, path: str = "path") -> DataFrame:
@@ -87,13 +92,15 @@ def path_lengths(elements: DataFrame, path_id: Sequence[str]) -> DataFrame:
     return elements.groupBy(*path_id).agg(F.count(F.lit(1)).alias("length"))
 
 
-def keys_to_uids(result: DataFrame, key: str, vertices: DataFrame, uid: str = "uid") -> DataFrame:
+def keys_to_uids(
+    result: DataFrame, key: str, vertices: DataFrame, uid: str = "uid", rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Translate a column of vertex row keys to user ids; ``vertices`` has ``rk, uid``. A key without vertex gives null.
 
     One vertex may be named by very many result rows, so its rows are spread.
     """
     lookup = vertices.select(F.col("rk").alias(key), F.col("uid").alias(uid))
-    return spread_join(result, lookup, [key], "left")
+    return spread_join(result, lookup, [key], "left", rows_per_task)
 
 
 def key_report(df: DataFrame, shard: Column, label: Column) -> DataFrame:

@@ -6,7 +6,10 @@ A mapping lists (graph field, source column) pairs. A vertex mapping starts with
 
 Contract: mapped columns overwrite, also with null; properties that are not mapped keep their stored value; a new key is
 inserted. Of several source rows with one key, the greatest by ``order_by`` and then by all mapped columns wins (nulls are
-least). Rows without uid or endpoint are rejected with a reason. Edges may be stored before their endpoints.
+least). Rows without uid or endpoint are rejected with a reason. Edges may be stored before their endpoints. A cell that does
+not fit the type of its property leaves the stored value as it is (a new element has null there) and is counted in the report.
+
+Names that begin with ``__`` are the load's own; a property cannot be declared with one.
 """
 
 from __future__ import annotations
@@ -25,6 +28,9 @@ from propgraph.storage import StoredGraph
 UID = "__uid"
 SOURCE_UID, TARGET_UID, SOURCE_LABELS, TARGET_LABELS = EDGE_FIELDS = ["__usid", "__udid", "__uslabels", "__udlabels"]
 
+#: Why a row is rejected.
+REASONS = {"vertex": ["no_uid"], "edge": ["no_src_uid", "no_dst_uid", "no_src_label", "no_dst_label"]}
+
 Mapping = Sequence[tuple[str, str]]
 
 REPORT_SCHEMA = "label string, outcome string, reason string, n bigint"
@@ -104,17 +110,23 @@ def mapped_rows(
     reason: Column,
     order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """The source in the shape of the label's table, with ``__order`` columns and the reject ``reason``."""
+    """The source in the shape of the label's table, with ``__order`` columns, a flag ``__bad_<property>`` for cells that do
+    not fit, and the reject reason ``__reason``, which is a condition on the keys."""
     unknown = [name for name, _ in properties if name not in schema.fieldNames()]
     if unknown:
         raise ValueError(f"not declared: {', '.join(unknown)}")
-    values = [F.col(column).try_cast(schema[name].dataType).alias(name) for name, column in properties]
+    values = []
+    for name, column in properties:
+        fitted = F.col(column).try_cast(schema[name].dataType)
+        values += [fitted.alias(name), (F.col(column).isNotNull() & fitted.isNull()).alias(f"__bad_{name}")]
     order = [F.col(c).alias(f"__order{i}") for i, c in enumerate(order_by)]
-    return source.select(*(c.alias(name) for name, c in keys.items()), *values, *order).withColumn("reason", reason)
+    keyed = [c.alias(name) for name, c in keys.items()]
+    return source.select(*keyed, *values, *order).withColumn("__reason", reason)
 
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str], values: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the greatest by the order columns and then by all values; adds ``__rows``, the rows it stands for.
+    """One row per key, the greatest by the order columns and then by all values; adds ``__rows``, the rows it stands for, and
+    for flags ``__bad_<property>`` the counts of set ones, ``__bads_<property>``.
 
     A maximum over structs combines on the map side, so a key with very many rows is down to one row per task before the
     shuffle; a window over the key would bring all of them to one task.
@@ -123,36 +135,47 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], values: Sequence[str],
     if not values and not order:
         best = F.max(F.struct(F.lit(0)))
     elif unordered.isdisjoint(values):
-        best = F.max(F.struct(*order, *values))
+        best = F.max(F.struct(*(F.col(f"`{c}`") for c in (*order, *values))))
     else:  # maps and variants have no order of their own: rank them by their JSON text
-        ranks = [F.to_json(F.struct(v)) if v in unordered else F.col(v) for v in values]
-        best = F.max_by(F.struct(*values), F.struct(*order, *ranks))
-    best = rows.groupBy(*keys).agg(best.alias("__best"), F.count(F.lit(1)).alias("__rows"))
-    return best.select(*keys, *(F.col(f"__best.{v}").alias(v) for v in values), "__rows")
+        ranks = [F.to_json(F.struct(F.col(f"`{v}`"))) if v in unordered else F.col(f"`{v}`") for v in values]
+        best = F.max_by(F.struct(*(F.col(f"`{v}`") for v in values)), F.struct(*order, *ranks))
+    flags = [v for v in values if v.startswith("__bad_")]
+    counts = [F.sum(F.col(f"`{v}`").cast("bigint")).alias(v.replace("__bad_", "__bads_", 1)) for v in flags]
+    best = rows.groupBy(*keys).agg(best.alias("__best"), F.count(F.lit(1)).alias("__rows"), *counts)
+    sums = [v.replace("__bad_", "__bads_", 1) for v in flags]
+    return best.select(*keys, *(F.col(f"__best.`{v}`").alias(v) for v in values), "__rows", *(F.col(f"`{s}`") for s in sums))
 
 
 def merge(stored: DataFrame, batch: DataFrame, keys: Sequence[str], mapped: Sequence[str]) -> DataFrame:
-    """Full outer join of the stored label and a batch with unique keys. Adds ``__inserted`` and ``__updated`` flags.
+    """Full outer join of the stored label and a batch with unique keys. Adds ``__inserted`` and ``__updated`` flags and keeps
+    the batch's own columns. Rows with a null key match nothing.
 
     The batch is partitioned by the key since it was made unique, so the join shuffles the stored side only, and adaptive
     execution sizes the written files.
     """
     old = stored.select(*keys, F.struct(*stored.columns).alias("__old"))
-    new = batch.select(*keys, F.struct(*mapped, "__rows").alias("__new"))
+    extra = [c for c in batch.columns if c.startswith("__") and c != "__reason"]
+    new = batch.select(*keys, *([F.col("__reason")] if "__reason" in batch.columns else []), F.struct(*(F.col(f"`{c}`") for c in (*mapped, *extra))).alias("__new"))
     joined = old.join(new, list(keys), "full_outer")
-    columns = [
-        F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(f"__old.{c}")).alias(c)
-        if c in mapped
-        else F.col(f"__old.{c}").alias(c)
-        for c in stored.columns
-        if c not in keys
-    ]
+
+    def value(c: str) -> Column:
+        before, after = F.col(f"__old.`{c}`"), F.col(f"__new.`{c}`")
+        if c not in mapped:
+            return before.alias(c)
+        fits = F.col("__new").isNotNull()
+        if f"__bad_{c}" in extra:
+            fits = fits & ~F.col(f"__new.`__bad_{c}`")
+        return F.when(fits, after).otherwise(before).alias(c)
+
+    columns = [value(c) for c in stored.columns if c not in keys]
     return joined.select(
         *keys,
         *columns,
         F.col("__old").isNull().alias("__inserted"),
         (F.col("__old").isNotNull() & F.col("__new").isNotNull()).alias("__updated"),
         F.coalesce(F.col("__new.__rows"), F.lit(0)).alias("__rows"),
+        *(F.col(f"__new.`{c}`").alias(c) for c in extra if c.startswith("__bads_")),
+        *([F.col("__reason")] if "__reason" in batch.columns else []),
     )
 
 
@@ -176,7 +199,9 @@ def _upsert(
     key_names, mapped = list(keys), [name for name, _ in properties]
     rows = mapped_rows(source, schema, keys, properties, reason, order_by)
     order = [f"__order{i}" for i in range(len(order_by))]
-    batch = latest_per_key(rows.where(F.col("reason").isNull()), key_names, mapped, order)
+    # Rejected rows come along, one per key and reason, so that the write counts them too; a reason depends on the key alone.
+    flags = [f"__bad_{name}" for name in mapped]
+    batch = latest_per_key(rows, [*key_names, "__reason"], [c for pair in zip(mapped, flags) for c in pair], order)
     if graph.has_data(kind, label):
         stored = graph.vertex_tables[label] if kind == "vertex" else graph.edge_tables[label]
         merged = merge(stored, batch, key_names, mapped)
@@ -185,44 +210,47 @@ def _upsert(
 
     # The counts ride along in the last stage of the write, which counts every partition exactly once.
     counts = Observation()
+    good = F.col("__reason").isNull()
     observed = merged.observe(
         counts,
-        F.count(F.when(F.col("__inserted"), 1)).alias("inserted"),
-        F.count(F.when(F.col("__updated"), 1)).alias("updated"),
-        F.sum(F.when(F.col("__rows") > 0, F.col("__rows") - 1)).alias("superseded"),
+        F.count(F.when(good & F.col("__inserted"), 1)).alias("inserted"),
+        F.count(F.when(good & F.col("__updated"), 1)).alias("updated"),
+        F.sum(F.when(good & (F.col("__rows") > 0), F.col("__rows") - 1)).alias("superseded"),
+        *(F.sum(F.when(F.col("__reason") == r, F.col("__rows"))).alias(f"reason {r}") for r in REASONS[kind]),
+        *(F.sum(F.when(good, F.col(f"`__bads_{name}`"))).alias(f"cells {name}") for name in mapped),
     )
     version = graph.new_table_version()
-    observed.select(*schema.fieldNames()).write.parquet(graph.table_path(kind, label, version))
+    # Readers name the columns of the schema; ``__loaded`` serves the report alone.
+    written = observed.where(good).select(*(F.col(f"`{c}`") for c in schema.fieldNames()), (F.col("__rows") > 0).alias("__loaded"))
+    written.write.parquet(graph.table_path(kind, label, version))
     loaded = graph.publish(kind, label, version)
 
     n = counts.get
     report = [(label, outcome, None, n[outcome] or 0) for outcome in ("inserted", "updated", "superseded")]
+    report += [(label, "rejected", r, n[f"reason {r}"]) for r in REASONS[kind] if n[f"reason {r}"]]
+    report += [(label, "cell does not fit", name, n[f"cells {name}"]) for name in mapped if n[f"cells {name}"]]
     summary = spark.createDataFrame(report, REPORT_SCHEMA)
-    rejected = (
-        rows.where(F.col("reason").isNotNull())
-        .groupBy("reason")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit(label).alias("label"), F.lit("rejected").alias("outcome"), "reason", "n")
-    )
-    summary = summary.unionByName(rejected)
     if kind == "edge":
-        summary = summary.unionByName(missing_endpoints(loaded, label, batch))
+        edges = spark.read.schema(written.select(*key_names, "__loaded").schema).parquet(graph.table_path(kind, label, version))
+        summary = summary.unionByName(missing_endpoints(loaded, label, edges.where("__loaded")))
     return LoadResult(loaded, summary)
 
 
 def missing_endpoints(graph: StoredGraph, label: str, edges: DataFrame) -> DataFrame:
-    """Edges whose start or end vertex is not in the graph. Endpoints are counted before the anti join, so hubs are single
-    rows in it."""
-    ids = graph.vertex_ids()
-    parts = []
-    for side, reason in (("src", "no_src_vertex"), ("dst", "no_dst_vertex")):
-        endpoints = edges.groupBy(F.col(f"{side}_label").alias("label"), F.col(f"{side}_uid").alias("uid")).agg(
-            F.count(F.lit(1)).alias("edges")
-        )
-        parts.append(
-            endpoints.join(ids, ["label", "uid"], "left_anti")
-            .groupBy()
-            .agg(F.coalesce(F.sum("edges"), F.lit(0)).alias("n"))
-            .select(F.lit(label).alias("label"), F.lit("dangling").alias("outcome"), F.lit(reason).alias("reason"), "n")
-        )
-    return parts[0].unionByName(parts[1])
+    """Edges whose start or end vertex is not in the graph. Both ends are counted in one pass and before the anti join, so hubs
+    are single rows in it."""
+    sides = ("src", "dst")
+    ends = F.explode(
+        F.array(*(F.struct(F.col(f"{s}_label").alias("label"), F.col(f"{s}_uid").alias("uid"), F.lit(s).alias("side")) for s in sides))
+    )
+    missing = (
+        edges.select(ends.alias("end"))
+        .groupBy("end.label", "end.uid")
+        .agg(*(F.count(F.when(F.col("end.side") == s, 1)).alias(s) for s in sides))
+        .join(graph.vertex_ids(), ["label", "uid"], "left_anti")
+        .agg(*(F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in sides))
+    )
+    rows = F.explode(F.array(*(F.struct(F.lit(f"no_{s}_vertex").alias("reason"), F.col(s).alias("n")) for s in sides)))
+    return missing.select(rows.alias("r")).select(
+        F.lit(label).alias("label"), F.lit("dangling").alias("outcome"), "r.reason", "r.n"
+    )

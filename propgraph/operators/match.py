@@ -15,8 +15,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.graph import EDGE_KEY_COLUMNS, PropertyGraph
-from propgraph.operators.skew import spread_join
+from propgraph.functions.properties import pack_properties
+from propgraph.graph import EDGE_KEY_COLUMNS, TAGS, PropertyGraph, identity_text
+from propgraph.operators.skew import ROWS_PER_TASK, heavy_keys, spread_join
 
 # Longer id lists are joined as a table instead of being written into the filter.
 MAX_INLINE_IDS = 1000
@@ -49,13 +50,18 @@ def match_vertices(graph: PropertyGraph, node: Node) -> DataFrame:
         df = graph.vertices().select("label", "uid", "properties")
     else:
         table = graph.vertex_tables[node.label]
-        properties = graph.vertex_properties(node.label)
-        df = table.select(F.lit(node.label).alias("label"), "uid", *(F.col(f"`{c}`") for c in properties))
+        properties = [_own(c) for c in graph.vertex_properties(node.label)]
+        df = table.select(F.lit(node.label).alias("label"), "uid", *properties, *graph.tag_columns("vertex", node.label))
     if node.where is not None:
         df = df.where(node.where)
     return df if node.uids is None else filter_uids(df, node.uids)
 
 
+def _own(name: str) -> Column:
+    """A property's column; one named ``label`` comes as ``label_property``, since that name is the element's label."""
+    return F.col(f"`{name}`").alias("label_property" if name.lower() == "label" else name)
+
+
 def filter_uids(df: DataFrame, uids: Sequence[str] | DataFrame) -> DataFrame:
     """Keep rows whose uid is in a list or in a table of ids (with or without label).
 
@@ -64,26 +70,35 @@ def filter_uids(df: DataFrame, uids: Sequence[str] | DataFrame) -> DataFrame:
     """
     if isinstance(uids, DataFrame):
         keys = [c for c in ("label", "uid") if c in uids.columns]
-        return df.join(uids.select(*keys).distinct(), keys, "left_semi")
-    if len(uids) <= MAX_INLINE_IDS:
+        return df.join(uids.select(*keys).distinct(), keys, "left_semi").select(*df.columns)
+    if is_inline(uids):
         return df.where(F.col("uid").isin([str(u) for u in uids]))
     ids = df.sparkSession.createDataFrame([(str(u),) for u in uids], "uid string")
-    return df.join(ids, ["uid"], "left_semi")
+    return df.join(ids, ["uid"], "left_semi").select(*df.columns)
+
+
+def is_inline(uids: Sequence[str] | DataFrame | None) -> bool:
+    """Whether an id predicate (or none) is written into a filter."""
+    return uids is None or (not isinstance(uids, DataFrame) and len(uids) <= MAX_INLINE_IDS)
 
 
-def match(graph: PropertyGraph, *pattern: Node | Rel, spread_hubs: bool = False) -> DataFrame:
+def match(
+    graph: PropertyGraph, *pattern: Node | Rel, spread_hubs: bool = False, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Match a chain of nodes and edges.
 
     The joins start at the node with the most selective predicate. With ``spread_hubs`` the edges of hub vertices are cut
-    into pieces before they are joined; otherwise adaptive execution splits skewed partitions where it meets them.
+    of at most about ``rows_per_task`` edges before they are joined; hubs are counted on the edge tables, once per edge of the
+    pattern and end. Otherwise adaptive execution splits skewed partitions where it meets them.
     """
     nodes, rels = _check(pattern)
+    spread = rows_per_task if spread_hubs else None
     anchor = _anchor(nodes)
     rows = _node_rows(graph, nodes[anchor])
     for i in range(anchor, len(rels)):
-        rows = _expand(graph, rows, nodes[i], rels[i], nodes[i + 1], forward=True, spread_hubs=spread_hubs)
+        rows = _expand(graph, rows, nodes[i], rels[i], nodes[i + 1], forward=True, spread=spread)
     for i in range(anchor - 1, -1, -1):
-        rows = _expand(graph, rows, nodes[i + 1], rels[i], nodes[i], forward=False, spread_hubs=spread_hubs)
+        rows = _expand(graph, rows, nodes[i + 1], rels[i], nodes[i], forward=False, spread=spread)
     for i, left in enumerate(rels):
         for right in rels[i + 1 :]:
             if left.label is None or right.label is None or left.label == right.label:
@@ -155,10 +170,9 @@ def _edge_rows(graph: PropertyGraph, rel: Rel, src: Node, dst: Node) -> DataFram
         )
     else:
         table = graph.edge_tables[rel.label]
-        properties = graph.edge_properties(rel.label)
-        df = table.select(
-            F.lit(rel.label).alias("label"), *EDGE_KEY_COLUMNS, *(F.col(f"`{c}`") for c in properties)
-        )
+        properties = [_own(c) for c in graph.edge_properties(rel.label)]
+        tags = graph.tag_columns("edge", rel.label)
+        df = table.select(F.lit(rel.label).alias("label"), *EDGE_KEY_COLUMNS, *properties, *tags)
     if src.label is not None:
         df = df.where(F.col("src_label") == src.label)
     if dst.label is not None:
@@ -169,23 +183,28 @@ def _edge_rows(graph: PropertyGraph, rel: Rel, src: Node, dst: Node) -> DataFram
 
 
 def _expand(
-    graph: PropertyGraph, rows: DataFrame, at: Node, rel: Rel, to: Node, forward: bool, spread_hubs: bool
+    graph: PropertyGraph, rows: DataFrame, at: Node, rel: Rel, to: Node, forward: bool, spread: int | None
 ) -> DataFrame:
     """Extend the rows from the bound node ``at`` over one edge to the node ``to``."""
     near, far = ("src", "dst") if forward else ("dst", "src")
     src, dst = (at, to) if forward else (to, at)
     edges = _edge_rows(graph, rel, src, dst)
-    rows = _join_endpoint(edges, rows, f"{rel.var}_{near}", at, spread_hubs)
-    return _join_endpoint(rows, _node_rows(graph, to), f"{rel.var}_{far}", to, spread_hubs)
+    rows = _join_endpoint(edges, rows, edges, f"{rel.var}_{near}", at, spread)
+    return _join_endpoint(rows, _node_rows(graph, to), edges, f"{rel.var}_{far}", to, spread)
 
 
-def _join_endpoint(many: DataFrame, other: DataFrame, endpoint: str, node: Node, spread_hubs: bool) -> DataFrame:
-    """Join ``many`` rows at their edge endpoint with the rows of the vertex; a fixed label needs no join column."""
+def _join_endpoint(
+    many: DataFrame, other: DataFrame, edges: DataFrame, endpoint: str, node: Node, spread: int | None
+) -> DataFrame:
+    """Join ``many`` rows at their edge endpoint with the rows of the vertex; a fixed label needs no join column.
+
+    Hubs are those of ``edges``, not of ``many``, which may be a join that would have to run for the count.
+    """
     parts = ["uid"] if node.label is not None else ["label", "uid"]
-    if spread_hubs:
+    if spread is not None:
         keys = [f"{endpoint}_{p}" for p in parts]
         renamed = reduce(lambda df, p: df.withColumn(f"{endpoint}_{p}", F.col(f"{node.var}_{p}")), parts, other)
-        return spread_join(many, renamed, keys)
+        return spread_join(many, renamed, keys, heavy=heavy_keys(edges, keys, spread))
     condition = reduce(Column.__and__, (F.col(f"{endpoint}_{p}") == F.col(f"{node.var}_{p}") for p in parts))
     return many.join(other, condition)
 
@@ -199,37 +218,71 @@ def _same_edge(left: str, right: str) -> Column:
 # --- values built from a match --------------------------------------------------------------------------------------
 
 
-def _identity_text(key: Sequence[str]) -> Column:
-    """The key columns as one text; every part is preceded by its length, so different keys have different texts."""
-    return F.concat_ws(":", *(x for c in key for x in (F.length(c), F.col(c))))
+def _bound_properties(rows: DataFrame, part: Node | Rel, identity: Sequence[str]) -> Column:
+    """The properties that a match has of one element, as a map."""
+    if part.label is None:
+        return F.col(f"{part.var}_properties")
+    prefix = f"{part.var}_"
+    names = [c.removeprefix(prefix) for c in rows.columns if c.startswith(prefix)]
+    own = [n for n in names if n not in identity and n != TAGS]
+    return pack_properties({"label" if n == "label_property" else n: F.col(f"`{prefix}{n}`") for n in own})
+
 
+def _bound_tags(rows: DataFrame, var: str) -> Column:
+    tags = dict(rows.dtypes).get(f"{var}_{TAGS}")
+    empty = F.array().cast("array<string>")
+    return F.coalesce(F.col(f"{var}_{TAGS}"), empty) if tags == "array<string>" else empty
 
-def vertex_value(var: str) -> Column:
-    """The path element of a matched node."""
+
+def vertex_value(rows: DataFrame, node: Node) -> Column:
+    """A matched node as an element: ``label, uid, tags, properties, rk``."""
+    var = node.var
     return F.struct(
-        F.lit("vertex").alias("kind"),
         F.col(f"{var}_label").alias("label"),
         F.col(f"{var}_uid").alias("uid"),
-        F.lit("").alias("euid"),
-        _identity_text([f"{var}_label", f"{var}_uid"]).alias("rk"),
+        _bound_tags(rows, var).alias("tags"),
+        _bound_properties(rows, node, ["label", "uid"]).alias("properties"),
+        identity_text(f"{var}_label", f"{var}_uid").alias("rk"),
     )
 
 
-def edge_value(var: str) -> Column:
-    """The path element of a matched edge."""
+def edge_value(rows: DataFrame, rel: Rel) -> Column:
+    """A matched edge as an element: ``label, euid, src, dst, tags, properties, rk``."""
+    var = rel.var
+    ends = [
+        F.struct(
+            F.col(f"{var}_{side}_label").alias("label"),
+            F.col(f"{var}_{side}_uid").alias("uid"),
+            identity_text(f"{var}_{side}_label", f"{var}_{side}_uid").alias("rk"),
+        ).alias(side)
+        for side in ("src", "dst")
+    ]
     key = [f"{var}_{c}" for c in ("label", *EDGE_KEY_COLUMNS)]
     return F.struct(
-        F.lit("edge").alias("kind"),
         F.col(f"{var}_label").alias("label"),
-        F.lit("").alias("uid"),
         F.col(f"{var}_euid").alias("euid"),
-        _identity_text(key).alias("rk"),
+        *ends,
+        _bound_tags(rows, var).alias("tags"),
+        _bound_properties(rows, rel, ["label", *EDGE_KEY_COLUMNS]).alias("properties"),
+        identity_text(*key).alias("rk"),
     )
 
 
 def bind_path(rows: DataFrame, pattern: Sequence[Node | Rel], name: str = "path") -> DataFrame:
-    """Add the matched chain as an array of elements, even position vertex, odd position edge."""
-    elements = [vertex_value(p.var) if isinstance(p, Node) else edge_value(p.var) for p in pattern]
+    """Add the matched chain as an array of ``pos, kind, vertex, edge``, as paths are decoded: even position vertex, odd
+    position edge, each with its properties and tags."""
+    nodes = {p.var: vertex_value(rows, p) for p in pattern if isinstance(p, Node)}
+    rels = {p.var: edge_value(rows, p) for p in pattern if isinstance(p, Rel)}
+    probe = rows.select(*(c.alias(v) for v, c in (nodes | rels).items())).schema
+    vertex_type, edge_type = probe[pattern[0].var].dataType, probe[pattern[1].var].dataType if rels else None
+    elements = []
+    for i, p in enumerate(pattern):
+        edge = [F.lit(None).cast(edge_type).alias("edge")] if edge_type else []
+        if isinstance(p, Node):
+            element = [F.lit("vertex").alias("kind"), nodes[p.var].alias("vertex"), *edge]
+        else:
+            element = [F.lit("edge").alias("kind"), F.lit(None).cast(vertex_type).alias("vertex"), rels[p.var].alias("edge")]
+        elements.append(F.struct(F.lit(i).alias("pos"), *element))
     return rows.withColumn(name, F.array(*elements))
 
 
@@ -243,21 +296,28 @@ def distinct_matches(rows: DataFrame, pattern: Sequence[Node | Rel]) -> DataFram
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int | str | None = None) -> DataFrame:
     """Sort, and keep the first ``k`` rows if given (an int or its text)."""
-    if k is None:
-        return df.orderBy(*order)
-    if isinstance(k, bool) or not isinstance(k, (int, str)):
+    k = check_limit(k)
+    return df.orderBy(*order) if k is None else df.orderBy(*order).limit(k)
+
+
+def check_limit(limit: int | str | None) -> int | None:
+    """The limit as a number: an int or its text, not negative."""
+    if limit is None:
+        return None
+    if isinstance(limit, bool) or not isinstance(limit, (int, str)):
         raise TypeError("limit must be an int or a str")
-    return df.orderBy(*order).limit(int(k))
+    if int(limit) < 0:
+        raise ValueError(f"limit must not be negative, got {limit}")
+    return int(limit)
 
 
-def collect_ids(df: DataFrame, column: str = "uid", ids_per_list: int = 100_000) -> DataFrame:
-    """Collect ids into sorted lists, ``chunk, n, ids``.
+def collect_ids(df: DataFrame, column: str = "uid", lists: int = 1) -> DataFrame:
+    """Collect ids into ``lists`` sorted lists, ``chunk, n, ids``; ids go to lists by their md5, an empty list has no row.
 
-    A result of any size is spread over as many lists as it needs to keep each near ``ids_per_list``: ids go to lists by
-    their md5, the number of lists follows from a count (one number on the driver). Small results give a single list.
+    One list is one row in one task: a collection that may be large needs more lists, or stays a table of ids.
     """
-    total = df.where(F.col(column).isNotNull()).count()
-    lists = max(1, -(-total // ids_per_list))
+    if lists < 1:
+        raise ValueError("at least one list")
     chunk = F.pmod(F.conv(F.substring(F.md5(F.col(column)), 1, 8), 16, 10).cast("bigint"), F.lit(lists))
     return (
         df.where(F.col(column).isNotNull())

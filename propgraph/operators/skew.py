@@ -9,29 +9,35 @@ matching rows of the other side once per piece.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, VariantType
 
+from propgraph.session import scratch_path
+
 ROWS_PER_TASK = 1_000_000
 
-# Bound of the broadcast list of heavy keys. A key that is not among the heaviest MAX_HEAVY_KEYS holds less than
-# 1/MAX_HEAVY_KEYS of all rows, so it need not be cut.
-MAX_HEAVY_KEYS = 50_000
+# A list of heavy keys with more rows than this is joined instead of broadcast.
+BROADCAST_KEYS = 50_000
 
 PIECE, PIECES = "__piece", "__pieces"
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows and the number of pieces to cut them into; at most MAX_HEAVY_KEYS rows."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return (
-        counts.where(F.col("__n") > rows_per_task)
-        .orderBy(F.desc("__n"))
-        .limit(MAX_HEAVY_KEYS)
-        .select(*keys, F.ceil(F.col("__n") / rows_per_task).cast("int").alias(PIECES))
-    )
+    """All keys with more than ``rows_per_task`` rows and the number of pieces to cut them into.
+
+    The list is counted once and written to the shared folder, so that both sides of a join, and several jobs, see the same
+    one. It has at most a row per ``rows_per_task`` rows of ``df``.
+    """
+    spark = df.sparkSession
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_task)
+    heavy = counts.select(*keys, F.ceil(F.col("__n") / rows_per_task).cast("int").alias(PIECES))
+    path, written = scratch_path(spark, "heavy-keys"), Observation()
+    heavy.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    stored = spark.read.schema(heavy.schema).parquet(path)
+    return F.broadcast(stored) if (written.get["n"] or 0) <= BROADCAST_KEYS else stored
 
 
 def cut_heavy(df: DataFrame, keys: Sequence[str], heavy: DataFrame) -> DataFrame:
@@ -47,7 +53,7 @@ def cut_heavy(df: DataFrame, keys: Sequence[str], heavy: DataFrame) -> DataFrame
     ]
     piece = F.pmod(F.xxhash64(*(F.col(c) for c in others), F.spark_partition_id()), F.col(PIECES))
     return (
-        df.join(F.broadcast(heavy), list(keys), "left")
+        df.join(heavy, list(keys), "left")
         .withColumn(PIECE, F.coalesce(piece, F.lit(0)).cast("int"))
         .drop(PIECES)
     )
@@ -57,7 +63,7 @@ def repeat_heavy(df: DataFrame, keys: Sequence[str], heavy: DataFrame) -> DataFr
     """Repeat the rows of heavy keys once per piece."""
     pieces = F.coalesce(F.col(PIECES), F.lit(1))
     return (
-        df.join(F.broadcast(heavy), list(keys), "left")
+        df.join(heavy, list(keys), "left")
         .withColumn(PIECE, F.explode(F.sequence(F.lit(0), pieces - 1)))
         .drop(PIECES)
     )
@@ -70,15 +76,23 @@ def spread_join(
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
     many_rows: int | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``many`` (hub keys possible) with ``other`` on equally named keys.
 
     ``how`` is inner, left or left_semi, seen from ``many``. If the number of rows of ``many`` is known and fits one task,
-    no key can be heavy and the count is saved.
+    no key can be heavy and the count is saved; it is also saved if the list ``heavy`` is given. Rows with a null key match
+    nothing: in a left join they take no part in the join and are added, so that they are not one task either.
     """
+    if how == "left":
+        known = reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))
+        joined = spread_join(many.where(known), other, keys, "left_known", rows_per_task, many_rows, heavy)
+        added = [F.lit(None).cast(f.dataType).alias(f.name) for f in joined.schema.fields if f.name not in many.columns]
+        return joined.unionByName(many.where(~known).select(*many.columns, *added))
+    how = "left" if how == "left_known" else how
     if many_rows is not None and many_rows <= rows_per_task:
         return many.join(other, list(keys), how)
-    heavy = heavy_keys(many, keys, rows_per_task)
+    heavy = heavy_keys(many, keys, rows_per_task) if heavy is None else heavy
     left = cut_heavy(many, keys, heavy)
     right = repeat_heavy(other, keys, heavy)
     return left.join(right, [*keys, PIECE], how).drop(PIECE)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from propgraph.graph import vertex_id
-from propgraph.operators.match import filter_uids, top_k
+from propgraph.operators.match import check_limit, filter_uids, top_k
 from propgraph.operators.skew import PIECE, PIECES, cut_heavy, heavy_keys
 from propgraph.plans.views import GraphView, MaterializedView, materialize
 from propgraph.session import delete_path, scratch_path, shuffle_partitions, sized_session
@@ -43,11 +43,12 @@ def pagerank(
     limit: int | str | None = None,
     view_path: str | None = None,
     reuse: bool = True,
+    edges_per_piece: int = EDGES_PER_PIECE,
 ) -> DataFrame:
     """``vid, label, uid, rank`` by rank descending."""
     check_limit(limit)
-    graph = materialize(spark, view, view_path, reuse)
-    return _run(spark, graph, None, damping_factor, rounds, limit)
+    graph = materialize(spark, view, view_path, reuse, edges_per_piece)
+    return _run(spark, graph, None, damping_factor, rounds, limit, edges_per_piece)
 
 
 def personalized_pagerank(
@@ -59,18 +60,14 @@ def personalized_pagerank(
     limit: int | str | None = None,
     view_path: str | None = None,
     reuse: bool = True,
+    edges_per_piece: int = EDGES_PER_PIECE,
 ) -> DataFrame:
     """As ``pagerank``, with restarts at the sources: a table with ``uid`` and optionally ``label``; ids that the view does
     not have are ignored, and no source at all gives an empty result."""
     check_limit(limit)
-    graph = materialize(spark, view, view_path, reuse)
+    graph = materialize(spark, view, view_path, reuse, edges_per_piece)
     ids = filter_uids(graph.vertices, sources).select("id")
-    return _run(spark, graph, ids, damping_factor, rounds, limit)
-
-
-def check_limit(limit: int | str | None) -> None:
-    if limit is not None and (isinstance(limit, bool) or not isinstance(limit, (int, str))):
-        raise TypeError("limit must be an int or a str")
+    return _run(spark, graph, ids, damping_factor, rounds, limit, edges_per_piece)
 
 
 def _run(
@@ -151,7 +148,7 @@ def _pieces(
     edges: DataFrame, n_edges: int, edges_per_piece: int
 ) -> tuple[Callable[[DataFrame], DataFrame], DataFrame]:
     """How many pieces a vertex' out-edges are cut into (a function that adds this to a vertex table), and the edges with
-    their piece. The list of hubs to cut has a fixed bound; without enough edges for a hub there is nothing to look for."""
+    their piece. Both read one stored list of hubs; without enough edges for a hub there is nothing to look for."""
     if n_edges <= edges_per_piece:
         return lambda vertices: vertices.withColumn(PIECES, F.lit(1)), edges.withColumn(PIECE, F.lit(0))
     heavy = heavy_keys(edges, ["src"], edges_per_piece)
@@ -159,7 +156,7 @@ def _pieces(
     def add_pieces(vertices: DataFrame) -> DataFrame:
         hubs = heavy.withColumnsRenamed({"src": "id", PIECES: "__hub_pieces"})
         return (
-            vertices.join(F.broadcast(hubs), "id", "left")
+            vertices.join(hubs, "id", "left")
             .withColumn(PIECES, F.coalesce("__hub_pieces", F.lit(1)))
             .drop("__hub_pieces")
         )

@@ -7,6 +7,7 @@ edges, and writes both as Parquet, so that every round of an algorithm shuffles
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -15,9 +16,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from propgraph.graph import PropertyGraph
-from propgraph.operators.match import Node, Rel, filter_uids
-from propgraph.operators.skew import spread_join
-from propgraph.session import delete_path, path_exists, scratch_path
+from propgraph.operators.match import Node, Rel, filter_uids, is_inline
+from propgraph.operators.skew import ROWS_PER_TASK, spread_join
+from propgraph.session import delete_path, read_text, scratch_path, write_once
 
 
 @dataclass(frozen=True)
@@ -94,8 +95,8 @@ def _any_of(patterns: Sequence[Node | Rel]) -> Column | None:
 
 def _pattern_vertices(table: DataFrame, label: str, patterns: Sequence[Node]) -> DataFrame:
     """Vertices of one label. Patterns with a table of ids are semi-joined, the others are one filter."""
-    by_table = [n for n in patterns if isinstance(n.uids, DataFrame)]
-    others = [n for n in patterns if not isinstance(n.uids, DataFrame)]
+    by_table = [n for n in patterns if not is_inline(n.uids)]
+    others = [n for n in patterns if is_inline(n.uids)]
     parts = [filter_uids(_labelled(table if n.where is None else table.where(n.where), label), n.uids) for n in by_table]
     if others:
         condition = _any_of(others)
@@ -124,34 +125,49 @@ class MaterializedView:
     path: str
 
 
-def materialize(spark: SparkSession, view: GraphView, path: str | None = None, reuse: bool = True) -> MaterializedView:
+def materialize(
+    spark: SparkSession, view: GraphView, path: str | None = None, reuse: bool = True, rows_per_task: int = ROWS_PER_TASK
+) -> MaterializedView:
     """Write the view below ``path``, or read it back if it is there and ``reuse`` is set.
 
     The fingerprint is part of the folder, so a view of other data or other patterns below the same path is never taken by
-    mistake. Edges count only if both endpoints are vertices of the view.
+    mistake. Every build has a folder of its own; the first that is complete is named in one file, written last, and is the one
+    that is reused. A build that dies leaves a folder nobody reads. Edges count only if both endpoints are vertices of the
+    view.
     """
+    marker = None
     if path is None or not view.fingerprint:
-        root = scratch_path(spark, "view") if path is None else scratch_path(spark, "view-of-unnamed-data")
-        reuse = False
+        folder = scratch_path(spark, "view") if path is None else scratch_path(spark, "view-of-unnamed-data")
     else:
         root = f"{path.rstrip('/')}/{view.fingerprint}"
-    vertex_path, edge_path = f"{root}/vertices", f"{root}/edges"
-    if not (reuse and path_exists(spark, f"{edge_path}/_SUCCESS")):
-        # Ids are assigned once, in the write; what follows reads the written table.
-        numbered = view.vertices.select(F.monotonically_increasing_id().alias("id"), "label", "uid")
-        numbered.write.mode("overwrite").parquet(vertex_path)
-        pair_path = scratch_path(spark, "pairs")
-        numbered = _number_edges(spark, view.edges, spark.read.parquet(vertex_path), pair_path)
-        numbered.write.mode("overwrite").parquet(edge_path)
-        delete_path(spark, pair_path)
+        marker = f"{root}/ready"
+        ready = read_text(spark, marker) if reuse else None
+        folder = f"{root}/{ready or uuid.uuid4().hex}"
+        if ready:
+            return _read_view(spark, folder)
+    # Ids are assigned once, in the write; what follows reads the written table.
+    numbered = view.vertices.select(F.monotonically_increasing_id().alias("id"), "label", "uid")
+    numbered.write.parquet(f"{folder}/vertices")
+    pair_path = scratch_path(spark, "pairs")
+    vertices = spark.read.schema(numbered.schema).parquet(f"{folder}/vertices")
+    _number_edges(spark, view.edges, vertices, pair_path, rows_per_task).write.parquet(f"{folder}/edges")
+    delete_path(spark, pair_path)
+    if marker:
+        write_once(spark, marker, folder.rsplit("/", 1)[1])
+    return _read_view(spark, folder)
+
+
+def _read_view(spark: SparkSession, folder: str) -> MaterializedView:
     return MaterializedView(
-        spark.read.schema("id bigint, label string, uid string").parquet(vertex_path),
-        spark.read.schema("src bigint, dst bigint, w bigint").parquet(edge_path),
-        root,
+        spark.read.schema("id bigint, label string, uid string").parquet(f"{folder}/vertices"),
+        spark.read.schema("src bigint, dst bigint, w bigint").parquet(f"{folder}/edges"),
+        folder,
     )
 
 
-def _number_edges(spark: SparkSession, edges: DataFrame, vertices: DataFrame, pair_path: str) -> DataFrame:
+def _number_edges(
+    spark: SparkSession, edges: DataFrame, vertices: DataFrame, pair_path: str, rows_per_task: int
+) -> DataFrame:
     """Add up parallel edges first, then look up both endpoints; hubs are spread in the lookups."""
     pairs = edges.groupBy("src_label", "src_uid", "dst_label", "dst_uid").agg(F.count(F.lit(1)).alias("w"))
     written = Observation()
@@ -161,5 +177,5 @@ def _number_edges(spark: SparkSession, edges: DataFrame, vertices: DataFrame, pa
     for side in ("src", "dst"):
         label, uid = f"{side}_label", f"{side}_uid"
         ids = vertices.select(F.col("label").alias(label), F.col("uid").alias(uid), F.col("id").alias(side))
-        numbered = spread_join(numbered, ids, [label, uid], many_rows=n_pairs).drop(label, uid)
+        numbered = spread_join(numbered, ids, [label, uid], rows_per_task=rows_per_task, many_rows=n_pairs).drop(label, uid)
     return numbered.select("src", "dst", "w")

@@ -44,6 +44,8 @@ Properties = Iterable[tuple[str, str]]
 def _properties_type(properties: Properties, implicit: list[str], stored: list[str]) -> StructType:
     struct = StructType()
     for name, data_type in properties:
+        if name.startswith("__"):
+            raise ValueError(f"`{name}`: names that begin with __ are reserved")
         if name.lower() in {c.lower() for c in (*implicit, *stored)}:
             raise ValueError(f"`{name}` is implicit and must not be declared")
         if name.lower() in {c.lower() for c in struct.fieldNames()}:

@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -55,18 +56,59 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
 
 
+def write_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with this text; False if there is one of that name already, which stays as it is.
+
+    The text is written under another name and renamed, so a reader sees all of it or no file, and a writer that dies
+    leaves the name free.
+    """
+    fs, target = _hadoop_path(spark, path)
+    temporary = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    out = fs.create(temporary, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    option = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    try:
+        context.rename(temporary, target, spark.sparkContext._gateway.new_array(option, 0))
+    except Py4JJavaError as error:
+        fs.delete(temporary, False)
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if there is no such file."""
+    fs, target = _hadoop_path(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def sized_session(spark: SparkSession, rows: int, rows_per_partition: int = 50_000) -> SparkSession:
-    """A session for a job over ``rows`` rows, with fewer shuffle partitions than ``spark`` if the rows do not fill them.
+def sized_session(
+    spark: SparkSession, rows: int, rows_per_partition: int = 50_000, most_per_partition: int = 2_000_000
+) -> SparkSession:
+    """A session for a job over ``rows`` rows, with as many shuffle partitions as the rows need.
 
-    An iterative job that keeps a partitioning cannot leave this to adaptive execution. The setting of ``spark`` is the
-    upper bound and is not changed; its other settings are taken over.
+    An iterative job that keeps a partitioning cannot leave this to adaptive execution. The setting of ``spark`` holds where
+    it gives partitions between ``rows_per_partition`` and ``most_per_partition`` rows; else there are fewer, or more. It is
+    not changed itself; its other settings are taken over.
     """
-    enough = max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
-    if enough >= shuffle_partitions(spark):
+    fewest, enough = -(-rows // most_per_partition), max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
+    enough = max(fewest, min(enough, shuffle_partitions(spark)))
+    if enough == shuffle_partitions(spark):
         return spark
     session = spark.newSession()
     for name, value in spark.conf.getAll.items():

@@ -43,6 +43,11 @@ def create_table(
 
 def sql(spark: SparkSession, query: str, database: str | None = None) -> DataFrame:
     """Run a SQL query, in the given database if one is named."""
-    if database is not None:
-        spark.catalog.setCurrentDatabase(database)
-    return spark.sql(query)
+    if database is None:
+        return spark.sql(query)
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        return spark.sql(query)
+    finally:
+        spark.catalog.setCurrentDatabase(before)

@@ -1,6 +1,6 @@
 """Stored graphs: Parquet tables below one root, one folder per label and version.
 
-    <root>/meta/v=<n>/                schema and current version of every label, one JSON line
+    <root>/meta/v=<n>.json            schema and current version of every label, one JSON line
     <root>/vertex/<label>/<n>-<id>/   vertex table, written for meta version n
     <root>/edge/<label>/<n>-<id>/     edge table
 
@@ -12,15 +12,15 @@ next one, and the second fails instead of undoing the first.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from propgraph.graph import PropertyGraph
 from propgraph.schema import GraphSchema, Properties
-from propgraph.session import child_names, delete_path, path_exists
+from propgraph.session import child_names, delete_path, path_exists, read_text, write_once
 
 KINDS = ("vertex", "edge")
 
@@ -63,12 +63,11 @@ class StoredGraph(PropertyGraph):
         root = root.rstrip("/")
         if not path_exists(spark, f"{root}/meta"):
             raise ValueError(f"no graph at {root}")
-        newest = (
-            spark.read.schema("value string, v int").text(f"{root}/meta").orderBy(F.desc("v")).limit(1).collect()
-        )
-        if not newest:
+        names = (re.fullmatch(r"v=(\d+)\.json", name) for name in child_names(spark, f"{root}/meta"))
+        newest = max((int(name[1]) for name in names if name), default=None)
+        if newest is None:
             raise ValueError(f"no graph at {root}")
-        return StoredGraph(spark, root, newest[0]["v"], json.loads(newest[0]["value"]))
+        return StoredGraph(spark, root, newest, json.loads(read_text(spark, _meta_path(root, newest))))
 
     def drop(self) -> None:
         """Remove the graph with all its data."""
@@ -116,10 +115,15 @@ class StoredGraph(PropertyGraph):
         return deleted
 
     def fingerprint(self) -> str:
-        """Text that changes whenever the graph's data may have changed."""
-        return f"{self.root}@{self.meta_version}"
+        """Text that changes whenever the graph's data may have changed. Table versions are part of it: they are unique, so a
+        graph that is dropped and made anew at the same place has another text."""
+        return f"{self.root}@{json.dumps(self.versions, sort_keys=True)}"
+
+
+def _meta_path(root: str, version: int) -> str:
+    return f"{root}/meta/v={version}.json"
 
 
 def _write_meta(spark: SparkSession, root: str, version: int, meta: dict) -> None:
-    line = spark.createDataFrame([(json.dumps(meta, ensure_ascii=False),)], "value string").coalesce(1)
-    line.write.mode("error").text(f"{root}/meta/v={version}")
+    if not write_once(spark, _meta_path(root, version), json.dumps(meta, ensure_ascii=False)):
+        raise ValueError(f"version {version} of the graph at {root} already exists: another load has published it; open it and load again")

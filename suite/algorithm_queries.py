@@ -47,7 +47,7 @@ def graph_view_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Materialize a view, take it a second time from its path, and name its weighted edges."""
     path = scratch_path(spark, "shared-view")
     view = supply_view(spark, sf_dir)
-    first = materialize(spark, view, path)
+    first = materialize(spark, view, path, rows_per_task=400)
     again = materialize(spark, view, path, reuse=True)
     if again.path != first.path:
         raise AssertionError("the view was not reused")
@@ -57,7 +57,7 @@ def graph_view_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pagerank_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(pagerank(spark, supply_view(spark, sf_dir)))
+    return rounded(pagerank(spark, supply_view(spark, sf_dir), edges_per_piece=400))
 
 
 def pagerank_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

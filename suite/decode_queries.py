@@ -94,7 +94,7 @@ def key_to_uid(spark: SparkSession, sf_dir: str) -> DataFrame:
     rk = K.key_text(customer_key(F.col("c_custkey")))
     vertices = read(spark, sf_dir, "customer").select(rk.alias("rk"), F.col("c_name").alias("uid"))
     result = read(spark, sf_dir, "orders").select("o_orderkey", K.key_text(customer_key(F.col("o_custkey"))).alias("vertex"))
-    return keys_to_uids(result, "vertex", vertices).select("o_orderkey", "uid")
+    return keys_to_uids(result, "vertex", vertices, rows_per_task=5).select("o_orderkey", "uid")
 
 
 # --- documents ------------------------------------------------------------------------------------------------------

@@ -27,11 +27,17 @@ from suite.tables import graph, read
 
 def element_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = project_edges(graph(spark, sf_dir).edges("CONTAINS"))
-    return edges.select("label", "euid", "src_label", "src_uid", "dst_label", "dst_uid", F.size("tags").alias("n_tags"))
+    return edges.select("label", "euid", "src_label", "src_uid", "dst_label", "dst_uid", F.size("tags").alias("n_tags"), "rk")
 
 
 def vertex_project(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return project_vertices(graph(spark, sf_dir).vertices()).select("label", "uid")
+    return project_vertices(graph(spark, sf_dir).vertices()).select("label", "uid", "rk")
+
+
+def vertex_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vertices of the graph, doubled; each comes out once."""
+    vertices = graph(spark, sf_dir).vertices().withColumn("kind", F.lit("vertex"))
+    return distinct_elements(vertices.unionByName(vertices)).select("label", "uid", "rk")
 
 
 def _event_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,23 +161,28 @@ _MATCHED_SQL = """SELECT CAST(l_orderkey AS VARCHAR) AS a_uid, CAST(l_linenumber
                          CAST(l_partkey AS VARCHAR) AS b_uid, l_quantity AS f_l_quantity
                   FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey"""
 
+_VERTEX_SQL = """WITH v AS (
+  SELECT 'Region' AS label, CAST(r_regionkey AS VARCHAR) AS uid FROM region
+  UNION ALL SELECT 'Nation', CAST(n_nationkey AS VARCHAR) FROM nation
+  UNION ALL SELECT 'Customer', CAST(c_custkey AS VARCHAR) FROM customer
+  UNION ALL SELECT 'Supplier', CAST(s_suppkey AS VARCHAR) FROM supplier
+  UNION ALL SELECT 'Part', CAST(p_partkey AS VARCHAR) FROM part
+  UNION ALL SELECT 'Order', CAST(o_orderkey AS VARCHAR) FROM orders
+  UNION ALL SELECT DISTINCT 'User', CAST(user_id AS VARCHAR) FROM events)
+SELECT label, uid, length(label) || ':' || label || ':' || length(uid) || ':' || uid AS rk FROM v"""
+
 QUERIES = {
     "element_project": (
         element_project,
         """SELECT 'CONTAINS' AS label, CAST(l_linenumber AS VARCHAR) AS euid, 'Order' AS src_label,
                   CAST(l_orderkey AS VARCHAR) AS src_uid, 'Part' AS dst_label, CAST(l_partkey AS VARCHAR) AS dst_uid,
-                  0 AS n_tags FROM lineitem""",
-    ),
-    "vertex_project": (
-        vertex_project,
-        """SELECT 'Region' AS label, CAST(r_regionkey AS VARCHAR) AS uid FROM region
-           UNION ALL SELECT 'Nation', CAST(n_nationkey AS VARCHAR) FROM nation
-           UNION ALL SELECT 'Customer', CAST(c_custkey AS VARCHAR) FROM customer
-           UNION ALL SELECT 'Supplier', CAST(s_suppkey AS VARCHAR) FROM supplier
-           UNION ALL SELECT 'Part', CAST(p_partkey AS VARCHAR) FROM part
-           UNION ALL SELECT 'Order', CAST(o_orderkey AS VARCHAR) FROM orders
-           UNION ALL SELECT DISTINCT 'User', CAST(user_id AS VARCHAR) FROM events""",
+                  0 AS n_tags,
+                  '8:CONTAINS:5:Order:' || length(CAST(l_orderkey AS VARCHAR)) || ':' || l_orderkey || ':4:Part:'
+                  || length(CAST(l_partkey AS VARCHAR)) || ':' || l_partkey || ':'
+                  || length(CAST(l_linenumber AS VARCHAR)) || ':' || l_linenumber AS rk FROM lineitem""",
     ),
+    "vertex_project": (vertex_project, _VERTEX_SQL),
+    "vertex_distinct": (vertex_distinct, _VERTEX_SQL),
     "property_filter": (
         property_filter,
         """SELECT CAST(event_id AS VARCHAR) AS uid, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events

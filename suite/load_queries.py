@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from propgraph import schema as S
 from propgraph.functions.properties import PROPERTIES_TYPE
+from propgraph import Node, match
 from propgraph.operators.load import load_edges, load_vertices
 from propgraph.operators.profile import (
     profile_edges,
@@ -118,6 +119,37 @@ def vertex_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.vertex_tables["Party"]
 
 
+def _load_names(spark: SparkSession, sf_dir: str):
+    """Parts by brand and container: properties named like a load's own words, and texts that are no numbers.
+
+    The second load has a text where the first one had a number: the number stays.
+    """
+    g = StoredGraph.create(
+        spark,
+        scratch_path(spark, "graph"),
+        "names",
+        {"Item": [("reason", "string"), ("label", "string"), ("tags", "string"), ("size", "int")]},
+        {},
+        shards=2,
+    )
+    part = read(spark, sf_dir, "part")
+    mapping = [("__uid", "p_partkey"), ("reason", "p_brand"), ("label", "p_type"), ("tags", "p_name"), ("size", "size")]
+    first = load_vertices(g, part.withColumn("size", F.when(F.col("p_partkey") % 7 != 0, F.col("p_size").cast("string")).otherwise("many")), "Item", mapping)
+    later = part.where("p_partkey % 3 = 0").withColumn("size", F.when(F.col("p_partkey") % 2 == 0, F.lit("100")).otherwise("few"))
+    second = load_vertices(first.graph, later, "Item", [mapping[0], mapping[4]])
+    return second.graph, [first.report.withColumn("load", F.lit(1)), second.report.withColumn("load", F.lit(2))]
+
+
+def vertex_upsert_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g, _ = _load_names(spark, sf_dir)
+    return match(g, Node("a", "Item")).select("a_uid", "a_reason", "a_label_property", "a_tags", "a_size")
+
+
+def load_report_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, (first, second) = _load_names(spark, sf_dir)
+    return first.unionByName(second).select("load", "outcome", F.coalesce("reason", F.lit("")).alias("reason"), "n")
+
+
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, loads = _load_parties(spark, sf_dir)
     report = loads[0].unionByName(loads[1]).unionByName(loads[2])
@@ -311,6 +343,22 @@ QUERIES = {
               UNION ALL SELECT 'orders', 'superseded', '', (SELECT count(*) FROM orders) - (SELECT count(*) FROM o))
             SELECT source, outcome, reason, CAST(n AS BIGINT) AS n FROM r""",
     ),
+    "vertex_upsert_names": (
+        vertex_upsert_names,
+        """SELECT CAST(p_partkey AS VARCHAR) AS a_uid, p_brand AS a_reason, p_type AS a_label_property, p_name AS a_tags,
+                  CAST(CASE WHEN p_partkey % 6 = 0 THEN 100 WHEN p_partkey % 7 <> 0 THEN p_size END AS INTEGER) AS a_size FROM part""",
+    ),
+    "load_report_names": (
+        load_report_names,
+        """SELECT CAST(load AS INTEGER) AS load, outcome, reason, CAST(n AS BIGINT) AS n FROM (
+             SELECT 1 AS load, 'inserted' AS outcome, '' AS reason, count(*) AS n FROM part
+             UNION ALL SELECT 1, 'updated', '', 0 UNION ALL SELECT 1, 'superseded', '', 0
+             UNION ALL SELECT 1, 'cell does not fit', 'size', count(*) FROM part WHERE p_partkey % 7 = 0 HAVING count(*) > 0
+             UNION ALL SELECT 2, 'inserted', '', 0 UNION ALL SELECT 2, 'superseded', '', 0
+             UNION ALL SELECT 2, 'updated', '', count(*) FROM part WHERE p_partkey % 3 = 0
+             UNION ALL SELECT 2, 'cell does not fit', 'size', count(*) FROM part
+                       WHERE p_partkey % 3 = 0 AND p_partkey % 2 <> 0 HAVING count(*) > 0)""",
+    ),
     "edge_upsert": (
         edge_upsert,
         f"""WITH {_TRADES_SQL}

@@ -120,7 +120,10 @@ def test_view_reuse_needs_the_same_data(spark):
     same = materialize(spark, view_of(spark, "star", "v1"), path)
     other = materialize(spark, view_of(spark, "star", "v2"), path + "/")
     again = materialize(spark, view_of(spark, "star", "v1"), path, reuse=False)
-    assert first.path == same.path == again.path != other.path
+    assert first.path == same.path != other.path
+    # A build of its own; the one that others reuse stays as it is.
+    assert again.path not in (first.path, other.path)
+    assert materialize(spark, view_of(spark, "cycle", "v1"), path).path == first.path
     assert same.edges.columns == ["src", "dst", "w"]
     assert other.vertices.count() == 4 and again.vertices.count() == 4
     unnamed = [materialize(spark, view_of(spark, n), path).vertices.count() for n in ("cycle", "star")]
@@ -159,3 +162,37 @@ def test_overlapping_patterns_keep_every_edge_once(spark):
     assert [(r.src_uid, r.dst_uid) for r in view.edges.collect()] == [("1", "2"), ("1", "2")]
     with pytest.raises(ValueError):
         graph_view(graph, [Node("a", "Nope")])
+
+
+def test_a_graph_made_anew_has_its_own_views(spark):
+    """Dropped and created at the same place, with as many loads: the first graph's view is not taken for it."""
+    from propgraph.operators.load import load_edges, load_vertices
+    from propgraph.storage import StoredGraph
+
+    root, path = scratch_path(spark, "same-place"), scratch_path(spark, "views")
+    ranked = []
+    for uids in (["1", "2"], ["7", "8", "9"]):
+        g = StoredGraph.create(spark, root, "g", {"A": []}, {"E": []}, 1)
+        g = load_vertices(g, spark.createDataFrame([(u,) for u in uids], "u string"), "A", [("__uid", "u")]).graph
+        edges = spark.createDataFrame([(uids[0], uids[1])], "s string, d string")
+        mapping = [("__usid", "s"), ("__udid", "d"), ("__uslabels", "['A']"), ("__udlabels", "['A']")]
+        g = load_edges(g, edges, "E", mapping).graph
+        ranked.append(sorted(r.uid for r in P.pagerank(spark, graph_view(g), rounds=1, view_path=path).collect()))
+        g.drop()
+    assert ranked == [["1", "2"], ["7", "8", "9"]]
+
+
+def test_a_build_that_stops_half_way_is_not_reused(spark, monkeypatch):
+    from propgraph.plans import views
+
+    path = scratch_path(spark, "view")
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(views, "_number_edges", stop)
+        with pytest.raises(RuntimeError):
+            materialize(spark, view_of(spark, "cycle", "v1"), path)
+    built = materialize(spark, view_of(spark, "star", "v1"), path)
+    assert built.vertices.count() == 4 and built.edges.count() > 0

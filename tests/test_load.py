@@ -211,3 +211,35 @@ def test_delimited_text(spark):
     assert sql(spark, "SELECT count(*) AS n FROM t_textfile", database="default").first().n == 3
     with pytest.raises(ValueError):
         create_table(spark, path, "t_other", columns, "avro")
+
+
+def test_names_of_a_load_are_free_for_properties(spark):
+    g = StoredGraph.create(spark, scratch_path(spark, "names"), "n", {"A": [("reason", "string"), ("label", "string"), ("x", "int")]}, {}, 1)
+    source = spark.createDataFrame([("1", "r", "l", "5"), ("2", "s", "m", "no")], "u string, r string, l string, x string")
+    result = load_vertices(g, source, "A", [("__uid", "u"), ("reason", "r"), ("label", "l"), ("x", "x")])
+    assert rows(result.graph.vertex_tables["A"], "uid", "reason", "label", "x") == [("1", "r", "l", 5), ("2", "s", "m", None)]
+    assert report(result)[("cell does not fit", "x")] == 1
+    bad = spark.createDataFrame([("1", "oops")], "u string, x string")
+    again = load_vertices(result.graph, bad, "A", [("__uid", "u"), ("x", "x")])
+    assert rows(again.graph.vertex_tables["A"].where("uid = '1'"), "x") == [(5,)]
+    with pytest.raises(ValueError):
+        StoredGraph.create(spark, scratch_path(spark, "names"), "n", {"A": [("__x", "int")]}, {}, 1)
+
+
+def test_report_does_not_read_the_source_again(spark, graph):
+    source = spark.createDataFrame([("1", "2", "Module"), ("1", None, "Module")], "s string, d string, dl string")
+    path = scratch_path(spark, "edges-source")
+    source.write.parquet(path)
+    result = load_edges(graph, spark.read.parquet(path), "Container", CONTAINER)
+    assert path not in result.report._jdf.queryExecution().optimizedPlan().toString()
+    assert path.rsplit("/", 1)[1] not in str(result.report.inputFiles())
+    assert report(result)[("rejected", "no_dst_uid")] == 1 and report(result)[("dangling", "no_src_vertex")] == 1
+
+
+def test_an_interrupted_publish_does_not_block_the_next(spark, graph):
+    from propgraph.session import _hadoop_path
+
+    fs, half_written = _hadoop_path(spark, f"{graph.root}/meta/_interrupted")
+    fs.create(half_written, False).close()
+    loaded = load_vertices(graph, modules(spark, ("1", "a", 1)), "Module", MODULE).graph
+    assert StoredGraph.open(spark, graph.root).meta_version == loaded.meta_version == 2

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from propgraph import Node, PropertyGraph, Rel, match
+from propgraph.operators.elements import distinct_paths
 from propgraph.operators.match import (
     bind_path,
     collect_ids,
@@ -111,7 +112,7 @@ def test_paths(graph):
     assert paths.count() == 6
     rows = match(graph, *pattern)
     assert distinct_matches(rows.unionByName(rows), pattern).count() == 6
-    assert paths.select(F.transform("path", lambda e: e["rk"])).distinct().count() == 6
+    assert distinct_paths(paths.select("path").unionByName(paths.select("path"))).count() == 6
 
 
 def test_top_k(spark):
@@ -133,8 +134,8 @@ def test_collect_ids(spark):
     ids = spark.range(1000).select(F.col("id").cast("string").alias("uid"))
     single = collect_ids(ids).collect()
     assert len(single) == 1 and single[0].ids == sorted(str(i) for i in range(1000))
-    lists = collect_ids(ids, ids_per_list=50).collect()
-    assert len(lists) == 20 and max(r.n for r in lists) < 100
+    lists = collect_ids(ids, lists=4).collect()
+    assert len(lists) == 4 and max(r.n for r in lists) < 350
     assert sorted(i for r in lists for i in r.ids) == sorted(str(i) for i in range(1000))
 
 
