@@ -66,22 +66,26 @@ def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, columns: list[Column], bound: int) -> list:
-    """At most ``bound`` labelled rows of ``docs`` outside the held-out fold, as (doc_id, label, *columns).
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, inputs: list[str], bound: int, columns: list[Column] | None = None
+) -> list:
+    """At most ``bound`` labelled rows of ``docs`` outside the held-out fold: doc_id, label y and the columns ``inputs``, or
+    ``columns`` computed from these for the chosen rows only.
 
     Which rows is decided by a hash of the id alone, so every run and every partitioning learns from the same ones. A
     document labelled more than once counts with its largest label, a repeated document once.
     """
     known = (
-        labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+        labels.select("doc_id", label)
+        .where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
         .groupBy(F.col("doc_id").alias("label_id"))
         .agg(F.max(label).cast("int").alias("y"))
     )
     chosen = known.orderBy(F.xxhash64("label_id"), "label_id").limit(bound)
     rows = (
-        docs.select(F.col("doc_id"), *columns)
+        docs.select("doc_id", *inputs)
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
-        .drop("label_id")
+        .select("doc_id", "y", *(columns or inputs))
         .collect()
     )
     once = {}

@@ -213,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int
     labels and null ids are not used. Only doc_id and text of ``docs`` are read.
     """
     stats = statistics()
-    rows = labelled_sample(docs, labels, label, [c.alias(f"_s_{name}") for name, c in stats.items()], bound)
+    rows = labelled_sample(docs, labels, label, ["text"], bound, [c.alias(f"_s_{name}") for name, c in stats.items()])
     x = np.array([[row[f"_s_{name}"] for name in stats] for row in rows], dtype=float).reshape(len(rows), len(stats))
     return fit_rules(list(stats), x, np.array([float(row["y"] > 0) for row in rows]))
 
