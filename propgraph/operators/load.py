@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType, VariantType
 
-from propgraph.storage import StoredGraph
+from propgraph.session import child_names, scratch_path
+from propgraph.storage import BUCKET, StoredGraph
 
 # Reserved fields of a load mapping.
 UID = "__uid"
@@ -202,11 +203,18 @@ def _upsert(
     # Rejected rows come along, one per key and reason, so that the write counts them too; a reason depends on the key alone.
     flags = [f"__bad_{name}" for name in mapped]
     batch = latest_per_key(rows, [*key_names, "__reason"], [c for pair in zip(mapped, flags) for c in pair], order)
+    bucket = F.pmod(F.xxhash64(*key_names), F.lit(graph.schema.shards)).cast("string")
     if graph.has_data(kind, label):
-        stored = graph.vertex_tables[label] if kind == "vertex" else graph.edge_tables[label]
-        merged = merge(stored, batch, key_names, mapped)
+        # The batch is computed once; the buckets that none of its keys falls into keep their files.
+        path = scratch_path(spark, "batch")
+        batch.write.parquet(path)
+        batch = spark.read.schema(batch.schema).parquet(path)
+        touched = [r[0] for r in batch.where(F.col("__reason").isNull()).select(bucket).distinct().collect()]
+        merged = merge(graph.buckets(kind, label, touched), batch, key_names, mapped)
     else:
         merged = _first_load(batch, schema, key_names, mapped)
+    # Adaptive execution sizes the files of each bucket, and cuts large ones.
+    merged = merged.withColumn(BUCKET, bucket).hint("rebalance", F.col(BUCKET))
 
     # The counts ride along in the last stage of the write, which counts every partition exactly once.
     counts = Observation()
@@ -221,9 +229,11 @@ def _upsert(
     )
     version = graph.new_table_version()
     # Readers name the columns of the schema; ``__loaded`` serves the report alone.
-    written = observed.where(good).select(*(F.col(f"`{c}`") for c in schema.fieldNames()), (F.col("__rows") > 0).alias("__loaded"))
-    written.write.parquet(graph.table_path(kind, label, version))
-    loaded = graph.publish(kind, label, version)
+    written = observed.where(good).select(*(F.col(f"`{c}`") for c in schema.fieldNames()), (F.col("__rows") > 0).alias("__loaded"), BUCKET)
+    table = graph.table_path(kind, label, version)
+    written.write.partitionBy(BUCKET).parquet(table)
+    names = child_names(spark, table)
+    loaded = graph.publish(kind, label, version, [n.removeprefix(f"{BUCKET}=") for n in names if n.startswith(f"{BUCKET}=")])
 
     n = counts.get
     report = [(label, outcome, None, n[outcome] or 0) for outcome in ("inserted", "updated", "superseded")]
@@ -231,7 +241,7 @@ def _upsert(
     report += [(label, "cell does not fit", name, n[f"cells {name}"]) for name in mapped if n[f"cells {name}"]]
     summary = spark.createDataFrame(report, REPORT_SCHEMA)
     if kind == "edge":
-        edges = spark.read.schema(written.select(*key_names, "__loaded").schema).parquet(graph.table_path(kind, label, version))
+        edges = spark.read.schema(written.select(*key_names, "__loaded").schema).parquet(table)
         summary = summary.unionByName(missing_endpoints(loaded, label, edges.where("__loaded")))
     return LoadResult(loaded, summary)
 

@@ -1,11 +1,11 @@
 """Stored graphs: Parquet tables below one root, one folder per label and version.
 
-    <root>/meta/v=<n>.json            schema and current version of every label, one JSON line
-    <root>/vertex/<label>/<n>-<id>/   vertex table, written for meta version n
-    <root>/edge/<label>/<n>-<id>/     edge table
+    <root>/meta/v=<n>.json                       schema and current version of every bucket of every label
+    <root>/vertex/<label>/<n>-<id>/__bucket=<b>  one bucket of a vertex table, written for meta version n
+    <root>/edge/<label>/<n>-<id>/__bucket=<b>    one bucket of an edge table
 
-A load writes the new version of its label beside the old one and then a new meta version, so it becomes visible in one
-step; a reader keeps the versions it opened. Two loads that start from the same meta version collide when they write the
+A label's rows are dealt to as many buckets as the graph has shards, by a hash of their key. A load writes the buckets that it
+touches anew, beside the old ones, and then a new meta version, so it becomes visible in one step; a reader keeps the versions it opened. Two loads that start from the same meta version collide when they write the
 next one, and the second fails instead of undoing the first.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +23,7 @@ from propgraph.schema import GraphSchema, Properties
 from propgraph.session import child_names, delete_path, path_exists, read_text, write_once
 
 KINDS = ("vertex", "edge")
+BUCKET = "__bucket"
 
 
 class StoredGraph(PropertyGraph):
@@ -33,7 +34,9 @@ class StoredGraph(PropertyGraph):
         self.root = root
         self.meta_version = meta_version
         self.schema = GraphSchema.from_meta(meta["schema"])
-        self.versions: dict[str, dict[str, str]] = {kind: dict(meta["versions"][kind]) for kind in KINDS}
+        self.versions: dict[str, dict[str, dict[str, str]]] = {
+            kind: {label: dict(buckets) for label, buckets in meta["versions"][kind].items()} for kind in KINDS
+        }
         super().__init__(
             {label: self._table("vertex", label) for label in self.schema.vertex_labels},
             {label: self._table("edge", label) for label in self.schema.edge_labels},
@@ -84,34 +87,42 @@ class StoredGraph(PropertyGraph):
         return f"{self.root}/{kind}/{label}/{version}"
 
     def _table(self, kind: str, label: str) -> DataFrame:
+        return self.buckets(kind, label, self.versions[kind].get(label, {}))
+
+    def buckets(self, kind: str, label: str, buckets: Iterable[str]) -> DataFrame:
+        """The rows of some buckets of a label; of a bucket without data there are none."""
         schema = self.schema.vertex_type(label) if kind == "vertex" else self.schema.edge_type(label)
-        version = self.versions[kind].get(label)
-        if version is None:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.table_path(kind, label, version))
+        current = self.versions[kind].get(label, {})
+        paths = [f"{self.table_path(kind, label, current[b])}/{BUCKET}={b}" for b in sorted(buckets) if b in current]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def has_data(self, kind: str, label: str) -> bool:
-        return label in self.versions[kind]
+        return bool(self.versions[kind].get(label))
 
-    def publish(self, kind: str, label: str, version: str) -> StoredGraph:
-        """Make a written table version the current one and return the graph that has it."""
-        versions = {k: dict(v) for k, v in self.versions.items()}
-        versions[kind][label] = version
+    def publish(self, kind: str, label: str, version: str, buckets: Iterable[str]) -> StoredGraph:
+        """Make written buckets the current ones and return the graph that has them."""
+        versions = {k: {name: dict(b) for name, b in v.items()} for k, v in self.versions.items()}
+        versions[kind].setdefault(label, {}).update(dict.fromkeys(buckets, version))
         meta = {"schema": self.schema.to_meta(), "versions": versions}
         _write_meta(self.spark, self.root, self.meta_version + 1, meta)
         return StoredGraph(self.spark, self.root, self.meta_version + 1, meta)
 
     def delete_old_versions(self) -> int:
-        """Delete the tables that this version of the graph does not use; the number deleted.
+        """Delete the buckets that this version of the graph does not use; the number deleted.
 
         For the newest version, while no load runs and nobody reads an older one.
         """
         deleted = 0
         for kind, labels in (("vertex", self.schema.vertex_labels), ("edge", self.schema.edge_labels)):
             for label in labels:
+                current = self.versions[kind].get(label, {})
                 for version in child_names(self.spark, f"{self.root}/{kind}/{label}"):
-                    if version != self.versions[kind].get(label):
-                        deleted += delete_path(self.spark, self.table_path(kind, label, version))
+                    path, used = self.table_path(kind, label, version), version in current.values()
+                    for name in child_names(self.spark, path):
+                        if name.startswith(f"{BUCKET}=") and current.get(name.removeprefix(f"{BUCKET}=")) != version:
+                            deleted += delete_path(self.spark, f"{path}/{name}")
+                    if not used:
+                        delete_path(self.spark, path)
         return deleted
 
     def fingerprint(self) -> str:

@@ -186,9 +186,21 @@ def test_stored_filter_reaches_the_scan(spark, graph):
 def test_delete_old_versions(spark, graph):
     g = graph
     for i in range(3):
-        g = load_vertices(g, modules(spark, (str(i), "a", i)), "Module", MODULE).graph
+        g = load_vertices(g, modules(spark, ("1", "a", i)), "Module", MODULE).graph
     assert g.delete_old_versions() == 2 and g.delete_old_versions() == 0
-    assert StoredGraph.open(spark, g.root).vertex_tables["Module"].count() == 3
+    assert rows(StoredGraph.open(spark, g.root).vertex_tables["Module"], "uid", "size") == [("1", 2)]
+
+
+def test_a_load_rewrites_only_the_buckets_it_touches(spark, graph):
+    g = load_vertices(graph, modules(spark, *((str(i), "a", i) for i in range(60))), "Module", MODULE).graph
+    before = dict(g.versions["vertex"]["Module"])
+    assert len(before) == 3
+    g = load_vertices(g, modules(spark, ("7", "b", 700), (None, "x", 1)), "Module", MODULE).graph
+    after = g.versions["vertex"]["Module"]
+    assert sum(after[b] != before[b] for b in before) == 1
+    assert rows(g.vertex_tables["Module"].where("size >= 59"), "uid", "size") == [("59", 59), ("7", 700)]
+    assert g.vertex_tables["Module"].count() == 60
+    assert g.delete_old_versions() == 1 and StoredGraph.open(spark, g.root).vertex_tables["Module"].count() == 60
 
 
 def test_drop(spark, graph):
