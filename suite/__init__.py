@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from suite import algorithm_queries, decode_queries, element_queries, load_queries, match_queries
+from suite import algorithm_queries, decode_queries, element_queries, load_queries, match_queries, stored_queries
 
-MODULES = (match_queries, element_queries, load_queries, decode_queries, algorithm_queries)
+MODULES = (match_queries, element_queries, load_queries, decode_queries, algorithm_queries, stored_queries)
 
 
 def all_queries() -> dict:

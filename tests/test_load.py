@@ -255,3 +255,10 @@ def test_an_interrupted_publish_does_not_block_the_next(spark, graph):
     fs.create(half_written, False).close()
     loaded = load_vertices(graph, modules(spark, ("1", "a", 1)), "Module", MODULE).graph
     assert StoredGraph.open(spark, graph.root).meta_version == loaded.meta_version == 2
+
+
+def test_stored_uid_predicate_is_pushed(spark, sf_dir):
+    from suite.stored_queries import stored_match_uid_in
+
+    plan = stored_match_uid_in(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "In(uid, [" in plan
