@@ -10,7 +10,7 @@ import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -190,6 +190,9 @@ def label_column(index: Column, labels: Mapping[int, str]) -> Column:
         raise ValueError(f"a key can address {MAX_LABELS} labels at most, got {len(labels)}")
     if not labels:
         return F.lit(None).cast("string")
+    if min(labels) >= 0 and max(labels) <= 4 * len(labels) + 64:
+        # Indexes are nearly consecutive: found by position, where a literal map would be searched entry by entry.
+        return F.get(F.array(*(F.lit(labels.get(i)).cast("string") for i in range(max(labels) + 1))), index.cast("int"))
     entries = [F.lit(x) for i, label in labels.items() for x in (i, label)]
     return F.try_element_at(F.create_map(*entries), index.cast("int"))
 
@@ -208,6 +211,16 @@ def resolve_labels(df: DataFrame, index: str, label_dict: DataFrame, kind: str,
     return df.join(F.broadcast(entries), df[index] == entries["__index"], "left").drop("__index")
 
 
+def dictionary_problems(label_dict: DataFrame) -> DataFrame:
+    """The rows of a ``kind, label_index, label_value`` table that a lookup does not use, with the ``problem``: an index that no
+    key can hold, or another label that is taken for the same index (the first in order of text)."""
+    best = F.min("label_value").over(Window.partitionBy("kind", "label_index"))
+    outside = F.col("label_index").isNull() | ~F.col("label_index").between(0, MAX_LABELS - 1)
+    problem = F.when(outside, "index_out_of_range").when(F.col("label_value") != F.col("__best"), "index_taken")
+    rows = label_dict.select("kind", "label_index", "label_value", best.alias("__best"))
+    return rows.withColumn("problem", problem).where(F.col("problem").isNotNull()).drop("__best")
+
+
 # --- tables of schema documents -------------------------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from propgraph import PropertyGraph
 from propgraph.operators.profile import profile_endpoints, profile_vertices, schema_from_data
-from propgraph.schema import GraphSchema, label_column, parse_schema_documents, resolve_labels, schema_documents
+from propgraph.schema import GraphSchema, dictionary_problems, label_column, parse_schema_documents, resolve_labels, schema_documents
 
 GOOD = {
     "__VERSION": 18,
@@ -25,7 +25,7 @@ def parse(spark, *docs):
     return parse_schema_documents(spark.createDataFrame(texts, "doc string"), "doc")
 
 
-def test_declare():
+def test_declare(spark):
     schema = GraphSchema.declare("g", {"A": [("x", "int")], "B": []}, {"E": [("w", "decimal(10,2)")]}, 3)
     assert schema.vertex_type("A").simpleString() == "struct<uid:string,x:int>"
     assert schema.vertex_label(2) == "B" and schema.vertex_label(3) is None and schema.edge_label(1) == "E"
@@ -104,3 +104,18 @@ def test_profile(spark):
             {"label": "E", "fields": [], "src_dst_labels": [{"src": "A", "dst": "B"}, {"src": "B", "dst": "A"}]}
         ],
     }
+
+
+def test_labels_by_position_and_by_map(spark):
+    df = spark.createDataFrame([(i,) for i in (-1, 0, 1, 5, 200, 60000, None)], "i int")
+    near, far = {0: "z", 1: "A", 5: "B"}, {1: "A", 60000: "C"}
+    for labels in (near, far):
+        assert [r[0] for r in df.select(label_column(F.col("i"), labels)).collect()] == [labels.get(r.i) for r in df.collect()]
+
+
+def test_dictionary_problems(spark):
+    rows = [("vertex", 1, "A"), ("vertex", 1, "B"), ("edge", 1, "E"), ("vertex", 70000, "X"), ("vertex", None, "N")]
+    found = dictionary_problems(spark.createDataFrame(rows, "kind string, label_index int, label_value string"))
+    assert sorted((r.label_value, r.problem) for r in found.collect()) == [
+        ("B", "index_taken"), ("N", "index_out_of_range"), ("X", "index_out_of_range")
+    ]
