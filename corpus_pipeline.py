@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propgraph.llm import decontaminate, exact_dedup, packing, quality, simhash_dedup
-from propgraph.llm.common import read, stored
+from propgraph.llm.common import free_name, read, stored
 from propgraph.llm.queries import QUALITY_CUT, tokenizer_path
 
 #: Near copies: 3-word fingerprints within 7 bits whose texts' sketches agree with a five-word similarity of 0.8. A sketch of
@@ -26,9 +26,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     rows without id and further columns stay as they are; no documents give none.
     """
     model = quality.train(docs, read(spark, sf_dir, "labels"))
-    free = "_score"
-    while free in docs.columns:
-        free = "_" + free
+    free = free_name(docs, "_score")
     return quality.with_score(docs, model, free).where(F.col(free) >= QUALITY_CUT).select(*docs.columns)
 
 
@@ -53,11 +51,12 @@ def no_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     if found.where("doc_id IS NULL").isEmpty():
         return clean
     # Only here are texts compared: rows without id take the hash of their text as an id.
-    nameless = docs.where("doc_id IS NULL").withColumn("_text_hash", F.xxhash64("text"))
-    hashed = nameless.select(F.col("_text_hash").alias("doc_id"), "text")
-    bad = decontaminate.contaminated(hashed, benchmark).select(F.col("doc_id").alias("_text_hash")).distinct()
+    name = free_name(docs, "_text_hash")
+    nameless = docs.where("doc_id IS NULL").withColumn(name, F.xxhash64("text"))
+    hashed = nameless.select(F.col(name).alias("doc_id"), "text")
+    bad = decontaminate.contaminated(hashed, benchmark).select(F.col("doc_id").alias(name)).distinct()
     named = clean.where("doc_id IS NOT NULL")
-    return named.unionByName(nameless.join(bad, "_text_hash", "left_anti").select(*docs.columns))
+    return named.unionByName(nameless.join(bad, name, "left_anti").select(*docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,6 +26,14 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(column.cast("string")) % FOLDS == 0, F.lit(False))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, whatever its columns are called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: computed once, and no lineage behind it."""
     path = scratch_path(df.sparkSession, name)

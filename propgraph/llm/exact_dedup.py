@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import rows_mapper, stored
+from propgraph.llm.common import free_name, rows_mapper, stored
 
 SALTS = 64
 LOCAL_BYTES = 64 << 20
@@ -60,6 +60,7 @@ def _local(salts: int, local_bytes: int):
                 size += 32
                 held.move_to_end(key)
                 if len(ids) >= LOCAL_IDS:
+                    size -= len(key[1]) + 200 + 32 * (len(ids) - 1)
                     yield row(key, held.pop(key))
             # The contents not seen for longest leave first; a later copy of one of them just makes another row.
             while size > local_bytes and held:
@@ -174,8 +175,9 @@ def without_rows(docs: DataFrame, dropped: DataFrame, repeated: DataFrame) -> Da
     kept = docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
     if repeated.isEmpty():
         return kept
-    again = repeated.select(F.col("doc_id").alias("again_id")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("again_id"))
+    name = free_name(docs, "_again")
+    again = repeated.select(F.col("doc_id").alias(name)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(name))
     once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.join(again, same, "left_anti").unionByName(once)
 
@@ -192,11 +194,12 @@ def drop_copies(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     nameless = docs.where("doc_id IS NULL")
     if nameless.isEmpty():
         return named
-    alone = groups.where("keep_id IS NULL").select(F.col("text_sha256").alias("digest")).distinct()
+    digest = free_name(docs, "_digest")
+    alone = groups.where("keep_id IS NULL").select(F.col("text_sha256").alias(digest)).distinct()
     once = (
-        nameless.withColumn("_digest", F.sha2(normalised("text"), 256))
-        .join(alone, F.col("_digest") == F.col("digest"), "left_semi")
-        .dropDuplicates(["_digest"])
+        nameless.withColumn(digest, F.sha2(normalised("text"), 256))
+        .join(alone, digest, "left_semi")
+        .dropDuplicates([digest])
         .select(*docs.columns)
     )
     return named.unionByName(once)

@@ -108,7 +108,7 @@ def train(docs: DataFrame, bound: int = SAMPLE_ROWS, size: int = PROFILE) -> Pro
     Documents are chosen by a hash of their id. Rows without lang, id or text teach nothing. Counts are summed in Spark; what
     reaches the driver is ``size`` n-grams per language.
     """
-    known = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL").where(~held_out())
+    known = docs.select("doc_id", "lang", "text").where("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL").where(~held_out())
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         known.select("doc_id", "lang")

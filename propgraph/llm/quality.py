@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import labelled_sample
+from propgraph.llm.common import free_name, labelled_sample
 
 #: Labelled rows to learn from, at most.
 SAMPLE_ROWS = 6000
@@ -227,7 +227,7 @@ def with_score(docs: DataFrame, model: RuleModel, column: str = "score", text: s
         return docs.withColumn(column, F.lit(float(model.prior)))
     used = {model.names[c[0]] for rule in model.rules for c in rule}
     stats = [c.alias(name) for name, c in statistics(text).items() if name in used] or [F.lit(0.0).alias("none")]
-    held = "_" + column + "_statistics"
+    held = free_name(docs, "_statistics")
     # Without the array round trip Spark would push the statistics into every rule that uses them.
     with_stats = docs.withColumn(held, F.explode(F.array(F.struct(*stats))))
     return with_stats.withColumn(column, model.score_of({name: F.col(f"{held}.{name}") for name in used})).drop(held)

@@ -112,7 +112,7 @@ def test_odd_rows(spark, corpus):
 
 def test_language(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    profiles = langid.train(docs)
+    profiles = langid.train(docs.selectExpr("*", "1 AS c_id", "2 AS c_lang", "3 AS place"))
     truth = {r.doc_id: r.lang for r in docs.collect()}
     rows = langid.identify(docs, profiles).collect()
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in rows]) > 0.95

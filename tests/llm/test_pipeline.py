@@ -101,7 +101,7 @@ def test_odd_documents_pass_every_stage(spark, sf_dir):
     rows = [(1, None), (2, ""), (3, "a" * 100_000), (None, "no id here"), (None, "no id here"), (None, item), (4, item)]
     rows += [(5, sentence(1, 50)), (5, sentence(1, 50)), (6, sentence(1, 50)), (7, sentence(2, 20_000))]
     docs = documents(spark, rows)
-    for name in ("_score", "_text_hash2", "again_id2", "fingerprint", "component_id", "label_id", "score"):
+    for name in ("_score", "_text_hash", "_again", "_digest", "digest", "_statistics", "fingerprint", "component_id", "label_id", "score"):
         docs = docs.selectExpr("*", f"1 AS {name}")
     columns = docs.columns
     for given in (docs, docs.limit(0)):
