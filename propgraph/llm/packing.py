@@ -22,7 +22,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +32,7 @@ CAPACITY = 1024
 MAX_SEGMENTS = 64
 POOL = 1024
 END_ID = 0
-#: Words whose ids a worker remembers; of their cuts twice as many.
+#: Words whose ids a worker remembers.
 CACHE_WORDS = 500_000
 
 SCHEMA = pa.schema(
@@ -45,7 +44,7 @@ COLUMNS = (
 )
 
 # Fixed value: the pattern by which byte-level tokenizers of this kind cut texts.
-_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ODD_SPACE = re.compile(r"\s (?:\s|\Z)")
 
 
@@ -53,9 +52,10 @@ class Encoder:
     """Token ids of texts as little-endian bytes, by the tokenizer file; equal to encoding each text as a whole.
 
     A byte-level tokenizer first cuts a text by a pattern, and always before a space that a visible character follows; it then
-    works on each cut alone. So the ids of a text are those of its space-separated words, and a word's are those of its cuts,
-    each of which needs to be computed once. Texts with runs of white space in which a space stands between others, texts with
-    one of the tokenizer's special strings, and all texts of a tokenizer of another kind are encoded as a whole.
+    works on each cut alone. So the ids of a text are those of its space-separated words, and a word's ids are computed once.
+    Words go to an encoder made from the file's vocabulary that has little overhead on short texts. Texts with runs of white
+    space in which a space stands between others, texts with one of the tokenizer's special strings, and all texts of a
+    tokenizer of another kind are encoded as a whole by the tokenizer itself.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS) -> None:
@@ -64,47 +64,55 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        parts = json.loads(self.tokenizer.to_str())
-        first = parts.get("pre_tokenizer") or {}
-        self.by_word = (
-            first.get("type") == "ByteLevel"
-            and not first.get("add_prefix_space")
-            and first.get("use_regex", True)
-            and not parts.get("normalizer")
-        )
+        self.short = word_encoder(json.loads(self.tokenizer.to_str()))
         self.cache_words = cache_words
         self.words: dict[str, bytes] = {}
-        self.cuts: dict[str, bytes] = {}
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: set[str]) -> None:
+    def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > self.cache_words:
             self.words.clear()
-        if len(self.cuts) > 2 * self.cache_words:
-            self.cuts.clear()
-        cut = {word: _CUT.findall(word) for word in words}
-        new = list({c for cuts in cut.values() for c in cuts}.difference(self.cuts))
-        for first in range(0, len(new), 4096):
-            part = new[first : first + 4096]
-            self.cuts.update(zip(part, self._whole(part), strict=True))
-        ids = self.cuts.__getitem__
-        self.words.update((word, b"".join(map(ids, cuts))) for word, cuts in cut.items())
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split: list[list[str] | None] = []
+        out = []
         for text in texts:
-            odd = not self.by_word or _ODD_SPACE.search(text) or any(s in text for s in self.special)
+            if self.short is None or _ODD_SPACE.search(text) or any(s in text for s in self.special):
+                out.append(self._whole(text))
+                continue
             # A word keeps its space in front; only the first word of a text has none.
-            split.append(None if odd else _words(text))
-        # One word list at a time could be a very long text; its words are few beside it.
-        new = {w for words in split if words for w in words}.difference(self.words)
-        if new:
-            self._learn({w for words in split if words for w in words} if len(self.words) > self.cache_words else new)
-        ids = self.words.__getitem__
-        return [self._whole([t])[0] if w is None else b"".join(map(ids, w)) for t, w in zip(texts, split, strict=True)]
+            words = _words(text)
+            try:
+                out.append(b"".join(map(self.words.__getitem__, words)))
+            except KeyError:
+                encode = self.short.encode_ordinary
+                for word in set(words).difference(self.words):
+                    self.words[word] = np.array(encode(word), dtype="<u4").tobytes()
+                out.append(b"".join(map(self.words.__getitem__, words)))
+        return out
+
+
+def word_encoder(parts: dict):
+    """An encoder of short texts from the parts of a byte-level tokenizer file; None for one of another kind.
+
+    It takes a token's id for its rank, so the file's merges must stand in the order of the ids they make.
+    """
+    import tiktoken
+
+    first, model = parts.get("pre_tokenizer") or {}, parts["model"]
+    plain = first.get("type") == "ByteLevel" and not first.get("add_prefix_space") and first.get("use_regex", True)
+    if not plain or parts.get("normalizer") or model.get("type") != "BPE":
+        return None
+    # Byte-level files write a byte as a visible character: itself, or one from 256 on, in order.
+    visible = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    hidden = [b for b in range(256) if b not in visible]
+    byte_of = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    special = {t["content"] for t in parts.get("added_tokens", [])}
+    vocabulary = model["vocab"]
+    made = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if made != sorted(made) or any(c not in vocabulary for c in byte_of):
+        return None
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in vocabulary.items() if token not in special}
+    return tiktoken.Encoding("words", pat_str=_CUT, mergeable_ranks=ranks, special_tokens={})
 
 
 @lru_cache(maxsize=2)
