@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from propgraph.llm.common import stored
 
 
-def _with_least(pairs: DataFrame) -> DataFrame:
+def _with_least(pairs: DataFrame, hubs: bool) -> DataFrame:
     """Rows (u, v) with m, the smallest of u and all its neighbours v.
 
-    The smallest is aggregated before the shuffle and joined back, so that adaptive execution can split a node with very
-    many neighbours.
+    The smallest is aggregated before the shuffle and joined back. Where nodes may have very many neighbours (``hubs``) it is
+    written first: a join that shared the aggregate's partitioning could not be split by adaptive execution.
     """
     least = pairs.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("least"))
+    least = stored(least, "least") if hubs else least
     return pairs.join(least, F.col("u") == F.col("k")).select("u", "v", F.least("u", "least").alias("m"))
 
 
@@ -36,8 +37,9 @@ def components(links: DataFrame) -> DataFrame:
     before = _signature(edges)
     while before[0]:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        small = _with_least(large)
+        large = _with_least(both, hubs=True).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        # After the large step a node is linked to smaller ones by few edges: those to the smallest of each neighbourhood.
+        small = _with_least(large, hubs=False)
         star = (
             small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v")

@@ -334,8 +334,9 @@ def near_groups(
     linked = distinct.select(node_of(own).alias("name"), "first").join(roots, F.col("name") == F.col("node"), "left").select(
         "name", "first", F.coalesce("root", "name").alias("class")
     )
-    # Classes are few rows beside the documents: one per distinct fingerprint.
-    ids = linked.groupBy("class").agg(F.min("first").alias("component_id"))
+    # Classes are few rows beside the documents: one per distinct fingerprint. The table of ids is written, since a join that
+    # shares the aggregate's partitioning could not be split where one class has very many members.
+    ids = stored(linked.groupBy("class").agg(F.min("first").alias("component_id")), "simhash-ids")
     classes = linked.join(ids, "class").select("name", "component_id")
     return prints.join(classes, node_of(own) == F.col("name")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
