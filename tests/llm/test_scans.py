@@ -61,6 +61,40 @@ def test_contaminated(spark):
     assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, in_blocks), key=str)
 
 
+def test_edited_passages_are_all_found(spark):
+    choose = random.Random(11)
+    vocabulary = [sentence(i, 1) for i in range(400)]
+    weights = [1 / (i + 1) for i in range(400)]
+
+    def zipf(n):
+        return choose.choices(vocabulary, weights, k=n)
+
+    items = [zipf(choose.randint(8, 60)) for _ in range(120)]
+    docs = []
+    for n in range(300):
+        words = list(items[n % 120])
+        for _ in range(choose.randint(1, 2)):
+            at, kind = choose.randrange(len(words)), choose.randrange(3)
+            words[at : at + (kind != 2)] = zipf(kind != 1)
+        docs.append((n, " ".join([*zipf(choose.randint(0, 30)), *words, *zipf(70)])))
+    want = set()
+    for n, text in docs:
+        words = text.split()
+        for i, own in enumerate(items):
+            known = {tuple(own[k : k + 5]) for k in range(len(own) - 4)}
+            hits = [tuple(words[k : k + 5]) in known for k in range(len(words) - 4)]
+            if any(hits) and any(decontaminate.similarity(words[p : p + len(own)], own) >= 0.8 for p in range(len(words) - len(own) + 1)):
+                want.add((n, i))
+    table = spark.createDataFrame([(i, " ".join(own)) for i, own in enumerate(items)], "item_id long, text string")
+    rows = decontaminate.contaminated(documents(spark, docs), table).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == want and len(want) > 50
+    assert any(r.distance > decontaminate.RADIUS for r in rows)
+    texts = dict(docs)
+    for r in rows:
+        passage = texts[r.doc_id].split()[r.start_word : r.start_word + r.n_words]
+        assert r.similarity == decontaminate.similarity(passage, items[r.item_id]) >= 0.8
+
+
 def test_nothing_to_compare(spark):
     assert decontaminate.contaminated(documents(spark, []), benchmark(spark)).count() == 0
     assert decontaminate.contaminated(documents(spark, planted()), benchmark(spark, [])).count() == 0
