@@ -37,7 +37,7 @@ EPOCHS = 6
 BATCH = 16
 #: Blocks of a page whose states are held at once; longer sequences are read in pieces, states carried over both ways.
 PIECE = 4096
-#: Words of a block that make its vector: counted over the whole block, so a long block has a vector of the same size.
+# A block's vector is made of all its words, each once: however long the block, of WORD_BUCKETS rows at most.
 
 # Elements by what they do to text.
 BLOCK_ELEMENTS = frozenset(
@@ -158,16 +158,16 @@ def path_features(path: tuple) -> list[int]:
 
 
 def word_features(text: str, linked: bool) -> list[int]:
-    """Buckets of a block's words, and of its size and marks; each once."""
+    """Buckets of all of a block's words, and of its size and marks; each once."""
     words = _WORD.findall(text.lower())
-    found = {"w:" + w for w in words} if len(words) <= 64 else set()
+    found = {"w:" + w for w in words}
     found.add(f"words:{len(words).bit_length()}")
     found.add("ends" if text[-1:] in ".!?" else "open")
     if linked:
         found.add("link")
     if "©" in text:
         found.add("mark")
-    return sorted(_bucket(x, WORD_BUCKETS) for x in found)
+    return sorted({_bucket(x, WORD_BUCKETS) for x in found})
 
 
 Features = tuple[list[int], list[int]]

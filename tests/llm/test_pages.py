@@ -47,6 +47,26 @@ def test_extract(spark, model):
     assert html_extract.extract(pages.limit(0), model).count() == 0
 
 
+def test_long_blocks_are_told_apart_by_their_words():
+    path = (("body", ()), ("div", ()))
+    legal = "we use cookies and partners to store consent choices settings privacy policy accept reject manage legitimate interest".split()
+
+    def blocks(seed):
+        choose = np.random.default_rng(seed)
+        notice = " ".join(choose.choice(legal, 90)) + "."
+        return [(path, notice), (path, sentence(seed, 90) + ".")], [0.0, 1.0]
+
+    def page(seed):
+        pair, labels = blocks(seed)
+        order = [1, 0] if seed % 2 else [0, 1]
+        return [html_extract.block_features(pair[i]) for i in order], np.array([labels[i] for i in order])
+
+    learned = html_extract.fit(*map(list, zip(*(page(i) for i in range(200)), strict=True)), epochs=8)
+    for seed in range(1000, 1020):
+        features, labels = page(seed)
+        assert (learned.label([features])[0] == (labels > 0)).all()
+
+
 def test_long_sequences_are_read_in_pieces_alike(model, monkeypatch):
     page = [html_extract.block_features(b) for b in html_extract.parse_blocks(PAGE) * 5]
     whole = model.label([page])[0]
