@@ -47,7 +47,10 @@ BLOCK_ELEMENTS = frozenset(
 )
 VOID_ELEMENTS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_ELEMENTS = frozenset("script style".split())
-HIDDEN_ELEMENTS = frozenset("head script style noscript template svg iframe object canvas audio video textarea select".split())
+HIDDEN_ELEMENTS = frozenset("head title script style noscript template svg iframe object canvas audio video textarea select".split())
+#: Elements that do not end an open head.
+HEAD_ELEMENTS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+FOREIGN_ELEMENTS = frozenset("svg math".split())
 #: Elements that end an open element of the same kind, as a new paragraph ends the one before.
 IMPLIED_ENDS = {
     "p": frozenset("p".split()),
@@ -93,7 +96,17 @@ class BlockParser(HTMLParser):
             self.blocks.append((self.path or (), text))
         self.text, self.path = [], None
 
+    def end_head(self, tag: str | None) -> None:
+        """Close an open head that leaves out its end tag, before an element (or text, None) that no head has."""
+        at = next((i for i, (name, _) in enumerate(self.open) if name == "head"), None)
+        if at is None or tag in HEAD_ELEMENTS:
+            return
+        inside = {name for name, _ in self.open[at + 1 :]}
+        if not inside & HIDDEN_ELEMENTS or (tag == "body" and "template" not in inside):
+            del self.open[at:]
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self.end_head(tag)
         if tag == "br":
             self.text.append(" ")
         if tag in BLOCK_ELEMENTS:
@@ -122,8 +135,13 @@ class BlockParser(HTMLParser):
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
+        # In foreign content the slash closes; a hidden element closed by it holds nothing that it could hide.
+        if tag not in VOID_ELEMENTS and (tag in HIDDEN_ELEMENTS or any(name in FOREIGN_ELEMENTS for name, _ in self.open)):
+            self.open.pop()
 
     def handle_data(self, data: str) -> None:
+        if not data.isspace():
+            self.end_head(None)
         if any(tag in HIDDEN_ELEMENTS for tag, _ in self.open):
             return
         if self.path is None and not data.isspace():

@@ -36,6 +36,20 @@ def test_blocks():
     assert [t for _, t in html_extract.parse_blocks("a &am <b>b</p>c<div>d <p>e")] == ["a &am b", "c", "d", "e"]
 
 
+def texts(html):
+    return [t for _, t in html_extract.parse_blocks(html)]
+
+
+def test_open_heads_and_closed_elements_hide_nothing():
+    assert texts("<html><head><title>t</title><style>p{}</style><body><p>one</p></body></html>") == ["one"]
+    assert texts("<head><meta charset=x><title>t</title><p>one<p>two") == ["one", "two"]
+    assert texts("<head><title>t</title> plain <b>text</b></html>") == ["plain text"]
+    assert texts("<head><noscript><img src=x></noscript><template><p>no</p></template><title>t</title></head><p>one") == ["one"]
+    for closed in ("<svg width=1 />", "<iframe src='x'/>", "<svg><path d='x'/><g/></svg>", "<math/>"):
+        assert texts(f"<div>before {closed} after</div><p>end</p>") == ["before after", "end"]
+    assert texts("<div>before <svg><title>no</title><g/>no</svg> after</div>") == ["before", "after"]
+
+
 def test_extract(spark, model):
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (None, "u", PAGE), (4, "u", "<p" + "x" * 1000), (5, "u", "<article>" + "<p>word and more.</p>" * 9000)]
     pages = clashing(spark.createDataFrame(rows, "page_id long, url string, html string"))
