@@ -7,7 +7,21 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propgraph.llm import decontaminate, exact_dedup, html_extract, langid, licenses, packing, quality, simhash_dedup, toxicity, warc
+from propgraph.llm import (
+    decontaminate,
+    embedding_dedup,
+    exact_dedup,
+    fill_in_middle,
+    html_extract,
+    langid,
+    licenses,
+    packing,
+    period_runs,
+    quality,
+    simhash_dedup,
+    toxicity,
+    warc,
+)
 from propgraph.llm.common import held_out, read
 
 #: The tokenizer file of the packing query; its place is a parameter of the operator.
@@ -103,6 +117,67 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all documents, every tenth of them made to repeat itself."""
+    found = period_runs.periodic_runs(read(spark, sf_dir, "documents"), repeat=True)
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "start",
+        "length",
+        "period",
+        F.floor(F.lit(1000) * F.col("length") / F.col("period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all vectors by cosine."""
+    return embedding_dedup.vector_groups(read(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents laid out for filling in the middle, and what they were restored to."""
+    made = fill_in_middle.fill_in_middle(read(spark, sf_dir, "documents"))
+    restored = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        *("doc_id", "n", "form", "prefix_chars", "middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '(?s)[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || CAST(doc_id AS VARCHAR)) AS h
+  FROM documents
+), d AS (
+  SELECT doc_id, x, u, len(u) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM t
+), c AS (
+  SELECT doc_id, x, u, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), p AS (
+  SELECT doc_id, x, n, form, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid,
+         array_to_string(u[b + 1:n], '') AS suf
+  FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(x) AS restored_sha256
+FROM p
+"""
+
+
 QUERIES = {
     "op1_pack": (op1_pack, None),
     "op2_licenses": (op2_licenses, None),
@@ -114,4 +189,7 @@ QUERIES = {
     "op8_main_text": (op8_main_text, None),
     "op9_warc": (op9_warc, OP9_SQL),
     "op10_language": (op10_language, None),
+    "op11_period_runs": (op11_period_runs, None),
+    "op12_embedding_groups": (op12_embedding_groups, None),
+    "op13_fill_in_middle": (op13_fill_in_middle, OP13_SQL),
 }
