@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from propgraph.session import scratch_path
@@ -81,7 +81,8 @@ def labelled_sample(
     ``columns`` computed from these for the chosen rows only.
 
     Which rows is decided by a hash of the id alone, so every run and every partitioning learns from the same ones. A
-    document labelled more than once counts with its largest label, a repeated document once.
+    document labelled more than once counts with its largest label, a repeated document once, with the least of its rows; that is
+    settled before rows reach the driver, whatever the number of repeats.
     """
     known = (
         labels.select("doc_id", label)
@@ -94,12 +95,20 @@ def labelled_sample(
         docs.select("doc_id", *inputs)
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
         .select("doc_id", "y", *(columns or inputs))
-        .collect()
     )
-    once = {}
-    for row in sorted(rows, key=lambda r: (r["doc_id"], str(r))):
-        once.setdefault(row["doc_id"], row)
-    return list(once.values())
+    once = rows.groupBy("doc_id").agg(F.min(F.struct(*rows.columns[1:])).alias("row")).select("doc_id", "row.*")
+    return sorted(once.collect(), key=lambda r: r["doc_id"])
+
+
+def first_per_group(df: DataFrame, group: str, order: list[Column], most: int, salts: int = 64) -> DataFrame:
+    """The first ``most`` rows of every group, with their place from 1 on as ``place``.
+
+    They are picked among the first of each of ``salts`` parts of the group, so that no task sorts a whole group.
+    """
+    salt = F.pmod(F.xxhash64(*(c for c in df.columns if c != group)), F.lit(salts))
+    parts = Window.partitionBy(group, salt).orderBy(*order)
+    some = df.withColumn("place", F.row_number().over(parts)).where(F.col("place") <= most).drop("place")
+    return some.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("place") <= most)
 
 
 #: Words whose hashes a task remembers.

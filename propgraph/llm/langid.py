@@ -12,10 +12,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import held_out, rows_mapper
+from propgraph.llm.common import first_per_group, held_out, rows_mapper
 
 #: Documents per language to learn a profile from, at most.
 SAMPLE_ROWS = 2000
@@ -109,13 +109,9 @@ def train(docs: DataFrame, bound: int = SAMPLE_ROWS, size: int = PROFILE) -> Pro
     reaches the driver is ``size`` n-grams per language.
     """
     known = docs.select("doc_id", "lang", "text").where("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL").where(~held_out())
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        known.select("doc_id", "lang")
-        .withColumn("place", F.row_number().over(by_hash))
-        .where(F.col("place") <= bound)
-        .select(F.col("doc_id").alias("c_id"), F.col("lang").alias("c_lang"))
-        .distinct()
+    ids = known.select("doc_id", "lang").distinct()
+    chosen = first_per_group(ids, "lang", [F.xxhash64("doc_id"), F.col("doc_id")], bound).select(
+        F.col("doc_id").alias("c_id"), F.col("lang").alias("c_lang")
     )
     # At most ``bound`` ids per language.
     sample = known.join(F.broadcast(chosen), (F.col("doc_id") == F.col("c_id")) & (F.col("lang") == F.col("c_lang")))
@@ -138,8 +134,7 @@ def train(docs: DataFrame, bound: int = SAMPLE_ROWS, size: int = PROFILE) -> Pro
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
-    by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    top = counts.withColumn("rank", F.row_number().over(by_count) - 1).where(F.col("rank") < size).collect()
+    top = first_per_group(counts, "lang", [F.desc("n"), F.col("gram")], size).withColumn("rank", F.col("place") - 1).collect()
     lists: dict[str, list] = {}
     for row in top:
         lists.setdefault(row["lang"], []).append((row["gram"], row["rank"]))
@@ -154,7 +149,8 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang_pred, score.
 
     ``und`` with score 0 where the text is null or has no letter, or if there are no profiles. Whole texts are used,
-    however long. Repeated rows stay; other columns than doc_id and text are not read. An empty table gives no rows.
+    however long. Repeated rows stay, and a null id stays null; other columns than doc_id and text are not read, whatever their
+    names. An empty table gives no rows.
     """
 
     def each(rows: Iterator[tuple]) -> Iterator[tuple]:

@@ -29,9 +29,11 @@ UPPER = r"\p{Lu}"
 LETTER = r"\p{L}"
 DIGIT = r"\p{Nd}"
 SYMBOL = r"[^\p{L}\p{Nd}\s.,;:'\"!?()-]"
-ODD_END = r"[^\p{L}\p{Nd}\s.,;:)'\"]{2,}(?=\s|$)"
+# Possessive, and tried at the beginning of a run only: a long line of symbols takes no longer than its length.
+ODD = r"[^\p{L}\p{Nd}\s.,;:)'\"]"
+ODD_END = rf"(?<!{ODD}){ODD}{{2,}}+(?=\s|$)"
 STOP = r"[.!?]"
-AGAIN = r"(?<!\S)(\S+) (?=\1(?!\S))"
+AGAIN = r"(?<!\S)(\S++) (?=\1(?!\S))"
 
 
 def statistics(text: str | Column = "text") -> dict[str, Column]:
@@ -221,6 +223,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int
 def with_score(docs: DataFrame, model: RuleModel, column: str = "score", text: str = "text") -> DataFrame:
     """``docs`` with the score of each row's text in ``column``.
 
+    A null or empty text has the score of a text whose statistics are all 0. Very long texts are scored whole, in time that grows
+    with their length. Repeated rows stay, each with the same score, and so do further columns. An empty table gives no rows.
+
     Statistics are computed once per row, in one struct column that is dropped again.
     """
     if model.prior is not None:
