@@ -46,7 +46,6 @@ BLOCK_ELEMENTS = frozenset(
     "summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID_ELEMENTS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_ELEMENTS = frozenset("script style".split())
 HIDDEN_ELEMENTS = frozenset("head title script style noscript template svg iframe object canvas audio video textarea select".split())
 #: Elements that do not end an open head.
 HEAD_ELEMENTS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
@@ -437,12 +436,18 @@ def training_pages(htmls: list[str], seed: int = 1) -> tuple[list[list[Features]
     """Sequences and labels from sampled pages: each as it is, where its markup gives labels away, and laid out anew twice."""
     random = np.random.default_rng(seed)
     pages, labels, pool = [], [], []
+
+    def add(blocks: list[tuple[tuple, str]], marks: list) -> None:
+        """All blocks of a page; of a long page in sequences of ``TRAIN_BLOCKS``."""
+        for i in range(0, len(blocks), TRAIN_BLOCKS):
+            pages.append([block_features(b) for b in blocks[i : i + TRAIN_BLOCKS]])
+            labels.append(np.array([bool(m) for m in marks[i : i + TRAIN_BLOCKS]], dtype=float))
+
     for html in htmls:
         blocks = parse_blocks(html)
         known = [markup_label(path) for path, _ in blocks]
         if True in known:
-            pages.append([block_features(b) for b in blocks[:TRAIN_BLOCKS]])
-            labels.append(np.array([bool(k) for k in known[:TRAIN_BLOCKS]], dtype=float))
+            add(blocks, known)
         else:
             known = [len(text.split()) > 12 for _, text in blocks]
         pool.append(([t for (_, t), k in zip(blocks, known, strict=True) if k], [t for (_, t), k in zip(blocks, known, strict=True) if not k]))
@@ -450,25 +455,24 @@ def training_pages(htmls: list[str], seed: int = 1) -> tuple[list[list[Features]
     for main, other in pool:
         for _ in range(2):
             some = [str(x) for x in random.choice(spare, size=min(4, len(spare)))]
-            blocks, marks = _layout(random, main[:TRAIN_BLOCKS], other + some)
-            if blocks:
-                pages.append([block_features(b) for b in blocks[:TRAIN_BLOCKS]])
-                labels.append(np.array(marks[:TRAIN_BLOCKS], dtype=float))
+            add(*_layout(random, main, other + some))
     return pages, labels
 
 
 def train(pages: DataFrame, bound: int = SAMPLE_PAGES) -> BlockModel:
-    """A labeller from at most ``bound`` pages, chosen by a hash of their id. Only page_id and html are read. Without pages
-    it is trained on composed pages of a few stock words."""
+    """A labeller from at most ``bound`` pages, chosen by a hash of their id. Only page_id and html are read. Pages are learned
+    from whole, however long; of rows that repeat an id the one with the least html. Without pages it is trained on composed
+    pages of a few stock words."""
     chosen = pages.select("page_id").where("page_id IS NOT NULL").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(bound)
     rows = (
-        pages.where(F.octet_length("html") <= 1 << 18)
-        .select("page_id", "html")
+        pages.select("page_id", "html")
+        .where("html IS NOT NULL")
         .join(F.broadcast(chosen.withColumnRenamed("page_id", "c_id")), F.col("page_id") == F.col("c_id"))
-        .select("page_id", "html")
+        .groupBy("page_id")
+        .agg(F.min("html").alias("html"))
         .collect()
     )
-    htmls = [row["html"] for row in sorted(rows, key=lambda r: (r["page_id"], r["html"]))]
+    htmls = [row["html"] for row in sorted(rows, key=lambda r: r["page_id"])]
     return fit(*training_pages(htmls or ["<article><h1>Title</h1><p>Some text.</p></article>"] * 8))
 
 
