@@ -206,27 +206,31 @@ class Packer:
                     owner[best] = (example, start + take)
                     need[best] -= (take, borne)
                     share[best, :2] = need[best] / scale
-            yield sequence
+            yield from self.cut_up(sequence)
         self.owner = [owner[i] for i in np.flatnonzero(waiting)]
         self.need = need[waiting]
 
     def finish(self) -> Iterator[list[tuple]]:
-        """Empty the pool. A last sequence that is not full is cut into lengths that are powers of two."""
-        for sequence in self.fill(0):
-            total = sum(piece[2] for piece in sequence)
-            if total == self.limits.tokens:
-                yield sequence
-                continue
-            part, room = [], 1 << (total.bit_length() - 1)
-            for example, start, length, loss in sequence:
-                while length:
-                    take = min(room, length)
-                    borne = max(0, take - (length - loss))
-                    part.append((example, start, take, borne))
-                    start, length, loss, room, total = start + take, length - take, loss - borne, room - take, total - take
-                    if not room:
-                        yield part
-                        part, room = [], 1 << (total.bit_length() - 1) if total else 0
+        """Empty the pool."""
+        yield from self.fill(0)
+
+    def cut_up(self, sequence: list[tuple]) -> Iterator[list[tuple]]:
+        """A sequence as it is if it is full, and else, where a limit or the end of the pool left room in it, in sequences
+        whose lengths are powers of two, which need no padding."""
+        total = sum(piece[2] for piece in sequence)
+        if total == self.limits.tokens:
+            yield sequence
+            return
+        part, room = [], 1 << (total.bit_length() - 1)
+        for example, start, length, loss in sequence:
+            while length:
+                take = min(room, length)
+                borne = max(0, take - (length - loss))
+                part.append((example, start, take, borne))
+                start, length, loss, room, total = start + take, length - take, loss - borne, room - take, total - take
+                if not room:
+                    yield part
+                    part, room = [], 1 << (total.bit_length() - 1) if total else 0
 
 
 def pack(

@@ -70,6 +70,13 @@ def test_documents(spark, tokenizer):
     assert padding <= 0.01 * sum(lengths)
 
 
+def test_short_documents_need_no_padding(spark, tokenizer):
+    """Sequences that are full of segments are not filled up to the limit of tokens."""
+    rows = [(i, sentence(i, 3)) for i in range(3000)]
+    lengths = check(packing.pack(documents(spark, rows), tokenizer_path()).collect(), {i: ids_of(tokenizer, t) for i, t in rows}, packing.Limits())
+    assert all(n & (n - 1) == 0 for n in lengths)
+
+
 @pytest.mark.parametrize("limits", [packing.Limits(128, 4, 60), packing.Limits(64, 1, 64), packing.Limits(256, 100, 5)])
 def test_limits_on_segments_and_loss(spark, tokenizer, limits):
     rows = [(i, sentence(i, i % 40), sentence(i + 500, i % 13)) for i in range(200)]
