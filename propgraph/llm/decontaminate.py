@@ -3,13 +3,11 @@
 *Windows.* Every benchmark item has windows of nearly its own size, and documents are read through windows of the same sizes.
 Sizes are taken from a ladder, so that there are few, and documents are read at every ``STRIDE``-th word only: an item has a
 window at each of ``STRIDE`` offsets instead, so that wherever a passage begins one pair of windows lies exactly alike.
-*Blocks.* A fingerprint has four blocks of 16 bits. Two fingerprints that differ in at most seven bits have a block that
-differs in at most one, so an index of the items' blocks and all their one-bit neighbours finds every window within seven
-bits. *Shingles.* A passage with a few words changed may lie further than seven bits away. A passage that is similar enough
-lacks few of the item's five-word shingles, so of a set of them that is just larger than what it may lack it has at least
-one: documents are also looked up in an index of such sets, made of each item's rarest shingles, and no similar passage is
-lost, whatever its distance. *Verification.* The candidate's passage, as long as the item, is compared with the item by the
-weighted Jaccard similarity of their five-word shingles, weights being how often a shingle occurs.
+*Blocks.* A fingerprint has four blocks of 16 bits. Two fingerprints that differ in at most eleven bits have a block that
+differs in at most two, so an index of the items' blocks and all their neighbours within two bits finds every window within
+eleven bits. A passage with a few words changed mostly has a window so near. *Verification.* The candidate's passage, as long
+as the item, is compared with the item by the weighted Jaccard similarity of their five-word shingles, weights being how often
+a shingle occurs.
 
 Documents are neither shuffled nor collected. The items are broadcast in blocks of bounded size.
 """
@@ -19,6 +17,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 
 from propgraph.llm.common import WordHashes, chained, rows_mapper, words_of
 
-RADIUS = 7
+RADIUS = 11
 STRIDE = 4
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -36,8 +35,10 @@ FEATURE = 2
 SMALLEST = 8
 GROWTH = 1.25
 BLOCKS, BLOCK_BITS = 4, 16
-#: Bytes of item texts in one broadcast.
-BLOCK_BYTES = 16 << 20
+#: Bits in which a block's indexed neighbours differ from it, at most.
+NEIGHBOURS = 2
+#: Bytes of item texts in one broadcast. An index has some 9 KB an item.
+BLOCK_BYTES = 4 << 20
 #: Words of a document that are worked on at once, besides the overlap.
 CHUNK = 1 << 13
 
@@ -95,7 +96,7 @@ class BlockIndex:
 
     @classmethod
     def build(cls, size: int, stride: int, prints: np.ndarray, items: np.ndarray, offsets: np.ndarray) -> BlockIndex:
-        near = np.r_[0, 1 << np.arange(BLOCK_BITS)]  # the value itself and its one-bit neighbours
+        near = np.array([sum(1 << i for i in bits) for n in range(NEIGHBOURS + 1) for bits in combinations(range(BLOCK_BITS), n)])
         first, entries = [], []
         for b in range(BLOCKS):
             value = ((prints >> np.uint64(b * BLOCK_BITS)) & np.uint64(0xFFFF)).astype(np.int64)
@@ -137,102 +138,6 @@ def build_indexes(items: list[list[str]]) -> list[BlockIndex]:
     return [BlockIndex.build(*key, *(np.concatenate(x) for x in zip(*found, strict=True))) for key, found in sorted(groups.items())]
 
 
-@dataclass
-class ShingleIndex:
-    """The shingles of every item of ``SHINGLE`` words or more, and an index of those of which a similar passage has one.
-
-    Shorter items are one shingle, so a similar passage is an equal one and its fingerprint is equal too.
-    """
-
-    hashes: np.ndarray
-    items: np.ndarray
-    seen: np.ndarray
-    #: Of each item its distinct shingles in order of their hash, how often each occurs, and how many a passage needs.
-    shingles: list[np.ndarray]
-    counts: list[np.ndarray]
-    needs: list[int]
-    least: float
-
-    @classmethod
-    def build(cls, items: list[list[str]], least: float) -> ShingleIndex:
-        hasher = WordHashes()
-        own = [np.unique(chained(hasher.of(words), SHINGLE), return_counts=True) for words in items]
-        # In how many items each shingle occurs: rare ones lead to few items.
-        distinct, spread = np.unique(np.concatenate([x for x, _ in own] or [np.empty(0, np.uint64)]), return_counts=True)
-        hashes, owner, needs = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], []
-        for number, (shingles, counts) in enumerate(own):
-            total = int(counts.sum())
-            # Of a passage's similarity both / (total + others), others >= 0, at least ``least`` follows both >= least * total.
-            needs.append(max(1, int(np.ceil(least * total - 1e-9))))
-            order = np.lexsort((shingles, spread[np.searchsorted(distinct, shingles)]))
-            n = int(np.searchsorted(np.cumsum(counts[order]), total - needs[-1], side="right")) + 1
-            hashes.append(shingles[order[:n]])
-            owner.append(np.full(len(hashes[-1]), number))
-        every = np.concatenate(hashes)
-        order = np.argsort(every, kind="stable")
-        seen = np.zeros(1 << min(24, max(12, (16 * len(every)).bit_length())), dtype=bool)
-        seen[(every & np.uint64(len(seen) - 1)).astype(np.int64)] = True
-        return cls(every[order], np.concatenate(owner)[order], seen, [x for x, _ in own], [c for _, c in own], needs, least)
-
-    def places(self, hashed: list[np.ndarray]) -> Iterator[tuple[int, int, int, float]]:
-        """(document, item, place, similarity) of all passages that are similar enough, given the hashes of documents' words."""
-        if not len(self.hashes) or not hashed:
-            return
-        ends = np.cumsum([len(x) for x in hashed])
-        runs = chained(np.concatenate(hashed), SHINGLE)
-        at = np.flatnonzero(self.seen[(runs & np.uint64(len(self.seen) - 1)).astype(np.int64)])
-        low = np.searchsorted(self.hashes, runs[at], side="left")
-        n = np.searchsorted(self.hashes, runs[at], side="right") - low
-        item = self.items[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())]
-        at = np.repeat(at, n)
-        document = np.searchsorted(ends, at, side="right")
-        inside = at + SHINGLE <= ends[document]
-        at, item, document = at[inside], item[inside], document[inside]
-        order = np.lexsort((at, item, document))
-        at, item, document = at[order], item[order], document[order]
-        if not len(at):
-            return
-        # Runs of hits of one document and item that are too far apart to lie in one passage are looked at apart.
-        total = np.array([int(c.sum()) for c in self.counts])
-        new = (np.diff(document) != 0) | (np.diff(item) != 0) | (np.diff(at) >= 2 * total[item[1:]])
-        for hits in np.split(np.arange(len(at)), np.flatnonzero(new) + 1):
-            d, i = int(document[hits[0]]), int(item[hits[0]])
-            begin = int(ends[d]) - len(hashed[d])
-            own = runs[begin : int(ends[d]) - SHINGLE + 1]
-            for place, value in self._slide(i, own, int(at[hits[0]]) - begin, int(at[hits[-1]]) - begin):
-                yield d, i, place, value
-
-    def _slide(self, item: int, runs: np.ndarray, first: int, last: int) -> Iterator[tuple[int, float]]:
-        """Places and similarities of the passages that hold a shingle from place ``first`` to ``last`` of a document's."""
-        shingles, counts, need = self.shingles[item], self.counts[item], self.needs[item]
-        total = int(counts.sum())
-        low, high = max(0, first - total + 1), min(len(runs), last + total)
-        part = runs[low:high]
-        number = np.searchsorted(shingles, part)
-        number[number == len(shingles)] = 0
-        known = shingles[number] == part
-        before = np.r_[0, np.cumsum(known)]
-        starts = np.arange(last + 1 - low)
-        enough = np.flatnonzero(before[np.minimum(starts + total, len(part))] - before[starts] >= need)
-        if not len(enough):
-            return
-        number = np.where(known, number, -1).tolist()
-        most, held, both, end = counts.tolist(), [0] * len(counts), 0, int(enough[0])
-        for start in range(int(enough[0]), int(enough[-1]) + 1):
-            for x in number[end : start + total]:
-                if x >= 0:
-                    both += held[x] < most[x]
-                    held[x] += 1
-            end = max(end, min(len(number), start + total))
-            value = both / (total + (end - start) - both)
-            if value >= self.least:
-                yield low + start, value
-            x = number[start]
-            if x >= 0:
-                held[x] -= 1
-                both -= held[x] < most[x]
-
-
 def _search_segments(segments: list[tuple[int, int, int, np.ndarray]], indexes: list[BlockIndex], radius: int) -> Iterator[tuple]:
     """(document, item, place, distance) of the windows of segments (document, first word, starts, hashes).
 
@@ -258,14 +163,11 @@ def _search_segments(segments: list[tuple[int, int, int, np.ndarray]], indexes:
             yield from zip(owners[segment[q]].tolist(), index.items[e].tolist(), places.tolist(), d.tolist(), strict=True)
 
 
-def candidates(
-    documents: list[list[str]], hasher: WordHashes, indexes: list[BlockIndex], radius: int, hashed: list[np.ndarray] | None = None
-) -> Iterator[tuple]:
+def candidates(documents: list[list[str]], hasher: WordHashes, indexes: list[BlockIndex], radius: int) -> Iterator[tuple]:
     """(document, item, place of the passage, distance) of every window within the radius.
 
     A place may lie before the text, where only the later part of the item fits. Documents are searched together, and long
     ones in overlapping segments, so that a search step works on about ``CHUNK`` words whatever the documents' lengths.
-    ``hashed`` are the hashes of the documents' words, where they are known.
     """
     if not indexes:
         return
@@ -273,7 +175,7 @@ def candidates(
     step = -(-max(CHUNK, overlap) // STRIDE) * STRIDE
     held, size = [], 0
     for number, words in enumerate(documents):
-        hashes = hasher.of(words) if hashed is None else hashed[number]
+        hashes = hasher.of(words)
         for begin in range(0, len(words), step):
             part = hashes[begin : begin + step + overlap]
             held.append((number, begin, step, part))
@@ -285,40 +187,16 @@ def candidates(
         yield from _search_segments(held, indexes, radius)
 
 
-def least_distance(hashes: np.ndarray, item: np.ndarray, place: int) -> int:
-    """Least distance of the fingerprints of a passage's and an item's windows, over the windows' offsets that the text has."""
-    size, offsets = window_of(len(item))
-    n = size - FEATURE + 1
-    starts = np.arange(max(1, min(offsets, len(hashes) - place - size + 1)))
-    found = bits_before(features(hashes[place : place + len(item)]))
-    n_found = min(n, len(found) - 1)
-    a, b = window_prints(found, starts, n_found), window_prints(bits_before(features(item)), starts, n)
-    return int(np.bitwise_count(a ^ b).min())
-
-
 def matches(
-    documents: list[list[str]],
-    hasher: WordHashes,
-    items: list[list[str]],
-    indexes: list[BlockIndex],
-    shingles: ShingleIndex,
-    radius: int,
-    least: float,
+    documents: list[list[str]], hasher: WordHashes, items: list[list[str]], indexes: list[BlockIndex], radius: int, least: float
 ) -> Iterator[tuple[int, int, int, int, int, float]]:
     """(document, item, start, length, distance, similarity) of verified passages; of overlapping ones of an item the best."""
-    hashed = [hasher.of(words) for words in documents]
     nearest: dict[tuple[int, int, int], int] = {}
-    for document, item, place, distance in candidates(documents, hasher, indexes, radius, hashed):
+    for document, item, place, distance in candidates(documents, hasher, indexes, radius):
         key = (document, item, max(0, place))
         nearest[key] = min(distance, nearest.get(key, distance))
     found: dict[tuple[int, int], list] = {}
-    for document, item, place, value in shingles.places(hashed):
-        length = min(len(items[item]), len(documents[document]) - place)
-        distance = nearest.get((document, item, place), 65)  # more than any
-        found.setdefault((document, item), []).append((-value, distance, place, length))
     for (document, item, place), distance in nearest.items():
-        if len(items[item]) >= SHINGLE:
-            continue  # all its similar passages have been found by their shingles
         words = documents[document]
         length = min(len(items[item]), len(words) - place)
         value = similarity(words[place : place + length], items[item])
@@ -326,15 +204,10 @@ def matches(
             found.setdefault((document, item), []).append((-value, distance, place, length))
     for document, item in sorted(found):
         taken: list[tuple[int, int]] = []
-        for _, distance, place, length in sorted(found[document, item]):
+        for value, distance, place, length in sorted(found[document, item]):
             if all(place >= b or place + length <= a for a, b in taken):
-                value = similarity(documents[document][place : place + length], items[item])
-                if value < least:
-                    continue  # unlike shingles with one hash
                 taken.append((place, place + length))
-                if distance > radius:
-                    distance = least_distance(hashed[document], hasher.of(items[item]), place)
-                yield document, item, place, length, distance, value
+                yield document, item, place, length, distance, -value
 
 
 SCHEMA = pa.schema(
@@ -349,31 +222,37 @@ def contaminated(
 ) -> DataFrame:
     """One row per passage of a document that is like a benchmark item.
 
-    Columns: doc_id, item_id, start_word and n_words of the passage among the document's words, distance of the fingerprints
-    (it may exceed ``radius`` where only the shingles led to the passage), similarity. Every passage of at least the similarity
-    ``least`` is found, also beyond the radius. Items without words match nothing, nor do documents without words, null texts included. Repeated items and
-    repeated documents give their rows each; ids may be null. Other columns are not read. No items or no documents: no rows.
+    Columns: doc_id, item_id, start_word and n_words of the passage among the document's words, distance of the fingerprints of
+    their nearest windows, similarity. Every passage with a window within ``radius`` bits and a similarity of at least ``least``
+    is found; the README says how many others there are. Items without words match nothing, nor do documents without words,
+    null texts included. Repeated items and repeated documents give their rows each; ids may be null. Other columns are not
+    read. No items or no documents: no rows.
     """
-    if radius > 2 * BLOCKS - 1:
-        raise ValueError(f"{BLOCKS} blocks with their one-bit neighbours find up to {2 * BLOCKS - 1} bits, not {radius}")
+    widest = (NEIGHBOURS + 1) * BLOCKS - 1
+    if radius > widest:
+        raise ValueError(f"{BLOCKS} blocks with their neighbours within {NEIGHBOURS} bits find up to {widest} bits, not {radius}")
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text IS NOT NULL")
+    # An item that repeats is looked for once, however often it is there.
+    items = items.groupBy("item_id", "text").agg(F.count("*").alias("n"))
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     out = None
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        ids, words = [row["item_id"] for row in rows], [words_of(row["text"]) for row in rows]
-        shared = spark.sparkContext.broadcast((ids, words, build_indexes(words), ShingleIndex.build(words, least)))
+        ids, words = [(row["item_id"], row["n"]) for row in rows], [words_of(row["text"]) for row in rows]
+        shared = spark.sparkContext.broadcast((ids, words, build_indexes(words)))
 
         def each(documents: Iterator[tuple], shared=shared) -> Iterator[tuple]:
-            ids, words, indexes, shingles = shared.value
+            ids, words, indexes = shared.value
             hasher, names, texts, size = WordHashes(), [], [], 0
 
             def searched() -> Iterator[tuple]:
-                for document, item, *rest in matches(texts, hasher, words, indexes, shingles, radius, least):
-                    yield names[document], ids[item], *rest
+                for document, item, *rest in matches(texts, hasher, words, indexes, radius, least):
+                    item_id, n = ids[item]
+                    for _ in range(n):
+                        yield names[document], item_id, *rest
 
             for doc_id, text in documents:
                 names.append(doc_id)

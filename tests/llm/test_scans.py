@@ -51,9 +51,7 @@ def test_contaminated(spark):
     texts = {d: t for d, t in docs}
     got = {(r.doc_id, r.item_id) for r in rows}
     want = by_similarity(docs)
-    assert got <= want
-    exact = {(d, i) for d, i in want if f" {' '.join(words_of(dict(ITEMS)[i]))} " in f" {' '.join(words_of(texts[d]))} "}
-    assert exact <= got and (200, 8) in got and (201, 7) in got and (202, 6) in got and (None, 5) in got
+    assert got == want and {(200, 8), (201, 7), (202, 6), (None, 5)} <= got
     for r in rows:
         words = words_of(texts[r.doc_id])[r.start_word : r.start_word + r.n_words]
         assert decontaminate.similarity(words, words_of(dict(ITEMS)[r.item_id])) == pytest.approx(r.similarity)
@@ -61,7 +59,7 @@ def test_contaminated(spark):
     assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, in_blocks), key=str)
 
 
-def test_edited_passages_are_all_found(spark):
+def test_edited_passages_are_found(spark):
     choose = random.Random(11)
     vocabulary = [sentence(i, 1) for i in range(400)]
     weights = [1 / (i + 1) for i in range(400)]
@@ -69,11 +67,11 @@ def test_edited_passages_are_all_found(spark):
     def zipf(n):
         return choose.choices(vocabulary, weights, k=n)
 
-    items = [zipf(choose.randint(49, 59)) for _ in range(120)]
+    items = [zipf(choose.randint(15, 150)) for _ in range(120)]
     docs = []
-    for n in range(240):
+    for n in range(360):
         words = list(items[n % 120])
-        for _ in range(1):
+        for _ in range(choose.randint(1, 1 + len(words) // 45)):
             at, kind = choose.randrange(len(words)), choose.randrange(3)
             words[at : at + (kind != 2)] = zipf(kind != 1)
         docs.append((n, " ".join([*zipf(choose.randint(0, 30)), *words, *zipf(70)])))
@@ -87,14 +85,21 @@ def test_edited_passages_are_all_found(spark):
                 want.add((n, i))
     table = spark.createDataFrame([(i, " ".join(own)) for i, own in enumerate(items)], "item_id long, text string")
     rows = decontaminate.contaminated(documents(spark, docs), table).collect()
-    assert {(r.doc_id, r.item_id) for r in rows} == want and len(want) > 50
-    assert any(r.distance > decontaminate.RADIUS for r in rows)
+    got = {(r.doc_id, r.item_id) for r in rows}
+    assert got <= want and len(got) >= 0.98 * len(want) and len(want) > 150
+    assert 7 < max(r.distance for r in rows) <= decontaminate.RADIUS
     texts = dict(docs)
     for r in rows:
         passage = texts[r.doc_id].split()[r.start_word : r.start_word + r.n_words]
         assert r.similarity == decontaminate.similarity(passage, items[r.item_id]) >= 0.8
 
 
+def test_repeated_items(spark):
+    docs, rows = [(1, f"start {ITEMS[6][1]} end"), (1, f"start {ITEMS[6][1]} end")], [ITEMS[6]] * 5 + [(77, ITEMS[6][1])]
+    found = decontaminate.contaminated(documents(spark, docs), benchmark(spark, rows)).collect()
+    assert sorted(r.item_id for r in found) == [6] * 10 + [77] * 2
+
+
 def test_nothing_to_compare(spark):
     assert decontaminate.contaminated(documents(spark, []), benchmark(spark)).count() == 0
     assert decontaminate.contaminated(documents(spark, planted()), benchmark(spark, [])).count() == 0
@@ -105,13 +110,13 @@ def test_index_finds_all_within_the_radius():
     prints = np.array([choose.getrandbits(64) for _ in range(300)], dtype=np.uint64)
     queries = prints.copy()
     for i in range(len(queries)):
-        for b in choose.sample(range(64), i % 10):
+        for b in choose.sample(range(64), i % 15):
             queries[i] ^= np.uint64(1 << b)
     index = decontaminate.BlockIndex.build(8, 1, prints, np.arange(300), np.zeros(300, np.int64))
     q, e, d = index.search(queries, decontaminate.RADIUS)
-    want = {(i, j) for i in range(300) for j in range(300) if int(queries[i] ^ prints[j]).bit_count() <= 7}
+    want = {(i, j) for i in range(300) for j in range(300) if int(queries[i] ^ prints[j]).bit_count() <= decontaminate.RADIUS}
     assert set(zip(q.tolist(), e.tolist(), strict=True)) == want
-    assert (d <= 7).all() and len(want) >= 240
+    assert (d <= decontaminate.RADIUS).all() and len(want) >= 240
 
 
 def test_candidates_are_those_of_all_windows(monkeypatch):
