@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -37,8 +37,10 @@ LEAST_COSINE = 0.95
 BANDS, BAND_BITS = 10, 12
 #: Standard deviations by which an estimate, or a count of unlike bits, may miss.
 CONFIDENCE = 4.0
-#: Vectors of a bucket that are looked at together, codes alone and in full length.
-CODE_BLOCK, VECTOR_BLOCK = 16_384, 4_096
+#: Vectors of a bucket that are looked at together, codes alone and in full length, at most. Buckets of vectors in full length,
+#: which have links mostly, are cut into ever more parts before, so that a large group is the work of many tasks: a bucket of
+#: n * n * ``PART`` vectors into n parts.
+CODE_BLOCK, VECTOR_BLOCK, PART = 16_384, 4_096, 64
 #: Pairs that a step of a task holds.
 PAIRS = 1 << 21
 SEED = 12
@@ -159,10 +161,12 @@ def _shard(bands: int, band_bits: int) -> Column:
     return F.array(*buckets)
 
 
-def _in_blocks(df: DataFrame, rows: int, name: str) -> DataFrame:
-    """Add ``part``, the blocks of its bucket that a row belongs to, and ``mine``, the row's own part; one row per block."""
-    counts = df.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > rows)
-    large = stored(counts.select(F.col("shard").alias("hot"), F.ceil(F.col("n") / rows).cast("int").alias("parts")), name)
+def _in_blocks(df: DataFrame, parts_of: Callable[[Column], Column], name: str) -> DataFrame:
+    """Add ``part``, the blocks of its bucket that a row belongs to, and ``mine``, the row's own part; one row per block.
+    ``parts_of`` gives the number of parts of a bucket from its number of rows."""
+    counts = df.groupBy("shard").agg(F.count("*").alias("n"))
+    cut_up = counts.select(F.col("shard").alias("hot"), parts_of(F.col("n")).cast("int").alias("parts")).where("parts > 1")
+    large = stored(cut_up, name)
     n_large = large.count()
     if not n_large:
         return df.select("*", F.lit(0).cast("long").alias("part"), F.lit(0).alias("mine"))
@@ -334,12 +338,18 @@ def vector_groups(
     reps = _codes(vectors, words).groupBy("d0", "d1").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), *one)
     reps = stored(reps, "vector-codes")
 
+    def code_parts(n: Column) -> Column:
+        return F.ceil(n / code_block)
+
+    def vector_parts(n: Column) -> Column:
+        return F.greatest(F.ceil(n / vector_block), F.floor(F.sqrt(n / PART)))
+
     entries = reps.select(F.explode(_shard(bands, band_bits)).alias("shard"), "rep", *searched)
-    marks = stored(_marked(_in_blocks(entries, code_block, "vector-buckets"), words, limit, bands, band_bits).distinct(), "vector-marks")
+    marks = stored(_marked(_in_blocks(entries, code_parts, "vector-buckets"), words, limit, bands, band_bits).distinct(), "vector-marks")
     # Only now vectors move, those with a mark, each once per id whatever the copies.
     wanted = vectors.join(marks.select(F.col("rep").alias("vec_id")).distinct(), "vec_id", "left_semi")
     wanted = wanted.groupBy(F.col("vec_id").alias("rep"), "vector").agg(F.lit(1).alias("one")).drop("one")
-    rows = _in_blocks(marks, vector_block, "vector-blocks").join(reps, "rep").join(wanted, "rep")
+    rows = _in_blocks(marks, vector_parts, "vector-blocks").join(reps, "rep").join(wanted, "rep")
     links = stored(_linked(rows, words, limit, bands, band_bits, least, confidence), "vector-links")
 
     roots = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
