@@ -14,9 +14,8 @@ from propgraph.llm import decontaminate, exact_dedup, packing, quality, simhash_
 from propgraph.llm.common import free_name, read, stored
 from propgraph.llm.queries import QUALITY_CUT, tokenizer_path
 
-#: Near copies: 3-word fingerprints within 7 bits whose texts' sketches agree with a five-word similarity of 0.8. A sketch of
-#: 64 bins errs by about 0.05, so its own bound is lower.
-NEAR_WORDS, NEAR_RADIUS, NEAR_SKETCH = 3, 7, 0.72
+#: Near copies: fingerprints of three-word shingles that differ in three bits or fewer, as in ``op3_near_duplicates``.
+NEAR_WORDS, NEAR_RADIUS = simhash_dedup.SHINGLE_WORDS, simhash_dedup.RADIUS
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +36,7 @@ def no_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id; see ``simhash_dedup.drop_near_copies``."""
-    return simhash_dedup.drop_near_copies(docs, NEAR_WORDS, NEAR_RADIUS, least=NEAR_SKETCH)
+    return simhash_dedup.drop_near_copies(docs, NEAR_WORDS, NEAR_RADIUS)
 
 
 def no_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
