@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import random
+import time
+
 import numpy as np
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from propgraph.llm import langid, quality, toxicity
-from propgraph.llm.common import held_out, read
+from propgraph.llm.common import first_per_group, held_out, labelled_sample, read
 from tests.llm.helpers import clashing, documents, sentence
 
 ODD = [(1, None), (2, ""), (3, " \n "), (None, "some text"), (4, "same"), (4, "same"), (5, "12 !?"), (6, "ab " * 60_000), (7, "x" * 150_000)]
@@ -162,3 +167,48 @@ def test_queries(spark, sf_dir, name):
     if name != "op10_language":
         cut = 0.5 if name == "op4_toxicity" else 0.3
         assert all(r.predicted == int(r.score >= cut) for r in rows)
+
+
+def test_long_lines_of_symbols_and_letters(spark):
+    """Patterns take a time that grows with the text, whatever is in it."""
+    rows = [(1, "#" * 1_000_000 + "a"), (2, "#" * 1_000_000), (3, "=-" * 500_000 + "x y"), (4, "ab" * 500_000 + " c"), (5, "ok #### ok ##a ~~")]
+    stats = quality.statistics()
+    began = time.monotonic()
+    found = {r.doc_id: r for r in documents(spark, rows).select("doc_id", *(c.alias(n) for n, c in stats.items())).collect()}
+    assert time.monotonic() - began < 20
+    assert found[1].symbol_ends == 0 and found[2].symbol_ends == 1 and found[5].symbol_ends == pytest.approx(2 / 5)
+
+
+def test_sample_has_one_row_per_id(spark):
+    """An id that holds a third of all rows comes to the driver once."""
+    docs = documents(spark, [(1, f"text {i % 7}") for i in range(300)] + [(i, f"other {i}") for i in range(2, 600)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 600)], "doc_id long, quality int, toxic int")
+    rows = labelled_sample(docs, labels, "quality", ["text"], 10_000)
+    ids = [r["doc_id"] for r in rows]
+    assert len(ids) == len(set(ids)) == labels.where(~held_out()).count()
+    assert [r["text"] for r in rows if r["doc_id"] == 1] in ([], ["text 0"])
+
+
+def test_first_per_group_like_one_window(spark):
+    rows = [(i * 7919 % 1009, "ab"[i % 3 == 0]) for i in range(1009)] + [(5, None), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string")
+    got = first_per_group(df, "lang", [F.xxhash64("doc_id"), F.col("doc_id")], 40, salts=4)
+    window = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    want = df.withColumn("place", F.row_number().over(window)).where("place <= 40")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
+
+
+def test_long_texts_are_learned_from(spark):
+    """A word of long texts only decides, so they cannot have been left out."""
+    choose = random.Random(8)
+    words = [sentence(i, 1) for i in range(60)]
+    rows, labels = [], []
+    for i in range(120):
+        text = choose.choices(words, k=3000)
+        if i % 2:
+            text[2900] = "zzverybad"
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, i % 2))
+    docs, marks = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.train(docs, marks)).collect()}
+    assert np.mean([(scores[i] >= 0.5) == bool(y) for i, _, y in labels]) > 0.9
