@@ -93,6 +93,8 @@ class BlockIndex:
     offsets: np.ndarray
     first: list[np.ndarray]
     entries: list[np.ndarray]
+    #: Which values of each block occur at all.
+    seen: list[np.ndarray]
 
     @classmethod
     def build(cls, size: int, stride: int, prints: np.ndarray, items: np.ndarray, offsets: np.ndarray) -> BlockIndex:
@@ -104,17 +106,17 @@ class BlockIndex:
             order = np.argsort(keys, kind="stable")
             first.append(np.searchsorted(keys[order], np.arange((1 << BLOCK_BITS) + 1)).astype(np.int32))
             entries.append((order // len(near)).astype(np.int32))
-        return cls(size, stride, prints, items, offsets, first, entries)
+        return cls(size, stride, prints, items, offsets, first, entries, [np.diff(x) > 0 for x in first])
 
     def search(self, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All pairs within the radius: query, entry, distance."""
         queries, found = [], []
+        values = np.ascontiguousarray(prints, "<u8").view("<u2").reshape(-1, BLOCKS)
         for b in range(BLOCKS):
-            value = ((prints >> np.uint64(b * BLOCK_BITS)) & np.uint64(0xFFFF)).astype(np.int64)
-            low = self.first[b][value]
+            some = np.flatnonzero(self.seen[b][values[:, b]])
+            value = values[some, b].astype(np.int64)
+            low = self.first[b][value].astype(np.int64)
             n = self.first[b][value + 1] - low
-            some = np.flatnonzero(n)
-            low, n = low[some].astype(np.int64), n[some].astype(np.int64)
             queries.append(np.repeat(some, n))
             found.append(self.entries[b][np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())])
         q, e = np.concatenate(queries), np.concatenate(found)
