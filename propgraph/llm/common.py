@@ -100,6 +100,21 @@ def labelled_sample(
     return sorted(once.collect(), key=lambda r: r["doc_id"])
 
 
+def least_hashes(ids: DataFrame, group: str, key: str, most: int) -> DataFrame:
+    """The ``most`` rows of every group whose keys have the least hashes; ``ids`` has these two columns, and distinct rows.
+
+    Rows are counted by the first ten bits of their hash, and only those up to where ``most`` are reached are put in order.
+    """
+    hashed = ids.withColumn("hash", F.xxhash64(key))
+    bits = F.shiftright("hash", 54)
+    counts = hashed.groupBy(F.col(group).alias("g"), bits.alias("bits")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("g").orderBy("bits")) - F.col("n")
+    last = counts.withColumn("before", before).where(F.col("before") < most).groupBy("g").agg(F.max("bits").alias("last"))
+    some = hashed.join(last, (F.col(group) == F.col("g")) & (bits <= F.col("last")))
+    place = F.row_number().over(Window.partitionBy(group).orderBy("hash", key))
+    return some.select(group, key, place.alias("place")).where(F.col("place") <= most).drop("place")
+
+
 def first_per_group(df: DataFrame, group: str, order: list[Column], most: int, salts: int = 64) -> DataFrame:
     """The first ``most`` rows of every group, with their place from 1 on as ``place``.
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import first_per_group, held_out, rows_mapper
+from propgraph.llm.common import first_per_group, held_out, least_hashes, rows_mapper
 
 #: Documents per language to learn a profile from, at most.
 SAMPLE_ROWS = 2000
@@ -110,9 +110,7 @@ def train(docs: DataFrame, bound: int = SAMPLE_ROWS, size: int = PROFILE) -> Pro
     """
     known = docs.select("doc_id", "lang", "text").where("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL").where(~held_out())
     ids = known.select("doc_id", "lang").distinct()
-    chosen = first_per_group(ids, "lang", [F.xxhash64("doc_id"), F.col("doc_id")], bound).select(
-        F.col("doc_id").alias("c_id"), F.col("lang").alias("c_lang")
-    )
+    chosen = least_hashes(ids, "lang", "doc_id", bound).select(F.col("doc_id").alias("c_id"), F.col("lang").alias("c_lang"))
     # At most ``bound`` ids per language.
     sample = known.join(F.broadcast(chosen), (F.col("doc_id") == F.col("c_id")) & (F.col("lang") == F.col("c_lang")))
 

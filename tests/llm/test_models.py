@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from propgraph.llm import langid, quality, toxicity
-from propgraph.llm.common import first_per_group, held_out, labelled_sample, read
+from propgraph.llm.common import first_per_group, held_out, labelled_sample, least_hashes, read
 from tests.llm.helpers import clashing, documents, sentence
 
 ODD = [(1, None), (2, ""), (3, " \n "), (None, "some text"), (4, "same"), (4, "same"), (5, "12 !?"), (6, "ab " * 60_000), (7, "x" * 150_000)]
@@ -196,6 +196,12 @@ def test_first_per_group_like_one_window(spark):
     window = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     want = df.withColumn("place", F.row_number().over(window)).where("place <= 40")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
+    known = df.where("lang IS NOT NULL")
+    for most in (1, 40, 5000):
+        least = least_hashes(known, "lang", "doc_id", most).select("doc_id", "lang").collect()
+        place = F.row_number().over(window)
+        want = known.withColumn("place", place).where(F.col("place") <= most).select("doc_id", "lang").collect()
+        assert sorted(map(tuple, least)) == sorted(map(tuple, want))
 
 
 def test_long_texts_are_learned_from(spark):
