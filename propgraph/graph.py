@@ -9,7 +9,7 @@ come from anywhere (``vertex_table`` and ``edge_table`` map plain columns) or fr
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -64,6 +64,9 @@ def identity_text(*key: str) -> Column:
 class PropertyGraph:
     """Vertex and edge tables by label. Everything is lazy; no method runs a job."""
 
+    #: Whether both endpoints of every edge are known to be vertices.
+    whole = False
+
     def __init__(self, vertex_tables: Mapping[str, DataFrame], edge_tables: Mapping[str, DataFrame]):
         if not vertex_tables:
             raise ValueError("a graph needs at least one vertex label")
@@ -77,6 +80,15 @@ class PropertyGraph:
             raise ValueError(f"no label `{label}`; known: {sorted(tables)}")
         return {label: tables[label]}
 
+    def vertex_rows(self, label: str, uids: Sequence[str] | None) -> DataFrame:
+        """The table of a label, or a part of it that holds all vertices with these uids."""
+        return self.vertex_tables[label]
+
+    def edge_parts(self, label: str | None, side: str) -> list[DataFrame | None]:
+        """Tables that together hold the edges of a label, laid out for joins at ``side`` (src or dst) where they can be;
+        None stands for the label's whole table."""
+        return [None]
+
     def tag_columns(self, kind: str, label: str) -> list[str]:
         """The tags column of a label's table, if it has one."""
         return [TAGS] if _has_tags((self.vertex_tables if kind == "vertex" else self.edge_tables)[label]) else []

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType, VariantType
 
 from propgraph.session import child_names, scratch_path
-from propgraph.storage import BUCKET, StoredGraph
+from propgraph.storage import BUCKET, StoredGraph, bucket_of
 
 # Reserved fields of a load mapping.
 UID = "__uid"
@@ -45,9 +45,17 @@ class LoadResult:
     report: DataFrame
 
 
+def _check_names(mapping: Mapping) -> None:
+    names = [name.lower() for name, _ in mapping]
+    twice = sorted({name for name, _ in mapping if names.count(name.lower()) > 1})
+    if twice:
+        raise ValueError(f"mapped more than once: {', '.join(twice)}")
+
+
 def check_vertex_mapping(mapping: Mapping) -> None:
     if not mapping or mapping[0][0] != UID:
         raise ValueError(f"a vertex mapping must start with {UID}")
+    _check_names(mapping)
 
 
 def check_edge_mapping(mapping: Mapping) -> None:
@@ -55,6 +63,7 @@ def check_edge_mapping(mapping: Mapping) -> None:
         raise ValueError(f"an edge mapping needs at least {len(EDGE_FIELDS)} entries")
     if [name for name, _ in mapping[: len(EDGE_FIELDS)]] != EDGE_FIELDS:
         raise ValueError(f"an edge mapping must start with {', '.join(EDGE_FIELDS)}")
+    _check_names(mapping)
 
 
 def endpoint_label(text: str) -> Column:
@@ -203,7 +212,7 @@ def _upsert(
     # Rejected rows come along, one per key and reason, so that the write counts them too; a reason depends on the key alone.
     flags = [f"__bad_{name}" for name in mapped]
     batch = latest_per_key(rows, [*key_names, "__reason"], [c for pair in zip(mapped, flags) for c in pair], order)
-    bucket = F.pmod(F.xxhash64(*key_names), F.lit(graph.schema.shards)).cast("string")
+    bucket = bucket_of(key_names, graph.schema.shards)
     if graph.has_data(kind, label):
         # The batch is computed once; the buckets that none of its keys falls into keep their files.
         path = scratch_path(spark, "batch")

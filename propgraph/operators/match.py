@@ -26,12 +26,14 @@ MAX_INLINE_IDS = 1000
 @dataclass(frozen=True, eq=False)
 class Node:
     """A vertex of the pattern. ``uids`` is a list or a table with a ``uid`` (and optionally ``label``) column; ``where``
-    is a condition on the vertex' own columns, which needs a label to name properties."""
+    is a condition on the vertex' own columns, which needs a label to name properties. Without ``properties`` a match has its
+    label and uid only."""
 
     var: str
     label: str | None = None
     uids: Sequence[str] | DataFrame | None = None
     where: str | Column | None = None
+    properties: bool = True
 
 
 @dataclass(frozen=True, eq=False)
@@ -49,12 +51,13 @@ def match_vertices(graph: PropertyGraph, node: Node) -> DataFrame:
     if node.label is None:
         df = graph.vertices().select("label", "uid", "properties")
     else:
-        table = graph.vertex_tables[node.label]
+        table = graph.vertex_rows(node.label, node.uids if node.uids is not None and is_inline(node.uids) else None)
         properties = [_own(c) for c in graph.vertex_properties(node.label)]
         df = table.select(F.lit(node.label).alias("label"), "uid", *properties, *graph.tag_columns("vertex", node.label))
     if node.where is not None:
         df = df.where(node.where)
-    return df if node.uids is None else filter_uids(df, node.uids)
+    df = df if node.uids is None else filter_uids(df, node.uids)
+    return df if node.properties else df.select("label", "uid")
 
 
 def _own(name: str) -> Column:
@@ -157,7 +160,8 @@ def _node_rows(graph: PropertyGraph, node: Node) -> DataFrame:
     return _prefixed(match_vertices(graph, node), node.var)
 
 
-def _edge_rows(graph: PropertyGraph, rel: Rel, src: Node, dst: Node) -> DataFrame:
+def _edge_rows(graph: PropertyGraph, rel: Rel, src: Node, dst: Node, table: DataFrame | None = None) -> DataFrame:
+    """The edges of a pattern's edge, of all its table or of a part of it."""
     if rel.label is None:
         df = graph.edges().select(
             "label",
@@ -169,7 +173,7 @@ def _edge_rows(graph: PropertyGraph, rel: Rel, src: Node, dst: Node) -> DataFram
             "properties",
         )
     else:
-        table = graph.edge_tables[rel.label]
+        table = graph.edge_tables[rel.label] if table is None else table
         properties = [_own(c) for c in graph.edge_properties(rel.label)]
         tags = graph.tag_columns("edge", rel.label)
         df = table.select(F.lit(rel.label).alias("label"), *EDGE_KEY_COLUMNS, *properties, *tags)
@@ -189,7 +193,14 @@ def _expand(
     near, far = ("src", "dst") if forward else ("dst", "src")
     src, dst = (at, to) if forward else (to, at)
     edges = _edge_rows(graph, rel, src, dst)
-    rows = _join_endpoint(edges, rows, edges, f"{rel.var}_{near}", at, spread)
+    if spread is None:
+        parts = (_edge_rows(graph, rel, src, dst, table) for table in graph.edge_parts(rel.label, near))
+        rows = reduce(DataFrame.unionByName, [_join_endpoint(part, rows, part, f"{rel.var}_{near}", at, None) for part in parts])
+    else:
+        rows = _join_endpoint(edges, rows, edges, f"{rel.var}_{near}", at, spread)
+    if graph.whole and to.label is not None and not to.properties and to.where is None and to.uids is None:
+        # The end is known to exist, and the edge has all of it that is wanted.
+        return rows.select("*", *(F.col(f"{rel.var}_{far}_{p}").alias(f"{to.var}_{p}") for p in ("label", "uid")))
     return _join_endpoint(rows, _node_rows(graph, to), edges, f"{rel.var}_{far}", to, spread)
 
 
@@ -218,8 +229,10 @@ def _same_edge(left: str, right: str) -> Column:
 # --- values built from a match --------------------------------------------------------------------------------------
 
 
-def _bound_properties(rows: DataFrame, part: Node | Rel, identity: Sequence[str]) -> Column:
-    """The properties that a match has of one element, as a map."""
+def _bound_properties(rows: DataFrame, part: Node | Rel, identity: Sequence[str], wanted: bool) -> Column:
+    """The properties that a match has of one element, as a map; an empty one if they are not wanted."""
+    if not wanted or (isinstance(part, Node) and not part.properties):
+        return pack_properties({})
     if part.label is None:
         return F.col(f"{part.var}_properties")
     prefix = f"{part.var}_"
@@ -234,19 +247,19 @@ def _bound_tags(rows: DataFrame, var: str) -> Column:
     return F.coalesce(F.col(f"{var}_{TAGS}"), empty) if tags == "array<string>" else empty
 
 
-def vertex_value(rows: DataFrame, node: Node) -> Column:
+def vertex_value(rows: DataFrame, node: Node, properties: bool = True) -> Column:
     """A matched node as an element: ``label, uid, tags, properties, rk``."""
     var = node.var
     return F.struct(
         F.col(f"{var}_label").alias("label"),
         F.col(f"{var}_uid").alias("uid"),
         _bound_tags(rows, var).alias("tags"),
-        _bound_properties(rows, node, ["label", "uid"]).alias("properties"),
+        _bound_properties(rows, node, ["label", "uid"], properties).alias("properties"),
         identity_text(f"{var}_label", f"{var}_uid").alias("rk"),
     )
 
 
-def edge_value(rows: DataFrame, rel: Rel) -> Column:
+def edge_value(rows: DataFrame, rel: Rel, properties: bool = True) -> Column:
     """A matched edge as an element: ``label, euid, src, dst, tags, properties, rk``."""
     var = rel.var
     ends = [
@@ -263,16 +276,23 @@ def edge_value(rows: DataFrame, rel: Rel) -> Column:
         F.col(f"{var}_euid").alias("euid"),
         *ends,
         _bound_tags(rows, var).alias("tags"),
-        _bound_properties(rows, rel, ["label", *EDGE_KEY_COLUMNS]).alias("properties"),
+        _bound_properties(rows, rel, ["label", *EDGE_KEY_COLUMNS], properties).alias("properties"),
         identity_text(*key).alias("rk"),
     )
 
 
-def bind_path(rows: DataFrame, pattern: Sequence[Node | Rel], name: str = "path") -> DataFrame:
+def bind_path(
+    rows: DataFrame, pattern: Sequence[Node | Rel], name: str = "path", properties: bool | Sequence[str] = True
+) -> DataFrame:
     """Add the matched chain as an array of ``pos, kind, vertex, edge``, as paths are decoded: even position vertex, odd
-    position edge, each with its properties and tags."""
-    nodes = {p.var: vertex_value(rows, p) for p in pattern if isinstance(p, Node)}
-    rels = {p.var: edge_value(rows, p) for p in pattern if isinstance(p, Rel)}
+    position edge, each with its tags and properties.
+
+    ``properties`` says of which variables the properties are wanted: of all, of none, or of those named. Elements of the
+    others have an empty map, and their properties are neither read nor carried through the joins.
+    """
+    wanted = {p.var: properties if isinstance(properties, bool) else p.var in properties for p in pattern}
+    nodes = {p.var: vertex_value(rows, p, wanted[p.var]) for p in pattern if isinstance(p, Node)}
+    rels = {p.var: edge_value(rows, p, wanted[p.var]) for p in pattern if isinstance(p, Rel)}
     probe = rows.select(*(c.alias(v) for v, c in (nodes | rels).items())).schema
     vertex_type, edge_type = probe[pattern[0].var].dataType, probe[pattern[1].var].dataType if rels else None
     elements = []

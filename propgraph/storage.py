@@ -14,9 +14,10 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from propgraph.graph import PropertyGraph
 from propgraph.schema import GraphSchema, Properties
@@ -26,6 +27,11 @@ KINDS = ("vertex", "edge")
 BUCKET = "__bucket"
 
 
+def bucket_of(keys: Sequence[str], shards: int) -> Column:
+    """The name of the bucket that a row with these key columns is in."""
+    return F.pmod(F.xxhash64(*keys), F.lit(shards)).cast("string")
+
+
 class StoredGraph(PropertyGraph):
     """A stored graph at one meta version."""
 
@@ -96,6 +102,13 @@ class StoredGraph(PropertyGraph):
         paths = [f"{self.table_path(kind, label, current[b])}/{BUCKET}={b}" for b in sorted(buckets) if b in current]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
+    def vertex_rows(self, label: str, uids: Sequence[str] | None) -> DataFrame:
+        """The buckets of a label that vertices with these uids are in; all of them without uids."""
+        if uids is None or not self.has_data("vertex", label):
+            return super().vertex_rows(label, uids)
+        ids = self.spark.createDataFrame([(str(u),) for u in uids], "uid string")
+        return self.buckets("vertex", label, {row[0] for row in ids.select(bucket_of(["uid"], self.schema.shards)).collect()})
+
     def has_data(self, kind: str, label: str) -> bool:
         return bool(self.versions[kind].get(label))
 

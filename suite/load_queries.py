@@ -19,7 +19,7 @@ from propgraph.operators.profile import (
     schema_from_data,
 )
 from propgraph.session import path_exists, scratch_path
-from propgraph.sources.tables import create_table, read_delimited, sql
+from propgraph.sources.tables import create_table, read_delimited, read_delimited_rejects, sql
 from propgraph.storage import StoredGraph
 from suite.tables import graph, read
 
@@ -63,6 +63,21 @@ def read_delimited_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, path, columns)
 
 
+def read_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as text in which some quantities are no numbers and some lines lack a cell: what fits, and what does not."""
+    path = scratch_path(spark, "lines")
+    cells = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")]
+    cells[2] = F.when(F.col("l_linenumber") == 2, "n/a").otherwise(cells[2])
+    line = F.when(F.col("l_linenumber") == 5, F.concat_ws(",", *cells[:3])).otherwise(F.concat_ws(",", *cells))
+    read(spark, sf_dir, "lineitem").select(line).write.text(path)
+    columns = [("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_partkey", "bigint"), ("l_returnflag", "string")]
+    good, rejects = read_delimited_rejects(spark, path, columns)
+    kept = good.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.sum("l_partkey").alias("total"))
+    return kept.select(F.lit(None).cast("string").alias("line"), "l_returnflag", "n", "total").unionByName(
+        rejects.select("line", F.lit(None).cast("string").alias("l_returnflag"), F.lit(1).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("total"))
+    )
+
+
 def sql_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL on a registered table, in a named database."""
     name = _table_name()
@@ -317,6 +332,14 @@ QUERIES = {
     "csv_external_table": (csv_external_table, "SELECT * FROM customer"),
     "orc_external_table": (orc_external_table, "SELECT * FROM customer"),
     "read_delimited": (read_delimited_text, "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem"),
+    "read_delimited_rejects": (
+        read_rejects,
+        """SELECT CAST(NULL AS VARCHAR) AS line, l_returnflag, count(*) AS n, CAST(sum(l_partkey) AS BIGINT) AS total
+           FROM lineitem WHERE l_linenumber NOT IN (2, 5) GROUP BY l_returnflag
+           UNION ALL SELECT CASE WHEN l_linenumber = 5 THEN concat_ws(',', l_orderkey, l_linenumber, l_partkey)
+                                 ELSE concat_ws(',', l_orderkey, l_linenumber, 'n/a', l_returnflag) END, NULL, 1, 0
+           FROM lineitem WHERE l_linenumber IN (2, 5)""",
+    ),
     "sql_scan": (
         sql_scan,
         """SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem

@@ -94,7 +94,7 @@ TWO_HOPS = (Node("a", "Customer"), Rel("f", "PLACED"), Node("o", "Order"), Rel("
 
 
 def match_two_hop_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = bind_path(match(graph(spark, sf_dir), *TWO_HOPS), TWO_HOPS)
+    rows = bind_path(match(graph(spark, sf_dir), *TWO_HOPS), TWO_HOPS, properties=False)
     text = F.array_join(
         F.transform("path", lambda e: F.when(e["kind"] == "vertex", F.concat(e["vertex"]["label"], F.lit(":"), e["vertex"]["uid"])).otherwise(e["edge"]["label"])),
         "/",
