@@ -45,6 +45,8 @@ EDGE_TYPE = (
 )
 
 Labels = Mapping[int, str]
+#: The schema version of documents: one for all, or a column of the table that holds each document's own.
+Version = int | Column
 Parts = dict[str, Column]
 Step = Callable[[Parts], Parts]
 
@@ -116,31 +118,34 @@ def _vertex_steps() -> list[Step]:
     return [take_apart, finish]
 
 
-def _edge_steps(version: int, vertex_labels: Labels) -> list[Step]:
+def _edge_steps(version: Version, vertex_labels: Labels) -> list[Step]:
     """A document ``doc`` to ``label, euid, src, dst, tags, properties, entity_key, rk, reason``.
 
     With packed keys the endpoint ids are properties and the key bits give the label index; a legacy endpoint key holds
-    both.
+    both. Where the version is a column, each row is read as its own version says.
     """
     packed = version >= K.PACKED_KEYS_SINCE
-    reserved = [UID, TAGS, SOURCE_UID, TARGET_UID] if packed else [UID, TAGS]
+    unknown = version.isNull() if isinstance(version, Column) else F.lit(False)
+
+    def by_version(new: Callable[[], Column], old: Callable[[], Column]) -> Column:
+        if isinstance(packed, Column):
+            return F.when(packed, new()).when(~packed, old())
+        return new() if packed else old()
 
     def take_apart(p: Parts) -> Parts:
         doc = p["doc"]
-        parts = {**_take_apart(doc), "start": doc[START_KEY], "end": doc[END_KEY]}
-        if packed:
-            parts |= {
-                "src_uid": _reserved(doc[PROPERTIES], SOURCE_UID),
-                "dst_uid": _reserved(doc[PROPERTIES], TARGET_UID),
-            }
-        return parts
+        return {
+            **_take_apart(doc),
+            "start": doc[START_KEY],
+            "end": doc[END_KEY],
+            "src_uid": by_version(lambda: _reserved(doc[PROPERTIES], SOURCE_UID), lambda: K.legacy_uid(doc[START_KEY])),
+            "dst_uid": by_version(lambda: _reserved(doc[PROPERTIES], TARGET_UID), lambda: K.legacy_uid(doc[END_KEY])),
+        }
 
     def read_keys(p: Parts) -> Parts:
-        index = K.label_index if packed else K.legacy_label_index
-        found = {**p, "src_index": index(p["start"]), "dst_index": index(p["end"])}
-        if not packed:
-            found |= {"src_uid": K.legacy_uid(p["start"]), "dst_uid": K.legacy_uid(p["end"])}
-        return found
+        ends = {"src_index": p["start"], "dst_index": p["end"]}
+        found = {n: by_version(lambda k=k: K.label_index(k), lambda k=k: K.legacy_label_index(k)) for n, k in ends.items()}
+        return {**p, **found}
 
     def look_up(p: Parts) -> Parts:
         return {
@@ -156,6 +161,7 @@ def _edge_steps(version: int, vertex_labels: Labels) -> list[Step]:
             .when(p["label"].isNull(), "no_label")
             .when(p["entity_key"].isNull(), "no_key")
             .when(p["properties"].isNull(), "no_properties")
+            .when(unknown, "no_version")
             .when(p["src_index"].isNull(), "no_start_key")
             .when(p["src_uid"].isNull(), "no_src_uid")
             .when(p["src_label"].isNull(), "unknown_start_label")
@@ -175,7 +181,9 @@ def _edge_steps(version: int, vertex_labels: Labels) -> list[Step]:
             "src": stub("src", K.start_key(p["entity_key"])),
             "dst": stub("dst", K.end_key(p["entity_key"])),
             "tags": F.when(~p["missing"], p["tags"]),
-            "properties": without(p["properties"], *reserved),
+            "properties": by_version(
+                lambda: without(p["properties"], UID, TAGS, SOURCE_UID, TARGET_UID), lambda: without(p["properties"], UID, TAGS)
+            ),
             "entity_key": p["entity_key"],
             "rk": K.key_text(p["entity_key"]),
             "reason": reason,
@@ -220,8 +228,11 @@ def decode_vertices(df: DataFrame, column: str) -> DataFrame:
     return _over_table(df, column, _vertex_steps())
 
 
-def decode_edges(df: DataFrame, column: str, version: int, vertex_labels: Labels) -> DataFrame:
-    """A column of edge documents to edge columns and ``reason``; other columns stay."""
+def decode_edges(df: DataFrame, column: str, version: Version, vertex_labels: Labels) -> DataFrame:
+    """A column of edge documents to edge columns and ``reason``; other columns stay.
+
+    A table may mix documents of several versions if another column of it says which version each has.
+    """
     return _over_table(df, column, _edge_steps(version, vertex_labels))
 
 
@@ -230,7 +241,7 @@ def vertex_array(docs: Column) -> Column:
     return _over_array(docs, _vertex_steps())
 
 
-def edge_array(docs: Column, version: int, vertex_labels: Labels) -> Column:
+def edge_array(docs: Column, version: Version, vertex_labels: Labels) -> Column:
     """An array of parsed edge documents to an array of edges with ``reason``."""
     return _over_array(docs, _edge_steps(version, vertex_labels))
 
@@ -239,23 +250,21 @@ def _take(parts: Column, odd: bool) -> Column:
     return F.filter(parts, lambda _, i: i % 2 == (1 if odd else 0))
 
 
-def path_elements(parts: Column, version: int, vertex_labels: Labels) -> Column:
+def path_elements(parts: Column, version: Version, vertex_labels: Labels) -> Column:
     """A parsed path document, an array, to an array of ``pos, kind, vertex, edge``: even position vertex, odd edge."""
-    vertices = F.transform(
-        vertex_array(_take(parts, odd=False)),
-        lambda v, i: F.struct(
-            (i * 2).alias("pos"), F.lit("vertex").alias("kind"), v.alias("vertex"), F.lit(None).cast(EDGE_TYPE).alias("edge")
-        ),
-    )
-    edges = F.transform(
-        edge_array(_take(parts, odd=True), version, vertex_labels),
-        lambda e, i: F.struct(
-            (i * 2 + 1).alias("pos"), F.lit("edge").alias("kind"), F.lit(None).cast(VERTEX_TYPE).alias("vertex"), e.alias("edge")
-        ),
-    )
-    return F.array_sort(
-        F.concat(vertices, edges), lambda a, b: F.when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0)
-    )
+    no_edge, no_vertex = F.lit(None).cast(EDGE_TYPE).alias("edge"), F.lit(None).cast(VERTEX_TYPE).alias("vertex")
+
+    def two(pair: Column, i: Column) -> Column:
+        """A vertex and the edge after it."""
+        return F.array(
+            F.struct((i * 2).alias("pos"), F.lit("vertex").alias("kind"), pair["vertex"].alias("vertex"), no_edge),
+            F.struct((i * 2 + 1).alias("pos"), F.lit("edge").alias("kind"), no_vertex, pair["edge"].alias("edge")),
+        )
+
+    vertices, edges = vertex_array(_take(parts, odd=False)), edge_array(_take(parts, odd=True), version, vertex_labels)
+    pairs = F.arrays_zip(vertices.alias("vertex"), edges.alias("edge"))
+    # The last vertex of a path has no edge after it.
+    return F.slice(F.flatten(F.transform(pairs, two)), F.lit(1), F.size(parts))
 
 
 def path_problem(path: Column) -> Column:
@@ -271,7 +280,7 @@ def _problem(element: Column) -> Column:
     return F.when(element["label"].isNull() & element["reason"].isNull(), "no_element").otherwise(element["reason"])
 
 
-def decode_paths(df: DataFrame, column: str, version: int, vertex_labels: Labels) -> DataFrame:
+def decode_paths(df: DataFrame, column: str, version: Version, vertex_labels: Labels) -> DataFrame:
     """A column of path documents to a ``path`` array and ``reason``; other columns stay."""
     others = [c for c in df.columns if c != column]
     text = F.col(column)
@@ -293,7 +302,7 @@ def decode_paths(df: DataFrame, column: str, version: int, vertex_labels: Labels
     return decoded.select(*others, "path", reason.alias("reason"))
 
 
-def decode_path_elements(df: DataFrame, column: str, version: int, vertex_labels: Labels) -> DataFrame:
+def decode_path_elements(df: DataFrame, column: str, version: Version, vertex_labels: Labels) -> DataFrame:
     """A column of path documents to its elements, one row each: ``pos, kind, vertex, edge`` and the element's ``reason``.
 
     For results that are used element by element; ``decode_paths`` keeps a path in one row. Text that is no path gives one

@@ -199,6 +199,27 @@ def decode_edges_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decoded_edges(decode_edges(documents, "doc", 17, VERTEX_LABELS))
 
 
+def decode_mixed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of both key formats in one table, and some whose version nobody knows."""
+    start = K.legacy_vertex_key(F.concat(F.lit("né "), "o_custkey"), F.lit(1))
+    end = K.legacy_vertex_key(F.concat(F.lit("o"), "o_orderkey"), F.lit(258))
+    old = _edge_document([F.lit("e").alias("__uid"), F.lit("kept").alias("__srcuid"), F.col("o_totalprice")], start, end, F.col("key"))
+    k = F.col("o_orderkey") % 5
+    version = F.when(k == 0, 17).when(k == 1, 12).when(k == 2, 18).when(k == 3, 19)
+    documents = _edge_keys(spark, sf_dir).select(
+        "o_orderkey", version.alias("version"), F.when(version < 18, F.to_json(old)).otherwise(F.to_json(_placed_document())).alias("doc")
+    )
+    decoded = decode_edges(documents, "doc", F.col("version"), VERTEX_LABELS)
+    return decoded.select(
+        *("o_orderkey", "version", "label", "euid", "reason"),
+        F.col("src.label").alias("src_label"),
+        F.col("src.uid").alias("src_uid"),
+        F.col("dst.label").alias("dst_label"),
+        F.col("dst.uid").alias("dst_uid"),
+        F.array_join(F.map_keys("properties"), ",").alias("names"),
+    )
+
+
 def edge_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edge documents without endpoint key or id, or with a label index nobody declared."""
     k = F.col("o_orderkey") % 7
@@ -300,21 +321,35 @@ def decode_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_result_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A whole result: path, edge, list of vertices and a number per row."""
+    """A whole result: number, float, edge, list of vertices, path, and a map of lists per row. Numbers, edges, lists and paths
+    are spoiled in some rows; paths have one, three or five elements."""
+    customer = F.to_json(_vertex_document("Customer", F.concat(F.lit("c"), "o_custkey"), F.col("start")))
+    order = F.to_json(_vertex_document("Order", F.concat(F.lit("o"), "o_orderkey"), F.col("end")))
+    edge, k = F.to_json(_placed_document()), F.col("o_orderkey")
+    longest = F.when(k % 4 == 1, F.concat_ws(",", customer, edge, order)).when(k % 4 == 2, F.concat_ws(",", customer, edge, order, edge, order))
+    path = F.concat(F.lit("["), F.coalesce(longest, customer), F.lit("]"))
     documents = _edge_keys(spark, sf_dir).select(
-        F.col("o_orderkey").cast("string").alias("n"),
-        F.to_json(_placed_document()).alias("f"),
-        F.concat(
-            F.lit("["),
-            F.to_json(_vertex_document("Order", F.concat(F.lit("o"), "o_orderkey"), F.col("end"))),
-            F.lit("]"),
-        ).alias("l"),
+        F.when(k % 7 == 0, "many").otherwise(k.cast("string")).alias("n"),
+        F.concat((k % 100).cast("string"), F.lit(".5")).alias("x"),
+        F.when(k % 7 == 1, F.lit("{}")).when(k % 7 == 2, F.lit(None)).otherwise(edge).alias("f"),
+        F.when(k % 7 == 3, F.lit("17")).otherwise(F.concat(F.lit("["), order, F.lit("]"))).alias("l"),
+        F.when(k % 7 == 4, F.regexp_replace(path, '"entityKey"', '"key"')).otherwise(path).alias("p"),
+        F.concat(F.lit('{"a":['), k.cast("string"), F.lit("],\"b\":[1,2]}")).alias("m"),
+        F.col("o_orderkey").alias("o"),
     )
-    tags = {"n": "long", "f": "GraphRelation", "l": "CruxType:List<CruxType:Node>"}
+    tags = {"n": "long", "x": "float", "f": "GraphRelation", "l": "CruxType:List<CruxType:Node>", "p": "CruxType:Path"}
+    tags["m"] = "CruxType:Map<string,CruxType:List<long>>"
     decoded = decode_result(documents, tags, 18, VERTEX_LABELS)
     return decoded.select(
-        "n", F.col("f.src.uid").alias("src_uid"), F.col("f.dst.label").alias("dst_label"), F.col("l")[0]["uid"].alias("uid"),
-        F.size("bad_cells").alias("bad"),
+        *("o", "n"),
+        F.col("x").cast("double").alias("x"),
+        F.col("f.src.uid").alias("src_uid"),
+        F.col("f.dst.label").alias("dst_label"),
+        F.col("l")[0]["uid"].alias("uid"),
+        path_length(F.col("p")).alias("length"),
+        F.get("p", F.size("p") - 1)["vertex"]["uid"].alias("last"),
+        F.col("m")["a"][0].alias("m"),
+        F.array_join("bad_cells", ",").alias("bad"),
     )
 
 
@@ -369,6 +404,19 @@ QUERIES = {
         decode_edges_legacy,
         _EDGE_SQL.format(euid="'e'", src="'né ' || o_custkey", names="'o_totalprice'"),
     ),
+    "decode_mixed_versions": (
+        decode_mixed_versions,
+        """WITH v AS (SELECT *, CASE o_orderkey % 5 WHEN 0 THEN 17 WHEN 1 THEN 12 WHEN 2 THEN 18 WHEN 3 THEN 19 END AS version FROM orders)
+           SELECT o_orderkey, version, 'PLACED' AS label,
+                  CASE WHEN version < 18 THEN 'e' WHEN o_orderkey % 2 = 0 THEN 'e' || o_orderkey ELSE '' END AS euid,
+                  CASE WHEN version IS NULL THEN 'no_version' END AS reason,
+                  CASE WHEN version IS NOT NULL THEN 'Customer' END AS src_label,
+                  CASE WHEN version < 18 THEN 'né ' || o_custkey WHEN version >= 18 THEN 'c' || o_custkey END AS src_uid,
+                  CASE WHEN version IS NOT NULL THEN 'Order' END AS dst_label,
+                  CASE WHEN version IS NOT NULL THEN 'o' || o_orderkey END AS dst_uid,
+                  CASE WHEN version < 18 THEN '__srcuid,o_totalprice' WHEN version >= 18 THEN 'o_orderpriority,o_totalprice' END AS names
+           FROM v""",
+    ),
     "decode_edge_rejects": (
         edge_rejects,
         """SELECT reason, count(*) AS n FROM (SELECT CASE o_orderkey % 7 WHEN 0 THEN 'no_start_key' WHEN 1 THEN 'no_end_key'
@@ -401,7 +449,15 @@ QUERIES = {
     ),
     "decode_result": (
         decode_result_table,
-        """SELECT o_orderkey AS n, 'c' || o_custkey AS src_uid, 'Order' AS dst_label, 'o' || o_orderkey AS uid, 0 AS bad
+        """SELECT o_orderkey AS o, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS n,
+                  CAST(o_orderkey % 100 AS DOUBLE) + 0.5 AS x,
+                  CASE WHEN o_orderkey % 7 NOT IN (1, 2) THEN 'c' || o_custkey END AS src_uid,
+                  CASE WHEN o_orderkey % 7 NOT IN (1, 2) THEN 'Order' END AS dst_label,
+                  CASE WHEN o_orderkey % 7 <> 3 THEN 'o' || o_orderkey END AS uid,
+                  CASE WHEN o_orderkey % 7 <> 4 THEN CASE o_orderkey % 4 WHEN 1 THEN 3 WHEN 2 THEN 5 ELSE 1 END END AS length,
+                  CASE WHEN o_orderkey % 7 <> 4 THEN CASE WHEN o_orderkey % 4 IN (1, 2) THEN 'o' || o_orderkey ELSE 'c' || o_custkey END END AS last,
+                  o_orderkey AS m,
+                  CASE o_orderkey % 7 WHEN 0 THEN 'n' WHEN 1 THEN 'f' WHEN 3 THEN 'l' WHEN 4 THEN 'p' ELSE '' END AS bad
            FROM orders""",
     ),
 }

@@ -12,7 +12,7 @@ from propgraph.operators.load import (
     load_vertices,
 )
 from propgraph.session import path_exists, scratch_path
-from propgraph.sources.tables import create_table, read_delimited, sql
+from propgraph.sources.tables import create_table, read_delimited, read_delimited_rejects, sql
 from propgraph.storage import StoredGraph
 
 MODULE = [("__uid", "uid"), ("name", "name"), ("size", "size")]
@@ -262,3 +262,29 @@ def test_stored_uid_predicate_is_pushed(spark, sf_dir):
 
     plan = stored_match_uid_in(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "In(uid, [" in plan
+
+
+def test_a_property_is_mapped_once():
+    with pytest.raises(ValueError, match="more than once: name"):
+        check_vertex_mapping([("__uid", "u"), ("name", "a"), ("name", "b")])
+    edge = [("__usid", "s"), ("__udid", "d"), ("__uslabels", "['A']"), ("__udlabels", "['B']")]
+    with pytest.raises(ValueError, match="more than once: W, w"):
+        check_edge_mapping([*edge, ("w", "a"), ("W", "b")])
+    check_edge_mapping([*edge, ("__uid", "a"), ("w", "b")])
+
+
+def test_rejects_of_delimited_text(spark, tmp_path):
+    text = '1,a,2.5\nx,b,1\n2,"q,r",\n3,c\n4,d,1,9\n\n,,\n5,"un,1\n6,e,zz\n'
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(text)
+    columns = [("id", "int"), ("name", "string"), ("x", "double")]
+    good, rejects = read_delimited_rejects(spark, str(tmp_path / "in"), columns)
+    assert sorted(map(tuple, good.collect()), key=str) == sorted([(1, "a", 2.5), (2, "q,r", None), (None, None, None)], key=str)
+    lines = ["3,c", "4,d,1,9", '5,"un,1', "6,e,zz", "x,b,1"]
+    assert sorted(r.line for r in rejects.collect()) == lines
+    # Whatever a query needs of the rows, the same lines fit.
+    assert sorted(r.line for r in rejects.select("line").collect()) == lines and rejects.count() == 5
+    assert good.select("name").count() == good.count() == 3
+    assert rejects.select("file").distinct().count() == 1
+    with pytest.raises(ValueError):
+        read_delimited_rejects(spark, str(tmp_path / "in"), [("__line", "string")])
