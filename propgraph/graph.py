@@ -9,6 +9,7 @@ come from anywhere (``vertex_table`` and ``edge_table`` map plain columns) or fr
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -61,6 +62,13 @@ def identity_text(*key: str) -> Column:
     return F.concat_ws(":", *(x for c in key for x in (F.length(c), F.col(c))))
 
 
+def table_names(labels: Sequence[str]) -> dict[str, str]:
+    """A name that a catalog takes for every label; labels that would share one get their place as an addition."""
+    plain = {label: re.sub(r"[^A-Za-z0-9_]", "_", label) for label in labels}
+    taken = [name.lower() for name in plain.values()]
+    return {label: name if taken.count(name.lower()) == 1 else f"{name}_{i}" for i, (label, name) in enumerate(plain.items())}
+
+
 class PropertyGraph:
     """Vertex and edge tables by label. Everything is lazy; no method runs a job."""
 

@@ -215,11 +215,12 @@ def _upsert(
     bucket = bucket_of(key_names, graph.schema.shards)
     if graph.has_data(kind, label):
         # The batch is computed once; the buckets that none of its keys falls into keep their files.
-        path = scratch_path(spark, "batch")
-        batch.write.parquet(path)
+        # Which these are is noted in the write: at most as many names as the graph has shards.
+        path, seen = scratch_path(spark, "batch"), Observation()
+        touched = F.collect_set(F.when(F.col("__reason").isNull(), bucket))
+        batch.observe(seen, touched.alias("touched")).write.parquet(path)
         batch = spark.read.schema(batch.schema).parquet(path)
-        touched = [r[0] for r in batch.where(F.col("__reason").isNull()).select(bucket).distinct().collect()]
-        merged = merge(graph.buckets(kind, label, touched), batch, key_names, mapped)
+        merged = merge(graph.buckets(kind, label, seen.get["touched"] or []), batch, key_names, mapped)
     else:
         merged = _first_load(batch, schema, key_names, mapped)
     # Adaptive execution sizes the files of each bucket, and cuts large ones.

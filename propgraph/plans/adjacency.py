@@ -13,11 +13,9 @@ The tables are in a database of the catalog, under their labels' names, so SQL s
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 
-from propgraph.graph import PropertyGraph
+from propgraph.graph import PropertyGraph, table_names
 from propgraph.operators.skew import PIECES, ROWS_PER_TASK, heavy_keys
 from propgraph.session import delete_path, scratch_path
 
@@ -49,13 +47,6 @@ class BucketedGraph(PropertyGraph):
         self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
 
 
-def _table_names(labels: list[str]) -> dict[str, str]:
-    """A name that a catalog takes for every label; labels that would share one get their place as an addition."""
-    plain = {label: re.sub(r"[^A-Za-z0-9_]", "_", label) for label in labels}
-    taken = [name.lower() for name in plain.values()]
-    return {label: name if taken.count(name.lower()) == 1 else f"{name}_{i}" for i, (label, name) in enumerate(plain.items())}
-
-
 def bucket_graph(
     spark: SparkSession, graph: PropertyGraph, database: str, buckets: int, location: str | None = None, rows_per_task: int = ROWS_PER_TASK
 ) -> BucketedGraph:
@@ -73,12 +64,12 @@ def bucket_graph(
         writer = rows.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
         writer.format("parquet").saveAsTable(f"`{database}`.`{name}`")
 
-    vertices = {label: f"vertex_{name}" for label, name in _table_names(list(graph.vertex_tables)).items()}
+    vertices = {label: f"vertex_{name}" for label, name in table_names(list(graph.vertex_tables)).items()}
     for label, name in vertices.items():
         write(graph.vertex_tables[label], name, "uid")
     ids = graph.vertex_ids()
     edges: dict[str, dict[str, list[str]]] = {}
-    for label, name in _table_names(list(graph.edge_tables)).items():
+    for label, name in table_names(list(graph.edge_tables)).items():
         rows = graph.edge_tables[label]
         for side in SIDES:
             ends = ids.withColumnsRenamed({"label": f"{side}_label", "uid": f"{side}_uid"})

@@ -10,11 +10,16 @@ number of rounds, parallel edges counted by weight, self-loops kept. Ranks add u
 At scale: the edges are shuffled, sorted and cached once, by (src, piece), where the edges of a hub are cut into pieces by
 their target; each round moves one row per vertex to the edges and one partial sum per target and task back. Ranks are
 written to the shared scratch folder after every round, which cuts the lineage and survives the loss of executors; the
-dangling mass is observed in that write, so no round makes a second pass.
+dangling mass is observed in that write, so no round makes a second pass. With a ``run_path`` a small file beside the ranks
+says which round they are of, so that a run whose driver was lost goes on after its last whole round, and a finished run can be
+carried on to more rounds.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -25,7 +30,7 @@ from propgraph.graph import vertex_id
 from propgraph.operators.match import check_limit, filter_uids, top_k
 from propgraph.operators.skew import PIECE, PIECES, cut_heavy, heavy_keys
 from propgraph.plans.views import GraphView, MaterializedView, materialize
-from propgraph.session import delete_path, scratch_path, shuffle_partitions, sized_session
+from propgraph.session import child_names, delete_path, read_text, scratch_path, shuffle_partitions, sized_session, write_once
 
 EDGES_PER_PIECE = 1_000_000
 
@@ -44,11 +49,13 @@ def pagerank(
     view_path: str | None = None,
     reuse: bool = True,
     edges_per_piece: int = EDGES_PER_PIECE,
+    run_path: str | None = None,
 ) -> DataFrame:
-    """``vid, label, uid, rank`` by rank descending."""
+    """``vid, label, uid, rank`` by rank descending. A run with a ``run_path`` goes on where an earlier one of the same
+    materialized view and arguments ended; give it a ``view_path``, since another build of the view is another run."""
     check_limit(limit)
     graph = materialize(spark, view, view_path, reuse, edges_per_piece)
-    return _run(spark, graph, None, damping_factor, rounds, limit, edges_per_piece)
+    return _run(spark, graph, None, damping_factor, rounds, limit, edges_per_piece, run_path)
 
 
 def personalized_pagerank(
@@ -61,13 +68,29 @@ def personalized_pagerank(
     view_path: str | None = None,
     reuse: bool = True,
     edges_per_piece: int = EDGES_PER_PIECE,
+    run_path: str | None = None,
 ) -> DataFrame:
     """As ``pagerank``, with restarts at the sources: a table with ``uid`` and optionally ``label``; ids that the view does
     not have are ignored, and no source at all gives an empty result."""
     check_limit(limit)
     graph = materialize(spark, view, view_path, reuse, edges_per_piece)
     ids = filter_uids(graph.vertices, sources).select("id")
-    return _run(spark, graph, ids, damping_factor, rounds, limit, edges_per_piece)
+    return _run(spark, graph, ids, damping_factor, rounds, limit, edges_per_piece, run_path)
+
+
+def _run_name(graph: MaterializedView, sources: DataFrame | None, damping: float, edges_per_piece: int) -> str:
+    """A name that runs have in common whose rounds have equal ranks."""
+    starts = None
+    if sources is not None:
+        starts = tuple(sources.agg(F.count("*"), F.bit_xor(F.xxhash64("id")), F.sum(F.xxhash64("id") % (1 << 40))).first())
+    return hashlib.sha256(repr((graph.path, starts, damping, edges_per_piece)).encode()).hexdigest()[:16]
+
+
+def _last_round(spark: SparkSession, folder: str) -> tuple[int, float]:
+    """The last whole round of a run and its dangling mass; -1 if there is none."""
+    names = (re.fullmatch(r"round=(\d+)\.json", name) for name in child_names(spark, folder))
+    last = max((int(name[1]) for name in names if name), default=-1)
+    return (last, json.loads(read_text(spark, f"{folder}/round={last}.json"))["dangling"]) if last >= 0 else (-1, 0.0)
 
 
 def _run(
@@ -78,12 +101,20 @@ def _run(
     rounds: int,
     limit: int | str | None,
     edges_per_piece: int = EDGES_PER_PIECE,
+    run_path: str | None = None,
 ) -> DataFrame:
     if rounds < 0:
         raise ValueError("rounds must not be negative")
     if not 0 <= damping <= 1:
         raise ValueError("damping_factor must be between 0 and 1")
-    scratch = scratch_path(spark, "pagerank")
+    scratch, last, known_mass = scratch_path(spark, "pagerank"), -1, 0.0
+    kept = run_path is not None
+    if kept:
+        folder = f"{run_path.rstrip('/')}/{_run_name(graph, sources, damping, edges_per_piece)}"
+        last, known_mass = _last_round(spark, folder)
+        # Ranks of more rounds than wanted are of no use: such a run starts anew, elsewhere.
+        kept = last < rounds
+        scratch, last = (folder, last) if kept else (scratch, -1)
     n_edges = graph.edges.count()
     session = sized_session(spark, n_edges)
     partitions = shuffle_partitions(session)
@@ -102,8 +133,9 @@ def _run(
     if sources is None:
         fixed = fixed.withColumn("source", F.lit(True))
     else:
-        sources.write.parquet(f"{scratch}/sources")
-        flagged = session.read.schema(sources.schema).parquet(f"{scratch}/sources").withColumn("source", F.lit(True))
+        listed = scratch_path(spark, "pagerank-sources")
+        sources.write.parquet(listed)
+        flagged = session.read.schema(sources.schema).parquet(listed).withColumn("source", F.lit(True))
         fixed = fixed.join(flagged, "id", "left")
     fixed = (
         add_pieces(fixed)
@@ -122,7 +154,11 @@ def _run(
         dangling = totals["dangling"] * share
         ranks = fixed.withColumn("rank", F.when(F.col("source"), F.lit(share)).otherwise(0.0))
         schema = ranks.schema
-        for i in range(rounds):
+        if last >= 0:
+            dangling, ranks = known_mass, session.read.schema(schema).parquet(f"{scratch}/{last}")
+        for i in range(last + 1, rounds):
+            if kept:
+                delete_path(spark, f"{scratch}/{i}")  # what a lost driver left of a round
             teleport = ((1.0 - damping) + damping * dangling) * share
             mass = Observation()
             _round(ranks, edges, fixed, damping, teleport).observe(
@@ -130,10 +166,13 @@ def _run(
             ).write.parquet(f"{scratch}/{i}")
             dangling = mass.get["dangling"] or 0.0
             ranks = session.read.schema(schema).parquet(f"{scratch}/{i}")
+            if kept:
+                write_once(spark, f"{scratch}/round={i}.json", json.dumps({"dangling": dangling}))
             if i > 0:
                 delete_path(spark, f"{scratch}/{i - 1}")
+                delete_path(spark, f"{scratch}/round={i - 1}.json")
         if rounds == 0:
-            ranks.write.parquet(f"{scratch}/-1")
+            ranks.write.mode("overwrite").parquet(f"{scratch}/-1")
     finally:
         edges.unpersist()
         fixed.unpersist()

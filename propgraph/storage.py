@@ -19,7 +19,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propgraph.graph import PropertyGraph
+from propgraph.graph import PropertyGraph, table_names
 from propgraph.schema import GraphSchema, Properties
 from propgraph.session import child_names, delete_path, path_exists, read_text, write_once
 
@@ -79,9 +79,31 @@ class StoredGraph(PropertyGraph):
         return StoredGraph(spark, root, newest, json.loads(read_text(spark, _meta_path(root, newest))))
 
     def drop(self) -> None:
-        """Remove the graph with all its data."""
+        """Remove the graph with all its data, and the views of its name."""
+        self.unregister()
         delete_path(self.spark, self.root)
 
+    def view_names(self) -> dict[str, DataFrame]:
+        """The views that SQL has of this version: a table per label, and the labels' numbers."""
+        name = re.sub(r"[^A-Za-z0-9_]", "_", self.schema.name)
+        views = {f"{name}_label_dict": self.schema.label_table(self.spark)}
+        for kind, tables in (("vertex", self.vertex_tables), ("edge", self.edge_tables)):
+            views |= {f"{name}_{kind}_{own}": tables[label] for label, own in table_names(list(tables)).items()}
+        return views
+
+    def register(self) -> list[str]:
+        """Make the tables of this version known to SQL as views of the session, which replace those of another version:
+        ``<graph>_vertex_<label>``, ``<graph>_edge_<label>`` and ``<graph>_label_dict``. Their names."""
+        views = self.view_names()
+        for name, table in views.items():
+            table.createOrReplaceTempView(f"`{name}`")
+        return list(views)
+
+    def unregister(self) -> None:
+        """Remove the views, if there are any."""
+        for name in self.view_names():
+            self.spark.catalog.dropTempView(name)
+
     def describe(self) -> str:
         """The schema document."""
         return self.schema.document()

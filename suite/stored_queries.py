@@ -13,7 +13,7 @@ from propgraph.plans.adjacency import BucketedGraph, bucket_graph
 from propgraph.plans.pagerank import pagerank
 from propgraph.plans.views import graph_view
 from propgraph.session import scratch_path
-from propgraph.sources.tables import create_table
+from propgraph.sources.tables import create_table, sql
 from propgraph.storage import StoredGraph
 from suite.algorithm_queries import rank_sql, rounded
 from suite.tables import graph, read
@@ -76,6 +76,18 @@ def bucketed_match_one_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named[0].unionByName(named[1])
 
 
+def sql_on_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the views of a loaded graph, with the numbers of its labels."""
+    supply_graph(spark, sf_dir).register()
+    return sql(
+        spark,
+        """SELECT s.uid AS supplier, d.label_index AS part_index, count(*) AS n, sum(p.size) AS total
+           FROM supply_edge_SUPPLIES e JOIN supply_vertex_Supplier s ON s.uid = e.src_uid JOIN supply_vertex_Part p ON p.uid = e.dst_uid
+           JOIN supply_label_dict d ON d.kind = 'vertex' AND d.label_value = e.dst_label
+           WHERE s.balance > 0 GROUP BY ALL""",
+    )
+
+
 def stored_pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(pagerank(spark, graph_view(supply_graph(spark, sf_dir)), rounds=5))
 
@@ -96,6 +108,12 @@ QUERIES = {
            FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey
            WHERE CAST(s_suppkey AS VARCHAR) IN ('1', '5', '7', 'no such id')""",
     ),
+    "sql_on_graph": (
+        sql_on_graph,
+        """SELECT CAST(s_suppkey AS VARCHAR) AS supplier, 2 AS part_index, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS total
+           FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey
+           WHERE s_acctbal > 0 GROUP BY s_suppkey""",
+    ),
     "stored_pagerank": (
         stored_pagerank,
         rank_sql(

@@ -196,3 +196,50 @@ def test_a_build_that_stops_half_way_is_not_reused(spark, monkeypatch):
             materialize(spark, view_of(spark, "cycle", "v1"), path)
     built = materialize(spark, view_of(spark, "star", "v1"), path)
     assert built.vertices.count() == 4 and built.edges.count() > 0
+
+
+def test_a_run_goes_on_after_its_last_whole_round(spark, monkeypatch):
+    """A driver that is lost after three rounds, and one that is lost before a round is noted."""
+    graph, run = scratch_path(spark, "view"), scratch_path(spark, "run")
+    view, rounds_made = view_of(spark, "parallel and loop", "one"), []
+    real, noted = P._round, P.write_once
+
+    def counted(*args):
+        rounds_made.append(1)
+        if len(rounds_made) == 4:
+            raise KeyboardInterrupt
+        return real(*args)
+
+    monkeypatch.setattr(P, "_round", counted)
+    with pytest.raises(KeyboardInterrupt):
+        P.pagerank(spark, view, rounds=8, view_path=graph, run_path=run)
+
+    def unnoted(spark, path, text):
+        if "round=4" in path:
+            raise KeyboardInterrupt
+        return noted(spark, path, text)
+
+    monkeypatch.setattr(P, "write_once", unnoted)
+    with pytest.raises(KeyboardInterrupt):
+        P.pagerank(spark, view, rounds=8, view_path=graph, run_path=run)
+    assert len(rounds_made) == 6  # rounds 4 and 5; the last without its note
+    monkeypatch.setattr(P, "write_once", noted)
+    whole = [tuple(r) for r in P.pagerank(spark, view, rounds=8, view_path=graph).collect()]
+    made = len(rounds_made)
+    resumed = [tuple(r) for r in P.pagerank(spark, view, rounds=8, view_path=graph, run_path=run).collect()]
+    assert len(rounds_made) - made == 4
+    assert [r[0] for r in resumed] == [r[0] for r in whole]
+    assert [r[3] for r in resumed] == pytest.approx([r[3] for r in whole], abs=1e-12)
+    # A finished run is read, carried on to more rounds, and not taken for fewer rounds or for other arguments.
+    made = len(rounds_made)
+    assert P.pagerank(spark, view, rounds=8, view_path=graph, run_path=run).count() == len(whole) and len(rounds_made) == made
+    more = [tuple(r) for r in P.pagerank(spark, view, rounds=9, view_path=graph, run_path=run).collect()]
+    assert len(rounds_made) == made + 1
+    assert [r[3] for r in more] == pytest.approx([r[3] for r in P.pagerank(spark, view, rounds=9, view_path=graph).collect()], abs=1e-12)
+    made = len(rounds_made)
+    few = P.pagerank(spark, view, rounds=2, view_path=graph, run_path=run).collect()
+    assert len(rounds_made) == made + 2
+    assert [r.rank for r in few] == pytest.approx([r.rank for r in P.pagerank(spark, view, rounds=2, view_path=graph).collect()], abs=1e-12)
+    made = len(rounds_made)
+    P.pagerank(spark, view, rounds=3, damping_factor=0.5, view_path=graph, run_path=run)
+    assert len(rounds_made) == made + 3

@@ -288,3 +288,19 @@ def test_rejects_of_delimited_text(spark, tmp_path):
     assert rejects.select("file").distinct().count() == 1
     with pytest.raises(ValueError):
         read_delimited_rejects(spark, str(tmp_path / "in"), [("__line", "string")])
+
+
+def test_views_of_a_stored_graph(spark, graph):
+    source = spark.createDataFrame([("a", "x", 1)], "uid string, name string, size int")
+    loaded = load_vertices(graph, source, "Module", MODULE).graph
+    names = loaded.register()
+    assert "modules_label_dict" in names and "modules_edge_Container" in names
+    assert [tuple(r) for r in spark.sql("SELECT uid, name, size FROM modules_vertex_Module").collect()] == [("a", "x", 1)]
+    assert {r.label for r in spark.sql("SELECT label_value AS label FROM modules_label_dict").collect()} == {"Module", "Bare", "Container", "Weighted"}
+    # A newer version takes the names over.
+    more = spark.createDataFrame([("b", "y", 2)], "uid string, name string, size int")
+    newer = load_vertices(loaded, more, "Module", MODULE).graph
+    newer.register()
+    assert spark.sql("SELECT * FROM modules_vertex_Module").count() == 2
+    newer.drop()
+    assert not any(t.name.lower().startswith("modules_") for t in spark.catalog.listTables())
