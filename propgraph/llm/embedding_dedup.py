@@ -40,7 +40,7 @@ CONFIDENCE = 4.0
 #: Vectors of a bucket that are looked at together, codes alone and in full length, at most. Buckets of vectors in full length,
 #: which have links mostly, are cut into ever more parts before, so that a large group is the work of many tasks: a bucket of
 #: n * n * ``PART`` vectors into n parts.
-CODE_BLOCK, VECTOR_BLOCK, PART = 16_384, 4_096, 64
+CODE_BLOCK, VECTOR_BLOCK, PART = 16_384, 4_096, 16
 #: Pairs that a step of a task holds.
 PAIRS = 1 << 21
 SEED = 12
