@@ -76,14 +76,18 @@ def inner_id(key: Column, offset: int = 0) -> Column:
     return reduce(Column.bitwiseOR, shifted)
 
 
-def vertex_key(shard: Column, label: Column, inner: Column) -> Column:
-    """Build a version 18 vertex key."""
-    packed = (
+def packed_vertex_key(shard: Column, label: Column, inner: Column) -> Column:
+    """The 64 bits of a version 18 vertex key as one BIGINT."""
+    return (
         F.shiftleft(shard.cast("bigint"), LABEL_BITS + INNER_ID_BITS)
         .bitwiseOR(F.shiftleft(label.cast("bigint"), INNER_ID_BITS))
         .bitwiseOR(inner.cast("bigint"))
     )
-    return unpack_key(packed)
+
+
+def vertex_key(shard: Column, label: Column, inner: Column) -> Column:
+    """Build a version 18 vertex key."""
+    return unpack_key(packed_vertex_key(shard, label, inner))
 
 
 # --- legacy ---------------------------------------------------------------------------------------------------------

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propgraph import Node, PropertyGraph, Rel, match
+from propgraph.functions import keys as K
+from propgraph.operators.elements import keys_to_uids
 from propgraph.operators.load import load_edges, load_vertices
 from propgraph.plans.adjacency import BucketedGraph, bucket_graph
+from propgraph.plans.numbers import number_vertices, uids_to_keys
 from propgraph.plans.pagerank import pagerank
 from propgraph.plans.views import graph_view
 from propgraph.session import scratch_path
@@ -76,6 +79,41 @@ def bucketed_match_one_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named[0].unionByName(named[1])
 
 
+def stored_vertex_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts and suppliers numbered after each of two loads: no number twice, none left out, the first ones as they were."""
+    labels = {"Supplier": [("balance", "double")], "Part": [("size", "int")]}
+    g = StoredGraph.create(spark, scratch_path(spark, "graph"), "supply", labels, {"SUPPLIES": []}, shards=4)
+    path, mapping = scratch_path(spark, "numbers"), [("__uid", "p_partkey"), ("size", "p_size")]
+    parts = read(spark, sf_dir, "part")
+    g = load_vertices(g, parts.where("p_partkey % 3 = 0"), "Part", mapping).graph
+    first = number_vertices(g, path, rows_per_task=100).table().select("label", "uid", F.col("number").alias("first"))
+    g = load_vertices(g, parts, "Part", mapping).graph
+    g = load_vertices(g, read(spark, sf_dir, "supplier"), "Supplier", [("__uid", "s_suppkey"), ("balance", "s_acctbal")]).graph
+    table = number_vertices(g, path, rows_per_task=100).table()
+    of_shard = table.join(first, ["label", "uid"], "left").groupBy("label", "label_index", "shard").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("number").alias("keys"),
+        (F.max("inner") + 1).alias("room"),
+        F.count_if(F.col("first") == F.col("number")).alias("kept"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("n", "keys", "room", "kept")]
+    return of_shard.groupBy("label", "label_index").agg(F.count(F.lit(1)).alias("shards"), *sums)
+
+
+def stored_keys_to_uids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges as pairs of packed keys, and the keys turned back into ids and label numbers."""
+    g = supply_graph(spark, sf_dir)
+    numbers = number_vertices(g, scratch_path(spark, "numbers"))
+    rows = g.edge_tables["SUPPLIES"].select("src_label", "src_uid", "dst_label", "dst_uid")
+    for side in ("src", "dst"):
+        rows = uids_to_keys(rows, f"{side}_label", f"{side}_uid", numbers, f"{side}_rk", rows_per_task=HUB_EDGES)
+    rows = rows.select("src_rk", "dst_rk")
+    for side in ("src", "dst"):
+        rows = keys_to_uids(rows, f"{side}_rk", numbers.table(), f"{side}_uid", rows_per_task=HUB_EDGES)
+    index = [K.label_index(F.split(f"{side}_rk", " ").cast("array<int>")).alias(f"{side}_index") for side in ("src", "dst")]
+    return rows.select("src_uid", "dst_uid", *index)
+
+
 def sql_on_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL over the views of a loaded graph, with the numbers of its labels."""
     supply_graph(spark, sf_dir).register()
@@ -108,6 +146,17 @@ QUERIES = {
            FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey
            WHERE CAST(s_suppkey AS VARCHAR) IN ('1', '5', '7', 'no such id')""",
     ),
+    "stored_vertex_numbers": (
+        stored_vertex_numbers,
+        """SELECT 'Part' AS label, 2 AS label_index, 4 AS shards, count(*) AS n, count(*) AS keys, count(*) AS room,
+                  count(*) FILTER (WHERE p_partkey % 3 = 0) AS kept FROM part
+           UNION ALL SELECT 'Supplier', 1, least(4, count(*)), count(*), count(*), count(*), 0 FROM supplier""",
+    ),
+    "stored_keys_to_uids": (
+        stored_keys_to_uids,
+        """SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS src_uid, CAST(l_partkey AS VARCHAR) AS dst_uid, CAST(1 AS BIGINT) AS src_index,
+                  CAST(2 AS BIGINT) AS dst_index FROM lineitem""",
+    ),
     "sql_on_graph": (
         sql_on_graph,
         """SELECT CAST(s_suppkey AS VARCHAR) AS supplier, 2 AS part_index, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS total
