@@ -4,11 +4,15 @@ An archive begins with a skippable frame that holds the dictionary; then comes o
 start at any record it knows the place of. Records with equal payloads are written once, as a ``response``; the others are
 ``revisit`` records that name it. Archives have a bounded size; each is written by one task under a name of its own, and only
 the archives that finished tasks report are read, so a task that is run again leaves nothing that counts.
+
+Archives made elsewhere can be read too: versions 1.0 and 1.1, payloads within HTTP messages, digests of other kinds or none.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -18,7 +22,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import rows_mapper
+from propgraph.llm.common import rows_mapper, stored
 from propgraph.session import scratch_path
 
 #: Payloads shorter than this are never revisits.
@@ -34,6 +38,8 @@ LEVEL = 3
 DICTIONARY_MAGIC = 0x184D2A5D
 FRAME_MAGIC = b"\x28\xb5\x2f\xfd"
 VERSION = b"WARC/1.1"
+READ_VERSIONS = (b"WARC/1.0", VERSION)
+RECORD_TYPES = ("warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation")
 DATE = "1970-01-01T00:00:00Z"
 
 
@@ -46,8 +52,9 @@ def record_name(page_id: int | None) -> str:
 
 
 def page_of(name: str) -> int | None:
-    text = name.removeprefix("<urn:x-page:").removesuffix(">")
-    return None if text == "null" else int(text)
+    """The page that a record is named after; none for ``null`` and for names made elsewhere."""
+    found = re.fullmatch(r"<urn:x-page:(-?[0-9]+)>", name)
+    return int(found[1]) if found else None
 
 
 def make_record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
@@ -129,58 +136,94 @@ def parse_record(record: bytes) -> tuple[dict[str, str], bytes]:
     """Headers, by lower-case name, and block of a record; ``WarcError`` where version, headers or lengths are wrong."""
     head, blank, rest = record.partition(b"\r\n\r\n")
     version, *lines = head.split(b"\r\n")
-    if version != VERSION or not blank:
-        raise WarcError("not a WARC/1.1 record")
+    if version not in READ_VERSIONS or not blank:
+        raise WarcError("not a WARC record of version 1.0 or 1.1")
     headers: dict[str, str] = {}
     for line in lines:
-        name, colon, value = line.decode().partition(":")
+        name, colon, value = line.decode(errors="replace").partition(":")
         if not colon or name.strip().lower() in headers:
             raise WarcError(f"bad header line {line[:80]!r}")
         headers[name.strip().lower()] = value.strip()
     for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if name not in headers:
             raise WarcError(f"no header {name}")
-    if headers["warc-type"] not in ("response", "revisit"):
+    if headers["warc-type"] not in RECORD_TYPES:
         raise WarcError(f"unknown record type {headers['warc-type']}")
-    if not headers["content-length"].isdigit() or len(rest) != int(headers["content-length"]) + 4 or not rest.endswith(b"\r\n\r\n"):
+    if len(rest) != _length(headers, "content-length") + 4 or not rest.endswith(b"\r\n\r\n"):
         raise WarcError("the block is not as long as Content-Length says")
     return headers, rest[:-4]
 
 
-def checked(record: bytes) -> tuple[int | None, str, bytes, int, str, str, int | None]:
-    """page_id, url, block, payload length, payload digest, type and page referred to, with the payload checked against
-    its digest and length."""
+def _length(headers: dict[str, str], name: str) -> int:
+    if not re.fullmatch("[0-9]{1,18}", headers[name]):
+        raise WarcError(f"{name} is {headers[name][:80]!r}")
+    return int(headers[name])
+
+
+def payload_of(headers: dict[str, str], block: bytes) -> bytes:
+    """What a block carries: all of it, or what follows the headers of the HTTP message that it is."""
+    if headers.get("content-type", "").lower().startswith("application/http"):
+        return block.partition(b"\r\n\r\n")[2]
+    return block
+
+
+def digest_fits(labelled: str, payload: bytes) -> bool:
+    """Whether a digest, hexadecimal or in base 32 behind the name of its algorithm, is that of the payload. One by an
+    algorithm that is not known here says nothing against it."""
+    name, _, value = labelled.rpartition(":")
+    algorithm = name.lower().replace("-", "") or "sha256"
+    if algorithm not in ("md5", "sha1", "sha256", "sha512"):
+        return True
+    digest = hashlib.new(algorithm, payload).digest()
+    return value.lower() == digest.hex() or value.upper().rstrip("=") == base64.b32encode(digest).decode().rstrip("=")
+
+
+def checked(record: bytes) -> tuple[int | None, str, bytes, int | None, str | None, str, int | None] | None:
+    """page_id, url, block, payload length, payload digest, type and page referred to of a response or revisit, with the
+    payload checked against the digest and length that the record states; None for a sound record of another type.
+
+    The digest of a response is the SHA-256 of its payload, whichever the record states. A revisit has no payload: its length
+    and digest are those stated, if any are, a digest by another algorithm with that one's name before it.
+    """
     headers, block = parse_record(record)
-    digest, length = headers["warc-payload-digest"].removeprefix("sha256:"), int(headers["x-payload-length"])
-    kind = headers["warc-type"]
-    if kind == "response" and (len(block) != length or hashlib.sha256(block).hexdigest() != digest):
-        raise WarcError(f"the payload of {headers['warc-record-id']} is not what its digest says")
-    if kind == "revisit" and (block or "warc-refers-to" not in headers):
-        raise WarcError(f"the revisit {headers['warc-record-id']} has a payload or refers to nothing")
-    refers = page_of(headers["warc-refers-to"]) if kind == "revisit" else None
-    return page_of(headers["warc-record-id"]), headers.get("warc-target-uri", ""), block, length, digest, kind, refers
+    kind, name = headers["warc-type"], headers["warc-record-id"]
+    if kind not in ("response", "revisit"):
+        return None
+    payload, stated = payload_of(headers, block), headers.get("warc-payload-digest")
+    length = _length(headers, "x-payload-length") if "x-payload-length" in headers else None
+    refers = None
+    if kind == "response":
+        if length not in (None, len(payload)) or (stated is not None and not digest_fits(stated, payload)):
+            raise WarcError(f"the payload of {name} is not what its digest says")
+        length, digest = len(payload), hashlib.sha256(payload).hexdigest()
+    else:
+        if payload or not {"warc-refers-to", "warc-refers-to-target-uri"} & headers.keys():
+            raise WarcError(f"the revisit {name} has a payload or refers to nothing")
+        digest, refers = stated and stated.removeprefix("sha256:"), page_of(headers.get("warc-refers-to", ""))
+    return page_of(name), headers.get("warc-target-uri", ""), block, length, digest, kind, refers
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:
     """page_id, url, html, digest, n_bytes, first_id and revisit of every page.
 
     Of equal payloads of at least ``SMALLEST_REVISIT`` bytes the page with the smallest id is the response. Digests are
-    grouped without the pages; pages are shuffled by their id, and no page meets the copies of its payload.
+    written and grouped without the pages; pages are shuffled by their id, and no page meets the copies of its payload. The
+    first page of each digest is written before it is looked up, so that the look-up has a shuffle of its own, whose parts
+    can be split where one payload has very many pages.
     """
     rows = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
     )
-    digests = rows.select("page_id", F.sha2("html", 256).alias("digest"), F.octet_length("html").alias("n_bytes"))
+    long = rows.where(F.octet_length("html") >= SMALLEST_REVISIT)
+    digests = stored(long.select("page_id", F.sha2("html", 256).alias("digest")), "payload-digests")
     first = (
-        digests.where(F.col("n_bytes") >= SMALLEST_REVISIT)
-        .groupBy("digest")
+        digests.groupBy("digest")
         .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
         .where("n > 1 AND first_id IS NOT NULL")
         .select(F.col("digest").alias("g_digest"), "first_id")
     )
     later = (
-        digests.where(F.col("n_bytes") >= SMALLEST_REVISIT)
-        .join(first, F.col("digest") == F.col("g_digest"))
+        digests.join(stored(first, "first-pages"), F.col("digest") == F.col("g_digest"))
         .where("page_id IS NULL OR page_id <> first_id")
         .select(F.col("page_id").alias("r_id"), F.col("digest").alias("r_digest"), "first_id")
         .distinct()
@@ -192,6 +235,11 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     )
 
 
+def file_system(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a URI and the path in it. What Hadoop calls ``s3a`` or ``s3n`` is ``s3`` here."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
+
+
 def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write a record for every page into archives below ``folder`` and return name, records and bytes of each.
 
@@ -199,14 +247,14 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
     """
 
     def each(rows: Iterator[tuple]) -> Iterator[tuple]:
-        target, root = fs.FileSystem.from_uri(folder)
+        target, root = file_system(folder)
         target.create_dir(root, recursive=True)
         held: list[bytes] = []
         size = 0
 
         def flush() -> tuple:
             name, data = f"{uuid.uuid4().hex}.warc.zst", write_archive(held)
-            with target.open_output_stream(f"{root}/{name}") as out:
+            with target.open_output_stream(f"{root}/{name}", compression=None) as out:
                 out.write(data)
             return name, len(held), len(data)
 
@@ -224,24 +272,28 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
 
 
 def read_archives(spark: SparkSession, folder: str, names: DataFrame, parallelism: int | None = None) -> DataFrame:
-    """Every record of the archives ``names`` (name, records, bytes) below ``folder``.
+    """Every response and revisit of the archives ``names`` (name, records, bytes) below ``folder``; records of other types
+    are checked and left out.
 
     Columns: page_id, url, block (binary), payload_bytes, payload_digest, record_type, refers_to. The job fails with
-    ``WarcError`` at a broken archive, and at one with another number of records than were written.
+    ``WarcError`` at a broken archive, and at one with another number of records or bytes than were written; these numbers
+    may be null for archives made elsewhere. Records named elsewhere have no page_id, revisits of them no refers_to.
     """
 
     def each(rows: Iterator[tuple]) -> Iterator[tuple]:
-        source, root = fs.FileSystem.from_uri(folder)
+        source, root = file_system(folder)
         for name, records, size in rows:
-            with source.open_input_stream(f"{root}/{name}") as file:
+            with source.open_input_stream(f"{root}/{name}", compression=None) as file:
                 data = file.read()
-            if len(data) != size:
+            if size is not None and len(data) != size:
                 raise WarcError(f"{name} has {len(data)} bytes instead of {size}")
             n = 0
             for record in read_archive(data):
                 n += 1
-                yield checked(record)
-            if n != records:
+                row = checked(record)
+                if row is not None:
+                    yield row
+            if records is not None and n != records:
                 raise WarcError(f"{name} has {n} records instead of {records}")
 
     schema = pa.schema(

@@ -181,3 +181,59 @@ def test_broken_archives_are_refused():
     for bad in (good[:-2], good.replace(b"WARC/1.1", b"WARC/0.9"), good.replace(b"WARC-Date", b"No-Date"), good.replace(b"<p>", b"<q>"), good + b"x"):
         with pytest.raises(warc.WarcError):
             warc.checked(bad)
+
+
+def foreign(kind="response", block=b"", version=b"WARC/1.0", **more):
+    headers = {"WARC-Type": kind, "WARC-Record-ID": "<urn:uuid:7b1f>", "WARC-Date": "2020-01-01T00:00:00Z", **more}
+    lines = [version, *(f"{k.replace('_', '-')}: {v}".encode() for k, v in headers.items()), f"Content-Length: {len(block)}".encode()]
+    return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_records_made_elsewhere():
+    import base64
+
+    body = b"<p>text</p>"
+    message, http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n" + body, {"Content_Type": "application/http; msgtype=response"}
+    sha1 = "sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode()
+    want = hashlib.sha256(body).hexdigest()
+    for stated in ({}, {"WARC_Payload_Digest": sha1}, {"WARC_Payload_Digest": f"sha256:{want.upper()}"}, {"WARC_Payload_Digest": "blake3:00"}):
+        assert warc.checked(foreign(block=message, **http, **stated)) == (None, "", message, len(body), want, "response", None)
+    assert warc.checked(foreign(block=body, version=b"WARC/1.1"))[3:5] == (len(body), want)
+    revisit = foreign("revisit", message[: -len(body)], WARC_Payload_Digest=sha1, WARC_Refers_To="<urn:uuid:1>", **http)
+    assert warc.checked(revisit)[3:] == (None, sha1, "revisit", None)
+    for kind in ("warcinfo", "request", "metadata", "resource", "conversion", "continuation"):
+        assert warc.checked(foreign(kind, b"software: x")) is None
+    for bad in (
+        foreign(block=message, **http, WARC_Payload_Digest="sha1:AAAA"),
+        foreign(block=body, X_Payload_Length="12"),
+        foreign(block=body, X_Payload_Length="\u00b2"),
+        foreign("revisit"),
+        foreign("revisit", body, WARC_Refers_To="<urn:uuid:1>"),
+        foreign("page"),
+        foreign(block=body).replace(b"WARC-Date:", b"WARC-Date\xff"),
+    ):
+        with pytest.raises(warc.WarcError):
+            warc.checked(bad)
+
+
+def test_archives_made_elsewhere_are_read(spark, tmp_path):
+    made = [foreign("warcinfo", b"software: x"), foreign(block=b"<p>one</p>"), foreign("request", b"GET /"), foreign(block=b"")]
+    (tmp_path / "a.warc.zst").write_bytes(warc.write_archive(made))
+    names = spark.createDataFrame([("a.warc.zst", None, None)], "name string, records long, bytes long")
+    rows = warc.read_archives(spark, warc.as_uri(str(tmp_path)), names).collect()
+    assert sorted((r.page_id, bytes(r.block), r.record_type) for r in rows) == [(None, b"", "response"), (None, b"<p>one</p>", "response")]
+    wrong = names.selectExpr("name", "2L AS records", "bytes")
+    with pytest.raises(Exception, match="4 records instead of 2"):
+        warc.read_archives(spark, warc.as_uri(str(tmp_path)), wrong).collect()
+
+
+
+def test_files_are_the_archives(spark, tmp_path):
+    """What lies in the folder is the archive, byte for byte, without a further compression around it."""
+    pages = spark.createDataFrame([(i, "u", sentence(i, 80)) for i in range(300)], "page_id long, url string, html string")
+    folder = warc.as_uri(str(tmp_path / "out"))
+    rows = warc.write_archives(pages.coalesce(1), folder).collect()
+    found = {f.name: f.read_bytes() for f in (tmp_path / "out").iterdir() if f.suffix == ".zst"}
+    assert {r.name: r.bytes for r in rows} == {name: len(data) for name, data in found.items()}
+    assert all(int.from_bytes(data[:4], "little") == warc.DICTIONARY_MAGIC for data in found.values())
+    assert sum(len(list(warc.read_archive(data))) for data in found.values()) == 300
