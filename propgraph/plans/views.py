@@ -10,7 +10,7 @@ import hashlib
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,17 +18,21 @@ from pyspark.sql import functions as F
 from propgraph.graph import PropertyGraph
 from propgraph.operators.match import Node, Rel, filter_uids, is_inline
 from propgraph.operators.skew import ROWS_PER_TASK, spread_join
+from propgraph.plans.pairs import EdgeBuckets, count_pairs, kept_pairs
 from propgraph.session import delete_path, read_text, scratch_path, write_once
+from propgraph.storage import StoredGraph
 
 
 @dataclass(frozen=True)
 class GraphView:
     """``vertices``: ``label, uid``. ``edges``: ``label, src_label, src_uid, dst_label, dst_uid, euid``. ``fingerprint``
-    names the graph, its version and the patterns; equal fingerprints mean equal views."""
+    names the graph, its version and the patterns; equal fingerprints mean equal views. ``buckets``: the edges of a stored
+    graph by the buckets they are in."""
 
     vertices: DataFrame
     edges: DataFrame
     fingerprint: str
+    buckets: EdgeBuckets | None = None
 
     def register(self, name: str) -> None:
         """Make the view known to SQL as ``<name>_vertices`` and ``<name>_edges``."""
@@ -76,9 +80,20 @@ def graph_view(
         reduce(DataFrame.unionByName, vertices),
         reduce(DataFrame.unionByName, edges),
         fingerprint,
+        _edge_buckets(graph, edge_patterns) if isinstance(graph, StoredGraph) else None,
     )
 
 
+def _edge_buckets(graph: StoredGraph, patterns: Sequence[Rel]) -> EdgeBuckets:
+    select = {
+        label: partial(_pattern_edges, label=label, patterns=[r for r in patterns if r.label in (None, label)])
+        for label in graph.edge_tables
+        if any(r.label in (None, label) for r in patterns)
+    }
+    text = repr((graph.root, sorted((r.label or "", str(r.where)) for r in patterns)))
+    return EdgeBuckets(graph, select, hashlib.sha256(text.encode()).hexdigest())
+
+
 def _any_of(patterns: Sequence[Node | Rel]) -> Column | None:
     """One condition for all patterns of a label, so that a row that fits several of them is there once; None if one of
     the patterns takes all rows."""
@@ -135,7 +150,7 @@ def materialize(
     that is reused. A build that dies leaves a folder nobody reads. Edges count only if both endpoints are vertices of the
     view.
     """
-    marker = None
+    marker = pairs = None
     if path is None or not view.fingerprint:
         folder = scratch_path(spark, "view") if path is None else scratch_path(spark, "view-of-unnamed-data")
     else:
@@ -145,12 +160,16 @@ def materialize(
         folder = f"{root}/{ready or uuid.uuid4().hex}"
         if ready:
             return _read_view(spark, folder)
+        if reuse and view.buckets:
+            pairs = kept_pairs(spark, f"{path.rstrip('/')}/pairs/{view.buckets.name}", view.buckets)
+    if pairs is None:
+        pairs = count_pairs(view.edges)
     # Ids are assigned once, in the write; what follows reads the written table.
     numbered = view.vertices.select(F.monotonically_increasing_id().alias("id"), "label", "uid")
     numbered.write.parquet(f"{folder}/vertices")
     pair_path = scratch_path(spark, "pairs")
     vertices = spark.read.schema(numbered.schema).parquet(f"{folder}/vertices")
-    _number_edges(spark, view.edges, vertices, pair_path, rows_per_task).write.parquet(f"{folder}/edges")
+    _number_edges(spark, pairs, vertices, pair_path, rows_per_task).write.parquet(f"{folder}/edges")
     delete_path(spark, pair_path)
     if marker:
         write_once(spark, marker, folder.rsplit("/", 1)[1])
@@ -166,10 +185,9 @@ def _read_view(spark: SparkSession, folder: str) -> MaterializedView:
 
 
 def _number_edges(
-    spark: SparkSession, edges: DataFrame, vertices: DataFrame, pair_path: str, rows_per_task: int
+    spark: SparkSession, pairs: DataFrame, vertices: DataFrame, pair_path: str, rows_per_task: int
 ) -> DataFrame:
-    """Add up parallel edges first, then look up both endpoints; hubs are spread in the lookups."""
-    pairs = edges.groupBy("src_label", "src_uid", "dst_label", "dst_uid").agg(F.count(F.lit(1)).alias("w"))
+    """Look up both endpoints of pairs with added-up edges; hubs are spread in the lookups."""
     written = Observation()
     pairs.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(pair_path)
     n_pairs = written.get["n"]

@@ -14,7 +14,7 @@ from propgraph.operators.load import load_edges, load_vertices
 from propgraph.plans.adjacency import BucketedGraph, bucket_graph
 from propgraph.plans.numbers import number_vertices, uids_to_keys
 from propgraph.plans.pagerank import pagerank
-from propgraph.plans.views import graph_view
+from propgraph.plans.views import GraphView, graph_view, materialize
 from propgraph.session import scratch_path
 from propgraph.sources.tables import create_table, sql
 from propgraph.storage import StoredGraph
@@ -126,6 +126,31 @@ def sql_on_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_view_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view of large deliveries, before and after a load that sets the quantities of one order to zero; of the edges only the
+    buckets that it has written are counted again."""
+    labels = {"Supplier": [], "Part": []}
+    g = StoredGraph.create(spark, scratch_path(spark, "graph"), "deliveries", labels, {"DELIVERS": [("quantity", "double")]}, shards=16)
+    g = load_vertices(g, read(spark, sf_dir, "supplier"), "Supplier", [("__uid", "s_suppkey")]).graph
+    g = load_vertices(g, read(spark, sf_dir, "part"), "Part", [("__uid", "p_partkey")]).graph
+    lines = read(spark, sf_dir, "lineitem").selectExpr("*", "concat(l_orderkey, '-', l_linenumber) AS line", "0D AS none")
+    mapping = [("__usid", "l_suppkey"), ("__udid", "l_partkey"), ("__uslabels", "['Supplier']"), ("__udlabels", "['Part']")]
+    mapping.append(("__uid", "line"))
+    g = load_edges(g, lines, "DELIVERS", [*mapping, ("quantity", "l_quantity")]).graph
+    path = scratch_path(spark, "refreshed-view")
+
+    def large(graph: StoredGraph) -> GraphView:
+        return graph_view(graph, edge_patterns=[Rel("f", "DELIVERS", where="quantity > 10")])
+
+    materialize(spark, large(g), path, rows_per_task=HUB_EDGES)
+    first_order = lines.agg(F.min("l_orderkey").alias("l_orderkey"))
+    g = load_edges(g, lines.join(first_order, "l_orderkey"), "DELIVERS", [*mapping, ("quantity", "none")]).graph
+    again = materialize(spark, large(g), path, rows_per_task=HUB_EDGES)
+    src = again.vertices.select(F.col("id").alias("src"), F.col("uid").alias("supplier"))
+    dst = again.vertices.select(F.col("id").alias("dst"), F.col("uid").alias("part"))
+    return again.edges.join(src, "src").join(dst, "dst").select("supplier", "part", "w")
+
+
 def stored_pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(pagerank(spark, graph_view(supply_graph(spark, sf_dir)), rounds=5))
 
@@ -163,6 +188,12 @@ QUERIES = {
            FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey
            WHERE s_acctbal > 0 GROUP BY s_suppkey""",
     ),
+    "stored_view_refresh": (
+        stored_view_refresh,
+        """SELECT CAST(l_suppkey AS VARCHAR) AS supplier, CAST(l_partkey AS VARCHAR) AS part, count(*) AS w
+           FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey
+           WHERE l_quantity > 10 AND l_orderkey <> (SELECT min(l_orderkey) FROM lineitem) GROUP BY ALL""",
+    ),
     "stored_pagerank": (
         stored_pagerank,
         rank_sql(

@@ -243,3 +243,92 @@ def test_a_run_goes_on_after_its_last_whole_round(spark, monkeypatch):
     made = len(rounds_made)
     P.pagerank(spark, view, rounds=3, damping_factor=0.5, view_path=graph, run_path=run)
     assert len(rounds_made) == made + 3
+
+
+def named_edges(view):
+    names = {r.id: (r.label, r.uid) for r in view.vertices.collect()}
+    return sorted((names[r.src], names[r.dst], r.w) for r in view.edges.collect())
+
+
+def test_a_view_is_counted_anew_only_where_loads_have_written(spark, monkeypatch):
+    from propgraph.operators.load import load_edges, load_vertices
+    from propgraph.plans.pairs import delete_old_pairs
+    from propgraph.session import child_names
+    from propgraph.storage import StoredGraph
+
+    path = scratch_path(spark, "views")
+    g = StoredGraph.create(spark, scratch_path(spark, "graph"), "g", {"A": [], "B": []}, {"E": [("n", "int")], "F": []}, 16)
+    a, b = [(f"a{i}",) for i in range(20)], [(f"b{i}",) for i in range(10)]
+    g = load_vertices(g, spark.createDataFrame(a, "u string"), "A", [("__uid", "u")]).graph
+    g = load_vertices(g, spark.createDataFrame(b[:9], "u string"), "B", [("__uid", "u")]).graph
+    mapping = [("__usid", "s"), ("__udid", "d"), ("__uslabels", "['A']"), ("__udlabels", "['B']"), ("__uid", "e")]
+    rows = [(f"a{i % 20}", f"b{i % 10}", str(i % 7), i % 3) for i in range(300)]
+
+    def load(graph, rows, label="E", more=(("n", "n"),)):
+        return load_edges(graph, spark.createDataFrame(rows, "s string, d string, e string, n int"), label, [*mapping, *more]).graph
+
+    def view(graph, where="n > 0"):
+        return graph_view(graph, edge_patterns=[Rel("e", "E", where=where), Rel("f", "F")])
+
+    read_buckets = []
+    real = StoredGraph.buckets
+
+    def noted(self, kind, label, buckets):
+        buckets = list(buckets)
+        if kind == "edge":
+            read_buckets.extend((label, x) for x in buckets)
+        return real(self, kind, label, buckets)
+
+    def build(graph, where="n > 0", counted=None):
+        """The refreshed view equals one counted as a whole, and read the buckets in ``counted`` only."""
+        made = view(graph, where)
+        with monkeypatch.context() as patch:
+            patch.setattr(StoredGraph, "buckets", noted)
+            read_buckets.clear()
+            got = named_edges(materialize(spark, made, path, rows_per_task=5))
+        assert got == named_edges(materialize(spark, made, None))
+        assert counted is None or set(read_buckets) == counted
+        return got
+
+    g = load(g, rows)
+    first = build(g)  # the label F has no edges yet
+    # One edge more, one that no longer fits the condition, a parallel one, one with a new end: few buckets are written.
+    old = g.versions["edge"]["E"]
+    s, d, e, _ = next(r for r in rows if r[3] == 1 and r[1] != "b9")
+    g = load(g, [("a0", "b0", "new", 5), (s, d, e, 0), (s, d, "again", 1), ("a1", "b9", "x", 1)])
+    touched = {("E", x) for x, v in g.versions["edge"]["E"].items() if old.get(x) != v}
+    assert 0 < len(touched) <= 4
+    assert build(g, counted=touched) != first
+    # Vertices that come later give edges their ends; no edges are counted for them.
+    g = load_vertices(g, spark.createDataFrame(b[9:], "u string"), "B", [("__uid", "u")]).graph
+    assert ("B", "b9") in {end for _, end, _ in build(g, counted=set())}
+    # Another label, another condition, an unchanged graph.
+    g = load(g, rows[:2], "F", ())
+    build(g, counted={("F", x) for x in g.versions["edge"]["F"]})
+    build(g, where="n = 2", counted={(x, y) for x in ("E", "F") for y in g.versions["edge"][x]})
+    build(g, counted=set())
+    pairs = [f"{path}/pairs/{name}" for name in child_names(spark, f"{path}/pairs")]
+    assert len(pairs) == 2 and sum(delete_old_pairs(spark, p) for p in pairs) <= 1
+    build(load(g, [("a3", "b3", "last", 2)]))
+
+
+def test_counts_of_two_builds_at_once(spark, monkeypatch):
+    """The build that keeps its counts second has right edges all the same."""
+    from propgraph.operators.load import load_edges, load_vertices
+    from propgraph.plans import pairs
+    from propgraph.storage import StoredGraph
+
+    path = scratch_path(spark, "views")
+    g = StoredGraph.create(spark, scratch_path(spark, "graph"), "g", {"A": []}, {"E": []}, 4)
+    g = load_vertices(g, spark.createDataFrame([(str(i),) for i in range(9)], "u string"), "A", [("__uid", "u")]).graph
+    mapping = [("__usid", "s"), ("__udid", "d"), ("__uslabels", "['A']"), ("__udlabels", "['A']")]
+    graphs = [g := load_edges(g, spark.createDataFrame([(str(i), "0")], "s string, d string"), "E", mapping).graph for i in (1, 2, 3)]
+    empty = (0, {})
+    want = [[(("A", str(j)), ("A", "0"), 1) for j in range(1, i + 1)] for i in (1, 2, 3)]
+    assert named_edges(materialize(spark, graph_view(graphs[2]), path)) == want[2]
+    with monkeypatch.context() as patch:
+        patch.setattr(pairs, "_newest", lambda *_: empty)
+        assert named_edges(materialize(spark, graph_view(graphs[1]), path)) == want[1]
+    assert named_edges(materialize(spark, graph_view(graphs[0]), path)) == want[0]  # an older version of the graph
+    nothing = StoredGraph.create(spark, scratch_path(spark, "graph"), "g", {"A": []}, {"E": []}, 4)
+    assert named_edges(materialize(spark, graph_view(nothing), path)) == []
