@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from propgraph.functions.properties import pack_properties
 from propgraph.graph import EDGE_KEY_COLUMNS, TAGS, PropertyGraph, identity_text
 from propgraph.operators.skew import ROWS_PER_TASK, heavy_keys, spread_join
+from propgraph.session import scratch_path
 
 # Longer id lists are joined as a table instead of being written into the filter.
 MAX_INLINE_IDS = 1000
@@ -115,6 +116,9 @@ def count_matches(graph: PropertyGraph, *pattern: Node | Rel, spread_hubs: bool
     The chain is counted from its end, one number per vertex and hop, so the matches themselves, which multiply at every
     vertex with many edges in and out, are never listed. The edges need different labels: the count cannot tell whether a
     match uses one edge twice.
+
+    The numbers of a hop are written before the next one joins edges with them: the join then has shuffles of its own, of which
+    adaptive execution splits the parts that hubs make large. Over numbers that come from a join on the same key it could not.
     """
     nodes, rels = _check(pattern)
     labels = [r.label for r in rels]
@@ -131,6 +135,10 @@ def count_matches(graph: PropertyGraph, *pattern: Node | Rel, spread_hubs: bool
         joined = spread_join(edges, ends, dst_keys) if spread_hubs else edges.join(ends, dst_keys)
         onward = joined.groupBy(*(F.col(f"src_{k}").alias(k) for k in keys)).agg(F.sum("n").alias("n"))
         counts = match_vertices(graph, src).select(*keys).join(onward, keys)
+        if src is not nodes[0]:
+            path = scratch_path(counts.sparkSession, "counts")
+            counts.write.parquet(path)
+            counts = counts.sparkSession.read.schema(counts.schema).parquet(path)
     return counts
 
 

@@ -172,3 +172,21 @@ def test_only_used_columns_are_read(spark, sf_dir):
     plan = rows.select("a_uid", "b_uid")._jdf.queryExecution().executedPlan().toString()
     for column in ("c_name", "c_acctbal", "o_totalprice", "o_orderdate"):
         assert column not in plan
+
+
+def test_counts_of_a_hop_are_joined_as_a_table(spark):
+    """The plan of the last hop joins edges with the numbers that were written for the hop before it; nothing below them is
+    planned again, so both sides of the join are scans of their own."""
+    vertices = {x: spark.createDataFrame([(f"{x}{i}",) for i in range(5)], "uid string") for x in "ABC"}
+
+    def edges(a, b):
+        pairs = [(a, f"{a}{i % 5}", b, f"{b}{i % 3}", str(i)) for i in range(20)]
+        return spark.createDataFrame(pairs, "src_label string, src_uid string, dst_label string, dst_uid string, euid string")
+
+    g = PropertyGraph(vertices, {"E": edges("A", "B"), "F": edges("B", "C")})
+    counts = count_matches(g, Node("a", "A"), Rel("e", "E"), Node("b", "B"), Rel("f", "F"), Node("c", "C"))
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2 and plan.count("Relation") == 1
+    # Every edge from A goes to B0, B1 or B2, each of which has four edges.
+    ways = {f"A{i}": sum(4 for j in range(20) if j % 5 == i) for i in range(5)}
+    assert {r.uid: r.n for r in counts.collect()} == ways
