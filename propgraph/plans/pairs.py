@@ -41,13 +41,9 @@ class EdgeBuckets:
         return self.select[label](self.graph.buckets("edge", label, buckets))
 
 
-def count_pairs(edges: DataFrame) -> DataFrame:
-    """``src_label, src_uid, dst_label, dst_uid`` and the number ``w`` of edges between them."""
-    return edges.groupBy(*ENDPOINT_COLUMNS).agg(F.count(F.lit(1)).alias("w"))
-
-
 def kept_pairs(spark: SparkSession, path: str, edges: EdgeBuckets) -> DataFrame:
-    """``count_pairs`` of the edges, from the counts below ``path`` where these are of today's versions.
+    """``src_label, src_uid, dst_label, dst_uid`` and the number ``w`` of edges between them in one bucket, a row for each bucket
+    that has some; from the counts below ``path`` where these are of today's versions.
 
     The other buckets are read, counted and kept for the next time. If another build has kept the same generation meanwhile,
     that one stays and these counts serve this build alone.
@@ -72,7 +68,7 @@ def kept_pairs(spark: SparkSession, path: str, edges: EdgeBuckets) -> DataFrame:
     }
     if tables:
         write_once(spark, f"{path}/{generation + 1}.json", json.dumps(kept, ensure_ascii=False))
-    return _read(spark, path, kept, indexes).groupBy(*ENDPOINT_COLUMNS).agg(F.sum("w").alias("w"))
+    return _read(spark, path, kept, indexes).select(*ENDPOINT_COLUMNS, "w")
 
 
 def _newest(spark: SparkSession, path: str) -> tuple[int, dict]:

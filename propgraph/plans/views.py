@@ -1,7 +1,8 @@
 """Graph views: a named part of a graph, and its materialized form for the iterative algorithms.
 
 A view is a pair of lazy tables. Materializing it numbers the vertices (64-bit ids instead of text) and adds up parallel
-edges, and writes both as Parquet, so that every round of an algorithm shuffles small fixed-width rows only.
+edges, and writes both as Parquet, so that every round of an algorithm shuffles small fixed-width rows only. A number is a hash
+of the vertex' identity, so edges are numbered without a look-up; vertices that share a hash get other numbers.
 """
 
 from __future__ import annotations
@@ -15,13 +16,18 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from propgraph.graph import PropertyGraph
+from propgraph.graph import ENDPOINT_COLUMNS, PropertyGraph
 from propgraph.operators.match import Node, Rel, filter_uids, is_inline
 from propgraph.operators.skew import ROWS_PER_TASK, spread_join
-from propgraph.plans.pairs import EdgeBuckets, count_pairs, kept_pairs
+from propgraph.plans.pairs import EdgeBuckets, kept_pairs
 from propgraph.session import delete_path, read_text, scratch_path, write_once
 from propgraph.storage import StoredGraph
 
+SIDES = ("src", "dst")
+
+#: Bits of a vertex' number that come from a hash; greater numbers are those of vertices that share theirs.
+ID_BITS = 62
+
 
 @dataclass(frozen=True)
 class GraphView:
@@ -162,15 +168,10 @@ def materialize(
             return _read_view(spark, folder)
         if reuse and view.buckets:
             pairs = kept_pairs(spark, f"{path.rstrip('/')}/pairs/{view.buckets.name}", view.buckets)
-    if pairs is None:
-        pairs = count_pairs(view.edges)
-    # Ids are assigned once, in the write; what follows reads the written table.
-    numbered = view.vertices.select(F.monotonically_increasing_id().alias("id"), "label", "uid")
-    numbered.write.parquet(f"{folder}/vertices")
-    pair_path = scratch_path(spark, "pairs")
-    vertices = spark.read.schema(numbered.schema).parquet(f"{folder}/vertices")
-    _number_edges(spark, pairs, vertices, pair_path, rows_per_task).write.parquet(f"{folder}/edges")
-    delete_path(spark, pair_path)
+    edges = view.edges.select(*ENDPOINT_COLUMNS, F.lit(1).cast("bigint").alias("w")) if pairs is None else pairs
+    shared = _write_vertices(spark, view.vertices, f"{folder}/vertices")
+    vertices = spark.read.schema("id bigint, label string, uid string").parquet(f"{folder}/vertices")
+    _number_edges(spark, edges, vertices, shared, rows_per_task).write.parquet(f"{folder}/edges")
     if marker:
         write_once(spark, marker, folder.rsplit("/", 1)[1])
     return _read_view(spark, folder)
@@ -184,16 +185,64 @@ def _read_view(spark: SparkSession, folder: str) -> MaterializedView:
     )
 
 
-def _number_edges(
-    spark: SparkSession, pairs: DataFrame, vertices: DataFrame, pair_path: str, rows_per_task: int
-) -> DataFrame:
-    """Look up both endpoints of pairs with added-up edges; hubs are spread in the lookups."""
-    written = Observation()
-    pairs.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(pair_path)
-    n_pairs = written.get["n"]
-    numbered = spark.read.schema(pairs.schema).parquet(pair_path)
-    for side in ("src", "dst"):
-        label, uid = f"{side}_label", f"{side}_uid"
-        ids = vertices.select(F.col("label").alias(label), F.col("uid").alias(uid), F.col("id").alias(side))
-        numbered = spread_join(numbered, ids, [label, uid], rows_per_task=rows_per_task, many_rows=n_pairs).drop(label, uid)
-    return numbered.select("src", "dst", "w")
+def _number(label: str, uid: str) -> Column:
+    """A vertex' number, a hash of its identity; below ``1 << ID_BITS``."""
+    return F.shiftrightunsigned(F.xxhash64(label, uid), 64 - ID_BITS)
+
+
+def _write_vertices(spark: SparkSession, vertices: DataFrame, path: str) -> bool:
+    """Write ``id, label, uid``, each row with an id of its own; whether some ids are not the hash of label and uid.
+
+    These are the ids of rows that have their hash in common with others, be it by chance or as copies of one vertex. They are
+    counted up from ``1 << ID_BITS``.
+    """
+    hashed = vertices.select(_number("label", "uid").alias("id"), "label", "uid")
+    hashed.write.parquet(path)
+    hashed = spark.read.schema(hashed.schema).parquet(path)
+    shared_path, written = scratch_path(spark, "shared-numbers"), Observation()
+    shared = hashed.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+    shared.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(shared_path)
+    if written.get["n"]:
+        shared = spark.read.schema(shared.schema).parquet(shared_path)
+        counted = (F.monotonically_increasing_id() + F.lit(1 << ID_BITS)).alias("id")
+        others = hashed.join(shared, "id", "left_semi").select(counted, "label", "uid")
+        whole_path = scratch_path(spark, "numbers")
+        hashed.join(shared, "id", "left_anti").unionByName(others).write.parquet(whole_path)
+        delete_path(spark, path)
+        spark.read.schema(hashed.schema).parquet(whole_path).write.parquet(path)
+        delete_path(spark, whole_path)
+    delete_path(spark, shared_path)
+    return bool(written.get["n"])
+
+
+def _missing_ends(edges: DataFrame, vertices: DataFrame) -> DataFrame:
+    """``label, uid`` of endpoints that are no vertices. Both ends are made distinct in one pass and before the anti join, so hubs
+    are single rows in it."""
+    ends = F.explode(F.array(*(F.struct(F.col(f"{s}_label").alias("label"), F.col(f"{s}_uid").alias("uid")) for s in SIDES)))
+    return edges.select(ends.alias("end")).select("end.label", "end.uid").distinct().join(vertices, ["label", "uid"], "left_anti")
+
+
+def _number_edges(spark: SparkSession, edges: DataFrame, vertices: DataFrame, shared: bool, rows_per_task: int) -> DataFrame:
+    """``src, dst`` and the sum of ``w`` over the edges between them, of edges whose endpoints are vertices.
+
+    Numbers are computed where an edge is read, so that one shuffle of numbers adds up parallel edges. Edges meet a table only
+    for endpoints that are missing, or have a number that is not their hash; either table is joined if it has rows.
+    """
+    edges = edges.where(reduce(Column.__and__, (F.col(c).isNotNull() for c in ENDPOINT_COLUMNS)))
+    path, written = scratch_path(spark, "missing-ends"), Observation()
+    missing = _missing_ends(edges, vertices.select("label", "uid"))
+    missing.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    if written.get["n"]:
+        missing = spark.read.schema(missing.schema).parquet(path)
+        for side in SIDES:
+            keys = [f"{side}_label", f"{side}_uid"]
+            edges = edges.join(missing.toDF(*keys), keys, "left_anti")
+    numbers = {side: _number(f"{side}_label", f"{side}_uid") for side in SIDES}
+    if shared:
+        counted = vertices.where(F.col("id") >= F.lit(1 << ID_BITS))
+        for side in SIDES:
+            keys = [f"{side}_label", f"{side}_uid"]
+            ids = counted.select(F.col("label").alias(keys[0]), F.col("uid").alias(keys[1]), F.col("id").alias(side))
+            edges = spread_join(edges, ids, keys, "left", rows_per_task)
+            numbers[side] = F.coalesce(F.col(side), numbers[side])
+    return edges.select(*(c.alias(side) for side, c in numbers.items()), "w").groupBy(*SIDES).agg(F.sum("w").alias("w"))

@@ -332,3 +332,32 @@ def test_counts_of_two_builds_at_once(spark, monkeypatch):
     assert named_edges(materialize(spark, graph_view(graphs[0]), path)) == want[0]  # an older version of the graph
     nothing = StoredGraph.create(spark, scratch_path(spark, "graph"), "g", {"A": []}, {"E": []}, 4)
     assert named_edges(materialize(spark, graph_view(nothing), path)) == []
+
+
+@pytest.mark.parametrize("bits", [62, 2])
+def test_numbers_that_vertices_share(spark, monkeypatch, bits):
+    """Vertices with equal hashes, copies of vertices, null and missing ends: each vertex row counts, with the edges of its own."""
+    from propgraph.plans import views
+
+    monkeypatch.setattr(views, "ID_BITS", bits)
+    vertices = [("V", "a"), ("V", "b"), ("V", "b"), ("W", "a"), ("V", None), (None, "c"), *(("X", str(i)) for i in range(9))]
+    ends = [("V", "a", "V", "b"), ("V", "a", "V", "b"), ("V", "b", "W", "a"), ("V", None, "V", "a"), ("V", "z", "V", "a"), (None, "c", "V", "a")]
+    ends += [("X", str(i), "X", str(i + 1)) for i in range(9)]
+    v = spark.createDataFrame(vertices, "label string, uid string")
+    e = spark.createDataFrame([("E", *x, "") for x in ends], "label string, src_label string, src_uid string, dst_label string, dst_uid string, euid string")
+    made = materialize(spark, GraphView(v, e, ""), None)
+    assert made.vertices.select("id").distinct().count() == len(vertices) and made.vertices.count() == len(vertices)
+    names = {r.id: (r.label, r.uid) for r in made.vertices.collect()}
+    got = sorted((*names[r.src], *names[r.dst], r.w) for r in made.edges.collect())
+    want = [("V", "a", "V", "b", 2)] * 2 + [("V", "b", "W", "a", 1)] * 2 + [("X", str(i), "X", str(i + 1), 1) for i in range(8)]
+    assert got == sorted(want)
+
+
+def test_edges_are_numbered_without_a_join(spark):
+    """Pairs of numbers are shuffled once; no look-up of the ends moves edges."""
+    from propgraph.plans import views
+
+    view = view_of(spark, "hub")
+    numbered = views._number_edges(spark, view.edges.withColumn("w", F.lit(1).cast("bigint")), view.vertices, False, 10)
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Aggregate") == 1
