@@ -67,19 +67,27 @@ def distinct_elements(elements: DataFrame, kind: str = "kind") -> DataFrame:
 
 def path_key(path: Column) -> Column:
     """Row keys of a path's elements in order, and of an element without row key its properties, by which such elements are
-    equal or not; equal for equal paths only."""
+    equal or not; equal for equal paths only. One text, every part preceded by its length, which moves and sorts as such."""
+
+    def part(text: Column) -> Column:
+        return F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-"))
 
     def key(e: Column) -> Column:
         rk = F.coalesce(F.nullif(e["vertex"]["rk"], F.lit("")), F.nullif(e["edge"]["rk"], F.lit("")))
         properties = canonical_text(F.coalesce(e["vertex"]["properties"], e["edge"]["properties"]))
-        return F.struct(e["kind"].alias("kind"), rk.alias("rk"), F.when(rk.isNull(), properties).alias("properties"))
+        return F.concat(part(e["kind"]), part(rk), F.when(rk.isNull(), part(properties)).otherwise(F.lit("")))
+
+    return F.array_join(F.transform(path, key), "")
 
-    return F.transform(path, key)
 
+def distinct_paths(paths: DataFrame, path: str = "path", select: Sequence[Column] | None = None) -> DataFrame:
+    """One row per path: same length and pairwise equal elements.
 
-def distinct_paths(paths: DataFrame, path: str = "path") -> DataFrame:
-    """One row per path: same length and pairwise equal elements."""
-    return paths.withColumn("__key", path_key(F.col(path))).dropDuplicates(["__key"]).drop("__key")
+    With ``select``, these columns of each kept row come out instead. They are computed before the duplicate check, which
+    moves and sorts them and the paths' keys, not the whole elements.
+    """
+    kept = paths.columns if select is None else select
+    return paths.select(*kept, path_key(F.col(path)).alias("__key")).dropDuplicates(["__key"]).drop("__key")
 
 
 def path_length(path: Column) -> Column:

@@ -112,13 +112,14 @@ def matched_paths_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every match twice, as paths with whole elements, then each path once. Line items may repeat an edge's identity."""
     pattern = (Node("o", "Order"), Rel("h", "CONTAINS"), Node("p", "Part"))
     paths = bind_path(match(graph(spark, sf_dir), *pattern), pattern).select("path")
-    return distinct_paths(paths.unionByName(paths)).select(
+    columns = [
         F.col("path")[0]["vertex"]["uid"].alias("o_uid"),
         F.col("path")[1]["edge"]["euid"].alias("h_euid"),
         has_property(F.col("path")[1]["edge"]["properties"], "l_quantity").alias("has_quantity"),
         F.col("path")[2]["vertex"]["uid"].alias("p_uid"),
         path_length(F.col("path")).alias("length"),
-    )
+    ]
+    return distinct_paths(paths.unionByName(paths), select=columns)
 
 
 def matched_paths_export(spark: SparkSession, sf_dir: str) -> DataFrame:

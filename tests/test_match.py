@@ -190,3 +190,35 @@ def test_counts_of_a_hop_are_joined_as_a_table(spark):
     # Every edge from A goes to B0, B1 or B2, each of which has four edges.
     ways = {f"A{i}": sum(4 for j in range(20) if j % 5 == i) for i in range(5)}
     assert {r.uid: r.n for r in counts.collect()} == ways
+
+
+def test_distinct_paths_move_only_what_is_selected(spark, graph):
+    """Whole elements, with their properties, take no part in the duplicate check if columns of them are wanted."""
+    pattern = (Node("a"), Rel("f"), Node("b"))
+    paths = bind_path(match(graph, *pattern), pattern).select("path")
+    wanted = [F.col("path")[0]["vertex"]["uid"].alias("a"), F.col("path")[1]["edge"]["rk"].alias("f"), F.size("path").alias("n")]
+    whole = distinct_paths(paths.unionByName(paths)).select(*wanted)
+    some = distinct_paths(paths.unionByName(paths), select=wanted)
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, whole.collect()))
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert "first(path" not in plan and plan.count("first(") == 3
+
+
+def test_path_keys_differ_where_paths_do(spark):
+    """Row keys that would be equal when put together, absent ones, and elements told apart by kind or properties."""
+    element = "struct<kind:string,vertex:struct<rk:string,properties:map<string,variant>>,edge:struct<rk:string,properties:map<string,variant>>>"
+
+    def vertex(rk, p="{}", kind="vertex"):
+        return {"kind": kind, "vertex": {"rk": rk, "properties": p}, "edge": None}
+
+    paths = [
+        [vertex("1:a"), vertex("b")], [vertex("1:a1:b")], [vertex("1:a"), vertex("b")], [vertex("a", kind="edge")], [vertex("a")],
+        [vertex(None, '{"a":1}')], [vertex("", '{"a":1}')], [vertex(None, '{"a":2}')], [vertex('{"a":1}')], [None], [], None,
+    ]
+    text = element.replace("map<string,variant>", "string")
+    rows = spark.createDataFrame([(p,) for p in paths], f"path array<{text}>")
+    properties = lambda e: F.try_variant_get(F.parse_json(e["properties"]), "$", "map<string,variant>")
+    part = lambda e: F.when(e.isNotNull(), F.struct(e["rk"].alias("rk"), properties(e).alias("properties")))
+    whole = lambda e: F.struct(e["kind"].alias("kind"), part(e["vertex"]).alias("vertex"), part(e["edge"]).alias("edge"))
+    rows = rows.select(F.transform("path", whole).alias("path"))
+    assert distinct_paths(rows).count() == 10
