@@ -74,6 +74,27 @@ def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def known_labels(labels: DataFrame, label: str) -> DataFrame:
+    """``label_id, y`` of the labelled ids outside the held-out fold; of several labels of an id the largest."""
+    return (
+        labels.select("doc_id", label)
+        .where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+        .groupBy(F.col("doc_id").alias("label_id"))
+        .agg(F.max(label).cast("int").alias("y"))
+    )
+
+
+def labelled_rows(docs: DataFrame, known: DataFrame, inputs: list[str], columns: list[Column] | None = None) -> DataFrame:
+    """doc_id, y and ``inputs``, or ``columns`` computed from these, of the documents in ``known``; a repeated document once, with
+    the least of its rows."""
+    rows = (
+        docs.select("doc_id", *inputs)
+        .join(known, F.col("doc_id") == F.col("label_id"))
+        .select("doc_id", "y", *(columns or inputs))
+    )
+    return rows.groupBy("doc_id").agg(F.min(F.struct(*rows.columns[1:])).alias("row")).select("doc_id", "row.*")
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, inputs: list[str], bound: int, columns: list[Column] | None = None
 ) -> list:
@@ -84,20 +105,8 @@ def labelled_sample(
     document labelled more than once counts with its largest label, a repeated document once, with the least of its rows; that is
     settled before rows reach the driver, whatever the number of repeats.
     """
-    known = (
-        labels.select("doc_id", label)
-        .where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-        .groupBy(F.col("doc_id").alias("label_id"))
-        .agg(F.max(label).cast("int").alias("y"))
-    )
-    chosen = known.orderBy(F.xxhash64("label_id"), "label_id").limit(bound)
-    rows = (
-        docs.select("doc_id", *inputs)
-        .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
-        .select("doc_id", "y", *(columns or inputs))
-    )
-    once = rows.groupBy("doc_id").agg(F.min(F.struct(*rows.columns[1:])).alias("row")).select("doc_id", "row.*")
-    return sorted(once.collect(), key=lambda r: r["doc_id"])
+    chosen = known_labels(labels, label).orderBy(F.xxhash64("label_id"), "label_id").limit(bound)
+    return sorted(labelled_rows(docs, F.broadcast(chosen), inputs, columns).collect(), key=lambda r: r["doc_id"])
 
 
 def least_hashes(ids: DataFrame, group: str, key: str, most: int) -> DataFrame:

@@ -6,6 +6,9 @@ in the text, and a logistic layer weighs these. Rows that no training text uses
 
 The score is shifted so that 0.5 is the best cut over all languages in a part of the training rows kept for that; besides,
 a threshold is calibrated for each language on the same part.
+
+All labelled rows outside the held-out fold are learned from. Where they are many, Spark cuts them into parts by a hash of the
+id; a task trains the network on its part, the networks are averaged, and the next round starts from the average.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from copy import deepcopy
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,10 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import labelled_sample, rows_mapper
+from propgraph.llm.common import known_labels, labelled_rows, labelled_sample, rows_mapper, stored, to_batch
 
-#: Labelled rows to learn from, at most; their texts are learned from whole.
-SAMPLE_ROWS = 12_000
+#: Labelled rows that one task learns from; more are learned from in parts. Their texts are learned from whole.
+PART_ROWS = 12_000
+#: Times that the networks of the parts are averaged.
+ROUNDS = 2
+#: Rows of a table that are averaged at once.
+BLOCK = 1 << 12
 BUCKETS = 1 << 16
 #: Letters of a word's beginning that have an embedding of their own.
 STEM = 4
@@ -126,21 +134,48 @@ class _Adagrad:
         weight[rows] -= self.rate * gradient / np.sqrt(self.sums[rows])
 
 
-def fit(texts: list[np.ndarray], y: np.ndarray, epochs: int | None = None, seed: int = 1) -> ConvModel:
-    """Train on word codes and labels 0 or 1, batch by batch, texts of like length together."""
-    random = np.random.default_rng(seed)
-    model = ConvModel(
+def untrained(mean: float, random: np.random.Generator) -> ConvModel:
+    """Weights to start from; ``mean`` is that of the labels."""
+    return ConvModel(
         tables=[random.normal(0, 0.1, (BUCKETS + 1, DIM)) for _ in range(2)],
         filters=[random.normal(0, 0.5, (width * DIM, FILTERS)) for width in WIDTHS],
         biases=[np.full(FILTERS, 0.1) for _ in WIDTHS],
         out=random.normal(0, 0.5, FILTERS * len(WIDTHS)),
-        bias=float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6))),
+        bias=float(np.log((mean + 1e-6) / (1 - mean + 1e-6))),
     )
+
+
+def seen_buckets(texts: list[np.ndarray]) -> list[np.ndarray]:
+    """For each table the rows that the texts use, as a mask."""
     known = np.unique(np.concatenate(texts))
-    for table, bucket in zip(model.tables, (known // BUCKETS, known % BUCKETS), strict=True):
-        unseen = np.ones(BUCKETS + 1, dtype=bool)
-        unseen[bucket] = False
-        table[unseen] = 0
+    seen = [np.zeros(BUCKETS + 1, dtype=bool) for _ in range(2)]
+    for mask, bucket in zip(seen, (known // BUCKETS, known % BUCKETS), strict=True):
+        mask[bucket] = True
+    return seen
+
+
+def fit(texts: list[np.ndarray], y: np.ndarray, epochs: int | None = None, seed: int = 1) -> ConvModel:
+    """Train on word codes and labels 0 or 1, batch by batch, texts of like length together."""
+    random = np.random.default_rng(seed)
+    model = untrained(y.mean(), random)
+    for table, seen in zip(model.tables, seen_buckets(texts), strict=True):
+        table[~seen] = 0
+    learn(model, steps_of(model), texts, y, y.mean(), random, epochs)
+    model.tables = [t.astype(np.float32) for t in model.tables]
+    return model
+
+
+def steps_of(model: ConvModel) -> list[_Adagrad]:
+    """The step sizes of tables, filters, biases and output layer, in this order."""
+    tables = [_Adagrad(t.shape, 0.1) for t in model.tables]
+    return [*tables, *(_Adagrad(w.shape, 0.03) for w in (*model.filters, *model.biases, model.out))]
+
+
+def learn(
+    model: ConvModel, steps: list[_Adagrad], texts: list[np.ndarray], y: np.ndarray, mean: float,
+    random: np.random.Generator, epochs: int | None = None,
+) -> None:
+    """Train the model on further rows, and its step sizes; ``mean`` is that of all labels."""
     by_length = np.argsort([len(t) for t in texts], kind="stable")
     batches, start = [], 0
     for i, text in enumerate(by_length):
@@ -149,11 +184,8 @@ def fit(texts: list[np.ndarray], y: np.ndarray, epochs: int | None = None, seed:
             batches.append(by_length[start:i])
             start = i
     batches.append(by_length[start:])
-    tables = [_Adagrad(t.shape, 0.1) for t in model.tables]
-    filters = [_Adagrad(w.shape, 0.03) for w in model.filters]
-    biases = [_Adagrad(b.shape, 0.03) for b in model.biases]
-    outs = _Adagrad(model.out.shape, 0.03)
-    weight = np.where(y > 0, min(4.0, max(1.0, (1 - y.mean()) / max(y.mean(), 1e-6) / 2)), 1.0)
+    tables, filters, biases, outs = steps[:2], steps[2 : 2 + len(WIDTHS)], steps[2 + len(WIDTHS) : -1], steps[-1]
+    weight = np.where(y > 0, min(4.0, max(1.0, (1 - mean) / max(mean, 1e-6) / 2)), 1.0)
     n_words = sum(len(batch) * len(texts[batch[-1]]) for batch in batches)
     for _ in range(epochs or max(EPOCHS, min(-(-STEPS // len(batches)), WORDS_READ // max(1, n_words)))):
         for chosen in random.permutation(len(batches)):
@@ -190,24 +222,27 @@ def fit(texts: list[np.ndarray], y: np.ndarray, epochs: int | None = None, seed:
                 total = np.zeros((len(unique), DIM))
                 np.add.at(total, back_to, grad[real])
                 step.step(table, total + DECAY * table[unique], unique)
-    model.tables = [t.astype(np.float32) for t in model.tables]
-    return model
 
 
-def best_cut(logits: np.ndarray, y: np.ndarray) -> float | None:
+def best_cut(logits: np.ndarray, y: np.ndarray, counts: np.ndarray | None = None) -> float | None:
     """The logit at which both labels are equally likely, by a logistic curve through the rows; None if a label is missing.
 
-    The curve has a small penalty on its slope, so that it also has one for labels that a cut parts completely.
+    The curve has a small penalty on its slope, so that it also has one for labels that a cut parts completely. ``counts`` says
+    how many rows each stands for.
     """
     if not len(y) or y.min() == y.max():
         return None
     center, scale = logits.mean(), logits.std() + 1e-9
+    if counts is not None:
+        center = np.average(logits, weights=counts)
+        scale = np.sqrt(np.average((logits - center) ** 2, weights=counts)) + 1e-9
+    n = np.ones(len(y)) if counts is None else counts
     x = np.c_[(logits - center) / scale, np.ones(len(y))]
     w, ridge = np.zeros(2), np.array([0.1, 1e-6])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge)
-        w = w - np.linalg.solve(hessian, x.T @ (p - y) + ridge * w)
+        hessian = (x * (n * (p * (1 - p) + 1e-9))[:, None]).T @ x + np.diag(ridge)
+        w = w - np.linalg.solve(hessian, x.T @ (n * (p - y)) + ridge * w)
     return float(center - scale * w[1] / w[0]) if w[0] > 1e-6 else None
 
 
@@ -224,28 +259,147 @@ def train_model(texts: list[np.ndarray], y: np.ndarray, langs: list[str | None])
     model = fit([texts[i] for i in rest], y[rest])
     check = np.flatnonzero(part)
     logits = np.array([model.logit(texts[i]) for i in check])
-    cut = best_cut(logits, y[check]) if len(check) else None
+    calibrate(model, logits, y[check], [langs[i] for i in check])
+    return model
+
+
+def calibrate(model: ConvModel, logits: np.ndarray, y: np.ndarray, langs: list[str | None], counts: np.ndarray | None = None) -> None:
+    """Set the shift of the scores and the thresholds by language from rows that the model was not trained on."""
+    cut = best_cut(logits, y, counts) if len(y) else None
     model.shift = 0.0 if cut is None else cut
     for lang in sorted({x for x in langs if x is not None}):
-        own = [k for k, i in enumerate(check) if langs[i] == lang]
-        cut = best_cut(logits[own], y[check][own]) if own else None
+        own = [k for k, x in enumerate(langs) if x == lang]
+        cut = best_cut(logits[own], y[own], None if counts is None else counts[own])
         if cut is not None:
             model.thresholds[lang] = float(1 / (1 + np.exp(-np.clip(cut - model.shift, -30, 30))))
-    return model
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = SAMPLE_ROWS) -> ConvModel:
-    """A model of ``labels[label]`` (0 or 1) from at most ``bound`` labelled documents outside the held-out fold.
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = PART_ROWS) -> ConvModel:
+    """A model of ``labels[label]`` (0 or 1) from all labelled documents outside the held-out fold, in parts of about ``bound``.
 
     Without labels every score is 0; if only one label occurs, every score is that label. Languages serve the thresholds
     alone, never the network. Whole texts are learned from, however long, null and empty ones as texts without words.
     """
+    n = known_labels(labels, label).count()
+    if n > bound:
+        return train_in_parts(labelled_rows(docs, known_labels(labels, label), ["text", "lang"]), -(-n // bound))
     rows = labelled_sample(docs, labels, label, ["text", "lang"], bound)
     hasher = Hasher()
     texts = [word_codes(row["text"], hasher) for row in rows]
     return train_model(texts, np.array([float(row["y"] > 0) for row in rows]), [row["lang"] for row in rows])
 
 
+def train_in_parts(rows: DataFrame, parts: int) -> ConvModel:
+    """The model of ``doc_id, y, text, lang``. Tasks train on a part each, from the same weights; these are averaged as many times
+    as there are rounds. The driver sees weights, and the rows kept for the cuts as counts of hundredths of their logits."""
+
+    def each(found: Iterator[tuple]) -> Iterator[tuple]:
+        hasher = Hasher()
+        for doc_id, y, text, lang in found:
+            yield doc_id, int(y > 0), word_codes(text, hasher).astype(np.uint32).tobytes(), lang
+
+    schema = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("codes", pa.binary()), ("lang", pa.string())])
+    columns = [F.col("doc_id").cast("long"), "y", F.col("text").cast("string"), F.col("lang").cast("string")]
+    coded = rows.select(*columns).mapInArrow(rows_mapper(each, schema), "doc_id long, y int, codes binary, lang string")
+    place = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(parts)).cast("int")
+    checked = F.pmod(F.xxhash64("doc_id", F.lit("cut")), F.lit(5)) == 0
+    coded = stored(coded.withColumns({"part": place, "checked": checked}), "toxicity-rows")
+    totals = {r["checked"]: r for r in coded.groupBy("checked").agg(F.count("*").alias("n"), F.sum("y").alias("s")).collect()}
+    n, s = (sum(r[c] for r in totals.values()) for c in ("n", "s"))
+    if s in (0, n):
+        return ConvModel(prior=float(s > 0))
+    if any(k not in totals or totals[k]["s"] in (0, totals[k]["n"]) for k in (True, False)):
+        coded, totals = coded.withColumn("checked", F.lit(False)), {False: {"n": n, "s": s}}
+    mean = totals[False]["s"] / totals[False]["n"]
+    model = untrained(mean, np.random.default_rng(1))
+    steps = steps_of(model)
+    seen = [np.zeros(BUCKETS + 1, dtype=bool) for _ in range(2)]
+    for number in range(ROUNDS):
+        model, steps, seen = _round(coded.where("NOT checked"), model, steps, mean, number)
+    for table, mask in zip(model.tables, seen, strict=True):
+        table[~mask] = 0
+    model.tables = [t.astype(np.float32) for t in model.tables]
+
+    def logits(found: Iterator[tuple]) -> Iterator[tuple]:
+        for y, codes, lang in found:
+            yield y, lang, round(100 * model.logit(np.frombuffer(codes, np.uint32).astype(np.int64)))
+
+    schema = pa.schema([("y", pa.int32()), ("lang", pa.string()), ("logit", pa.int64())])
+    scored = coded.where("checked").select("y", "codes", "lang").mapInArrow(rows_mapper(logits, schema), "y int, lang string, logit long")
+    counts = scored.groupBy("lang", "y", "logit").count().orderBy("lang", "y", "logit").collect()
+    value, y, times = (np.array([float(r[c]) for r in counts]) for c in ("logit", "y", "count"))
+    calibrate(model, value / 100, y, [r["lang"] for r in counts], times)
+    return model
+
+
+def _weights(model: ConvModel) -> list[np.ndarray]:
+    return [*model.tables, *model.filters, *model.biases, model.out]
+
+
+def _round(rows: DataFrame, model: ConvModel, steps: list[_Adagrad], mean: float, number: int) -> tuple:
+    """Model, step sizes and used rows of the tables after a round: means over the parts, of a table's row over those that use it."""
+
+    def part(table: pa.Table) -> pa.Table:
+        table = table.sort_by("doc_id")
+        texts = [np.frombuffer(c, np.uint32).astype(np.int64) for c in table["codes"].to_pylist()]
+        y = np.array(table["y"].to_pylist(), dtype=float)
+        key = table["part"][0].as_py()
+        # A task may have several parts; each starts from the same weights.
+        own, own_steps = deepcopy((model, steps))
+        learn(own, own_steps, texts, y, mean, np.random.default_rng([number, key]), max(1, EPOCHS // ROUNDS))
+        seen = seen_buckets(texts)
+        out = []
+        for i, (weight, step) in enumerate(zip(_weights(own), own_steps, strict=True)):
+            used = seen[i] if i < len(seen) else np.ones(len(weight), dtype=bool)
+            for start in range(0, len(weight), BLOCK):
+                rows_used = np.flatnonzero(used[start : start + BLOCK]).astype(np.int32)
+                if len(rows_used):
+                    found = [x[start + rows_used].astype(np.float32).tobytes() for x in (weight, step.sums)]
+                    out.append((i, start, key, rows_used.tobytes(), *found))
+        out.append((-1, 0, key, b"", np.float32(own.bias).tobytes(), np.float32(0).tobytes()))
+        return pa.Table.from_batches([to_batch(out, _STATE)])
+
+    def averaged(table: pa.Table) -> pa.Table:
+        found = table.sort_by("part").to_pylist()
+        i, start = found[0]["weights"], found[0]["start"]
+        if i < 0:
+            values = np.float32(np.mean([np.frombuffer(r["value"], np.float32)[0] for r in found], dtype=float))
+            return pa.Table.from_batches([to_batch([(i, start, 0, b"", values.tobytes(), b"")], _STATE)])
+        shape = (min(BLOCK, len(_weights(model)[i]) - start), *_weights(model)[i].shape[1:])
+        count, sums = np.zeros(shape[0]), [np.zeros(shape) for _ in range(2)]
+        for r in found:
+            used = np.frombuffer(r["used"], np.int32)
+            count[used] += 1
+            for total, name in zip(sums, ("value", "steps"), strict=True):
+                total[used] += np.frombuffer(r[name], np.float32).reshape(len(used), *shape[1:])
+        used = np.flatnonzero(count).astype(np.int32)
+        times = count[used].reshape(-1, *[1] * (len(shape) - 1))
+        means = [(total[used] / times).astype(np.float32).tobytes() for total in sums]
+        return pa.Table.from_batches([to_batch([(i, start, 0, used.tobytes(), *means)], _STATE)])
+
+    types = "weights int, start int, part int, used binary, value binary, steps binary"
+    trained = rows.select("doc_id", "y", "codes", "part").groupBy("part").applyInArrow(part, types)
+    blocks = trained.groupBy("weights", "start").applyInArrow(averaged, types).collect()
+    seen = [np.zeros(BUCKETS + 1, dtype=bool) for _ in range(2)]
+    for r in blocks:
+        if r["weights"] < 0:
+            model.bias = float(np.frombuffer(r["value"], np.float32)[0])
+            continue
+        weight, step = _weights(model)[r["weights"]], steps[r["weights"]]
+        used = r["start"] + np.frombuffer(r["used"], np.int32)
+        for target, name in ((weight, "value"), (step.sums, "steps")):
+            target[used] = np.frombuffer(r[name], np.float32).reshape(len(used), *weight.shape[1:])
+        if r["weights"] < len(seen):
+            seen[r["weights"]][used] = True
+    return model, steps, seen
+
+
+_STATE = pa.schema(
+    [("weights", pa.int32()), ("start", pa.int32()), ("part", pa.int32())]
+    + [(name, pa.binary()) for name in ("used", "value", "steps")]
+)
+
+
 def score(docs: DataFrame, model: ConvModel) -> DataFrame:
     """One row per row of ``docs``: doc_id, score, threshold, toxic.
 

@@ -218,3 +218,36 @@ def test_long_texts_are_learned_from(spark):
     docs, marks = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     scores = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.train(docs, marks)).collect()}
     assert np.mean([(scores[i] >= 0.5) == bool(y) for i, _, y in labels]) > 0.9
+
+
+def test_toxicity_learns_from_all_labelled_rows(spark):
+    """Many times more labelled rows than one part has: words that occur in one row only are known to the model, toxic ones that
+    no single part has in full are found, and the cuts are those of all rows kept for them."""
+    marks = [f"zzvile{k}" for k in range(40)]
+    rows = [(i, f"{sentence(i, 12)} own{i} {marks[i % 40] if i % 3 == 0 else 'nice'}") for i in range(3000)]
+    docs = documents(spark, rows)
+    labels = labelled(spark, [(i, 1, int(i % 3 == 0)) for i, _ in rows])
+    model = toxicity.train(docs, labels, bound=400)
+    hasher = toxicity.Hasher()
+    known = [model.tables[0][toxicity.word_codes(f"own{i}", hasher)[0] // toxicity.BUCKETS].any() for i, _ in rows]
+    # Four fifths are not held out, and four fifths of these train the network.
+    assert sum(known) > 0.6 * len(rows)
+    scored = toxicity.score(docs, model).collect()
+    assert np.mean([(r.score >= 0.5) == (r.doc_id % 3 == 0) for r in scored]) > 0.95
+    again = toxicity.train(docs.repartition(7), labels, bound=400)
+    assert all((a == b).all() for a, b in zip(model.tables, again.tables, strict=True)) and model.shift == again.shift
+
+
+def test_toxicity_in_parts_with_little_to_learn_from(spark):
+    docs = documents(spark, [(i, sentence(i, 5) if i % 7 else None) for i in range(60)])
+    for toxic in (0, 1):
+        model = toxicity.train(docs, labelled(spark, [(i, 1, toxic) for i in range(60)]), bound=5)
+        assert model.prior == toxic
+    one = toxicity.train(docs, labelled(spark, [(i, 1, int(i == 6)) for i in range(60)]), bound=5)
+    assert all(0 <= r.score <= 1 for r in toxicity.score(docs, one).collect())
+
+
+def test_counted_rows_give_the_cut_of_the_rows(spark):
+    logits, y = np.array([0.0, 1, 2, 3, 1]), np.array([0.0, 0, 1, 1, 1])
+    times = np.array([3, 1, 4, 2, 1])
+    assert toxicity.best_cut(logits, y, times) == pytest.approx(toxicity.best_cut(np.repeat(logits, times), np.repeat(y, times)))
