@@ -12,12 +12,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from propgraph.functions.properties import pack_properties
 from propgraph.graph import EDGE_KEY_COLUMNS, TAGS, PropertyGraph, identity_text
-from propgraph.operators.skew import ROWS_PER_TASK, heavy_keys, spread_join
+from propgraph.operators.skew import BROADCAST_KEYS, ROWS_PER_TASK, heavy_keys, spread_join
 from propgraph.session import scratch_path
 
 # Longer id lists are joined as a table instead of being written into the filter.
@@ -94,15 +94,18 @@ def match(
     The joins start at the node with the most selective predicate. With ``spread_hubs`` the edges of hub vertices are cut
     of at most about ``rows_per_task`` edges before they are joined; hubs are counted on the edge tables, once per edge of the
     pattern and end. Otherwise adaptive execution splits skewed partitions where it meets them.
+
+    If no node has a predicate, edges do not move to the vertices of nodes without properties: see ``_odd_ends``.
     """
     nodes, rels = _check(pattern)
     spread = rows_per_task if spread_hubs else None
     anchor = _anchor(nodes)
-    rows = _node_rows(graph, nodes[anchor])
+    odd = {} if spread_hubs else _odd_ends(graph, nodes, rels, anchor)
+    rows = None if nodes[anchor] in odd else _node_rows(graph, nodes[anchor])
     for i in range(anchor, len(rels)):
-        rows = _expand(graph, rows, nodes[i], rels[i], nodes[i + 1], forward=True, spread=spread)
+        rows = _expand(graph, rows, nodes[i], rels[i], nodes[i + 1], forward=True, spread=spread, odd=odd)
     for i in range(anchor - 1, -1, -1):
-        rows = _expand(graph, rows, nodes[i + 1], rels[i], nodes[i], forward=False, spread=spread)
+        rows = _expand(graph, rows, nodes[i + 1], rels[i], nodes[i], forward=False, spread=spread, odd=odd)
     for i, left in enumerate(rels):
         for right in rels[i + 1 :]:
             if left.label is None or right.label is None or left.label == right.label:
@@ -195,23 +198,75 @@ def _edge_rows(graph: PropertyGraph, rel: Rel, src: Node, dst: Node, table: Data
 
 
 def _expand(
-    graph: PropertyGraph, rows: DataFrame, at: Node, rel: Rel, to: Node, forward: bool, spread: int | None
+    graph: PropertyGraph, rows: DataFrame | None, at: Node, rel: Rel, to: Node, forward: bool, spread: int | None,
+    odd: dict[Node, DataFrame | None],
 ) -> DataFrame:
-    """Extend the rows from the bound node ``at`` over one edge to the node ``to``."""
+    """Extend the rows from the bound node ``at`` over one edge to the node ``to``. Without rows the edges are the first."""
     near, far = ("src", "dst") if forward else ("dst", "src")
     src, dst = (at, to) if forward else (to, at)
     edges = _edge_rows(graph, rel, src, dst)
-    if spread is None:
+    if rows is None:
+        rows = _check_end(edges, f"{rel.var}_{near}", at, odd[at])
+    elif spread is None:
         parts = (_edge_rows(graph, rel, src, dst, table) for table in graph.edge_parts(rel.label, near))
         rows = reduce(DataFrame.unionByName, [_join_endpoint(part, rows, part, f"{rel.var}_{near}", at, None) for part in parts])
     else:
         rows = _join_endpoint(edges, rows, edges, f"{rel.var}_{near}", at, spread)
+    if to in odd:
+        return _check_end(rows, f"{rel.var}_{far}", to, odd[to])
     if graph.whole and to.label is not None and not to.properties and to.where is None and to.uids is None:
         # The end is known to exist, and the edge has all of it that is wanted.
         return rows.select("*", *(F.col(f"{rel.var}_{far}_{p}").alias(f"{to.var}_{p}") for p in ("label", "uid")))
     return _join_endpoint(rows, _node_rows(graph, to), edges, f"{rel.var}_{far}", to, spread)
 
 
+def _odd_ends(graph: PropertyGraph, nodes: Sequence[Node], rels: Sequence[Rel], anchor: int) -> dict[Node, DataFrame | None]:
+    """For nodes of which only label and uid are wanted: the endpoints of edges that are not exactly one vertex, and how many they
+    are; None if there is no such endpoint.
+
+    All other edges match as they are. Vertices and endpoints are added up in one shuffle, in which they combine on the map
+    side; nodes with the same label share it. Of a pattern with a predicate few edges may be wanted, so it is matched by joins.
+    """
+    if graph.whole or not rels or any(n.uids is not None or n.where is not None for n in nodes):
+        return {}
+    ends: dict[str | None, list] = {}
+    for i, node in enumerate(nodes):
+        side = "dst" if i > anchor or (i == anchor and anchor == len(rels)) else "src"
+        src = i - 1 if side == "dst" else i
+        if node.properties:
+            continue
+        edges = _edge_rows(graph, rels[src], nodes[src], nodes[src + 1])
+        end = edges.select(*(F.col(f"{rels[src].var}_{side}_{k}").alias(k) for k in ("label", "uid")))
+        if end.schema["uid"].dataType == match_vertices(graph, node).schema["uid"].dataType:
+            ends.setdefault(node.label, []).append((node, end))
+    found = {}
+    for label, own in ends.items():
+        vertices = match_vertices(graph, own[0][0]).select("label", "uid", F.lit(1).cast("bigint").alias("n"), F.lit(False).alias("end"))
+        used = reduce(DataFrame.unionByName, [e.select("label", "uid", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("end")) for _, e in own])
+        counts = vertices.unionByName(used).where("label IS NOT NULL AND uid IS NOT NULL").groupBy("label", "uid")
+        odd = counts.agg(F.sum("n").alias("n"), F.max("end").alias("end")).where("end AND n <> 1").select("label", "uid", "n")
+        spark, written = odd.sparkSession, Observation()
+        path = scratch_path(spark, "odd-ends")
+        odd.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        stored = spark.read.schema(odd.schema).parquet(path)
+        rows = written.get["n"] or 0
+        stored = None if not rows else F.broadcast(stored) if rows <= BROADCAST_KEYS else stored
+        found |= {node: stored for node, _ in own}
+    return found
+
+
+def _check_end(rows: DataFrame, endpoint: str, node: Node, odd: DataFrame | None) -> DataFrame:
+    """The rows once per vertex at their endpoint, with label and uid of the node, as a join with its vertices would give them."""
+    keys = [f"{endpoint}_label", f"{endpoint}_uid"]
+    columns = [F.col(key).alias(f"{node.var}_{p}") for key, p in zip(keys, ("label", "uid"), strict=True)]
+    rows = rows.where(reduce(Column.__and__, (F.col(key).isNotNull() for key in keys)))
+    if odd is not None:
+        times = F.coalesce(F.col("__n"), F.lit(1)).cast("int")
+        joined = rows.join(odd.toDF(*keys, "__n"), keys, "left").withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times)))
+        rows = joined.select(*rows.columns)
+    return rows.select("*", *columns)
+
+
 def _join_endpoint(
     many: DataFrame, other: DataFrame, edges: DataFrame, endpoint: str, node: Node, spread: int | None
 ) -> DataFrame:

@@ -31,7 +31,7 @@ def match_one_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_any_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = match(graph(spark, sf_dir), Node("a"), Rel("f"), Node("b"))
+    rows = match(graph(spark, sf_dir), Node("a", properties=False), Rel("f"), Node("b", properties=False))
     return rows.select("a_label", "a_uid", "f_label", "f_euid", "b_label", "b_uid")
 
 

@@ -222,3 +222,33 @@ def test_path_keys_differ_where_paths_do(spark):
     whole = lambda e: F.struct(e["kind"].alias("kind"), part(e["vertex"]).alias("vertex"), part(e["edge"]).alias("edge"))
     rows = rows.select(F.transform("path", whole).alias("path"))
     assert distinct_paths(rows).count() == 10
+
+
+@pytest.mark.parametrize("label", [None, "A"])
+def test_ends_without_properties_match_as_joined_ones(spark, label):
+    """Endpoints that are no vertex, a vertex twice, null, and nodes that are named or not; edges are not moved for them."""
+    a = spark.createDataFrame([("1",), ("2",), ("2",), ("3",), (None,)], "uid string")
+    b = spark.createDataFrame([("1",), ("1",), ("4",)], "uid string")
+    rows = [(x, u, y, v, f"{n}") for n, (x, u, y, v) in enumerate(itertools.product("AB", ["1", "2", "4", None], "AC", ["1", "2", "9", None]))]
+    e = spark.createDataFrame(rows, "src_label string, src_uid string, dst_label string, dst_uid string, euid string")
+    g = PropertyGraph({"A": a, "B": b}, {"E": e, "F": e})
+    for n in (1, 2):
+        listed = []
+        for wanted in (True, False):
+            nodes = [Node(x, label, properties=wanted) for x in "abc"]
+            chain = (nodes[0], Rel("f", "E"), nodes[1], Rel("h", "F"), nodes[2])[: 2 * n + 1]
+            found = match(g, *chain)
+            ids = [c for c in found.columns if not c.endswith("_properties")]
+            listed.append(sorted(map(str, found.select(*ids).collect())))
+        assert listed[0] == listed[1] != []
+
+
+def test_edges_stay_where_they_are_if_their_ends_are_vertices(spark):
+    vertices = spark.range(50).select(F.col("id").cast("string").alias("uid"))
+    e = spark.range(200).selectExpr("'A' src_label", "string(id % 50) src_uid", "'A' dst_label", "string(id % 7) dst_uid", "string(id) euid")
+    g = PropertyGraph({"A": vertices}, {"E": e})
+    for label in (None, "A"):
+        pattern = (Node("a", label, properties=False), Rel("f"), Node("b", label, properties=False))
+        rows = match(g, *pattern)
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert rows.count() == 200 and "Join" not in plan and "Aggregate" not in plan
