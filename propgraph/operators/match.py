@@ -371,10 +371,11 @@ def bind_path(
 
 def distinct_matches(rows: DataFrame, pattern: Sequence[Node | Rel]) -> DataFrame:
     """The distinct chains of a match: their identity columns, once each. An edge's endpoints are its neighbors in the
-    chain, so label and edge id complete its identity."""
-    return rows.select(
-        *(c for p in pattern for c in (f"{p.var}_label", f"{p.var}_uid" if isinstance(p, Node) else f"{p.var}_euid"))
-    ).distinct()
+    chain, so label and edge id complete its identity. Labels that the pattern names are the same in all rows and are not compared."""
+    ids = [(p, c) for p in pattern for c in (f"{p.var}_label", f"{p.var}_uid" if isinstance(p, Node) else f"{p.var}_euid")]
+    named = {c: p.label for p, c in ids if c.endswith("_label") and p.label is not None}
+    distinct = rows.select(*(c for _, c in ids if c not in named)).distinct()
+    return distinct.select(*(F.lit(named[c]).alias(c) if c in named else F.col(c) for _, c in ids))
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int | str | None = None) -> DataFrame:

@@ -104,7 +104,7 @@ def match_two_hop_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def path_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items may repeat an edge; as paths they are the same."""
-    pattern = (Node("o", "Order"), Rel("h", "CONTAINS"), Node("p", "Part"))
+    pattern = (Node("o", "Order", properties=False), Rel("h", "CONTAINS"), Node("p", "Part", properties=False))
     return distinct_matches(match(graph(spark, sf_dir), *pattern), pattern).select("o_uid", "h_euid", "p_uid")
 
 

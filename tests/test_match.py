@@ -252,3 +252,5 @@ def test_edges_stay_where_they_are_if_their_ends_are_vertices(spark):
         rows = match(g, *pattern)
         plan = rows._jdf.queryExecution().optimizedPlan().toString()
         assert rows.count() == 200 and "Join" not in plan and "Aggregate" not in plan
+    plan = distinct_matches(rows, pattern)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [a_uid" in plan and distinct_matches(rows, pattern).columns[0] == "a_label"
