@@ -69,6 +69,16 @@ def repeat_heavy(df: DataFrame, keys: Sequence[str], heavy: DataFrame) -> DataFr
     )
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder and read back; as they are if a file cannot have them."""
+    names = [c.lower() for c in df.columns]
+    if len(set(names)) < len(names) or "void" in df.schema.simpleString():
+        return df
+    path = scratch_path(df.sparkSession, "spread")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread_join(
     many: DataFrame,
     other: DataFrame,
@@ -82,8 +92,12 @@ def spread_join(
 
     ``how`` is inner, left or left_semi, seen from ``many``. If the number of rows of ``many`` is known and fits one task,
     no key can be heavy and the count is saved; it is also saved if the list ``heavy`` is given. Rows with a null key match
-    nothing: in a left join they take no part in the join and are added, so that they are not one task either.
+    nothing: in a left join they take no part in the join and are added, so that they are not one task either. Where keys are
+    counted, ``many`` is written first: a chain of joins would else be run again for the count of each.
     """
+    if heavy is None and (many_rows is None or many_rows > rows_per_task):
+        many = _written(many)
+        heavy = heavy_keys(many, keys, rows_per_task)
     if how == "left":
         known = reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))
         joined = spread_join(many.where(known), other, keys, "left_known", rows_per_task, many_rows, heavy)
@@ -92,7 +106,6 @@ def spread_join(
     how = "left" if how == "left_known" else how
     if many_rows is not None and many_rows <= rows_per_task:
         return many.join(other, list(keys), how)
-    heavy = heavy_keys(many, keys, rows_per_task) if heavy is None else heavy
     left = cut_heavy(many, keys, heavy)
     right = repeat_heavy(other, keys, heavy)
     return left.join(right, [*keys, PIECE], how).drop(PIECE)

@@ -254,3 +254,19 @@ def test_edges_stay_where_they_are_if_their_ends_are_vertices(spark):
         assert rows.count() == 200 and "Join" not in plan and "Aggregate" not in plan
     plan = distinct_matches(rows, pattern)._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [a_uid" in plan and distinct_matches(rows, pattern).columns[0] == "a_label"
+
+
+def test_the_cut_side_is_computed_once(spark):
+    """The count of heavy keys and the join read what was written; the rows are not made for each of them."""
+    made = spark.sparkContext.accumulator(0)
+
+    def each(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    many = spark.range(0, 1000, 1, 4).selectExpr("id % 10 AS k", "id AS v").mapInArrow(each, "k long, v long")
+    other = spark.range(5).selectExpr("id AS k", "id * 10 AS w")
+    for how, n in (("left", 1000), ("inner", 500)):
+        made.value = 0
+        assert len(spread_join(many, other, ["k"], how, rows_per_task=50).collect()) == n and made.value == 1000
