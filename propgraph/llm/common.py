@@ -95,6 +95,35 @@ def labelled_rows(docs: DataFrame, known: DataFrame, inputs: list[str], columns:
     return rows.groupBy("doc_id").agg(F.min(F.struct(*rows.columns[1:])).alias("row")).select("doc_id", "row.*")
 
 
+#: Bits of one row of a bitmap, as Spark's bitmap functions make them, rows of a bitmap at most (8 MB), and its bits per id.
+BITMAP_BITS = 1 << 15
+BITMAP_ROWS = 1 << 11
+BITS_PER_ID = 16
+
+
+def rows_of_ids(docs: DataFrame, ids: DataFrame, key: str, n: int) -> DataFrame:
+    """All rows of ``docs`` whose doc_id is one of the ``n`` ids in ``ids[key]``, and a few of other ids: about one in sixteen up
+    to four million ids, more beyond. Meant to go before a join with ``ids``, which then moves few rows that it drops.
+
+    Each id sets the bit of a bitmap that its hash points to; the bitmap, of bounded size, is broadcast.
+    """
+    bits = BITMAP_BITS * max(1, min(BITMAP_ROWS, -(-n * BITS_PER_ID // BITMAP_BITS)))
+    place, row, marks = (free_name(docs, name) for name in ("bit_place", "bit_row", "bit_marks"))
+
+    def placed(column: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(column).cast("string")), F.lit(bits)) + 1
+
+    bitmap = (
+        ids.select(placed(key).alias(place))
+        .groupBy(F.bitmap_bucket_number(place).alias(row))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias(marks))
+    )
+    position = F.bitmap_bit_position(place).cast("int")
+    byte = F.conv(F.hex(F.substring(marks, F.shiftright(position, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    marked = (F.bitmap_bucket_number(place) == F.col(row)) & (F.getbit(byte, position % 8) == 1)
+    return docs.withColumn(place, placed("doc_id")).join(F.broadcast(bitmap), marked, "left_semi").drop(place)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, inputs: list[str], bound: int, columns: list[Column] | None = None
 ) -> list:

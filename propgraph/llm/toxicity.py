@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propgraph.llm.common import known_labels, labelled_rows, labelled_sample, rows_mapper, stored, to_batch
+from propgraph.llm.common import known_labels, labelled_rows, labelled_sample, rows_mapper, rows_of_ids, stored, to_batch
 
 #: Labelled rows that one task learns from; more are learned from in parts. Their texts are learned from whole.
 PART_ROWS = 12_000
@@ -71,6 +71,15 @@ def word_codes(text: str | None, hasher: Hasher) -> np.ndarray:
     return np.fromiter(map(hasher.__getitem__, words), dtype=np.int64, count=len(words))
 
 
+def packed(codes: np.ndarray) -> bytes:
+    """Word codes as they are stored and shuffled; no part of a text is lost."""
+    return zlib.compress(codes.astype(np.uint32).tobytes(), 1)
+
+
+def unpacked(found: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(found), np.uint32).astype(np.int64)
+
+
 @dataclass
 class ConvModel:
     """Weights of the network; ``prior`` is the score if there is nothing to learn from."""
@@ -280,9 +289,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
     Without labels every score is 0; if only one label occurs, every score is that label. Languages serve the thresholds
     alone, never the network. Whole texts are learned from, however long, null and empty ones as texts without words.
     """
-    n = known_labels(labels, label).count()
+    known = known_labels(labels, label)
+    n = known.count()
     if n > bound:
-        return train_in_parts(labelled_rows(docs, known_labels(labels, label), ["text", "lang"]), -(-n // bound))
+        # Texts without a label are not moved.
+        some = rows_of_ids(docs.select("doc_id", "text", "lang"), known, "label_id", n)
+        return train_in_parts(labelled_rows(some, known, ["text", "lang"]), -(-n // bound))
     rows = labelled_sample(docs, labels, label, ["text", "lang"], bound)
     hasher = Hasher()
     texts = [word_codes(row["text"], hasher) for row in rows]
@@ -296,7 +308,7 @@ def train_in_parts(rows: DataFrame, parts: int) -> ConvModel:
     def each(found: Iterator[tuple]) -> Iterator[tuple]:
         hasher = Hasher()
         for doc_id, y, text, lang in found:
-            yield doc_id, int(y > 0), word_codes(text, hasher).astype(np.uint32).tobytes(), lang
+            yield doc_id, int(y > 0), packed(word_codes(text, hasher)), lang
 
     schema = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("codes", pa.binary()), ("lang", pa.string())])
     columns = [F.col("doc_id").cast("long"), "y", F.col("text").cast("string"), F.col("lang").cast("string")]
@@ -322,7 +334,7 @@ def train_in_parts(rows: DataFrame, parts: int) -> ConvModel:
 
     def logits(found: Iterator[tuple]) -> Iterator[tuple]:
         for y, codes, lang in found:
-            yield y, lang, round(100 * model.logit(np.frombuffer(codes, np.uint32).astype(np.int64)))
+            yield y, lang, round(100 * model.logit(unpacked(codes)))
 
     schema = pa.schema([("y", pa.int32()), ("lang", pa.string()), ("logit", pa.int64())])
     scored = coded.where("checked").select("y", "codes", "lang").mapInArrow(rows_mapper(logits, schema), "y int, lang string, logit long")
@@ -341,7 +353,7 @@ def _round(rows: DataFrame, model: ConvModel, steps: list[_Adagrad], mean: float
 
     def part(table: pa.Table) -> pa.Table:
         table = table.sort_by("doc_id")
-        texts = [np.frombuffer(c, np.uint32).astype(np.int64) for c in table["codes"].to_pylist()]
+        texts = [unpacked(c) for c in table["codes"].to_pylist()]
         y = np.array(table["y"].to_pylist(), dtype=float)
         key = table["part"][0].as_py()
         # A task may have several parts; each starts from the same weights.

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from propgraph.llm import langid, quality, toxicity
-from propgraph.llm.common import first_per_group, held_out, labelled_sample, least_hashes, read
+from propgraph.llm.common import first_per_group, held_out, known_labels, labelled_sample, least_hashes, read, rows_of_ids
 from tests.llm.helpers import clashing, documents, sentence
 
 ODD = [(1, None), (2, ""), (3, " \n "), (None, "some text"), (4, "same"), (4, "same"), (5, "12 !?"), (6, "ab " * 60_000), (7, "x" * 150_000)]
@@ -247,6 +247,52 @@ def test_toxicity_in_parts_with_little_to_learn_from(spark):
     assert all(0 <= r.score <= 1 for r in toxicity.score(docs, one).collect())
 
 
+def test_learning_in_parts_moves_labelled_texts_only(spark, monkeypatch):
+    """Where one text in ten has a label, the rows that are shuffled are few, and every labelled row is learned from."""
+    docs = documents(spark, [(i, f"{sentence(i, 40)} own{i}") for i in range(3000)])
+    labels = labelled(spark, [(i, 1, i % 20 // 10) for i in range(0, 3000, 10)])
+    handed = []
+    joined = toxicity.labelled_rows
+
+    def watched(rows, known, inputs):
+        handed.append(rows.count())
+        return joined(rows, known, inputs)
+
+    monkeypatch.setattr(toxicity, "labelled_rows", watched)
+    monkeypatch.setattr(toxicity, "train_in_parts", lambda rows, parts: (rows.collect(), parts))
+    rows, parts = toxicity.train(docs, labels, bound=50)
+    want = {r.doc_id: r.toxic for r in labels.where(~held_out()).collect()}
+    assert {r.doc_id: r.y for r in rows} == want and len(rows) == len(want) and parts == -(-len(want) // 50)
+    assert len(want) <= handed[0] < 0.15 * 3000
+
+
+def test_packed_codes_are_whole():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 5000):
+        codes = rng.integers(0, toxicity.BUCKETS**2, n)
+        found = toxicity.unpacked(toxicity.packed(codes))
+        assert found.dtype == codes.dtype and (found == codes).all()
+    repeated = np.tile(rng.integers(0, toxicity.BUCKETS**2, 50), 20)
+    assert len(toxicity.packed(repeated)) < len(repeated)
+
+
+@pytest.mark.parametrize("most", [1, 2, 2048])
+def test_rows_of_ids_keeps_every_row_of_the_ids(spark, monkeypatch, most):
+    """Repeated rows and a bitmap that is too small for its ids included; rows of other ids are left out where it is not."""
+    monkeypatch.setattr("propgraph.llm.common.BITMAP_ROWS", most)
+    docs = clashing(documents(spark, [(i * 7919 - 9_000_000, f"text {i}") for i in range(12_000)] + [(7, None)] * 30 + [(None, "x")]))
+    docs = docs.withColumns({"bit_place": F.lit(1), "bit_row": F.lit(1), "bit_marks": F.lit(b"x")})
+    marks = docs.select("doc_id").where("doc_id % 4 = 0 OR doc_id = 7").distinct().withColumn("toxic", F.lit(0))
+    ids = known_labels(marks, "toxic")
+    n = ids.count()
+    found = rows_of_ids(docs, ids, "label_id", n)
+    assert found.columns == docs.columns
+    wanted = docs.join(ids.withColumnRenamed("label_id", "doc_id"), "doc_id", "left_semi").select(docs.columns)
+    assert wanted.count() > 2300 and wanted.exceptAll(found).isEmpty() and found.exceptAll(docs).isEmpty()
+    assert found.count() < wanted.count() + (0.1 if most > 1 else 0.2) * docs.count()
+    assert rows_of_ids(docs, ids.where("false"), "label_id", 0).isEmpty()
+
+
 def test_counted_rows_give_the_cut_of_the_rows(spark):
     logits, y = np.array([0.0, 1, 2, 3, 1]), np.array([0.0, 0, 1, 1, 1])
     times = np.array([3, 1, 4, 2, 1])
