@@ -61,7 +61,7 @@ def pagerank_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pagerank_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(pagerank(spark, supply_view(spark, sf_dir), rounds=5, limit="10"))
+    return rounded(pagerank(spark, supply_view(spark, sf_dir), limit="10"))
 
 
 def pagerank_whole_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +139,7 @@ QUERIES = {
     "pagerank": (pagerank_supply, rank_sql(_SUPPLY_V, _SUPPLY_E, "SELECT id FROM vs", 10)),
     "pagerank_topk": (
         pagerank_topk,
-        rank_sql(_SUPPLY_V, _SUPPLY_E, "SELECT id FROM vs", 5, tail="ORDER BY rank DESC, vid LIMIT 10"),
+        rank_sql(_SUPPLY_V, _SUPPLY_E, "SELECT id FROM vs", 10, tail="ORDER BY rank DESC, vid LIMIT 10"),
     ),
     "pagerank_whole_graph": (pagerank_whole_graph, rank_sql(_ALL_V, _ALL_E, "SELECT id FROM vs", 10)),
     "personalized_pagerank": (

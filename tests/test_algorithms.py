@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -361,3 +363,44 @@ def test_edges_are_numbered_without_a_join(spark):
     numbered = views._number_edges(spark, view.edges.withColumn("w", F.lit(1).cast("bigint")), view.vertices, False, 10)
     plan = numbered._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and plan.count("Aggregate") == 1
+
+
+def write_supplies(spark, folder, parts=12, suppliers=4):
+    """The tables of the suite's graph, with few rows."""
+    lines = [(i // 3, (i * i + i // 5) % parts, (i * 7 + i // 4) % suppliers, i % 3, 1.0, 5.0 + i, "N") for i in range(60)]
+    tables = {
+        "region": ([(0, "ASIA")], "r_regionkey int, r_name string"),
+        "nation": ([(0, "N", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(0, "C", 0, 1.0, "M")], "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "supplier": (
+            [(i, f"S{i}", 0, 1.0) for i in range(suppliers)],
+            "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+        ),
+        "part": (
+            [(i, f"P{i}", "B", "T", i, 1.0) for i in range(parts)],
+            "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+        ),
+        "orders": (
+            [(i, 0, "F", 1.0, None, "1") for i in range(20)],
+            "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string",
+        ),
+        "lineitem": (
+            lines,
+            "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double,"
+            " l_returnflag string",
+        ),
+        "events": ([(0,), (1,)], "user_id bigint"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return f"{folder}"
+
+
+def test_top_ranks_are_those_of_a_whole_run(spark, tmp_path):
+    """The first ten of all ranks, after as many rounds."""
+    from suite.algorithm_queries import pagerank_supply, pagerank_topk
+
+    folder = write_supplies(spark, tmp_path)
+    whole = [tuple(r) for r in pagerank_supply(spark, folder).collect()]
+    assert len(whole) == 16
+    assert [tuple(r) for r in pagerank_topk(spark, folder).collect()] == whole[:10]
