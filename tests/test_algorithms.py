@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from propgraph import Node, PropertyGraph, Rel
 from propgraph.plans import pagerank as P
 from propgraph.plans.views import GraphView, graph_view, materialize
-from propgraph.session import scratch_path
+from propgraph.session import child_names, scratch_path
 
 GRAPHS = {
     "cycle": ("abc", [("a", "b"), ("b", "c"), ("c", "a")]),
@@ -404,3 +404,62 @@ def test_top_ranks_are_those_of_a_whole_run(spark, tmp_path):
     whole = [tuple(r) for r in pagerank_supply(spark, folder).collect()]
     assert len(whole) == 16
     assert [tuple(r) for r in pagerank_topk(spark, folder).collect()] == whole[:10]
+
+
+def view_from(spark, vertices, edges, fingerprint=""):
+    return GraphView(
+        spark.createDataFrame([("V", v) for v in vertices], "label string, uid string"),
+        spark.createDataFrame(
+            [("E", "V", s, "V", d, str(i)) for i, (s, d) in enumerate(edges)],
+            "label string, src_label string, src_uid string, dst_label string, dst_uid string, euid string",
+        ),
+        fingerprint,
+    )
+
+
+def rounds_kept(spark, run):
+    """The uids that the rounds of the one run below ``run`` have written, round by round."""
+    (name,) = child_names(spark, run)
+    (view,) = [f for f in child_names(spark, f"{run}-view/one") if f != "ready"]
+    ids = spark.read.parquet(f"{run}-view/one/{view}/vertices")
+    n = sum(f.isdigit() for f in child_names(spark, f"{run}/{name}"))
+    return [sorted(r.uid for r in spark.read.parquet(f"{run}/{name}/{i}").join(ids, "id").collect()) for i in range(n)]
+
+
+def test_only_vertices_that_paths_reach_move_in_a_round(spark):
+    """Vertices that no edge leads to are silent after the first round, those behind them one round later."""
+    run = scratch_path(spark, "run")
+    vertices, edges = "pqrstxyz", [("p", "s"), ("q", "s"), ("r", "t"), ("s", "x"), ("t", "x"), ("x", "y"), ("y", "x"), ("y", "z")]
+    view = view_from(spark, vertices, edges, "one")
+    df = P.pagerank(spark, view, rounds=4, view_path=f"{run}-view", run_path=run)
+    assert_ranks(df, brute_force(vertices, edges, vertices, 0.85, 4))
+    assert rounds_kept(spark, run) == [list("stxyz"), list("xyz"), list("xyz"), list("xyz")]
+
+
+def test_ranks_are_rounded_once_each(spark):
+    """The order is by a column, not by an expression that each comparison computes again."""
+    plan = P.pagerank(spark, view_of(spark, "cycle"), rounds=1)._jdf.queryExecution().optimizedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert len(sorts) == 1 and "round(" not in sorts[0]
+
+
+@pytest.mark.parametrize("sources, damping", [("abcdefghijklmnopqrst", 0.85), ("cd", 0.6)])
+def test_edges_by_source_and_by_target(spark, monkeypatch, sources, damping):
+    """Sources of more than four targets have their edges laid out by target, also where all are sent by a join."""
+    rng, vertices = random.Random(7), "abcdefghijklmnopqrst"
+    edges = [(s, d) for s in vertices[:15] for d in rng.choices(vertices, k=rng.choice((1, 2, 3, 9, 14)))]
+    laid_out, real = [], P._lay_out
+
+    def noted(*args):
+        tables = real(*args)
+        laid_out.append([t.count() for t in tables])
+        return tables
+
+    monkeypatch.setattr(P, "_lay_out", noted)
+    graph = materialize(spark, view_from(spark, vertices, edges))
+    ids = graph.vertices.where(F.col("uid").isin(*sources)).select("id")
+    want = brute_force(vertices, edges, sources, damping, 5)
+    assert_ranks(P._run(spark, graph, ids, damping, 5, None, edges_per_piece=4), want)
+    monkeypatch.setattr(P, "WIDE_SOURCES", 0)
+    assert_ranks(P._run(spark, graph, ids, damping, 5, None, edges_per_piece=4), want)
+    assert laid_out[0] == laid_out[1] and min(laid_out[0]) > 0 and sum(laid_out[0]) == len(set(edges))
