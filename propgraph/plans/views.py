@@ -20,7 +20,7 @@ from propgraph.graph import ENDPOINT_COLUMNS, PropertyGraph
 from propgraph.operators.match import Node, Rel, filter_uids, is_inline
 from propgraph.operators.skew import ROWS_PER_TASK, spread_join
 from propgraph.plans.pairs import EdgeBuckets, kept_pairs
-from propgraph.session import delete_path, read_text, scratch_path, write_once
+from propgraph.session import delete_path, read_text, scratch_path, sized_partitions, write_once
 from propgraph.storage import StoredGraph
 
 SIDES = ("src", "dst")
@@ -28,6 +28,9 @@ SIDES = ("src", "dst")
 #: Bits of a vertex' number that come from a hash; greater numbers are those of vertices that share theirs.
 ID_BITS = 62
 
+#: So many edges, of one source or of several, may be in one task of the shuffle that adds up parallel edges.
+ROWS_PER_SOURCE = 1_000_000
+
 
 @dataclass(frozen=True)
 class GraphView:
@@ -171,7 +174,8 @@ def materialize(
     edges = view.edges.select(*ENDPOINT_COLUMNS, F.lit(1).cast("bigint").alias("w")) if pairs is None else pairs
     shared = _write_vertices(spark, view.vertices, f"{folder}/vertices")
     vertices = spark.read.schema("id bigint, label string, uid string").parquet(f"{folder}/vertices")
-    _number_edges(spark, edges, vertices, shared, rows_per_task).write.parquet(f"{folder}/edges")
+    numbered = _number_edges(spark, edges, vertices, shared, rows_per_task)
+    numbered.write.option("compression", "zstd").parquet(f"{folder}/edges")
     if marker:
         write_once(spark, marker, folder.rsplit("/", 1)[1])
     return _read_view(spark, folder)
@@ -215,22 +219,25 @@ def _write_vertices(spark: SparkSession, vertices: DataFrame, path: str) -> bool
     return bool(written.get["n"])
 
 
-def _missing_ends(edges: DataFrame, vertices: DataFrame) -> DataFrame:
-    """``label, uid`` of endpoints that are no vertices. Both ends are made distinct in one pass and before the anti join, so hubs
-    are single rows in it."""
-    ends = F.explode(F.array(*(F.struct(F.col(f"{s}_label").alias("label"), F.col(f"{s}_uid").alias("uid")) for s in SIDES)))
-    return edges.select(ends.alias("end")).select("end.label", "end.uid").distinct().join(vertices, ["label", "uid"], "left_anti")
+def _ends(edges: DataFrame) -> DataFrame:
+    """``label, uid`` of the endpoints of edges and the number ``n`` of rows that have one as source. Both ends are counted in one
+    pass, which combines on the map side, so hubs are single rows afterwards."""
+    ends = (F.struct(F.col(f"{s}_label").alias("label"), F.col(f"{s}_uid").alias("uid"), F.lit(int(s == "src")).alias("n")) for s in SIDES)
+    return edges.select(F.explode(F.array(*ends)).alias("end")).groupBy("end.label", "end.uid").agg(F.sum("end.n").alias("n"))
 
 
 def _number_edges(spark: SparkSession, edges: DataFrame, vertices: DataFrame, shared: bool, rows_per_task: int) -> DataFrame:
     """``src, dst`` and the sum of ``w`` over the edges between them, of edges whose endpoints are vertices.
 
     Numbers are computed where an edge is read, so that one shuffle of numbers adds up parallel edges. Edges meet a table only
-    for endpoints that are missing, or have a number that is not their hash; either table is joined if it has rows.
+    for endpoints that are missing, or have a number that is not their hash; either table is joined if it has rows. If no source has
+    more than ``ROWS_PER_SOURCE`` edges, they are shuffled and sorted by source: neighbours then take less room, here and in
+    shuffles of those who read them. Else by both ends, combined on the map side.
     """
     edges = edges.where(reduce(Column.__and__, (F.col(c).isNotNull() for c in ENDPOINT_COLUMNS)))
-    path, written = scratch_path(spark, "missing-ends"), Observation()
-    missing = _missing_ends(edges, vertices.select("label", "uid"))
+    path, written, counted_ends = scratch_path(spark, "missing-ends"), Observation(), Observation()
+    ends = _ends(edges).observe(counted_ends, F.max("n").alias("most"), F.sum("n").alias("edges"))
+    missing = ends.select("label", "uid").join(vertices.select("label", "uid"), ["label", "uid"], "left_anti")
     missing.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(path)
     if written.get["n"]:
         missing = spark.read.schema(missing.schema).parquet(path)
@@ -245,4 +252,8 @@ def _number_edges(spark: SparkSession, edges: DataFrame, vertices: DataFrame, sh
             ids = counted.select(F.col("label").alias(keys[0]), F.col("uid").alias(keys[1]), F.col("id").alias(side))
             edges = spread_join(edges, ids, keys, "left", rows_per_task)
             numbers[side] = F.coalesce(F.col(side), numbers[side])
-    return edges.select(*(c.alias(side) for side, c in numbers.items()), "w").groupBy(*SIDES).agg(F.sum("w").alias("w"))
+    numbered, total = edges.select(*(c.alias(side) for side, c in numbers.items()), "w"), F.sum("w").alias("w")
+    if (counted_ends.get["most"] or 0) > ROWS_PER_SOURCE:
+        return numbered.groupBy(*SIDES).agg(total)
+    partitions = sized_partitions(spark, counted_ends.get["edges"] or 0, most_per_partition=ROWS_PER_SOURCE)
+    return numbered.repartition(partitions, "src").groupBy(*SIDES).agg(total).sortWithinPartitions("src")

@@ -97,6 +97,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def sized_partitions(
+    spark: SparkSession, rows: int, rows_per_partition: int = 50_000, most_per_partition: int = 2_000_000
+) -> int:
+    """Partitions for ``rows`` rows: what ``spark`` sets where it gives partitions between ``rows_per_partition`` and
+    ``most_per_partition`` rows; else fewer, or more."""
+    fewest, enough = -(-rows // most_per_partition), max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
+    return max(fewest, min(enough, shuffle_partitions(spark)))
+
+
 def sized_session(
     spark: SparkSession, rows: int, rows_per_partition: int = 50_000, most_per_partition: int = 2_000_000
 ) -> SparkSession:
@@ -106,8 +115,7 @@ def sized_session(
     it gives partitions between ``rows_per_partition`` and ``most_per_partition`` rows; else there are fewer, or more. It is
     not changed itself; its other settings are taken over.
     """
-    fewest, enough = -(-rows // most_per_partition), max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
-    enough = max(fewest, min(enough, shuffle_partitions(spark)))
+    enough = sized_partitions(spark, rows, rows_per_partition, most_per_partition)
     if enough == shuffle_partitions(spark):
         return spark
     session = spark.newSession()

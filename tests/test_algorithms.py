@@ -463,3 +463,34 @@ def test_edges_by_source_and_by_target(spark, monkeypatch, sources, damping):
     monkeypatch.setattr(P, "WIDE_SOURCES", 0)
     assert_ranks(P._run(spark, graph, ids, damping, 5, None, edges_per_piece=4), want)
     assert laid_out[0] == laid_out[1] and min(laid_out[0]) > 0 and sum(laid_out[0]) == len(set(edges))
+
+
+def test_few_sources_move_few_vertices(spark):
+    run = scratch_path(spark, "run")
+    vertices, edges = "pqsxyz", [("p", "s"), ("q", "s"), ("s", "x"), ("x", "y"), ("y", "x"), ("y", "z"), ("q", "z")]
+    sources = spark.createDataFrame([("p",), ("no such id",)], "uid string")
+    df = P.personalized_pagerank(
+        spark, view_from(spark, vertices, edges, "one"), sources, rounds=4, view_path=f"{run}-view", run_path=run
+    )
+    assert_ranks(df, brute_force(vertices, edges, "p", 0.85, 4))
+    assert rounds_kept(spark, run) == [["s"], ["x"], ["y"], ["x", "z"]]
+
+
+def test_edges_of_a_source_lie_side_by_side(spark, monkeypatch):
+    """In one file of the view, sorted; not if one has too many for a task, with the same edges."""
+    from propgraph.plans import views
+
+    rng, vertices = random.Random(3), [f"v{i}" for i in range(40)]
+    made = view_from(spark, vertices, [(rng.choice(vertices), rng.choice(vertices)) for _ in range(400)])
+    graph = materialize(spark, made, None)
+    rows = graph.edges.select("src", F.input_file_name().alias("file")).collect()
+    files = {}
+    for r in rows:
+        files.setdefault(r.file, []).append(r.src)
+    assert all(sources == sorted(sources) for sources in files.values())
+    assert len({(r.src, r.file) for r in rows}) == len({r.src for r in rows})
+    plans, real = [], views._number_edges
+    monkeypatch.setattr(views, "ROWS_PER_SOURCE", 3)
+    monkeypatch.setattr(views, "_number_edges", lambda *args: plans.append(real(*args)) or plans[-1])
+    assert named_edges(materialize(spark, made, None)) == named_edges(graph)
+    assert "Repartition" not in plans[0]._jdf.queryExecution().optimizedPlan().toString()
